@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from autopulse.operators import aggregate
+from autopulse.operators import aggregate, clean
 from autopulse.operators.events import add_event_flags
 from autopulse.sources import testbed as tb
 
@@ -48,3 +48,44 @@ def q_weekday_weekend(spark, sf):
 @register("daily_events")
 def q_daily_events(spark, sf):
     return aggregate.daily_events(flagged(spark, sf))
+
+
+# --- cleaning (P2-P5, A6-A8) -------------------------------------------------------------
+
+def sensors(spark, sf):
+    return tb.sensors_from_events(tb.table(spark, sf, "events"))
+
+
+@register("filter_max_speed")
+def q_filter_max_speed(spark, sf):
+    return clean.filter_max_speed(sensors(spark, sf))
+
+
+@register("fill_mean")
+def q_fill_mean(spark, sf):
+    return clean.fill_mean(sensors(spark, sf))
+
+
+@register("clean_sensors")
+def q_clean_sensors(spark, sf):
+    return clean.clean_sensors(sensors(spark, sf))
+
+
+@register("iqr_bounds")
+def q_iqr_bounds(spark, sf):
+    return clean.iqr_bounds(sensors(spark, sf))
+
+
+@register("iqr_outliers")
+def q_iqr_outliers(spark, sf):
+    return clean.iqr_outliers(sensors(spark, sf))
+
+
+@register("quality_profile")
+def q_quality_profile(spark, sf):
+    return clean.quality_profile(sensors(spark, sf))
+
+
+@register("describe_numeric")
+def q_describe_numeric(spark, sf):
+    return clean.describe_numeric(sensors(spark, sf), ["temp", "speed", "humidity", "pressure"])

@@ -74,3 +74,40 @@ SQL["daily_events"] = with_ctes(["telemetry", "flagged"], f"""
            ['周日', '周一', '周二', '周三', '周四', '周五', '周六'][dayofweek("timestamp") + 1] AS weekday_name,
            {_FLAG_SUMS}
     FROM flagged GROUP BY 1, 2""")
+
+# --- cleaning ----------------------------------------------------------------------------
+CTES["filled"] = """
+    SELECT event_id, COALESCE(CASE WHEN isnan(temp) THEN NULL ELSE temp END,
+                              (SELECT avg(temp) FROM sensors), 0.0::DOUBLE) AS temp,
+           speed, humidity, pressure
+    FROM sensors"""
+
+
+def _quartile_cte(src: str) -> str:
+    """q1/q3 as the values of rank max(1, ceil(p * n)) among non-NULL speeds."""
+    return f"""
+        SELECT CAST(max(CASE WHEN rn = greatest(1, ceil(0.25 * n)) THEN speed END) AS DOUBLE) AS q1,
+               CAST(max(CASE WHEN rn = greatest(1, ceil(0.75 * n)) THEN speed END) AS DOUBLE) AS q3
+        FROM (SELECT speed, row_number() OVER (ORDER BY speed) AS rn, count(*) OVER () AS n
+              FROM {src} WHERE speed IS NOT NULL)"""
+
+
+CTES["quartiles"] = _quartile_cte("sensors")
+CTES["fence"] = """
+    SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound
+    FROM quartiles"""
+
+SQL["filter_max_speed"] = with_ctes(["sensors"], "SELECT * FROM sensors WHERE speed < 200")
+SQL["fill_mean"] = with_ctes(["sensors", "filled"], "SELECT * FROM filled")
+SQL["clean_sensors"] = with_ctes(["sensors", "filled"], "SELECT * FROM filled WHERE speed < 200")
+SQL["iqr_bounds"] = with_ctes(["sensors", "quartiles", "fence"], "SELECT * FROM fence")
+SQL["iqr_outliers"] = with_ctes(["sensors", "quartiles", "fence"], """
+    SELECT s.* FROM sensors s, fence f WHERE s.speed < f.lower_bound OR s.speed > f.upper_bound""")
+SQL["quality_profile"] = with_ctes(["sensors"], """
+    SELECT count(*) AS total_records, count(*) FILTER (WHERE temp IS NULL) AS temp_null_count,
+           count(*) FILTER (WHERE speed > 200) AS speed_over_max_count
+    FROM sensors""")
+SQL["describe_numeric"] = with_ctes(["sensors"], " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, avg({c}::DOUBLE) AS mean,
+               stddev_samp({c}::DOUBLE) AS stddev, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max
+        FROM sensors""" for c in ("temp", "speed", "humidity", "pressure")))
