@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from autopulse.operators import aggregate, clean
+from autopulse.operators import aggregate, clean, joins
 from autopulse.operators.events import add_event_flags
 from autopulse.sources import testbed as tb
 
@@ -89,3 +89,48 @@ def q_quality_profile(spark, sf):
 @register("describe_numeric")
 def q_describe_numeric(spark, sf):
     return clean.describe_numeric(sensors(spark, sf), ["temp", "speed", "humidity", "pressure"])
+
+
+# --- joins (J1, P6, P7, A5, A9, A13, O4) -------------------------------------------------
+
+def cabin(spark, sf):
+    return tb.cabin_events_from_orders(tb.table(spark, sf, "orders"))
+
+
+def status(spark, sf):
+    return tb.status_from_lineitem(tb.table(spark, sf, "lineitem"))
+
+
+@register("join_events_status")
+def q_join_events_status(spark, sf):
+    return joins.join_events_status(cabin(spark, sf), status(spark, sf))
+
+
+@register("join_row_count")
+def q_join_row_count(spark, sf):
+    return joins.join_row_count(cabin(spark, sf), status(spark, sf))
+
+
+@register("nav_events")
+def q_nav_events(spark, sf):
+    return joins.navigation_events(cabin(spark, sf), status(spark, sf))
+
+
+@register("nav_speed_histogram")
+def q_nav_speed_histogram(spark, sf):
+    return joins.navigation_speed_histogram(cabin(spark, sf), status(spark, sf))
+
+
+@register("voice_events")
+def q_voice_events(spark, sf):
+    return joins.voice_events(cabin(spark, sf), status(spark, sf))
+
+
+@register("voice_rpm_stats")
+def q_voice_rpm_stats(spark, sf):
+    return joins.voice_rpm_stats(cabin(spark, sf), status(spark, sf))
+
+
+@register("preview_top_n")
+def q_preview_top_n(spark, sf):
+    return joins.preview(joins.join_events_status(cabin(spark, sf), status(spark, sf)), 20)

@@ -111,3 +111,22 @@ SQL["describe_numeric"] = with_ctes(["sensors"], " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({c}) AS count, avg({c}::DOUBLE) AS mean,
                stddev_samp({c}::DOUBLE) AS stddev, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max
         FROM sensors""" for c in ("temp", "speed", "humidity", "pressure")))
+
+# --- joins -------------------------------------------------------------------------------
+CTES["joined"] = """SELECT c."timestamp", c.event_type, s.speed, s.rpm
+                    FROM cabin c JOIN status s ON c."timestamp" = s."timestamp" """
+_J = ["cabin", "status", "joined"]
+SQL["join_events_status"] = with_ctes(_J, "SELECT * FROM joined")
+SQL["join_row_count"] = with_ctes(_J, "SELECT count(*) AS row_count FROM joined")
+SQL["nav_events"] = with_ctes(_J, """SELECT "timestamp", speed FROM joined WHERE event_type = 'NavigationStart'""")
+SQL["voice_events"] = with_ctes(_J, """SELECT "timestamp", rpm FROM joined WHERE event_type = 'VoiceCommand'""")
+SQL["nav_speed_histogram"] = with_ctes(_J, """
+    SELECT CASE WHEN speed < 30 THEN '0-30km/h' WHEN speed < 60 THEN '30-60km/h'
+                WHEN speed < 90 THEN '60-90km/h' ELSE '90km/h+' END AS speed_range, count(*) AS count
+    FROM joined WHERE event_type = 'NavigationStart' GROUP BY 1""")
+SQL["voice_rpm_stats"] = with_ctes(_J, """
+    SELECT max(rpm) AS max_rpm, min(rpm) AS min_rpm, avg(rpm) AS avg_rpm, count(*) AS voice_count
+    FROM joined WHERE event_type = 'VoiceCommand'""")
+SQL["preview_top_n"] = with_ctes(_J, """
+    SELECT * FROM joined
+    ORDER BY "timestamp" NULLS FIRST, event_type NULLS FIRST, speed NULLS FIRST, rpm NULLS FIRST LIMIT 20""")
