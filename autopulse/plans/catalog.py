@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from autopulse.operators import aggregate, clean, joins
+from autopulse.functions import (
+    batch_file_name, batch_time_text, day_of_week, format_record, hour_of_day, jvm_split_fields, jvm_trim,
+    legacy_int, non_blank, safe_double,
+)
+from autopulse.operators import aggregate, clean, joins, lines, state, windows
 from autopulse.operators.events import add_event_flags
 from autopulse.sources import testbed as tb
 
@@ -134,3 +139,102 @@ def q_voice_rpm_stats(spark, sf):
 @register("preview_top_n")
 def q_preview_top_n(spark, sf):
     return joins.preview(joins.join_events_status(cabin(spark, sf), status(spark, sf)), 20)
+
+
+# --- lines and scalar functions (P14-P20, A11, F1-F19) -----------------------------------
+
+def events(spark, sf):
+    return tb.table(spark, sf, "events")
+
+
+# Thresholds fitted to the test tables: their acceleration lies in [-5.0, 4.9], so the
+# reference's brake default (-5.0, strict) selects nothing; -3.0 is the hard-decel
+# threshold.  Speeds lie in [0, 490], so overspeed uses 60 (FIXTURES.md).
+TEST_BRAKE_THRESHOLD = -3.0
+TEST_OVERSPEED_THRESHOLD = 60.0
+
+
+@register("parse_speed_lines")
+def q_parse_speed_lines(spark, sf):
+    return lines.parse_speed_lines(tb.speed_lines_from_events(events(spark, sf)))
+
+
+@register("parse_status_lines")
+def q_parse_status_lines(spark, sf):
+    return lines.parse_status_lines(tb.status_lines_from_events(events(spark, sf)))
+
+
+@register("parse_numeric_tokens")
+def q_parse_numeric_tokens(spark, sf):
+    return lines.parse_numeric_tokens(tb.numeric_lines_from_events(events(spark, sf)))
+
+
+@register("word_count")
+def q_word_count(spark, sf):
+    docs = tb.word_lines_from_documents(tb.table(spark, sf, "documents"))
+    return lines.word_count(docs, by=["source"])
+
+
+@register("format_records")
+def q_format_records(spark, sf):
+    speeds = lines.parse_speed_lines(tb.speed_lines_from_events(events(spark, sf)))
+    alerts = state.overspeed_alert(speeds, seq="event_id", threshold=TEST_OVERSPEED_THRESHOLD)
+    return alerts.select("event_id", format_record("vehicle_id", "speed", "consecutive_overspeed_count", "alert")
+                         .alias("record"))
+
+
+@register("scalar_time_fns")
+def q_scalar_time_fns(spark, sf):
+    e = events(spark, sf)
+    return e.select("event_id", hour_of_day("ts").alias("hour"), day_of_week("ts").alias("weekday_num"),
+                    batch_time_text("ts").alias("batch_time"),
+                    batch_file_name("raw_stream", "ts").alias("file_name"))
+
+
+@register("scalar_text_fns")
+def q_scalar_text_fns(spark, sf):
+    ln = tb.speed_lines_from_events(events(spark, sf))
+    fields = jvm_split_fields("value")
+    second = F.try_element_at(fields, F.lit(2))
+    return ln.select("event_id", jvm_trim("value").alias("trimmed"), F.length("value").alias("n_chars"),
+                     non_blank("value").alias("is_non_blank"), F.lower("value").alias("lowered"),
+                     F.size(fields).alias("n_fields"), second.alias("speed_text"),
+                     safe_double(second).alias("speed_double"), legacy_int(second).alias("speed_int"))
+
+
+@register("scalar_json_fns")
+def q_scalar_json_fns(spark, sf):
+    k_text = F.get_json_object("props", "$.k")
+    return events(spark, sf).select("event_id", k_text.alias("k_text"), k_text.try_cast("int").alias("k"))
+
+
+# --- per-vehicle state and sliding windows, batch form (ST1-ST4, ST6) ---------------------
+
+@register("latest_state")
+def q_latest_state(spark, sf):
+    status_rows = lines.parse_status_lines(tb.status_lines_from_events(events(spark, sf)))
+    return state.latest_state(status_rows, seq="event_id")
+
+
+@register("driving_duration")
+def q_driving_duration(spark, sf):
+    status_rows = lines.parse_status_lines(tb.status_lines_from_events(events(spark, sf)))
+    return state.driving_duration(status_rows, seq="event_id")
+
+
+@register("overspeed_run")
+def q_overspeed_run(spark, sf):
+    speeds = lines.parse_speed_lines(tb.speed_lines_from_events(events(spark, sf)))
+    return state.overspeed_run(speeds, seq="event_id", threshold=TEST_OVERSPEED_THRESHOLD)
+
+
+@register("overspeed_alert")
+def q_overspeed_alert(spark, sf):
+    speeds = lines.parse_speed_lines(tb.speed_lines_from_events(events(spark, sf)))
+    return state.overspeed_alert(speeds, seq="event_id", threshold=TEST_OVERSPEED_THRESHOLD)
+
+
+@register("brake_window")
+def q_brake_window(spark, sf):
+    return windows.brake_window_counts(tb.numeric_lines_from_events(events(spark, sf)),
+                                       threshold=TEST_BRAKE_THRESHOLD)

@@ -130,3 +130,97 @@ SQL["voice_rpm_stats"] = with_ctes(_J, """
 SQL["preview_top_n"] = with_ctes(_J, """
     SELECT * FROM joined
     ORDER BY "timestamp" NULLS FIRST, event_type NULLS FIRST, speed NULLS FIRST, rpm NULLS FIRST LIMIT 20""")
+
+# --- lines, scalar functions, state, windows ----------------------------------------------
+_JVM_TRIM = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+_WS = r"'[ \t\n\x0B\f\r]+'"
+
+
+def _jvm_fields(x: str) -> str:
+    """JVM split(',') then trim: trailing empty fields dropped first."""
+    return (f"list_transform(CASE WHEN regexp_replace({x}, ',+$', '') = '' THEN []::VARCHAR[] "
+            f"ELSE string_split(regexp_replace({x}, ',+$', ''), ',') END, lambda f: {_JVM_TRIM.format(x='f')})")
+
+
+CTES["speed_lines"] = """
+    SELECT event_id, ts, CAST(user_id AS VARCHAR) || ',' ||
+           CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE CAST(value AS VARCHAR) END ||
+           CASE WHEN event_id % 5 = 0 THEN ',,' ELSE '' END AS value
+    FROM events"""
+CTES["status_lines"] = """
+    SELECT event_id, ts, CAST(user_id AS VARCHAR) || ',' ||
+           CASE WHEN event_type = 'view' THEN 'driving' ELSE event_type END AS value
+    FROM events"""
+CTES["numeric_lines"] = f"""
+    SELECT event_id, ts, CAST(({_K} - 50) / 10.0::DOUBLE AS VARCHAR) || ' ' || event_type AS value FROM events"""
+CTES["speeds"] = f"""
+    SELECT event_id, ts, p[1] AS vehicle_id, TRY_CAST(p[2] AS DOUBLE) AS speed
+    FROM (SELECT event_id, ts, {_jvm_fields('value')} AS p FROM speed_lines)
+    WHERE len(p) = 2 AND p[1] <> '' AND TRY_CAST(p[2] AS DOUBLE) IS NOT NULL"""
+CTES["statuses"] = f"""
+    SELECT event_id, ts, p[1] AS vehicle_id, lower(p[2]) AS status
+    FROM (SELECT event_id, ts, {_jvm_fields('value')} AS p FROM status_lines)
+    WHERE len(p) = 2 AND p[1] <> '' AND p[2] <> ''"""
+CTES["tokens"] = f"""
+    SELECT event_id, ts, TRY_CAST(tok AS DOUBLE) AS number
+    FROM (SELECT event_id, ts, unnest(string_split_regex({_JVM_TRIM.format(x='value')}, {_WS})) AS tok
+          FROM numeric_lines)
+    WHERE tok <> '' AND TRY_CAST(tok AS DOUBLE) IS NOT NULL"""
+CTES["runs"] = """
+    SELECT vehicle_id, event_id, speed,
+           CAST(CASE WHEN over THEN sum(CASE WHEN over THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY vehicle_id, grp ORDER BY event_id ROWS UNBOUNDED PRECEDING)
+                ELSE 0 END AS INTEGER) AS consecutive_overspeed_count
+    FROM (SELECT *, sum(CASE WHEN over THEN 0 ELSE 1 END)
+                      OVER (PARTITION BY vehicle_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS grp
+          FROM (SELECT *, coalesce(speed > 60.0 AND NOT isnan(speed), false) AS over FROM speeds))"""
+CTES["alerts"] = """
+    SELECT *, CASE WHEN consecutive_overspeed_count >= 3 THEN 'TRIGGERED' ELSE 'WAITING' END AS alert FROM runs"""
+
+SQL["parse_speed_lines"] = with_ctes(["speed_lines", "speeds"], "SELECT * FROM speeds")
+SQL["parse_status_lines"] = with_ctes(["status_lines", "statuses"], "SELECT * FROM statuses")
+SQL["parse_numeric_tokens"] = with_ctes(["numeric_lines", "tokens"], "SELECT * FROM tokens")
+SQL["word_count"] = f"""
+    SELECT source, word, count(*) AS count
+    FROM (SELECT source, unnest(string_split_regex({_JVM_TRIM.format(x='text')}, {_WS})) AS word FROM documents)
+    WHERE word <> '' GROUP BY source, word"""
+SQL["format_records"] = with_ctes(["speed_lines", "speeds", "runs", "alerts"], """
+    SELECT event_id, 'vehicle_id=' || vehicle_id || chr(9) || 'speed=' || CAST(speed AS VARCHAR) || chr(9) ||
+           'consecutive_overspeed_count=' || CAST(consecutive_overspeed_count AS VARCHAR) || chr(9) ||
+           'alert=' || alert AS record
+    FROM alerts""")
+SQL["scalar_time_fns"] = """
+    SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday_num,
+           strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS batch_time,
+           'raw_stream_' || strftime(ts + INTERVAL 8 HOUR, '%Y%m%d_%H%M%S_%g') || '.txt' AS file_name
+    FROM events"""
+SQL["scalar_text_fns"] = with_ctes(["speed_lines"], f"""
+    SELECT event_id, {_JVM_TRIM.format(x='value')} AS trimmed, CAST(length(value) AS INTEGER) AS n_chars,
+           value IS NOT NULL AND length(trim(value, ' ')) > 0 AS is_non_blank, lower(value) AS lowered,
+           CAST(len(p) AS INTEGER) AS n_fields, p[2] AS speed_text, TRY_CAST(p[2] AS DOUBLE) AS speed_double,
+           CASE WHEN regexp_matches({_JVM_TRIM.format(x='p[2]')}, '^[+-]?[0-9]*\\.?[0-9]*$')
+                 AND regexp_matches(p[2], '[0-9]')
+                THEN TRY_CAST(trunc(TRY_CAST({_JVM_TRIM.format(x='p[2]')} AS DECIMAL(38, 18))) AS INTEGER) END
+               AS speed_int
+    FROM (SELECT *, {_jvm_fields('value')} AS p FROM speed_lines)""")
+SQL["scalar_json_fns"] = """
+    SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+           TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+    FROM events"""
+SQL["latest_state"] = with_ctes(["status_lines", "statuses"], """
+    SELECT vehicle_id, arg_max(status, event_id) AS latest_state FROM statuses GROUP BY vehicle_id""")
+SQL["driving_duration"] = with_ctes(["status_lines", "statuses"], """
+    SELECT vehicle_id, event_id, status AS latest_status,
+           CAST(sum(CASE WHEN status = 'driving' THEN 5 ELSE 0 END)
+                OVER (PARTITION BY vehicle_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+               AS total_driving_seconds
+    FROM statuses""")
+SQL["overspeed_run"] = with_ctes(["speed_lines", "speeds", "runs"], "SELECT * FROM runs")
+SQL["overspeed_alert"] = with_ctes(["speed_lines", "speeds", "runs", "alerts"], "SELECT * FROM alerts")
+SQL["brake_window"] = with_ctes(["numeric_lines", "tokens"], """
+    SELECT make_timestamp(start_s * 1000000) AS window_start, make_timestamp((start_s + 60) * 1000000) AS window_end,
+           'hard_brake' AS metric, count(*) AS count, 60 AS window_seconds, 10 AS slide_seconds,
+           -3.0::DOUBLE AS threshold
+    FROM (SELECT (CAST(floor(epoch_us(ts) / 10000000) AS BIGINT) - i) * 10 AS start_s
+          FROM (SELECT ts, unnest(range(0, 6)) AS i FROM tokens WHERE number < -3.0))
+    GROUP BY start_s""")
