@@ -13,6 +13,9 @@ from autopulse.functions import (
 )
 from autopulse.operators import aggregate, clean, joins, lines, state, windows
 from autopulse.operators.events import add_event_flags
+from autopulse.session import scratch_dir
+from autopulse.sinks import files as sinks
+from autopulse.sources import files as sources
 from autopulse.sources import testbed as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +241,82 @@ def q_overspeed_alert(spark, sf):
 def q_brake_window(spark, sf):
     return windows.brake_window_counts(tb.numeric_lines_from_events(events(spark, sf)),
                                        threshold=TEST_BRAKE_THRESHOLD)
+
+
+# --- sources and sinks: write derived data to the shared scratch folder, read it back -------
+
+def _as_text(df: DataFrame) -> DataFrame:
+    """Every column as text, timestamps with microseconds (what a telemetry CSV holds)."""
+    return df.select(*[(tb.ts_text(F.col(f.name)) if f.dataType.typeName().startswith("timestamp")
+                        else F.col(f.name).cast("string")).alias(f.name) for f in df.schema.fields])
+
+
+@register("src_csv_telemetry")
+def q_src_csv_telemetry(spark, sf):
+    path = scratch_dir(spark, "telemetry-csv")
+    sinks.write_csv(_as_text(tb.telemetry_from_events(events(spark, sf))), path)
+    return sources.read_telemetry_csv(spark, path)
+
+
+@register("src_csv_sensors")
+def q_src_csv_sensors(spark, sf):
+    # speed is written as the raw decimal text, so the reader's INT rule (T3) truncates it
+    e = events(spark, sf)
+    raw = tb.sensors_from_events(e).drop("speed").join(e.select("event_id", F.col("value").alias("speed")),
+                                                        "event_id")
+    path = scratch_dir(spark, "sensors-csv")
+    sinks.write_csv(_as_text(raw), path)
+    return sources.read_sensor_csv(spark, path)
+
+
+@register("src_json_events")
+def q_src_json_events(spark, sf):
+    c = cabin(spark, sf)
+    path = scratch_dir(spark, "cabin-json")
+    c.withColumn("timestamp", tb.ts_text(F.col("timestamp"))).write.mode("overwrite").json(path)
+    return sources.read_cabin_events_json(spark, path)
+
+
+@register("src_parquet_status")
+def q_src_parquet_status(spark, sf):
+    path = scratch_dir(spark, "status-parquet")
+    sinks.write_parquet(status(spark, sf), path)
+    return sources.read_status_parquet(spark, path)
+
+
+@register("sink_csv_roundtrip")
+def q_sink_csv_roundtrip(spark, sf):
+    hourly = aggregate.hourly_events(flagged(spark, sf))
+    one, many = scratch_dir(spark, "hourly-csv-1"), scratch_dir(spark, "hourly-csv-n")
+    sinks.write_csv(hourly, one, single_file=True)
+    sinks.write_csv(hourly, many)
+    read = spark.read.option("header", True).schema(hourly.schema)
+    return (read.csv(one).withColumn("layout", F.lit("single_file"))
+            .unionByName(read.csv(many).withColumn("layout", F.lit("partitioned"))))
+
+
+@register("sink_parquet_roundtrip")
+def q_sink_parquet_roundtrip(spark, sf):
+    path = scratch_dir(spark, "scores-parquet")
+    sinks.write_parquet(aggregate.vehicle_scores(flagged(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@register("sink_publish_dual")
+def q_sink_publish_dual(spark, sf):
+    daily = aggregate.daily_events(flagged(spark, sf))
+    base = scratch_dir(spark, "publish")
+    sinks.publish(daily, base, "daily_events")
+    return (spark.read.option("header", True).schema(daily.schema).csv(f"{base}/daily_events")
+            .withColumn("format", F.lit("csv"))
+            .unionByName(spark.read.parquet(f"{base}/daily_events_parquet").withColumn("format", F.lit("parquet"))))
+
+
+@register("sink_publish_if_any")
+def q_sink_publish_if_any(spark, sf):
+    outliers = clean.iqr_outliers(sensors(spark, sf))
+    base = scratch_dir(spark, "publish-if-any")
+    written = sinks.publish_if_any(outliers, base, "outliers", formats=("parquet",))
+    if not written:
+        return spark.createDataFrame([], outliers.schema)
+    return spark.read.parquet(written["outliers:parquet"])

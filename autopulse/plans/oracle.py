@@ -224,3 +224,22 @@ SQL["brake_window"] = with_ctes(["numeric_lines", "tokens"], """
     FROM (SELECT (CAST(floor(epoch_us(ts) / 10000000) AS BIGINT) - i) * 10 AS start_s
           FROM (SELECT ts, unnest(range(0, 6)) AS i FROM tokens WHERE number < -3.0))
     GROUP BY start_s""")
+
+# --- sources and sinks --------------------------------------------------------------------
+SQL["src_csv_telemetry"] = with_ctes(["telemetry"], """
+    SELECT "timestamp", vehicle_id, speed, acceleration, lateral_acceleration,
+           CAST(event_id AS VARCHAR) AS event_id
+    FROM telemetry""")
+SQL["src_csv_sensors"] = with_ctes(["sensors"], """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, temp, speed, humidity, pressure FROM sensors""")
+SQL["src_json_events"] = with_ctes(["cabin"], """
+    SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS "timestamp", event_type FROM cabin""")
+SQL["src_parquet_status"] = with_ctes(["status"], "SELECT * FROM status")
+SQL["sink_csv_roundtrip"] = (
+    "SELECT *, 'single_file' AS layout FROM (" + SQL["hourly_events"] + ") UNION ALL "
+    "SELECT *, 'partitioned' AS layout FROM (" + SQL["hourly_events"] + ")")
+SQL["sink_parquet_roundtrip"] = SQL["vehicle_scores"]
+SQL["sink_publish_dual"] = (
+    "SELECT *, 'csv' AS format FROM (" + SQL["daily_events"] + ") UNION ALL "
+    "SELECT *, 'parquet' AS format FROM (" + SQL["daily_events"] + ")")
+SQL["sink_publish_if_any"] = SQL["iqr_outliers"]
