@@ -12,11 +12,15 @@ from autopulse.functions import (
     legacy_int, non_blank, safe_double,
 )
 from autopulse.operators import aggregate, clean, joins, lines, state, windows
+from autopulse.operators import cabin as cabin_ops
 from autopulse.operators.events import add_event_flags
 from autopulse.session import scratch_dir
 from autopulse.sinks import files as sinks
 from autopulse.sources import files as sources
 from autopulse.sources import testbed as tb
+from autopulse.streaming import batches as stream_batches
+from autopulse.streaming import runner
+from autopulse.streaming import state as stream_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -320,3 +324,127 @@ def q_sink_publish_if_any(spark, sf):
     if not written:
         return spark.createDataFrame([], outliers.schema)
     return spark.read.parquet(written["outliers:parquet"])
+
+
+# --- streams: run with availableNow into the shared scratch folder, read the sink back -------
+
+def _stream_paths(spark, name):
+    base = scratch_dir(spark, name)
+    return f"{base}/out", f"{base}/checkpoint"
+
+
+def _events_stream(spark, sf):
+    return tb.table_stream(spark, sf, "events")
+
+
+def _append_and_read(spark, df, name, drop=()):
+    out, ckpt = _stream_paths(spark, name)
+    runner.run_to_end(runner.start_parquet_append(df, out, ckpt, available_now=True))
+    return spark.read.parquet(out).drop(*drop)
+
+
+@register("stream_kafka_raw")
+def q_stream_kafka_raw(spark, sf):
+    records = tb.kafka_records_from_events(_events_stream(spark, sf))
+    return _append_and_read(spark, cabin_ops.kafka_envelope(records), "kafka-raw")
+
+
+@register("stream_json_parse")
+def q_stream_json_parse(spark, sf):
+    records = tb.kafka_records_from_events(_events_stream(spark, sf))
+    parsed = cabin_ops.parse_cabin_json(cabin_ops.kafka_values(records))
+    return _append_and_read(spark, parsed, "json-parse", drop=["processing_time"])
+
+
+@register("stream_cabin_etl")
+def q_stream_cabin_etl(spark, sf):
+    records = tb.kafka_records_from_events(_events_stream(spark, sf))
+    return _append_and_read(spark, cabin_ops.cabin_etl(records), "cabin-etl", drop=["processing_time"])
+
+
+@register("stream_event_count")
+def q_stream_event_count(spark, sf):
+    counts = cabin_ops.event_counts(tb.kafka_records_from_events(_events_stream(spark, sf)))
+    out, ckpt = _stream_paths(spark, "event-count")
+    runner.run_to_end(runner.start_foreach_batch(counts, runner.overwrite_snapshot(out), ckpt, "complete",
+                                                 available_now=True))
+    return runner.read_snapshot(spark, out)
+
+
+@register("stream_raw_lines")
+def q_stream_raw_lines(spark, sf):
+    raw = tb.speed_lines_from_events(_events_stream(spark, sf)).select("event_id", "value")
+    out, ckpt = _stream_paths(spark, "raw-lines")
+    runner.run_to_end(runner.start_foreach_batch(raw, stream_batches.raw_lines_batch(out, "event_id"), ckpt,
+                                                 available_now=True))
+    return spark.read.parquet(out).drop("batch_time")
+
+
+def _word_count_stream(spark, sf, name):
+    docs = tb.word_lines_from_documents(tb.table_stream(spark, sf, "documents")).select("value")
+    out, ckpt = _stream_paths(spark, name)
+    text_dir = out + "-text"
+    runner.run_to_end(runner.start_foreach_batch(docs, stream_batches.word_count_batch(out, text_dir), ckpt,
+                                                 available_now=True))
+    return out, text_dir
+
+
+@register("stream_word_count")
+def q_stream_word_count(spark, sf):
+    out, _ = _word_count_stream(spark, sf, "word-count")
+    return spark.read.parquet(out).drop("batch_time")
+
+
+@register("sink_batch_files")
+def q_sink_batch_files(spark, sf):
+    _, text_dir = _word_count_stream(spark, sf, "batch-files")
+    # the batch time is processing time: cut it off so the rest can be compared
+    return spark.read.text(f"{text_dir}/wordcount_*").select(
+        F.regexp_replace("value", r"^batch_time=[^\t]*\t", "").alias("record"))
+
+
+@register("stream_brake_window")
+def q_stream_brake_window(spark, sf):
+    windows_ = stream_batches.brake_window_stream(tb.numeric_lines_from_events(_events_stream(spark, sf)),
+                                                  threshold=TEST_BRAKE_THRESHOLD)
+    out, ckpt = _stream_paths(spark, "brake-window")
+    runner.run_to_end(runner.start_foreach_batch(windows_, runner.overwrite_batch(out), ckpt, "update",
+                                                 available_now=True))
+    return runner.read_latest_updates(spark, out, ["window_start", "window_end"])
+
+
+def _status_stream(spark, sf):
+    return lines.parse_status_lines(tb.status_lines_from_events(_events_stream(spark, sf)))
+
+
+def _speed_stream(spark, sf):
+    return lines.parse_speed_lines(tb.speed_lines_from_events(_events_stream(spark, sf)))
+
+
+@register("stream_latest_state")
+def q_stream_latest_state(spark, sf):
+    latest = stream_state.latest_state_snapshot(_status_stream(spark, sf), seq="event_id")
+    out, ckpt = _stream_paths(spark, "latest-state")
+    runner.run_to_end(runner.start_foreach_batch(latest, runner.overwrite_snapshot(out), ckpt, "complete",
+                                                 available_now=True))
+    return runner.read_snapshot(spark, out)
+
+
+@register("stream_driving_duration")
+def q_stream_driving_duration(spark, sf):
+    return _append_and_read(spark, stream_state.driving_duration_stream(_status_stream(spark, sf), seq="event_id"),
+                            "driving-duration")
+
+
+@register("stream_overspeed_run")
+def q_stream_overspeed_run(spark, sf):
+    runs = stream_state.overspeed_run_stream(_speed_stream(spark, sf), seq="event_id",
+                                             threshold=TEST_OVERSPEED_THRESHOLD)
+    return _append_and_read(spark, runs, "overspeed-run")
+
+
+@register("stream_overspeed_alert")
+def q_stream_overspeed_alert(spark, sf):
+    alerts = stream_state.overspeed_alert_stream(_speed_stream(spark, sf), seq="event_id",
+                                                 threshold=TEST_OVERSPEED_THRESHOLD)
+    return _append_and_read(spark, alerts, "overspeed-alert")

@@ -243,3 +243,43 @@ SQL["sink_publish_dual"] = (
     "SELECT *, 'csv' AS format FROM (" + SQL["daily_events"] + ") UNION ALL "
     "SELECT *, 'parquet' AS format FROM (" + SQL["daily_events"] + ")")
 SQL["sink_publish_if_any"] = SQL["iqr_outliers"]
+
+# --- streams (checked against the batch SQL of the same data) -------------------------------
+CTES["kafka_msgs"] = f"""
+    SELECT event_id, user_id, ts, 'v' || CAST(user_id AS VARCHAR) AS vehicle_id,
+           CASE WHEN {_K} % 25 = 0 THEN ' ' ELSE event_type END AS event,
+           CASE WHEN {_K} % 20 = 1 THEN NULL ELSE value END AS speed,
+           ({_K} - 50) / 10.0::DOUBLE AS acceleration,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time
+    FROM events"""
+SQL["stream_kafka_raw"] = with_ctes(["kafka_msgs"], """
+    SELECT CAST(user_id AS VARCHAR) AS message_key,
+           '{"vehicle_id":"' || vehicle_id || '","event":"' || event || '",' ||
+           CASE WHEN speed IS NULL THEN '' ELSE '"speed":' || CAST(speed AS VARCHAR) || ',' END ||
+           '"acceleration":' || CAST(acceleration AS VARCHAR) || ',"ts":"' || event_time || '"}' AS raw_value,
+           'cabin' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
+           CAST(ts AS VARCHAR) AS kafka_time
+    FROM kafka_msgs""")
+SQL["stream_json_parse"] = with_ctes(["kafka_msgs"], """
+    SELECT vehicle_id, event, speed, acceleration, event_time FROM kafka_msgs""")
+SQL["stream_cabin_etl"] = with_ctes(["kafka_msgs"], """
+    SELECT vehicle_id, event, speed, acceleration, event_time FROM kafka_msgs
+    WHERE length(trim(vehicle_id, ' ')) > 0 AND length(trim(event, ' ')) > 0
+      AND speed IS NOT NULL AND acceleration IS NOT NULL""")
+SQL["stream_event_count"] = with_ctes(["kafka_msgs"], """
+    SELECT event, count(*) AS count FROM kafka_msgs WHERE length(trim(event, ' ')) > 0 GROUP BY event""")
+SQL["stream_raw_lines"] = with_ctes(["speed_lines"], """
+    SELECT event_id, row_number() OVER (ORDER BY event_id) AS record_no, value AS raw_data, 0 AS batch_id
+    FROM speed_lines""")
+_ALL_WORDS = f"""
+    SELECT word, count(*) AS count
+    FROM (SELECT unnest(string_split_regex({_JVM_TRIM.format(x='text')}, {_WS})) AS word FROM documents)
+    WHERE word <> '' GROUP BY word"""
+SQL["stream_word_count"] = f"SELECT 0 AS batch_id, word, count FROM ({_ALL_WORDS})"
+SQL["sink_batch_files"] = f"""
+    SELECT 'word=' || word || chr(9) || 'count=' || CAST(count AS VARCHAR) AS record FROM ({_ALL_WORDS})"""
+SQL["stream_brake_window"] = SQL["brake_window"]
+SQL["stream_latest_state"] = SQL["latest_state"]
+SQL["stream_driving_duration"] = SQL["driving_duration"]
+SQL["stream_overspeed_run"] = SQL["overspeed_run"]
+SQL["stream_overspeed_alert"] = SQL["overspeed_alert"]
