@@ -12,11 +12,13 @@ from autopulse.functions._cols import to_col
 
 # Java's `\s` (ASCII only, includes vertical tab); Spark's split uses Java regex.
 JAVA_WHITESPACE = r"[ \t\n\x0B\f\r]+"
+# Every char String.trim removes: U+0000 .. U+0020.
+_JVM_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def jvm_trim(c) -> Column:
     """String.trim of the JVM: strip every char <= U+0020 at both ends (Spark's trim strips spaces only)."""
-    return F.regexp_replace(to_col(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(to_col(c), F.lit(_JVM_TRIM_CHARS))
 
 
 def non_blank(c) -> Column:

@@ -19,17 +19,21 @@ def kafka_values(records: DataFrame) -> DataFrame:
     return records.selectExpr("CAST(value AS STRING) AS value")
 
 
+CABIN_FIELDS = ("vehicle_id", "event", "speed", "acceleration", "ts")
+
+
 def parse_cabin_json(values: DataFrame, with_processing_time: bool = True) -> DataFrame:
-    """Five JSON paths; speed/acceleration to DOUBLE (bad text -> NULL); event_time stays text."""
-    v = F.col("value")
-    cols = [F.get_json_object(v, "$.vehicle_id").alias("vehicle_id"),
-            F.get_json_object(v, "$.event").alias("event"),
-            F.get_json_object(v, "$.speed").try_cast("double").alias("speed"),
-            F.get_json_object(v, "$.acceleration").try_cast("double").alias("acceleration"),
-            F.get_json_object(v, "$.ts").alias("event_time")]
+    """Five top-level JSON fields; speed/acceleration to DOUBLE (bad text -> NULL); event_time stays text.
+
+    One `json_tuple` parse per message yields all five fields (the same values as one
+    `get_json_object('$.<field>')` per field, without parsing the message five times).
+    """
+    fields = values.select(F.json_tuple("value", *CABIN_FIELDS).alias(*CABIN_FIELDS))
+    cols = [F.col("vehicle_id"), F.col("event"), F.col("speed").try_cast("double").alias("speed"),
+            F.col("acceleration").try_cast("double").alias("acceleration"), F.col("ts").alias("event_time")]
     if with_processing_time:
         cols.append(F.current_timestamp().alias("processing_time"))
-    return values.select(*cols)
+    return fields.select(*cols)
 
 
 def valid_cabin_records(parsed: DataFrame, with_processing_time: bool = True) -> DataFrame:
@@ -49,7 +53,7 @@ def cabin_etl(records: DataFrame, with_processing_time: bool = True) -> DataFram
 
 def event_counts(records: DataFrame) -> DataFrame:
     """A10: running count per non-blank event (P12); no watermark, one state row per distinct event."""
-    events = kafka_values(records).select(F.get_json_object("value", "$.event").alias("event"))
+    events = kafka_values(records).select(F.json_tuple("value", "event").alias("event"))
     return events.filter(non_blank("event")).groupBy("event").agg(F.count(F.lit(1)).alias("count"))
 
 

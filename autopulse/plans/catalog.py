@@ -448,3 +448,9 @@ def q_stream_overspeed_alert(spark, sf):
     alerts = stream_state.overspeed_alert_stream(_speed_stream(spark, sf), seq="event_id",
                                                  threshold=TEST_OVERSPEED_THRESHOLD)
     return _append_and_read(spark, alerts, "overspeed-alert")
+
+
+@register("event_count")
+def q_event_count(spark, sf):
+    """A10 on a batch frame (the same operator as the stream form)."""
+    return cabin_ops.event_counts(tb.kafka_records_from_events(events(spark, sf)))

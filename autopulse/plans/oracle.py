@@ -283,3 +283,4 @@ SQL["stream_latest_state"] = SQL["latest_state"]
 SQL["stream_driving_duration"] = SQL["driving_duration"]
 SQL["stream_overspeed_run"] = SQL["overspeed_run"]
 SQL["stream_overspeed_alert"] = SQL["overspeed_alert"]
+SQL["event_count"] = SQL["stream_event_count"]

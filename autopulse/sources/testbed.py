@@ -14,8 +14,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the session has cores.
+
+    A small file stored as one Parquet row group scans as one task, so every per-row
+    expression before the first shuffle (JSON paths, regex splits) would run on one
+    core.  Large inputs have at least as many splits as cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+# Tables whose rows carry text parsed per row (JSON props, documents): worth spreading.
+PARSE_HEAVY = {"events", "documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if name in PARSE_HEAVY else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
