@@ -66,7 +66,9 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], names: S
     running = ranged.withColumn(
         "cum_in", F.sum("cnt").over(Window.partitionBy("bucket").orderBy("v")
                                     .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    cum = running.join(F.broadcast(before), "bucket").select("v", (F.col("before") + F.col("cum_in")).alias("cum"))
+    # left join: every bucket has its offset, and no filter is inferred on `running`
+    # (keeps it identical to the other use of `counts`, so its shuffle is reused)
+    cum = running.join(F.broadcast(before), "bucket", "left").select("v", (F.col("before") + F.col("cum_in")).alias("cum"))
     ranked = cum.withColumns({f"__rank{i}": F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * n))
                               for i, p in enumerate(probs)})
     return ranked.agg(*[F.min(F.when(F.col("cum") >= F.col(f"__rank{i}"), F.col("v"))).alias(name)

@@ -21,17 +21,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType
 
 DEFAULT_CHUNK = 1 << 16
 
 
 def chunk_of(df: DataFrame, seq: str, chunk_size: int) -> Column:
     dt = df.schema[seq].dataType
+    if isinstance(dt, IntegralType):
+        return F.expr(f"CAST(`{seq}` AS BIGINT) div {int(chunk_size)}")
     if isinstance(dt, NumericType):
-        return F.floor(F.col(seq) / F.lit(chunk_size))
+        return F.floor(F.col(seq) / F.lit(chunk_size)).cast("long")
     # timestamps: chunk_size is a number of seconds
-    return F.floor(F.unix_micros(F.col(seq).cast("timestamp")) / F.lit(chunk_size * 1_000_000))
+    return F.expr(f"unix_micros(CAST(`{seq}` AS TIMESTAMP)) div {int(chunk_size) * 1_000_000}")
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str, *, sum_of: Column | None = None,
@@ -67,7 +69,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str, *, sum_of: Column
     if reset_when is not None:
         carry = carry.withColumn("_rprev", F.max(F.col("_off") + F.col("_r")).over(before))
         cols.append("_rprev")
-    out = local.join(carry.select(*part, *cols), part, "inner")
+    # Every (key, chunk) of `local` has its carry row.  A left join keeps the result and,
+    # unlike an inner join, infers no extra filter on `local`, so both uses of `local`
+    # stay identical plans and AQE shuffles the input once (ReusedExchange).
+    out = local.join(carry.select(*part, *cols), part, "left")
     out = out.withColumn("_pos", F.col("_off") + F.col("_lpos"))
     if sum_of is not None:
         out = out.withColumn("_sum", F.coalesce(F.col("_soff"), F.lit(0)) + F.col("_lsum"))
