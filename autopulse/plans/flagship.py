@@ -66,6 +66,10 @@ OUTPUT_NAMES = {
 }
 
 
+# Results with a fixed number of rows (24 hours, 2 day types, 7 weekdays).
+FIXED_SIZE = {"hourly_events", "weekday_weekend_events", "daily_events"}
+
+
 def run_flagship(spark: SparkSession, telemetry: DataFrame, output_path: str, **thresholds) -> dict[str, str]:
     """Flags, cube once, write the cube as a lineage cut, then publish all four results."""
     cube_path = scratch_dir(spark, "flag-cube")
@@ -74,5 +78,7 @@ def run_flagship(spark: SparkSession, telemetry: DataFrame, output_path: str, **
     written = {}
     for key, frame in reports_from_cube(cube).items():
         csv_name, parquet_name = OUTPUT_NAMES[key]
-        written.update(publish(frame, output_path, csv_name, parquet_name=parquet_name, single_file_csv=True))
+        # one CSV file per result as in the reference, except where the result grows with the fleet
+        single = key in FIXED_SIZE
+        written.update(publish(frame, output_path, csv_name, parquet_name=parquet_name, single_file_csv=single))
     return written

@@ -31,10 +31,14 @@ def _batch_time():
     return batch_time_text(to_utc_wall_clock(F.current_timestamp()))
 
 
-def number_records(batch: DataFrame, seq: str, value: str = "value", chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """record_no 1..n over the batch in ``seq`` order (chunked scan: no single-task sort)."""
-    scanned = ordered_scan(batch.select(seq, value), [], seq, chunk_size=chunk_size)
-    return scanned.select(seq, F.col("_pos").alias("record_no"), F.col(value).alias("raw_data"))
+def number_records(batch: DataFrame, seq: str, value: str = "value", by=(), chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+    """record_no 1..n in ``seq`` order, per micro-batch, or per value of ``by`` in batch form.
+
+    A chunked scan (no single-task sort of a whole batch).
+    """
+    by = list(by)
+    scanned = ordered_scan(batch.select(*by, seq, value), by, seq, chunk_size=chunk_size)
+    return scanned.select(*by, seq, F.col("_pos").alias("record_no"), F.col(value).alias("raw_data"))
 
 
 def raw_lines_batch(out_dir: str, seq: str, text_dir: str | None = None,
@@ -78,3 +82,15 @@ def brake_window_stream(lines: DataFrame, time_col: str = "ts", threshold: float
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                          "metric", "count", "window_seconds", "slide_seconds",
                          F.lit(float(threshold)).alias("threshold"))
+
+
+def sorted_records_batch(out_dir: str, names, prefix: str) -> Callable[[DataFrame, int], None]:
+    """Per micro-batch, the rows formatted as `k=v` records, sorted, written as text.
+
+    The reference collected each batch and printed it sorted; here the executors sort
+    (range-partitioned) and write one directory per batch id.
+    """
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        records = batch.select(format_record(*names).alias("value")).orderBy("value")
+        write_batch_text(records, out_dir, prefix, batch_id)
+    return fn
