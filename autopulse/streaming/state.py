@@ -11,11 +11,13 @@ checkpoint (ST5), and a restart on the same checkpoint resumes it (T18).
 
 from __future__ import annotations
 
+import sys
 import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -27,6 +29,10 @@ from autopulse.operators.state import (
 # PySpark's own state serializer concatenates empty frames (a FutureWarning per batch).
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*DataFrame concatenation with empty.*")
 
+# Ship the state functions by value: executors then need numpy and pandas only, not this
+# package on their import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def latest_state_snapshot(status: DataFrame, seq: str = "seq") -> DataFrame:
     """ST1 final state per vehicle as a streaming aggregate (complete or update mode)."""
@@ -40,6 +46,7 @@ def driving_time_snapshot(status: DataFrame, unit_seconds: int = DRIVING_UNIT_SE
 
 
 def _ordered(frames: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
+    warnings.filterwarnings("ignore", category=FutureWarning, message=".*DataFrame concatenation with empty.*")
     return pd.concat(list(frames), ignore_index=True).sort_values(seq, kind="stable")
 
 
