@@ -64,9 +64,16 @@ def joined_event_rows(events: DataFrame, status: DataFrame, event_type: str, col
     counts = _event_counts(events, event_type, key)
     cols = [c for c in columns if c != key]
     s = normalise_key(status.select(key, *cols), key)
-    return (s.join(counts, [key], "inner")
-            .select(key, *cols, F.explode(F.array_repeat(F.lit(1), F.col("n_events").cast("int"))).alias("_rep"))
-            .drop("_rep"))
+    return repeat_rows(s.join(counts, [key], "inner"), "n_events").select(key, *cols)
+
+
+def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
+    """Each row ``times`` times, generated in two levels so no array exceeds ``block`` (+ n/block) elements."""
+    n = F.col(times)
+    block_ids = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / block).cast("long") - 1))
+    blocks = df.select("*", F.explode(block_ids).alias("_blk"))
+    size = F.least(F.lit(block), n - F.col("_blk") * block).cast("int")
+    return blocks.select("*", F.explode(F.array_repeat(F.lit(0), size)).alias("_rep")).drop("_blk", "_rep")
 
 
 def navigation_events(events: DataFrame, status: DataFrame) -> DataFrame:

@@ -156,3 +156,9 @@ def test_join_normalises_text_keys_and_rejects_ambiguity(spark):
 def test_preview_is_total_order_top_n(spark):
     df = spark.createDataFrame([(i % 7, i) for i in range(100)], "a int, b int")
     assert [tuple(r) for r in joins.preview(df, 3).collect()] == [(0, 0), (0, 7), (0, 14)]
+
+
+def test_repeat_rows_in_blocks(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 5), ("d", 10)], "k string, n long")
+    got = joins.repeat_rows(df, "n", block=3).groupBy("k").count()
+    assert dict(rows(got)) == {"b": 1, "c": 5, "d": 10}
