@@ -123,3 +123,19 @@ def preview(df: DataFrame, n: int = 20, order_by=None) -> DataFrame:
     """The first n rows in a total order (all columns by default); a top-n, not a full sort."""
     keys = list(order_by or df.columns)
     return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+
+
+def preview_join(events: DataFrame, status: DataFrame, n: int = 20, key: str = "timestamp") -> DataFrame:
+    """O4 over J1 without computing the whole join.
+
+    In the total order the first n joined rows lie within the n smallest timestamps
+    present on both sides (each contributes at least one row).  Those come from the
+    per-timestamp distinct keys (a bounded top-n); only rows at or before the largest
+    of them are joined and sorted.
+    """
+    e, s = normalise_key(events, key), normalise_key(status, key)
+    common = (e.select(key).distinct().join(s.select(key).distinct(), [key], "inner")
+              .orderBy(key).limit(n))
+    cutoff = common.agg(F.max(key)).scalar()
+    joined = join_events_status(e.filter(F.col(key) <= cutoff), s.filter(F.col(key) <= cutoff), key)
+    return preview(joined, n)

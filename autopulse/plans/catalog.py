@@ -145,7 +145,7 @@ def q_voice_rpm_stats(spark, sf):
 
 @register("preview_top_n")
 def q_preview_top_n(spark, sf):
-    return joins.preview(joins.join_events_status(cabin(spark, sf), status(spark, sf)), 20)
+    return joins.preview_join(cabin(spark, sf), status(spark, sf), 20)
 
 
 # --- lines and scalar functions (P14-P20, A11, F1-F19) -----------------------------------

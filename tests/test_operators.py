@@ -162,3 +162,15 @@ def test_repeat_rows_in_blocks(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 5), ("d", 10)], "k string, n long")
     got = joins.repeat_rows(df, "n", block=3).groupBy("k").count()
     assert dict(rows(got)) == {"b": 1, "c": 5, "d": 10}
+
+
+def test_preview_join_equals_preview_of_full_join(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    ev = [(base + dt.timedelta(seconds=i % 5), t) for i, t in enumerate(["A", "B", "C"] * 7)] + [(None, "A")]
+    st = [(base + dt.timedelta(seconds=i % 7), float(i), float(i * 10)) for i in range(30)]
+    e = spark.createDataFrame(ev, "timestamp timestamp_ntz, event_type string")
+    s = spark.createDataFrame(st, "timestamp timestamp_ntz, speed double, rpm double")
+    for n in (1, 5, 20, 200):
+        want = [tuple(r) for r in joins.preview(joins.join_events_status(e, s), n).collect()]
+        assert [tuple(r) for r in joins.preview_join(e, s, n).collect()] == want
