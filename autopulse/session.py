@@ -16,15 +16,15 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``; a local one only if none is set.
+
+    Spark core settings cannot change at run time, so the fallback goes through the
+    SparkContext's checkpoint directory (which later calls then find).
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="autopulse-"))
         root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="autopulse-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
