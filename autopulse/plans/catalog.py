@@ -423,11 +423,12 @@ def _speed_stream(spark, sf):
 
 @register("stream_latest_state")
 def q_stream_latest_state(spark, sf):
+    # update mode: each batch writes only the vehicles it changed; reading folds to the latest row
     latest = stream_state.latest_state_snapshot(_status_stream(spark, sf), seq="event_id")
     out, ckpt = _stream_paths(spark, "latest-state")
-    runner.run_to_end(runner.start_foreach_batch(latest, runner.overwrite_snapshot(out), ckpt, "complete",
+    runner.run_to_end(runner.start_foreach_batch(latest, runner.overwrite_batch(out), ckpt, "update",
                                                  available_now=True))
-    return runner.read_snapshot(spark, out)
+    return runner.read_latest_updates(spark, out, ["vehicle_id"])
 
 
 @register("stream_driving_duration")

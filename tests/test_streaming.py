@@ -129,3 +129,15 @@ def test_cabin_etl_file_sink_is_exactly_once(spark, split_events):
     got = spark.read.parquet(base + "/out").drop("processing_time")
     want = cabin.cabin_etl(tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")), False)
     assert rows(got) == rows(want)
+
+
+def test_latest_state_update_mode_over_batches(spark, split_events):
+    st = lines.parse_status_lines(tb.status_lines_from_events(stream_of(spark, split_events)))
+    base = scratch_dir(spark, "latest")
+    runner.run_to_end(runner.start_foreach_batch(sstate.latest_state_snapshot(st, seq="event_id"),
+                                                 runner.overwrite_batch(base + "/out"), base + "/ckpt", "update",
+                                                 available_now=True))
+    got = runner.read_latest_updates(spark, base + "/out", ["vehicle_id"])
+    assert spark.read.parquet(base + "/out").select("batch_id").distinct().count() == 4
+    bst = lines.parse_status_lines(tb.status_lines_from_events(tb.table(spark, SF_SMALL, "events")))
+    assert rows(got) == rows(state.latest_state(bst, seq="event_id"))
