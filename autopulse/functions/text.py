@@ -35,8 +35,10 @@ def jvm_split_fields(c, sep: str = ",") -> Column:
     c = to_col(c)
     esc = "\\" + sep if sep in r".^$|?*+()[]{}\\" else sep
     stripped = F.regexp_replace(c, f"(?:{esc})+$", "")
-    # A line made only of separators splits to nothing in the JVM.
-    parts = F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, esc, -1))
+    # The JVM splits "" into one empty field, and a line of separators only into none.
+    parts = (F.when(c == "", F.array(F.lit("")))
+             .when(stripped == "", F.array().cast("array<string>"))
+             .otherwise(F.split(stripped, esc, -1)))
     return F.transform(parts, lambda p: jvm_trim(p))
 
 

@@ -138,7 +138,7 @@ _WS = r"'[ \t\n\x0B\f\r]+'"
 
 def _jvm_fields(x: str) -> str:
     """JVM split(',') then trim: trailing empty fields dropped first."""
-    return (f"list_transform(CASE WHEN regexp_replace({x}, ',+$', '') = '' THEN []::VARCHAR[] "
+    return (f"list_transform(CASE WHEN {x} = '' THEN [''] WHEN regexp_replace({x}, ',+$', '') = '' THEN []::VARCHAR[] "
             f"ELSE string_split(regexp_replace({x}, ',+$', ''), ',') END, lambda f: {_JVM_TRIM.format(x='f')})")
 
 

@@ -19,7 +19,7 @@ def test_jvm_trim_strips_control_chars(spark):
 
 def test_jvm_split_drops_trailing_empty_fields_before_trim(spark):
     got = one_col(spark, ["v1,120,,", "v1,", ",5", "v1,120, ", "", ",,,", " v1 , 130 "], jvm_split_fields)
-    assert got == [["v1", "120"], ["v1"], ["", "5"], ["v1", "120", ""], [], [], ["v1", "130"]]
+    assert got == [["v1", "120"], ["v1"], ["", "5"], ["v1", "120", ""], [""], [], ["v1", "130"]]
 
 
 def test_safe_double_follows_the_java_parser(spark):
@@ -64,3 +64,43 @@ def test_bucket_and_format_record(spark):
     assert b == ["a", "a", "b", "c", "d", "d", "d"]
     df = spark.createDataFrame([("v1", 130.0, None)], "vehicle_id string, speed double, n int")
     assert df.select(format_record("vehicle_id", "speed", "n")).first()[0] == "vehicle_id=v1\tspeed=130.0\tn=null"
+
+
+# --- property tests against Python models of the JVM string methods ---------------------
+
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+def java_trim(s):
+    i, j = 0, len(s)
+    while i < j and s[i] <= " ":
+        i += 1
+    while j > i and s[j - 1] <= " ":
+        j -= 1
+    return s[i:j]
+
+
+def java_split(s, sep=","):
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+line_st = st.text(alphabet=st.sampled_from(list("ab,1 .\t\x01\x0b") + ["\n", "é"]), max_size=14)
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(line_st, min_size=1, max_size=25))
+def test_split_and_words_match_jvm_models(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select(jvm_split_fields("v"), words("v"), jvm_trim("v")).collect()
+    for v, (fields, ws, trimmed) in zip(values, got):
+        assert fields == [java_trim(p) for p in java_split(v)], repr(v)
+        assert ws == [w for w in re.split(r"[ \t\n\x0b\f\r]+", java_trim(v)) if w], repr(v)
+        assert trimmed == java_trim(v), repr(v)
