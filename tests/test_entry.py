@@ -52,3 +52,20 @@ def test_flagship_cube_equals_direct_aggregates(spark):
         assert rows(spark.read.parquet(f"{out}/{pq_name}")) == rows(direct[key])
         csv = spark.read.option("header", True).schema(direct[key].schema).csv(f"{out}/{csv_name}")
         assert rows(csv) == rows(direct[key])
+
+
+ANSI_SENSITIVE = ["src_csv_sensors", "scalar_text_fns", "parse_speed_lines", "stream_cabin_etl", "iqr_bounds"]
+
+
+@pytest.mark.parametrize("name", ANSI_SENSITIVE)
+def test_results_do_not_depend_on_ansi_mode(spark, name):
+    q = E.queries()[name]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        on = rows(q(spark, SF_SMALL))
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        off = rows(q(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert on == off

@@ -141,3 +141,15 @@ def test_latest_state_update_mode_over_batches(spark, split_events):
     assert spark.read.parquet(base + "/out").select("batch_id").distinct().count() == 4
     bst = lines.parse_status_lines(tb.status_lines_from_events(tb.table(spark, SF_SMALL, "events")))
     assert rows(got) == rows(state.latest_state(bst, seq="event_id"))
+
+
+def test_brake_window_complete_mode_without_watermark(spark, split_events):
+    from autopulse.operators.windows import brake_window_counts
+    s = batches.brake_window_stream(tb.numeric_lines_from_events(stream_of(spark, split_events)), threshold=-3.0,
+                                    watermark=None)
+    base = scratch_dir(spark, "brake-complete")
+    runner.run_to_end(runner.start_foreach_batch(s, runner.overwrite_snapshot(base + "/out"), base + "/ckpt",
+                                                 "complete", available_now=True))
+    got = runner.read_snapshot(spark, base + "/out")
+    want = brake_window_counts(tb.numeric_lines_from_events(tb.table(spark, SF_SMALL, "events")), threshold=-3.0)
+    assert rows(got) == rows(want.select(*got.columns))
