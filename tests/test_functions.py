@@ -104,3 +104,28 @@ def test_split_and_words_match_jvm_models(spark, values):
         assert fields == [java_trim(p) for p in java_split(v)], repr(v)
         assert ws == [w for w in re.split(r"[ \t\n\x0b\f\r]+", java_trim(v)) if w], repr(v)
         assert trimmed == java_trim(v), repr(v)
+
+
+JAVA_DOUBLE = re.compile(r"^[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)"
+                         r"|(0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?))$")
+DOUBLE_EDGES = [" 1.5 ", "1.5d", "1e3", ".5", "5.", "0x1p3", "0x1.8p1", "1_000", "١٢", "+.5", "-", "", "1e",
+                "e3", "NaN", "-NaN", "+Infinity", "infinity", "INF", "1.5f ", "\t1\n", "\x011\x01", "1 2", "0x10",
+                "1e+5", "1E-5D", "+-1", "00.1", ".", "1.2.3", "Infinityd", "NaNf"]
+
+
+def test_safe_double_accepts_exactly_the_java_grammar(spark):
+    got = one_col(spark, DOUBLE_EDGES, safe_double)
+    for s, d in zip(DOUBLE_EDGES, got):
+        assert (d is not None) == bool(JAVA_DOUBLE.match(java_trim(s))), repr(s)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.text(alphabet=st.sampled_from(list("0123456789.eE+-dfxXpP NaIity")), max_size=8),
+                       min_size=1, max_size=30))
+def test_safe_double_property(spark, values):
+    got = one_col(spark, values, safe_double)
+    for s, d in zip(values, got):
+        ok = bool(JAVA_DOUBLE.match(java_trim(s)))
+        assert (d is not None) == ok, repr(s)
+        if ok and "x" not in s.lower() and "N" not in s and "I" not in s:
+            assert d == float(java_trim(s).rstrip("dDfF")), repr(s)
