@@ -56,10 +56,11 @@ def safe_double(c) -> Column:
 
 
 def legacy_int(c) -> Column:
-    """String -> INT as a non-ANSI cast does (T3): '12.7' -> 12, '-0.9' -> 0, '1e2'/'NaN'/overflow -> NULL."""
-    t = jvm_trim(to_col(c))
-    plain_number = t.rlike(r"^[+-]?[0-9]*\.?[0-9]*$") & t.rlike(r"[0-9]")
-    return F.when(plain_number, t.try_cast("decimal(38,18)").try_cast("int"))
+    """String -> INT as a non-ANSI cast does (T3): '12.7' -> 12, '-0.9' -> 0, '.' -> 0,
+    '1e2' / 'NaN' / overflow -> NULL.  Ends are stripped of whitespace and control chars (incl. DEL)."""
+    t = F.trim(to_col(c), F.lit(_JVM_TRIM_CHARS + "\x7f"))
+    shape = t.rlike(r"^[+-]?[0-9]*\.?[0-9]*$") & ~t.isin("", "+", "-")
+    return F.when(shape, F.when(t.rlike("[0-9]"), t.try_cast("decimal(38,18)").try_cast("int")).otherwise(F.lit(0)))
 
 
 def words(c) -> Column:

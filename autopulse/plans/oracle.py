@@ -199,8 +199,10 @@ SQL["scalar_text_fns"] = with_ctes(["speed_lines"], f"""
            value IS NOT NULL AND length(trim(value, ' ')) > 0 AS is_non_blank, lower(value) AS lowered,
            CAST(len(p) AS INTEGER) AS n_fields, p[2] AS speed_text, TRY_CAST(p[2] AS DOUBLE) AS speed_double,
            CASE WHEN regexp_matches({_JVM_TRIM.format(x='p[2]')}, '^[+-]?[0-9]*\\.?[0-9]*$')
-                 AND regexp_matches(p[2], '[0-9]')
-                THEN TRY_CAST(trunc(TRY_CAST({_JVM_TRIM.format(x='p[2]')} AS DECIMAL(38, 18))) AS INTEGER) END
+                 AND {_JVM_TRIM.format(x='p[2]')} NOT IN ('', '+', '-')
+                THEN CASE WHEN regexp_matches(p[2], '[0-9]')
+                          THEN TRY_CAST(trunc(TRY_CAST({_JVM_TRIM.format(x='p[2]')} AS DECIMAL(38, 18))) AS INTEGER)
+                          ELSE 0 END END
                AS speed_int
     FROM (SELECT *, {_jvm_fields('value')} AS p FROM speed_lines)""")
 SQL["scalar_json_fns"] = """

@@ -1,5 +1,8 @@
 import math
+import re
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from autopulse.functions import (
@@ -31,8 +34,33 @@ def test_safe_double_follows_the_java_parser(spark):
 
 
 def test_legacy_int_matches_non_ansi_cast(spark):
-    got = one_col(spark, ["12.7", "-0.9", "1e2", "99999999999", "NaN", " 42 ", "", "+7", "abc", None], legacy_int)
-    assert got == [12, 0, None, None, None, 42, None, 7, None, None]
+    got = one_col(spark, ["12.7", "-0.9", "1e2", "99999999999", "NaN", " 42 ", "", "+7", "abc", None, ".", "5.",
+                          "-2147483648", "2147483648", "\x7f12\x01", "+", "1.x"], legacy_int)
+    assert got == [12, 0, None, None, None, 42, None, 7, None, None, 0, 5, -2147483648, None, 12, None, None]
+
+
+def legacy_to_int(s):
+    """Model of the non-ANSI string -> int parse: trim, sign, digits, optional '.' + digits (truncated)."""
+    def ctl(ch):
+        return ch <= " " or ch == "\x7f"
+    i, j = 0, len(s)
+    while i < j and ctl(s[i]):
+        i += 1
+    while j > i and ctl(s[j - 1]):
+        j -= 1
+    t = s[i:j]
+    m = re.fullmatch(r"([+-]?)([0-9]*)(\.[0-9]*)?", t)
+    if not t or t in "+-" or not m:
+        return None
+    v = int(m.group(2) or "0") * (-1 if m.group(1) == "-" else 1)
+    return v if -2**31 <= v < 2**31 else None
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.text(alphabet=st.sampled_from(list("0123456789.+- e\x7f\t")), max_size=12),
+                       min_size=1, max_size=30))
+def test_legacy_int_property(spark, values):
+    assert one_col(spark, values, legacy_int) == [legacy_to_int(v) for v in values]
 
 
 def test_words_and_numeric_tokens(spark):
@@ -68,11 +96,6 @@ def test_bucket_and_format_record(spark):
 
 # --- property tests against Python models of the JVM string methods ---------------------
 
-import re
-
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
-
 
 def java_trim(s):
     i, j = 0, len(s)
