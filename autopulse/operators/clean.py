@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from autopulse.functions import compute_once
+
 MAX_SPEED = 200
 
 
@@ -41,11 +43,17 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], names: S
     """Exact quantiles as one row: for each p the value of rank max(1, ceil(p * n)); NULL/NaN ignored.
 
     Equal to ``approxQuantile(column, probs, 0.0)`` without gathering the values in
-    one place: (1) count rows per distinct value (partial aggregation), (2) cut the
-    distinct values into ``buckets`` ordered ranges at approximate percentiles, (3)
-    running counts inside each range (window per range) plus the counts of all
-    earlier ranges (a window over at most ``buckets`` rows), (4) per p, the smallest
-    value whose running count reaches the rank.  Returns NULLs on empty input.
+    one place:
+
+    1. count rows per distinct value (partial aggregation);
+    2. cut the distinct values into ``buckets`` ordered ranges at approximate percentiles;
+    3. per range, its row total and the rows of all earlier ranges (at most ``buckets``
+       rows, so a single-partition window there is bounded);
+    4. for each p, the range holding rank k and the rank inside it (one row per p);
+    5. only the values of those ranges are sorted; the first whose running count
+       reaches the inner rank is the answer.
+
+    Returns NULLs on empty input.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
     v = F.col(column).cast("double")
@@ -54,25 +62,25 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], names: S
     cut_points = [i / buckets for i in range(1, buckets)]
     summary = counts.select(F.struct(F.sum("cnt").alias("n"),
                                      F.percentile_approx("v", cut_points, 10 * buckets).alias("splits"))).scalar()
-    n, splits = summary.getField("n"), summary.getField("splits")
-    ranged = (counts.withColumn("splits", splits)
-              .withColumn("bucket", F.size(F.filter("splits", lambda s: s < F.col("v")))).drop("splits"))
-    bucket_tot = ranged.groupBy("bucket").agg(F.sum("cnt").alias("bcnt"))
-    # At most `buckets` rows: a single-partition window here is bounded by construction.
-    before = bucket_tot.select(
-        "bucket",
-        F.coalesce(F.sum("bcnt").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("before"))
-    running = ranged.withColumn(
-        "cum_in", F.sum("cnt").over(Window.partitionBy("bucket").orderBy("v")
-                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # left join: every bucket has its offset, and no filter is inferred on `running`
-    # (keeps it identical to the other use of `counts`, so its shuffle is reused)
-    cum = running.join(F.broadcast(before), "bucket", "left").select("v", (F.col("before") + F.col("cum_in")).alias("cum"))
-    ranked = cum.withColumns({f"__rank{i}": F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * n))
-                              for i, p in enumerate(probs)})
-    return ranked.agg(*[F.min(F.when(F.col("cum") >= F.col(f"__rank{i}"), F.col("v"))).alias(name)
-                        for i, name in enumerate(names)])
+    # The range number comes out of a generator: constraint propagation then sees a plain
+    # column, not the expression, and cannot copy it to the other side of the join below.
+    ranged = compute_once(counts.withColumn("splits", summary.getField("splits")), ["v", "cnt"],
+                          bucket=F.size(F.filter("splits", lambda s: s < F.col("v"))))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (ranged.groupBy("bucket").agg(F.sum("cnt").alias("bcnt"))
+             .withColumn("before", F.coalesce(F.sum("bcnt").over(earlier), F.lit(0)))
+             .withColumn("n", summary.getField("n")))
+    wanted = F.array(*[F.struct(F.lit(i).alias("pi"), F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("n")))
+                                .alias("k")) for i, p in enumerate(probs)])
+    targets = (spans.select("bucket", "before", "bcnt", F.explode(wanted).alias("t"))
+               .where((F.col("before") < F.col("t.k")) & (F.col("t.k") <= F.col("before") + F.col("bcnt")))
+               .select("bucket", F.col("t.pi").alias("pi"), (F.col("t.k") - F.col("before")).alias("k_in")))
+    # `targets` has one row per quantile: a broadcast bounded by len(probs)
+    inside = ranged.join(F.broadcast(targets), "bucket")
+    running = Window.partitionBy("pi").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    picked = (inside.withColumn("cum", F.sum("cnt").over(running)).where(F.col("cum") >= F.col("k_in"))
+              .groupBy("pi").agg(F.min("v").alias("q")))
+    return picked.agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
 
 
 def iqr_bounds(df: DataFrame, column: str = "speed", k: float = 1.5) -> DataFrame:
