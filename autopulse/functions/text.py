@@ -30,11 +30,13 @@ def non_blank(c) -> Column:
 def jvm_split_fields(c, sep: str = ",") -> Column:
     """JVM ``line.split(sep).map(_.trim)``: trailing empty fields are dropped before the trim (T5).
 
+    Patterns end in ``\\z``: in Java regex ``$`` also matches before a final line break.
+
     ``sep`` is a literal single character.
     """
     c = to_col(c)
     esc = "\\" + sep if sep in r".^$|?*+()[]{}\\" else sep
-    stripped = F.regexp_replace(c, f"(?:{esc})+$", "")
+    stripped = F.regexp_replace(c, f"(?:{esc})+\\z", "")
     # The JVM splits "" into one empty field, and a line of separators only into none.
     parts = (F.when(c == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast("array<string>"))
@@ -50,8 +52,8 @@ def safe_double(c) -> Column:
     hex floats, `d`/`f` suffixes) is the same parser.
     """
     c = to_col(c)
-    lowered_special = F.lower(c).rlike(r"^[+-]?(inf|infinity|nan)$")
-    java_special = c.rlike(r"^[+-]?(NaN|Infinity)$")
+    lowered_special = F.lower(c).rlike(r"^[+-]?(inf|infinity|nan)\z")
+    java_special = c.rlike(r"^[+-]?(NaN|Infinity)\z")
     return F.when(lowered_special & ~java_special, F.lit(None).cast("double")).otherwise(c.try_cast("double"))
 
 
@@ -59,7 +61,7 @@ def legacy_int(c) -> Column:
     """String -> INT as a non-ANSI cast does (T3): '12.7' -> 12, '-0.9' -> 0, '.' -> 0,
     '1e2' / 'NaN' / overflow -> NULL.  Ends are stripped of whitespace and control chars (incl. DEL)."""
     t = F.trim(to_col(c), F.lit(_JVM_TRIM_CHARS + "\x7f"))
-    shape = t.rlike(r"^[+-]?[0-9]*\.?[0-9]*$") & ~t.isin("", "+", "-")
+    shape = t.rlike(r"^[+-]?[0-9]*\.?[0-9]*\z") & ~t.isin("", "+", "-")
     return F.when(shape, F.when(t.rlike("[0-9]"), t.try_cast("decimal(38,18)").try_cast("int")).otherwise(F.lit(0)))
 
 

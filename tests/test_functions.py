@@ -21,8 +21,8 @@ def test_jvm_trim_strips_control_chars(spark):
 
 
 def test_jvm_split_drops_trailing_empty_fields_before_trim(spark):
-    got = one_col(spark, ["v1,120,,", "v1,", ",5", "v1,120, ", "", ",,,", " v1 , 130 "], jvm_split_fields)
-    assert got == [["v1", "120"], ["v1"], ["", "5"], ["v1", "120", ""], [""], [], ["v1", "130"]]
+    got = one_col(spark, ["v1,120,,", "v1,", ",5", "v1,120, ", "", ",,,", " v1 , 130 ", ",\n"], jvm_split_fields)
+    assert got == [["v1", "120"], ["v1"], ["", "5"], ["v1", "120", ""], [""], [], ["v1", "130"], ["", ""]]
 
 
 def test_safe_double_follows_the_java_parser(spark):
