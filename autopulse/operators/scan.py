@@ -27,6 +27,7 @@ DEFAULT_CHUNK = 1 << 16
 
 
 def chunk_of(df: DataFrame, seq: str, chunk_size: int) -> Column:
+    """Chunk id, non-decreasing in ``seq``: ``seq div chunk_size`` for integral ids, seconds for times."""
     dt = df.schema[seq].dataType
     if isinstance(dt, IntegralType):
         return F.expr(f"CAST(`{seq}` AS BIGINT) div {int(chunk_size)}")
@@ -36,18 +37,23 @@ def chunk_of(df: DataFrame, seq: str, chunk_size: int) -> Column:
     return F.expr(f"unix_micros(CAST(`{seq}` AS TIMESTAMP)) div {int(chunk_size) * 1_000_000}")
 
 
-def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str, *, sum_of: Column | None = None,
+def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *, sum_of: Column | None = None,
                  reset_when: Column | None = None, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Add `_pos` (1-based position per key), and optionally `_sum` (running sum of ``sum_of``)
-    and `_run` (rows since the last row where ``reset_when`` held; 0 on such rows)."""
+    and `_run` (rows since the last row where ``reset_when`` held; 0 on such rows).
+
+    ``seq`` is the order: one column, or several (e.g. a time and a tie-breaking id); the
+    chunks follow the first one.
+    """
     keys = list(keys)
+    order = [seq] if isinstance(seq, str) else list(seq)
     part = keys + ["_chunk"]
-    base = df.withColumn("_chunk", chunk_of(df, seq, chunk_size))
+    base = df.withColumn("_chunk", chunk_of(df, order[0], chunk_size))
     if sum_of is not None:
         base = base.withColumn("_x", sum_of)
     if reset_when is not None:
         base = base.withColumn("_reset", F.coalesce(reset_when, F.lit(False)))
-    w = Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = base.withColumn("_lpos", F.count(F.lit(1)).over(w))
     if sum_of is not None:
         local = local.withColumn("_lsum", F.sum("_x").over(w))

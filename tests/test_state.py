@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -106,3 +107,23 @@ def test_brake_tokens_from_sample_messages(spark):
     df = spark.createDataFrame([(m,) for m in msgs], "value string")
     got = lines.below_threshold(lines.parse_numeric_tokens(df)).collect()
     assert sorted(r["number"] for r in got) == [-7.3, -6.0, -5.1]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "hot"]), st.integers(0, 40), speed_st), min_size=1, max_size=50),
+       chunk=st.sampled_from([1, 5, 3600]))
+def test_overspeed_run_by_time_with_tie_break(spark, data, chunk):
+    import datetime as dt
+    t0 = dt.datetime(2024, 3, 10, 1, 59, 50)   # seconds around a DST change in some zones
+    records = [(t0 + dt.timedelta(seconds=s), i, v, sp) for i, (v, s, sp) in enumerate(data)]
+    df = spark.createDataFrame(records, "ts timestamp_ntz, id long, vehicle_id string, speed double")
+    from autopulse.operators.state import is_overspeed
+    scanned = ordered_scan(df, ["vehicle_id"], ["ts", "id"], reset_when=~is_overspeed(F.col("speed"), 100.0),
+                           chunk_size=chunk)
+    got = sorted((r["vehicle_id"], r["id"], r["_run"]) for r in scanned.collect())
+    ordered = sorted(records, key=lambda r: (r[0], r[1]))
+    count, want = {}, []
+    for ts, i, v, sp in ordered:
+        count[v] = count.get(v, 0) + 1 if sp > 100.0 else 0
+        want.append((v, i, count[v]))
+    assert got == sorted(want)
