@@ -21,6 +21,10 @@ ALERT_ON = "TRIGGERED"
 ALERT_OFF = "WAITING"
 
 
+def _cols(seq) -> list[str]:
+    return [seq] if isinstance(seq, str) else list(seq)
+
+
 def is_overspeed(speed: Column, threshold: float) -> Column:
     """JVM compare: NaN is never above the threshold (T4); a missing speed counts as 0."""
     return F.coalesce((speed > threshold) & ~F.isnan(speed), F.lit(False))
@@ -28,12 +32,14 @@ def is_overspeed(speed: Column, threshold: float) -> Column:
 
 def latest_state(status: DataFrame, seq: str = "seq") -> DataFrame:
     """ST1 final state: the status of each vehicle's last record (partial max_by, skew-safe)."""
-    return status.groupBy("vehicle_id").agg(F.max_by("status", seq).alias("latest_state"))
+    order = _cols(seq)
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    return status.groupBy("vehicle_id").agg(F.max_by("status", key).alias("latest_state"))
 
 
 def latest_state_per_record(status: DataFrame, seq: str = "seq") -> DataFrame:
     """ST1 per record: with no timeout the emitted state is the record's own status."""
-    return status.select("vehicle_id", seq, F.col("status").alias("latest_state"))
+    return status.select("vehicle_id", *_cols(seq), F.col("status").alias("latest_state"))
 
 
 def driving_duration(status: DataFrame, seq: str = "seq", unit_seconds: int = DRIVING_UNIT_SECONDS,
@@ -41,7 +47,7 @@ def driving_duration(status: DataFrame, seq: str = "seq", unit_seconds: int = DR
     """ST2: running total of `unit_seconds` per `driving` record, one row per record."""
     step = F.when(F.col("status") == DRIVING_STATUS, F.lit(unit_seconds)).otherwise(F.lit(0)).cast("bigint")
     scanned = ordered_scan(status, ["vehicle_id"], seq, sum_of=step, chunk_size=chunk_size)
-    return scanned.select("vehicle_id", seq, F.col("status").alias("latest_status"),
+    return scanned.select("vehicle_id", *_cols(seq), F.col("status").alias("latest_status"),
                           F.col("_sum").cast("bigint").alias("total_driving_seconds"))
 
 
@@ -50,7 +56,7 @@ def overspeed_run(speeds: DataFrame, seq: str = "seq", threshold: float = OVERSP
     """ST3: consecutive records above the threshold ending at each record (0 when not above)."""
     over = is_overspeed(F.col("speed"), threshold)
     scanned = ordered_scan(speeds, ["vehicle_id"], seq, reset_when=~over, chunk_size=chunk_size)
-    return scanned.select("vehicle_id", seq, "speed",
+    return scanned.select("vehicle_id", *_cols(seq), "speed",
                           F.col("_run").cast("int").alias("consecutive_overspeed_count"))
 
 

@@ -127,3 +127,13 @@ def test_overspeed_run_by_time_with_tie_break(spark, data, chunk):
         count[v] = count.get(v, 0) + 1 if sp > 100.0 else 0
         want.append((v, i, count[v]))
     assert got == sorted(want)
+
+
+def test_state_operators_accept_a_multi_column_order(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    recs = [(t, 2, "v1", "driving"), (t, 1, "v1", "parked"), (t + dt.timedelta(seconds=1), 0, "v1", "driving")]
+    df = spark.createDataFrame(recs, "ts timestamp_ntz, id long, vehicle_id string, status string")
+    got = [r["total_driving_seconds"] for r in state.driving_duration(df, seq=["ts", "id"]).orderBy("ts", "id").collect()]
+    assert got == [0, 5, 10]
+    assert dict(rows(state.latest_state(df, seq=["ts", "id"]))) == {"v1": "driving"}
