@@ -137,3 +137,21 @@ def test_state_operators_accept_a_multi_column_order(spark):
     got = [r["total_driving_seconds"] for r in state.driving_duration(df, seq=["ts", "id"]).orderBy("ts", "id").collect()]
     assert got == [0, 5, 10]
     assert dict(rows(state.latest_state(df, seq=["ts", "id"]))) == {"v1": "driving"}
+
+
+def test_hot_vehicle_is_spread_over_tasks(spark):
+    """A vehicle holding almost all rows is scanned by many tasks, not one."""
+    from autopulse.operators.scan import ordered_scan
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20000).select(F.col("id").alias("seq"),
+                                       F.when(F.col("id") % 50 == 0, "cold").otherwise("hot").alias("vehicle_id"))
+        out = ordered_scan(df, ["vehicle_id"], "seq", chunk_size=1000)
+        hot = out.filter(F.col("vehicle_id") == "hot")
+        tasks = hot.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+        pos = [r[0] for r in hot.orderBy("seq").select("_pos").collect()]
+        assert pos == list(range(1, len(pos) + 1))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
