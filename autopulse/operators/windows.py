@@ -12,15 +12,19 @@ SLIDE_SECONDS = 10
 
 
 def window_counts(df: DataFrame, time_col: str, window_seconds: int = WINDOW_SECONDS,
-                  slide_seconds: int = SLIDE_SECONDS, metric: str = BRAKE_METRIC) -> DataFrame:
+                  slide_seconds: int = SLIDE_SECONDS, metric: str = BRAKE_METRIC,
+                  start_offset_seconds: int = 0) -> DataFrame:
     """Count rows per sliding window [start, start + window); windows with no row are absent.
 
     Each row joins window_seconds / slide_seconds windows (Spark's window expansion),
-    then one partial + final hash aggregate.  Tumbling when slide == window.
+    then one partial + final hash aggregate.  Tumbling when slide == window.  Windows
+    are aligned to the epoch plus ``start_offset_seconds`` (the reference's DStream
+    windows align to the stream's start instead).
     """
     if window_seconds % slide_seconds:
         raise ValueError("window_seconds must be a multiple of slide_seconds")
-    w = F.window(time_col, f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    w = F.window(time_col, f"{window_seconds} seconds", f"{slide_seconds} seconds",
+                 f"{start_offset_seconds % slide_seconds} seconds")
     return (df.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("count"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     F.lit(metric).alias("metric"), "count",
@@ -28,8 +32,10 @@ def window_counts(df: DataFrame, time_col: str, window_seconds: int = WINDOW_SEC
 
 
 def brake_window_counts(lines: DataFrame, time_col: str = "ts", threshold: float = BRAKE_THRESHOLD,
-                        window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS) -> DataFrame:
+                        window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS,
+                        start_offset_seconds: int = 0) -> DataFrame:
     """ST6: numeric tokens of each line below the threshold, counted per sliding window."""
     brakes = below_threshold(parse_numeric_tokens(lines.select(time_col, "value")), threshold)
-    return (window_counts(brakes, time_col, window_seconds, slide_seconds)
+    return (window_counts(brakes, time_col, window_seconds, slide_seconds,
+                          start_offset_seconds=start_offset_seconds)
             .withColumn("threshold", F.lit(float(threshold))))

@@ -66,7 +66,7 @@ def word_count_batch(out_dir: str, text_dir: str | None = None) -> Callable[[Dat
 
 def brake_window_stream(lines: DataFrame, time_col: str = "ts", threshold: float = BRAKE_THRESHOLD,
                         window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS,
-                        watermark: str | None = "10 minutes") -> DataFrame:
+                        watermark: str | None = "10 minutes", start_offset_seconds: int = 0) -> DataFrame:
     """ST6 on a stream: event-time sliding counts of tokens below the threshold.
 
     With a watermark (update mode) state of closed windows is dropped; without one
@@ -77,7 +77,7 @@ def brake_window_stream(lines: DataFrame, time_col: str = "ts", threshold: float
     brakes = below_threshold(parse_numeric_tokens(t), threshold)
     if watermark:
         brakes = brakes.withWatermark("_t", watermark)
-    counts = window_counts(brakes, "_t", window_seconds, slide_seconds)
+    counts = window_counts(brakes, "_t", window_seconds, slide_seconds, start_offset_seconds=start_offset_seconds)
     return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                          "metric", "count", "window_seconds", "slide_seconds",

@@ -155,3 +155,15 @@ def test_hot_vehicle_is_spread_over_tasks(spark):
         assert pos == list(range(1, len(pos) + 1))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_window_start_offset(spark):
+    import datetime as dt
+    from autopulse.operators.windows import window_counts
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    df = spark.createDataFrame([(t0 + dt.timedelta(seconds=s),) for s in (3, 12, 14)], "ts timestamp_ntz")
+    plain = {(r["window_start"].second, r["count"]) for r in window_counts(df, "ts", 10, 10).collect()}
+    assert plain == {(0, 1), (10, 2)}
+    shifted = {(r["window_start"].second, r["count"]) for r in window_counts(df, "ts", 10, 10,
+                                                                             start_offset_seconds=5).collect()}
+    assert shifted == {(55, 1), (5, 2)}
