@@ -37,12 +37,16 @@ def cleaning_job(spark: SparkSession, sensors_path: str, output_path: str) -> di
     the cleaned data.  Returns the two profile rows' frames and the written paths."""
     raw = read_sensor_csv(spark, sensors_path)
     written: dict[str, str] = {}
-    written.update(publish_if_any(clean.iqr_outliers(raw), output_path, "original_outliers_iqr"))
+    raw_outliers = clean.iqr_outliers(raw)
+    written.update(publish_if_any(raw_outliers, output_path, "original_outliers_iqr"))
     cleaned = clean.clean_sensors(raw)
-    written.update(publish_if_any(clean.iqr_outliers(cleaned), output_path, "cleaned_outliers_iqr"))
+    cleaned_outliers = clean.iqr_outliers(cleaned)
+    written.update(publish_if_any(cleaned_outliers, output_path, "cleaned_outliers_iqr"))
     written.update(publish(cleaned, output_path, "cleaned_sensors", parquet_name="cleaned_sensors_parquet"))
     return {"written": written, "raw_profile": cleaning_report(raw), "cleaned_profile": cleaning_report(cleaned),
-            "raw_describe": clean.describe(raw), "cleaned_describe": clean.describe(cleaned)}
+            "raw_describe": clean.describe(raw), "cleaned_describe": clean.describe(cleaned),
+            "raw_outliers_preview": joins.preview(raw_outliers, 10),
+            "cleaned_outliers_preview": joins.preview(cleaned_outliers, 10)}
 
 
 def multisource_job(spark: SparkSession, events_path: str, status_path: str, output_path: str) -> dict[str, object]:
@@ -98,9 +102,13 @@ def word_count_job(lines_df: DataFrame, output_path: str, text_dir: str, checkpo
                                       checkpoint, **trigger)
 
 
-def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, time_col: str = "ts",
+def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, time_col: str | None = "ts",
                      watermark: str | None = "10 minutes", **kwargs):
+    """Sliding brake counts.  ``time_col=None`` windows by arrival time (the micro-batch's
+    processing time), as the reference's DStream job does for plain text lines."""
     trigger = {k: kwargs.pop(k) for k in ("available_now", "processing_time") if k in kwargs}
+    if time_col is None:
+        lines_df, time_col = lines_df.withColumn("arrival_time", F.current_timestamp()), "arrival_time"
     counts = batches.brake_window_stream(lines_df, time_col, watermark=watermark, **kwargs)
     if watermark:
         return runner.start_foreach_batch(counts, runner.overwrite_batch(output_path), checkpoint, "update", **trigger)

@@ -46,6 +46,7 @@ def test_cleaning_job(spark):
     outliers = spark.read.parquet(f"{out}/original_outliers_iqr_parquet")
     assert outliers.count() == clean.iqr_outliers(sensors).count()
     assert res["raw_describe"].count() == 5
+    assert res["raw_outliers_preview"].count() == min(10, outliers.count())
 
 
 def test_join_jobs(spark):
@@ -114,3 +115,16 @@ def test_number_records_batch_form(spark):
                                "batch string, seq long, value string")
     got = number_records(df, "seq", by=["batch"], chunk_size=4).orderBy("batch", "seq").collect()
     assert [r["record_no"] for r in got] == list(range(1, 15)) * 2
+
+
+def test_brake_window_job_by_arrival_time_on_text_lines(spark):
+    inbox = scratch_dir(spark, "brake-inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.txt"), "w") as f:   # the sample brake messages
+        f.write("\n".join(["-1.2", "-3.8", "-5.1", "-6.0", "-2.4", "-7.3", "0.4"]) + "\n")
+    base = scratch_dir(spark, "brake-job")
+    runner.run_to_end(jobs.brake_window_job(read_line_stream(spark, inbox), base + "/out", base + "/ck",
+                                            time_col=None, available_now=True))
+    got = runner.read_latest_updates(spark, base + "/out", ["window_start", "window_end"])
+    counts = [r["count"] for r in got.collect()]
+    assert len(counts) == 6 and set(counts) == {3}   # 3 hard brakes, in each of the 6 overlapping windows
