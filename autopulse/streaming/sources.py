@@ -35,3 +35,14 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
+
+
+def kafka_lines(records: DataFrame) -> DataFrame:
+    """Kafka records as text lines with an order key: `value` (message text), `seq` (offset), `partition`.
+
+    The per-vehicle state jobs need an order within each micro-batch (T16); with messages
+    keyed by vehicle, one vehicle's messages share a partition and the offset orders them.
+    Plain text-file streams carry no such key (Structured Streaming has no row ids), so
+    their lines must embed one.
+    """
+    return records.selectExpr("CAST(value AS STRING) AS value", "offset AS seq", "partition")

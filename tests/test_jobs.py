@@ -128,3 +128,22 @@ def test_brake_window_job_by_arrival_time_on_text_lines(spark):
     got = runner.read_latest_updates(spark, base + "/out", ["window_start", "window_end"])
     counts = [r["count"] for r in got.collect()]
     assert len(counts) == 6 and set(counts) == {3}   # 3 hard brakes, in each of the 6 overlapping windows
+
+
+def test_state_job_on_kafka_ordered_by_offset(spark):
+    from autopulse.streaming.sources import kafka_lines
+    ev = tb.table(spark, SF_SMALL, "events")
+    lines_df = tb.speed_lines_from_events(ev)
+    replay = scratch_dir(spark, "kafka-speed")
+    (lines_df.select(F.col("value").cast("binary").alias("value"),
+                     F.split("value", ",")[0].cast("binary").alias("key"), F.lit("speed").alias("topic"),
+                     F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+                     F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+     .write.parquet(replay))
+    base = scratch_dir(spark, "kafka-state")
+    q = jobs.overspeed_run_job(kafka_lines(read_kafka_replay(spark, replay)), "seq", base + "/out", base + "/ck",
+                               threshold=60.0, available_now=True)
+    runner.run_to_end(q)
+    got = spark.read.parquet(base + "/out").withColumnRenamed("seq", "event_id")
+    want = state.overspeed_run(lines.parse_speed_lines(lines_df), seq="event_id", threshold=60.0)
+    assert rows(got.select(*want.columns)) == rows(want)
