@@ -122,8 +122,8 @@ def _state_job(frame: DataFrame, names, prefix: str, output_path: str, text_dir:
         dump = batches.sorted_records_batch(text_dir, names, prefix)
 
         def fn(batch, batch_id):
-            batch.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
-            dump(batch, batch_id)
+            # the dump reads the written copy: the stateful batch runs once
+            dump(batches.write_batch(batch, output_path, batch_id), batch_id)
         return runner.start_foreach_batch(frame, fn, checkpoint, **trigger)
     return runner.start_parquet_append(frame, output_path, checkpoint, **trigger)
 

@@ -41,14 +41,25 @@ def number_records(batch: DataFrame, seq: str, value: str = "value", by=(), chun
     return scanned.select(*by, seq, F.col("_pos").alias("record_no"), F.col(value).alias("raw_data"))
 
 
+def write_batch(result: DataFrame, out_dir: str, batch_id: int) -> DataFrame:
+    """Write one micro-batch's result under ``<out_dir>/batch_id=<id>`` and return the written copy.
+
+    Later outputs of the batch (text records, emptiness checks) read that copy, so the
+    batch's work runs once and every output shows the same batch time.
+    """
+    path = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
+    result.write.mode("overwrite").parquet(path)
+    return result.sparkSession.read.parquet(path)
+
+
 def raw_lines_batch(out_dir: str, seq: str, text_dir: str | None = None,
                     chunk_size: int = DEFAULT_CHUNK) -> Callable[[DataFrame, int], None]:
     """foreachBatch body of the raw-line job: numbered records as Parquet (+ K9 text files)."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         numbered = number_records(batch, seq, chunk_size=chunk_size).withColumn("batch_time", _batch_time())
-        numbered.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        written = write_batch(numbered, out_dir, batch_id)
         if text_dir:
-            write_batch_text(numbered.select(format_record("batch_time", "record_no", "raw_data")),
+            write_batch_text(written.orderBy("record_no").select(format_record("batch_time", "record_no", "raw_data")),
                              text_dir, "raw_stream", batch_id)
     return fn
 
@@ -57,10 +68,10 @@ def word_count_batch(out_dir: str, text_dir: str | None = None) -> Callable[[Dat
     """foreachBatch body of A11: counts of this batch only (not cumulative)."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         counts = word_count(batch.select("value")).withColumn("batch_time", _batch_time())
-        counts.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        written = write_batch(counts, out_dir, batch_id)
         if text_dir:
-            write_batch_text(counts.select(format_record("batch_time", "word", "count")), text_dir,
-                             "wordcount", batch_id)
+            write_batch_text(written.orderBy("word").select(format_record("batch_time", "word", "count")),
+                             text_dir, "wordcount", batch_id)
     return fn
 
 

@@ -117,6 +117,9 @@ def test_raw_lines_numbered_per_batch_and_text_files(spark, split_events):
     assert all(r[1] == 1 and r[2] == r[3] for r in per_batch)
     text = spark.read.text(base + "/text/raw_stream_*")
     assert text.count() == got.count()
+    # the text records and the Parquet copy of a batch carry the same batch time
+    text_times = {r[0] for r in text.select(F.regexp_extract("value", r"^batch_time=([^\t]*)", 1)).distinct().collect()}
+    assert text_times == {r[0] for r in got.select("batch_time").distinct().collect()}
     assert text.filter(~F.col("value").rlike(r"^batch_time=\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\trecord_no=\d+\traw_data=")).count() == 0
 
 
