@@ -147,3 +147,38 @@ def test_state_job_on_kafka_ordered_by_offset(spark):
     got = spark.read.parquet(base + "/out").withColumnRenamed("seq", "event_id")
     want = state.overspeed_run(lines.parse_speed_lines(lines_df), seq="event_id", threshold=60.0)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_remaining_stream_jobs_run(spark):
+    """Kafka raw / JSON, raw lines, latest state and driving duration jobs end to end."""
+    from autopulse.streaming.sources import kafka_lines
+    ev = tb.table(spark, SF_SMALL, "events")
+    replay = scratch_dir(spark, "kafka-replay-2")
+    tb.kafka_records_from_events(ev).write.parquet(replay)
+    status_replay = scratch_dir(spark, "kafka-status")
+    (tb.status_lines_from_events(ev)
+     .select(F.col("value").cast("binary").alias("value"), F.lit(None).cast("binary").alias("key"),
+             F.lit("status").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+             F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+     .write.parquet(status_replay))
+    base = scratch_dir(spark, "more-jobs")
+    n = ev.count()
+    runner.run_to_end(jobs.kafka_raw_job(read_kafka_replay(spark, replay), base + "/raw", base + "/c1",
+                                         available_now=True))
+    assert spark.read.parquet(base + "/raw").count() == n
+    runner.run_to_end(jobs.kafka_json_job(read_kafka_replay(spark, replay), base + "/json", base + "/c2",
+                                          available_now=True))
+    assert spark.read.parquet(base + "/json").filter(F.col("vehicle_id").startswith("v")).count() == n
+    status_lines = kafka_lines(read_kafka_replay(spark, status_replay))
+    runner.run_to_end(jobs.raw_lines_job(status_lines.select("seq", "value"), "seq", base + "/lines",
+                                         base + "/lines-txt", base + "/c3", available_now=True))
+    assert spark.read.parquet(base + "/lines").agg(F.max("record_no")).first()[0] == n
+    runner.run_to_end(jobs.latest_state_job(kafka_lines(read_kafka_replay(spark, status_replay)), "seq",
+                                            base + "/latest", base + "/c4", text_dir=base + "/latest-txt",
+                                            available_now=True))
+    assert spark.read.parquet(base + "/latest").count() == n
+    runner.run_to_end(jobs.driving_duration_job(kafka_lines(read_kafka_replay(spark, status_replay)), "seq",
+                                                base + "/drive", base + "/c5", available_now=True))
+    got = spark.read.parquet(base + "/drive").withColumnRenamed("seq", "event_id")
+    want = state.driving_duration(lines.parse_status_lines(tb.status_lines_from_events(ev)), seq="event_id")
+    assert rows(got.select(*want.columns)) == rows(want)
