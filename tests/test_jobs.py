@@ -182,3 +182,22 @@ def test_remaining_stream_jobs_run(spark):
     got = spark.read.parquet(base + "/drive").withColumnRenamed("seq", "event_id")
     want = state.driving_duration(lines.parse_status_lines(tb.status_lines_from_events(ev)), seq="event_id")
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_cli_batch_and_stream_jobs(spark):
+    from autopulse.cli import main
+    tel = tb.telemetry_from_events(tb.table(spark, SF_SMALL, "events"))
+    csv = scratch_dir(spark, "cli-tel")
+    write_csv(_as_text(tel), csv)
+    out = scratch_dir(spark, "cli-out")
+    written = main(["flagship", csv, out, "2.5", "-3.5", "3.0"], spark=spark)
+    assert len(written) == 8
+    got = spark.read.parquet(f"{out}/hourly_events_parquet").agg(F.sum("hard_accel_count")).first()[0]
+    want = add_event_flags(tel, 2.5, -3.5, 3.0).agg(F.sum("is_hard_accel")).first()[0]
+    assert got == want
+    replay = scratch_dir(spark, "cli-replay")
+    tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")).write.parquet(replay)
+    base = scratch_dir(spark, "cli-etl")
+    main(["cabin-etl", "--replay", replay, "--output", base + "/out", "--checkpoint", base + "/ck",
+          "--available-now"], spark=spark)
+    assert spark.read.parquet(base + "/out").count() > 0
