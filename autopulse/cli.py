@@ -15,10 +15,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from autopulse.operators.events import ACCEL_THRESHOLD, DECEL_THRESHOLD, LATERAL_THRESHOLD
+from autopulse.operators.lines import BRAKE_THRESHOLD
+from autopulse.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
 from autopulse.operators.state import ALERT_COUNT, OVERSPEED_THRESHOLD
 from autopulse.plans import jobs
 from autopulse.streaming import runner
-from autopulse.streaming.sources import kafka_lines, read_kafka_replay, read_kafka_stream
+from autopulse.streaming.sources import kafka_lines, read_kafka_replay, read_kafka_stream, read_line_stream
 
 BATCH = {
     "flagship": ("input", "output"),
@@ -28,7 +30,7 @@ BATCH = {
     "voice-rpm": ("events", "status", "output"),
 }
 STREAM = ("kafka-raw", "kafka-json", "cabin-etl", "event-count", "latest-state", "driving-duration",
-          "overspeed-count", "overspeed-alert")
+          "overspeed-count", "overspeed-alert", "raw-lines", "word-count", "brake-window")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -47,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--kafka", help="bootstrap servers")
         src.add_argument("--replay", help="Parquet directory of Kafka-shaped records")
+        src.add_argument("--lines", help="directory of text files, one message per line (no order key)")
         sp.add_argument("--topic", default="cabin")
         sp.add_argument("--starting-offsets", default="latest")
         sp.add_argument("--output", required=True)
@@ -56,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--available-now", action="store_true")
         sp.add_argument("--threshold", type=float, default=OVERSPEED_THRESHOLD)
         sp.add_argument("--alert-count", type=int, default=ALERT_COUNT)
+        sp.add_argument("--brake-threshold", type=float, default=BRAKE_THRESHOLD)
+        sp.add_argument("--window-seconds", type=int, default=WINDOW_SECONDS)
+        sp.add_argument("--slide-seconds", type=int, default=SLIDE_SECONDS)
     return p
 
 
@@ -79,8 +85,21 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         out = fn(spark, a.events, a.status, a.output)
         return out["written"] if isinstance(out, dict) else out
     trig = {"available_now": True} if a.available_now else {"processing_time": a.trigger}
+    if a.lines:
+        if a.job not in ("word-count", "brake-window"):
+            raise SystemExit(f"{a.job} needs an order key: use --kafka or --replay")
+        text = read_line_stream(spark, a.lines)
+        text_dir = a.text_dir or a.output.rstrip("/") + "-text"
+        if a.job == "word-count":
+            query = jobs.word_count_job(text, a.output, text_dir, a.checkpoint, **trig)
+        else:
+            query = jobs.brake_window_job(text, a.output, a.checkpoint, time_col=None, threshold=a.brake_threshold,
+                                          window_seconds=a.window_seconds, slide_seconds=a.slide_seconds, **trig)
+        runner.run_to_end(query)
+        return {"output": a.output}
     rec = _records(spark, a)
     state_kw = {"text_dir": a.text_dir, **trig}
+    lines_kw = {"text_dir": a.text_dir or a.output.rstrip("/") + "-text", **trig}
     start = {
         "kafka-raw": lambda: jobs.kafka_raw_job(rec, a.output, a.checkpoint, **trig),
         "kafka-json": lambda: jobs.kafka_json_job(rec, a.output, a.checkpoint, **trig),
@@ -94,11 +113,15 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         "overspeed-alert": lambda: jobs.overspeed_alert_job(kafka_lines(rec), "seq", a.output, a.checkpoint,
                                                             threshold=a.threshold, alert_count=a.alert_count,
                                                             **state_kw),
+        "raw-lines": lambda: jobs.raw_lines_job(kafka_lines(rec).select("seq", "value"), "seq", a.output,
+                                                lines_kw.pop("text_dir"), a.checkpoint, **lines_kw),
+        "word-count": lambda: jobs.word_count_job(kafka_lines(rec), a.output, lines_kw.pop("text_dir"),
+                                                  a.checkpoint, **lines_kw),
+        "brake-window": lambda: jobs.brake_window_job(kafka_lines(rec), a.output, a.checkpoint, time_col=None,
+                                                      threshold=a.brake_threshold, window_seconds=a.window_seconds,
+                                                      slide_seconds=a.slide_seconds, **trig),
     }[a.job]
-    query = start()
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    runner.run_to_end(start())
     return {"output": a.output}
 
 

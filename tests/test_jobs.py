@@ -201,3 +201,20 @@ def test_cli_batch_and_stream_jobs(spark):
     main(["cabin-etl", "--replay", replay, "--output", base + "/out", "--checkpoint", base + "/ck",
           "--available-now"], spark=spark)
     assert spark.read.parquet(base + "/out").count() > 0
+
+
+def test_cli_line_jobs(spark):
+    from autopulse.cli import main
+    inbox = scratch_dir(spark, "cli-lines")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.txt"), "w") as f:
+        f.write("spark streaming\nspark spark window\n-5.1 -6.0 -7.3 0.4\n")
+    base = scratch_dir(spark, "cli-wc")
+    main(["word-count", "--lines", inbox, "--output", base + "/out", "--checkpoint", base + "/ck",
+          "--available-now"], spark=spark)
+    got = {r["word"]: r["count"] for r in spark.read.parquet(base + "/out").collect()}
+    assert got["spark"] == 3 and got["-6.0"] == 1
+    base = scratch_dir(spark, "cli-brake")
+    main(["brake-window", "--lines", inbox, "--output", base + "/out", "--checkpoint", base + "/ck",
+          "--available-now"], spark=spark)
+    assert {r["count"] for r in spark.read.parquet(base + "/out").collect()} == {3}
