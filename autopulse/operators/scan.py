@@ -64,8 +64,13 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
     if sum_of is not None:
         summary_aggs.append(F.sum("_x").alias("_s"))
     if reset_when is not None:
+        # the last reset position needs the local window
         summary_aggs.append(F.max("_lreset").alias("_r"))
-    summary = local.groupBy(*part).agg(*summary_aggs)
+        summary = local.groupBy(*part).agg(*summary_aggs)
+    else:
+        # counts and sums are plain aggregates of the input: no second sort, and the
+        # input shuffle (same partitioning as the window's) is reused
+        summary = base.groupBy(*part).agg(*summary_aggs)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     cols = ["_off"]
