@@ -11,13 +11,25 @@ import os
 import sys
 
 
+def _lines(path: str):
+    if path.endswith((".zstd", ".zst")):  # Spark 4 compresses event logs with zstd by default
+        import io
+
+        import zstandard
+        with open(path, "rb") as fh:
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(reader, encoding="utf-8")
+    else:
+        with open(path, encoding="utf-8") as fh:
+            yield from fh
+
+
 def events(root: str):
     files = [f for f in glob.glob(os.path.join(root, "**", "*"), recursive=True) if os.path.isfile(f)]
     for path in sorted(files):
-        with open(path) as fh:
-            for line in fh:
-                if line.strip():
-                    yield json.loads(line)
+        for line in _lines(path):
+            if line.strip():
+                yield json.loads(line)
 
 
 def main():
