@@ -1,7 +1,7 @@
 """Scalar helpers: native Column expressions only."""
 
 from autopulse.functions.format import bucket, format_record
-from autopulse.functions.plan import compute_once
+from autopulse.functions.plan import compute_once, spread_small_input
 from autopulse.functions.text import (
     JAVA_WHITESPACE, jvm_split_fields, jvm_trim, legacy_int, non_blank, numeric_tokens,
     safe_double, words,
@@ -13,5 +13,5 @@ from autopulse.functions.time import (
 __all__ = [
     "JAVA_WHITESPACE", "batch_file_name", "compute_once", "batch_time_text", "bucket", "day_of_week",
     "format_record", "hour_of_day", "jvm_split_fields", "jvm_trim", "legacy_int", "non_blank",
-    "numeric_tokens", "safe_double", "safe_timestamp", "to_utc_wall_clock", "words",
+    "numeric_tokens", "safe_double", "safe_timestamp", "spread_small_input", "to_utc_wall_clock", "words",
 ]

@@ -10,25 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autopulse.functions.plan import spread_small_input
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def spread_small_input(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session has cores.
-
-    A small file stored as one Parquet row group scans as one task, so every per-row
-    expression before the first shuffle (JSON paths, regex splits) would run on one
-    core.  Large inputs have at least as many splits as cores and pass unchanged.
-    Hashing on a unique column ``by`` is deterministic without the local sort a
-    round-robin repartition needs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, by) if by else df.repartition(cores)
-
-
 # Tables whose rows carry text parsed per row (JSON props, documents), with their unique id.
 PARSE_HEAVY = {"events": "event_id", "documents": "doc_id"}
 
