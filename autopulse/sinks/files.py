@@ -47,7 +47,16 @@ def publish(df: DataFrame, base: str, name: str, formats=("csv", "parquet"), par
 
 
 def publish_if_any(df: DataFrame, base: str, name: str, **kwargs) -> dict[str, str]:
-    """K5: publish only when the frame has a row (`isEmpty` stops at the first row found)."""
-    if df.isEmpty():
+    """K5: publish only when the frame has a row; nothing appears under ``base`` otherwise.
+
+    The frame is computed once into a staging copy in the shared scratch folder; the
+    emptiness check and the published copies read that copy.
+    """
+    from autopulse.session import scratch_dir
+
+    stage = scratch_dir(df.sparkSession, f"stage-{name}")
+    df.write.mode("overwrite").parquet(stage)
+    staged = df.sparkSession.read.parquet(stage)
+    if staged.isEmpty():
         return {}
-    return publish(df, base, name, **kwargs)
+    return publish(staged, base, name, **kwargs)

@@ -174,3 +174,16 @@ def test_preview_join_equals_preview_of_full_join(spark):
     for n in (1, 5, 20, 200):
         want = [tuple(r) for r in joins.preview(joins.join_events_status(e, s), n).collect()]
         assert [tuple(r) for r in joins.preview_join(e, s, n).collect()] == want
+
+
+def test_publish_if_any_writes_nothing_when_empty(spark):
+    import os
+    from autopulse.session import scratch_dir
+    from autopulse.sinks.files import publish_if_any
+    base = scratch_dir(spark, "pia")
+    empty = spark.createDataFrame([], "a int")
+    assert publish_if_any(empty, base, "x") == {}
+    assert not os.path.exists(base)
+    written = publish_if_any(spark.createDataFrame([(1,), (2,)], "a int"), base, "x")
+    assert sorted(r[0] for r in spark.read.parquet(written["x:parquet"]).collect()) == [1, 2]
+    assert spark.read.option("header", True).csv(written["x:csv"]).count() == 2
