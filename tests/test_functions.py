@@ -152,3 +152,18 @@ def test_safe_double_property(spark, values):
         assert (d is not None) == ok, repr(s)
         if ok and "x" not in s.lower() and "N" not in s and "I" not in s:
             assert d == float(java_trim(s).rstrip("dDfF")), repr(s)
+
+
+def test_to_utc_wall_clock_ignores_the_session_zone(spark):
+    from autopulse.functions import to_utc_wall_clock
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.range(1).select(F.timestamp_seconds(F.lit(1704067200)).alias("t"))   # 2024-01-01 00:00 UTC
+            got.append(df.select(to_utc_wall_clock("t"), batch_time_text(to_utc_wall_clock("t"))).first())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {tuple(r) for r in got} == {(got[0][0], "2024-01-01 08:00:00")}
+    assert got[0][0].hour == 0
