@@ -12,7 +12,9 @@ more than ``chunk_size`` rows):
    turns them into offsets carried in from earlier chunks;
 4. the offsets join back on (key, chunk), already the partitioning of step 1.
 
-The order key must be unique within a key (ties would make positions ambiguous).
+The order key must be unique within a key (ties would make positions ambiguous), and
+keys and order values must be non-NULL: such rows get NULL results (a null-safe join
+back would re-shuffle the whole input).  The line parsers guarantee non-empty ids.
 """
 
 from __future__ import annotations
