@@ -187,3 +187,17 @@ def test_publish_if_any_writes_nothing_when_empty(spark):
     written = publish_if_any(spark.createDataFrame([(1,), (2,)], "a int"), base, "x")
     assert sorted(r[0] for r in spark.read.parquet(written["x:parquet"]).collect()) == [1, 2]
     assert spark.read.option("header", True).csv(written["x:csv"]).count() == 2
+
+
+def test_csv_rejects_nested_columns(spark):
+    from autopulse.session import scratch_dir
+    from autopulse.sinks.files import write_csv
+    df = spark.createDataFrame([(1, "a")], "k int, v string").select("k", F.struct("v").alias("nested"))
+    with pytest.raises(ValueError):
+        write_csv(df, scratch_dir(spark, "nested-csv"))
+
+
+def test_latest_state_per_record_is_the_records_own_status(spark):
+    from autopulse.operators import state
+    df = spark.createDataFrame([(1, "v1", "driving"), (2, "v1", "idle")], "seq long, vehicle_id string, status string")
+    assert rows(state.latest_state_per_record(df)) == [("v1", 1, "driving"), ("v1", 2, "idle")]
