@@ -57,3 +57,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
     return spark
+
+
+def cluster_settings(input_bytes: int, split_bytes: int = 512 << 20, shuffle_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume (apply them when building the session).
+
+    Scan splits of ``split_bytes``; about one shuffle partition per ``shuffle_bytes`` of
+    input as the upper bound that AQE coalesces down from; skew splitting on.
+    """
+    shuffle_partitions = max(200, -(-input_bytes // shuffle_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }

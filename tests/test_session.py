@@ -39,3 +39,11 @@ def test_scratch_root_falls_back_to_a_local_checkpoint_dir_once():
     s = _Session({})
     first = session.scratch_root(s)
     assert first.startswith("file:") and session.scratch_root(s) == first
+
+
+def test_cluster_settings_scale_with_input():
+    small = session.cluster_settings(10 << 30)
+    big = session.cluster_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
