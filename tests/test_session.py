@@ -47,3 +47,11 @@ def test_cluster_settings_scale_with_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_public_api_imports():
+    import autopulse.operators as ops
+    import autopulse.sinks as sinks
+    import autopulse.sources as sources
+    assert all(hasattr(ops, n) for n in ops.__all__)
+    assert callable(sinks.publish) and callable(sources.read_telemetry_csv)
