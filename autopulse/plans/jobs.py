@@ -103,16 +103,17 @@ def word_count_job(lines_df: DataFrame, output_path: str, text_dir: str, checkpo
 
 
 def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, time_col: str | None = "ts",
-                     watermark: str | None = "10 minutes", **kwargs):
+                     watermark: str | None = "10 minutes", text_dir: str | None = None, **kwargs):
     """Sliding brake counts.  ``time_col=None`` windows by arrival time (the micro-batch's
-    processing time), as the reference's DStream job does for plain text lines."""
+    processing time), as the reference's DStream job does for plain text lines.  Each
+    batch writes its (updated) windows under ``batch_id=<n>``, plus `k=v` text records
+    when ``text_dir`` is given."""
     trigger = {k: kwargs.pop(k) for k in ("available_now", "processing_time") if k in kwargs}
     if time_col is None:
         lines_df, time_col = lines_df.withColumn("arrival_time", F.current_timestamp()), "arrival_time"
     counts = batches.brake_window_stream(lines_df, time_col, watermark=watermark, **kwargs)
-    if watermark:
-        return runner.start_foreach_batch(counts, runner.overwrite_batch(output_path), checkpoint, "update", **trigger)
-    return runner.start_foreach_batch(counts, runner.overwrite_snapshot(output_path), checkpoint, "complete",
+    mode = "update" if watermark else "complete"
+    return runner.start_foreach_batch(counts, batches.brake_window_batch(output_path, text_dir), checkpoint, mode,
                                       **trigger)
 
 

@@ -106,3 +106,17 @@ def sorted_records_batch(out_dir: str, names, prefix: str) -> Callable[[DataFram
         records = batch.select(format_record(*names).alias("value")).orderBy("value")
         write_batch_text(records, out_dir, prefix, batch_id)
     return fn
+
+
+BRAKE_RECORD = ["batch_time", "window_start", "window_end", "metric", "count", "window_seconds", "slide_seconds",
+                "threshold"]
+
+
+def brake_window_batch(out_dir: str, text_dir: str | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body of ST6: the batch's window counts as Parquet (+ K9 `k=v` text records)."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        written = write_batch(batch.withColumn("batch_time", _batch_time()), out_dir, batch_id)
+        if text_dir:
+            write_batch_text(written.orderBy("window_start").select(format_record(*BRAKE_RECORD)), text_dir,
+                             "brake_window", batch_id)
+    return fn

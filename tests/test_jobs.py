@@ -124,10 +124,13 @@ def test_brake_window_job_by_arrival_time_on_text_lines(spark):
         f.write("\n".join(["-1.2", "-3.8", "-5.1", "-6.0", "-2.4", "-7.3", "0.4"]) + "\n")
     base = scratch_dir(spark, "brake-job")
     runner.run_to_end(jobs.brake_window_job(read_line_stream(spark, inbox), base + "/out", base + "/ck",
-                                            time_col=None, available_now=True))
+                                            time_col=None, text_dir=base + "/txt", available_now=True))
     got = runner.read_latest_updates(spark, base + "/out", ["window_start", "window_end"])
     counts = [r["count"] for r in got.collect()]
     assert len(counts) == 6 and set(counts) == {3}   # 3 hard brakes, in each of the 6 overlapping windows
+    text = [r[0] for r in spark.read.text(base + "/txt/brake_window_*").collect()]
+    assert len(text) == 6 and all("\tmetric=hard_brake\tcount=3\twindow_seconds=60\tslide_seconds=10"
+                                  "\tthreshold=-5.0" in t and t.startswith("batch_time=") for t in text)
 
 
 def test_state_job_on_kafka_ordered_by_offset(spark):
