@@ -93,8 +93,9 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         if a.job == "word-count":
             query = jobs.word_count_job(text, a.output, text_dir, a.checkpoint, **trig)
         else:
-            query = jobs.brake_window_job(text, a.output, a.checkpoint, time_col=None, threshold=a.brake_threshold,
-                                          window_seconds=a.window_seconds, slide_seconds=a.slide_seconds, **trig)
+            query = jobs.brake_window_job(text, a.output, a.checkpoint, time_col=None, text_dir=a.text_dir,
+                                          threshold=a.brake_threshold, window_seconds=a.window_seconds,
+                                          slide_seconds=a.slide_seconds, **trig)
         runner.run_to_end(query)
         return {"output": a.output}
     rec = _records(spark, a)
@@ -118,7 +119,8 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         "word-count": lambda: jobs.word_count_job(kafka_lines(rec), a.output, lines_kw.pop("text_dir"),
                                                   a.checkpoint, **lines_kw),
         "brake-window": lambda: jobs.brake_window_job(kafka_lines(rec), a.output, a.checkpoint, time_col=None,
-                                                      threshold=a.brake_threshold, window_seconds=a.window_seconds,
+                                                      text_dir=a.text_dir, threshold=a.brake_threshold,
+                                                      window_seconds=a.window_seconds,
                                                       slide_seconds=a.slide_seconds, **trig),
     }[a.job]
     runner.run_to_end(start())
