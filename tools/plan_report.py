@@ -42,8 +42,9 @@ def main():
            f"Generated by `tools/plan_report.py` at `{sf}` on local[8] (AQE final plans, subqueries included).",
            "Counts are operator occurrences in the plan text; `ReadSchema` lists the columns each scan reads.",
            "No plan contains a cartesian product or a nested-loop join.",
-           "`Exchange RoundRobinPartitioning` is the spread of a single-row-group test table over the cores",
-           "(absent when the input has at least as many splits as cores).", ""]
+           "For queries over `events` or `documents`, one `Exchange hashpartitioning` on the table's id is the",
+           "spread of a single-row-group test table over the cores (absent when the input has at least as many",
+           "splits as cores, as at scale).", ""]
     for name in HEADLINE:
         df = QUERIES[name](spark, sf)
         df.collect()
