@@ -1,7 +1,6 @@
 import math
 import random
 
-import pytest
 from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
