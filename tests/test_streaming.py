@@ -156,3 +156,21 @@ def test_brake_window_complete_mode_without_watermark(spark, split_events):
     got = runner.read_snapshot(spark, base + "/out")
     want = brake_window_counts(tb.numeric_lines_from_events(tb.table(spark, SF_SMALL, "events")), threshold=-3.0)
     assert rows(got) == rows(want.select(*got.columns))
+
+
+@pytest.mark.parametrize("n_files", [2, 7])
+def test_state_streams_equal_batch_for_other_batch_boundaries(spark, n_files):
+    import os
+    import time
+    ev = tb.table(spark, SF_SMALL, "events")
+    path = scratch_dir(spark, f"events-split-{n_files}")
+    ev.repartitionByRange(n_files, "event_id").sortWithinPartitions("event_id").write.parquet(path)
+    now = time.time()
+    for i, f in enumerate(sorted(f for f in os.listdir(path) if f.endswith(".parquet"))):
+        os.utime(os.path.join(path, f), (now - 100 + i, now - 100 + i))
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    speeds = lines.parse_speed_lines(tb.speed_lines_from_events(src))
+    got = run_append(spark, sstate.overspeed_run_stream(speeds, seq="event_id", threshold=60.0), f"os-{n_files}")
+    want = state.overspeed_run(lines.parse_speed_lines(tb.speed_lines_from_events(ev)), seq="event_id",
+                               threshold=60.0, chunk_size=97)
+    assert rows(got) == rows(want.select(*got.columns))
