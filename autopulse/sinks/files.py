@@ -12,11 +12,21 @@ def _check_flat(df: DataFrame) -> None:
         raise ValueError(f"CSV cannot hold nested columns: {nested}")
 
 
+# Microsecond timestamp texts (the CSV writer's defaults stop at milliseconds).
+CSV_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """K1/K3: header CSV, overwrite.  ``single_file`` funnels the write through one task (opt-in)."""
+    """K1/K3: header CSV, overwrite.  ``single_file`` funnels the write through one task (opt-in).
+
+    Timestamps keep their microseconds.
+    """
     _check_flat(df)
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True)
+     .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT).option("timestampFormat", CSV_TIMESTAMP_FORMAT)
+     .csv(path))
     return path
 
 

@@ -201,3 +201,14 @@ def test_latest_state_per_record_is_the_records_own_status(spark):
     from autopulse.operators import state
     df = spark.createDataFrame([(1, "v1", "driving"), (2, "v1", "idle")], "seq long, vehicle_id string, status string")
     assert rows(state.latest_state_per_record(df)) == [("v1", 1, "driving"), ("v1", 2, "idle")]
+
+
+def test_csv_keeps_microseconds(spark):
+    import datetime as dt
+    from autopulse.session import scratch_dir
+    from autopulse.sinks.files import write_csv
+    t = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+    df = spark.createDataFrame([(t, t)], "ntz timestamp_ntz, ltz timestamp")
+    path = write_csv(df, scratch_dir(spark, "csv-us"))
+    back = spark.read.option("header", True).schema(df.schema).csv(path).first()
+    assert back["ntz"] == t and back["ltz"] == t
