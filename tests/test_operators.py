@@ -212,3 +212,18 @@ def test_csv_keeps_microseconds(spark):
     path = write_csv(df, scratch_dir(spark, "csv-us"))
     back = spark.read.option("header", True).schema(df.schema).csv(path).first()
     assert back["ntz"] == t and back["ltz"] == t
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.just(float("nan")), st.integers(-5, 5).map(float),
+                                 st.floats(-1e6, 1e6, allow_nan=False)), min_size=0, max_size=60),
+       buckets=st.sampled_from([2, 3, 16, 256]),
+       probs=st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=3))
+def test_exact_quantiles_property(spark, values, buckets, probs):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = clean.exact_quantiles(df, "x", probs, buckets=buckets).first()
+    assert tuple(got) == tuple(reference_quantile(values, p) for p in probs)
