@@ -12,6 +12,11 @@ more than ``chunk_size`` rows):
    turns them into offsets carried in from earlier chunks;
 4. the offsets join back on (key, chunk), already the partitioning of step 1.
 
+Cost: the carry table has one row per non-empty (key, chunk).  A hot key that appears
+throughout the sequence has about ``seq range / chunk_size`` of them; a key too sparse to
+share chunks has about one per row, but such keys are small, so every window stays
+bounded either by the chunk size or by the key's own size.
+
 The order key must be unique within a key (ties would make positions ambiguous), and
 keys and order values must be non-NULL: such rows get NULL results (a null-safe join
 back would re-shuffle the whole input).  The line parsers guarantee non-empty ids.
