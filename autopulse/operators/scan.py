@@ -34,7 +34,12 @@ DEFAULT_CHUNK = 1 << 16
 
 
 def chunk_of(df: DataFrame, seq: str, chunk_size: int) -> Column:
-    """Chunk id, non-decreasing in ``seq``: ``seq div chunk_size`` for integral ids, seconds for times."""
+    """Chunk id, non-decreasing in ``seq``: ``seq div chunk_size`` for integral ids, seconds for times.
+
+    With unique integral ids a chunk never holds more than ``chunk_size`` rows of a key.
+    With a time order, pick ``chunk_size`` (seconds) so that a key's peak rate times it
+    stays a comfortable task size.
+    """
     dt = df.schema[seq].dataType
     if isinstance(dt, IntegralType):
         return F.expr(f"CAST(`{seq}` AS BIGINT) div {int(chunk_size)}")
