@@ -15,7 +15,9 @@ from pyspark.sql.types import NumericType
 
 from autopulse.functions import compute_once
 
+# The speed cap of the cleaning step and the IQR fence factor.
 MAX_SPEED = 200
+IQR_FACTOR = 1.5
 
 
 def filter_max_speed(df: DataFrame, max_speed: int = MAX_SPEED, column: str = "speed") -> DataFrame:
@@ -83,7 +85,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], names: S
     return picked.agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
 
 
-def iqr_bounds(df: DataFrame, column: str = "speed", k: float = 1.5) -> DataFrame:
+def iqr_bounds(df: DataFrame, column: str = "speed", k: float = IQR_FACTOR) -> DataFrame:
     """One row q1, q3, iqr, lower_bound, upper_bound (DOUBLE) from exact quartiles."""
     q = exact_quantiles(df, column, [0.25, 0.75], ["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
@@ -91,7 +93,7 @@ def iqr_bounds(df: DataFrame, column: str = "speed", k: float = 1.5) -> DataFram
                     (F.col("q3") + k * iqr).alias("upper_bound"))
 
 
-def iqr_outliers(df: DataFrame, column: str = "speed", k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, column: str = "speed", k: float = IQR_FACTOR) -> DataFrame:
     """P5: rows outside [q1 - k*iqr, q3 + k*iqr]; NULL values and an all-NULL column give no rows."""
     fence = iqr_bounds(df, column, k).select(F.struct("lower_bound", "upper_bound")).scalar()
     c = F.col(column)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from autopulse.operators.lines import BRAKE_METRIC, BRAKE_THRESHOLD, below_threshold, parse_numeric_tokens
 
+# Default window length and slide of the brake-count job.
 WINDOW_SECONDS = 60
 SLIDE_SECONDS = 10
 
