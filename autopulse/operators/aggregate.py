@@ -30,6 +30,11 @@ def hourly_events(df: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
+# score = 100 * exp(-(0.02 accel + 0.03 decel + 0.015 turn)), 2 decimals, floor 0;
+# rates are events per 1000 rows, 2 decimals.
+SCORE_EXPR = "100 * exp(- (accel_count * 0.02 + decel_count * 0.03 + turn_count * 0.015))"
+
+
 def vehicle_scores(df: DataFrame) -> DataFrame:
     """Flag sums per vehicle and risk_score = max(round(100*exp(-(.02a+.03d+.015t)), 2), 0).
 
@@ -38,8 +43,7 @@ def vehicle_scores(df: DataFrame) -> DataFrame:
     sums = _flag_sums({"accel_count": "is_hard_accel", "decel_count": "is_hard_decel",
                        "turn_count": "is_hard_turn"})
     return (df.groupBy("vehicle_id").agg(*sums)
-            .withColumn("risk_score", F.round(F.expr(
-                "100 * exp(- (accel_count * 0.02 + decel_count * 0.03 + turn_count * 0.015))"), 2))
+            .withColumn("risk_score", F.round(F.expr(SCORE_EXPR), 2))
             .withColumn("risk_score", F.greatest(F.col("risk_score"), F.lit(0)).cast("double"))
             .orderBy(F.desc("risk_score"), F.asc("vehicle_id")))
 

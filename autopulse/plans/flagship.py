@@ -41,8 +41,7 @@ def reports_from_cube(cube: DataFrame) -> dict[str, DataFrame]:
     scores = (cube.groupBy("vehicle_id")
               .agg(*sums({"accel_count": "is_hard_accel", "decel_count": "is_hard_decel",
                           "turn_count": "is_hard_turn"}))
-              .withColumn("risk_score", F.round(F.expr(
-                  "100 * exp(- (accel_count * 0.02 + decel_count * 0.03 + turn_count * 0.015))"), 2))
+              .withColumn("risk_score", F.round(F.expr(aggregate.SCORE_EXPR), 2))
               .withColumn("risk_score", F.greatest(F.col("risk_score"), F.lit(0)).cast("double"))
               .orderBy(F.desc("risk_score"), F.asc("vehicle_id")))
     return {
