@@ -7,6 +7,7 @@ re-run batch replaces its own output.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,11 +53,16 @@ def overwrite_snapshot(path: str) -> Callable[[DataFrame, int], None]:
     return fn
 
 
+def latest_batch_id(df: DataFrame) -> int | None:
+    """Highest ``batch_id=<n>`` among the frame's files: a listing, no file is read."""
+    ids = [int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"batch_id=(\d+)", f))]
+    return max(ids) if ids else None
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The complete-mode result of the last committed batch."""
+    """The complete-mode result of the last committed batch (the filter prunes every older snapshot)."""
     df = spark.read.parquet(path)
-    last = df.select(F.max("batch_id")).scalar()
-    return df.filter(F.col("batch_id") == last).drop("batch_id")
+    return df.filter(F.col("batch_id") == F.lit(latest_batch_id(df))).drop("batch_id")
 
 
 def read_latest_updates(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame:
