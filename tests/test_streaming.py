@@ -174,3 +174,27 @@ def test_state_streams_equal_batch_for_other_batch_boundaries(spark, n_files):
     want = state.overspeed_run(lines.parse_speed_lines(tb.speed_lines_from_events(ev)), seq="event_id",
                                threshold=60.0, chunk_size=97)
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_complete_mode_restart_counts_everything_once(spark, split_events):
+    import os
+    import shutil
+    path, schema = split_events
+    base = scratch_dir(spark, "evcount-restart")
+    inbox = base + "/inbox"
+    os.makedirs(inbox)
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+
+    def run():
+        counts = cabin.event_counts(tb.kafka_records_from_events(spark.readStream.schema(schema).parquet(inbox)))
+        runner.run_to_end(runner.start_foreach_batch(counts, runner.overwrite_snapshot(base + "/out"),
+                                                     base + "/ckpt", "complete", available_now=True))
+
+    shutil.copy(os.path.join(path, files[0]), inbox)
+    run()
+    for f in files[1:]:
+        shutil.copy(os.path.join(path, f), inbox)
+    run()
+    got = runner.read_snapshot(spark, base + "/out")
+    want = cabin.event_counts(tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")))
+    assert rows(got) == rows(want)
