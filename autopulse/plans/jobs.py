@@ -54,7 +54,7 @@ def multisource_job(spark: SparkSession, events_path: str, status_path: str, out
     ev, st = read_cabin_events_json(spark, events_path), read_status_parquet(spark, status_path)
     joined = joins.join_events_status(ev, st)
     written = publish(joined, output_path, "joined_events_status")
-    return {"written": written, "row_count": joins.join_row_count(ev, st), "preview": joins.preview(joined, 20)}
+    return {"written": written, "row_count": joins.join_row_count(ev, st), "preview": joins.preview_join(ev, st, 20)}
 
 
 def navigation_speed_job(spark: SparkSession, events_path: str, status_path: str, output_path: str) -> str:
