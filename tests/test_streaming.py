@@ -198,3 +198,15 @@ def test_complete_mode_restart_counts_everything_once(spark, split_events):
     got = runner.read_snapshot(spark, base + "/out")
     want = cabin.event_counts(tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")))
     assert rows(got) == rows(want)
+
+
+def test_driving_time_snapshot_equals_batch_totals(spark, split_events):
+    st = lines.parse_status_lines(tb.status_lines_from_events(stream_of(spark, split_events)))
+    base = scratch_dir(spark, "drive-snap")
+    runner.run_to_end(runner.start_foreach_batch(sstate.driving_time_snapshot(st), runner.overwrite_batch(base + "/out"),
+                                                 base + "/ckpt", "update", available_now=True))
+    got = runner.read_latest_updates(spark, base + "/out", ["vehicle_id"])
+    bst = lines.parse_status_lines(tb.status_lines_from_events(tb.table(spark, SF_SMALL, "events")))
+    want = (state.driving_duration(bst, seq="event_id").groupBy("vehicle_id")
+            .agg(F.max("total_driving_seconds").alias("total_driving_seconds")))
+    assert rows(got) == rows(want)
