@@ -14,6 +14,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from autopulse.operators import cabin
 from autopulse.operators.events import ACCEL_THRESHOLD, DECEL_THRESHOLD, LATERAL_THRESHOLD
 from autopulse.operators.lines import BRAKE_THRESHOLD
 from autopulse.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
@@ -52,7 +53,9 @@ def parser() -> argparse.ArgumentParser:
         src.add_argument("--lines", help="directory of text files, one message per line (no order key)")
         sp.add_argument("--topic", default="cabin")
         sp.add_argument("--starting-offsets", default="latest")
-        sp.add_argument("--output", required=True)
+        sp.add_argument("--output", help="output directory (not needed with --console)")
+        sp.add_argument("--console", action="store_true",
+                        help="print 20 untruncated rows per batch instead (kafka-raw, kafka-json, event-count)")
         sp.add_argument("--checkpoint", required=True)
         sp.add_argument("--text-dir", help="per-batch sorted record dumps (state jobs)")
         sp.add_argument("--trigger", default=runner.DEFAULT_TRIGGER)
@@ -88,6 +91,8 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
     if a.lines:
         if a.job not in ("word-count", "brake-window"):
             raise SystemExit(f"{a.job} needs an order key: use --kafka or --replay")
+        if not a.output:
+            raise SystemExit("--output is required")
         text = read_line_stream(spark, a.lines)
         text_dir = a.text_dir or a.output.rstrip("/") + "-text"
         if a.job == "word-count":
@@ -99,6 +104,17 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         runner.run_to_end(query)
         return {"output": a.output}
     rec = _records(spark, a)
+    if a.console:
+        frames = {"kafka-raw": lambda: cabin.kafka_envelope(rec),
+                  "kafka-json": lambda: cabin.parse_cabin_json(cabin.kafka_values(rec)),
+                  "event-count": lambda: cabin.ordered_event_counts(cabin.event_counts(rec))}
+        if a.job not in frames:
+            raise SystemExit(f"--console is for {sorted(frames)}")
+        mode = "complete" if a.job == "event-count" else "append"
+        runner.run_to_end(runner.start_console(frames[a.job](), mode, checkpoint=a.checkpoint, **trig))
+        return {"console": a.job}
+    if not a.output:
+        raise SystemExit("--output is required")
     state_kw = {"text_dir": a.text_dir, **trig}
     lines_kw = {"text_dir": a.text_dir or a.output.rstrip("/") + "-text", **trig}
     start = {

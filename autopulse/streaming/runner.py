@@ -31,6 +31,18 @@ def start_parquet_append(df: DataFrame, path: str, checkpoint: str, available_no
     return _trigger(writer, available_now, processing_time).start()
 
 
+def start_console(df: DataFrame, output_mode: str = "append", num_rows: int = 20, truncate: bool = False,
+                  available_now: bool = False, processing_time: str | None = DEFAULT_TRIGGER,
+                  checkpoint: str | None = None) -> StreamingQuery:
+    """Print up to ``num_rows`` rows of each micro-batch, untruncated (a bounded preview;
+    the console sink brings only those rows to the driver)."""
+    writer = (df.writeStream.format("console").outputMode(output_mode)
+              .option("numRows", num_rows).option("truncate", str(truncate).lower()))
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, processing_time).start()
+
+
 def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                         output_mode: str = "append", available_now: bool = False,
                         processing_time: str | None = DEFAULT_TRIGGER) -> StreamingQuery:

@@ -221,3 +221,11 @@ def test_cli_line_jobs(spark):
     main(["brake-window", "--lines", inbox, "--output", base + "/out", "--checkpoint", base + "/ck",
           "--available-now"], spark=spark)
     assert {r["count"] for r in spark.read.parquet(base + "/out").collect()} == {3}
+
+
+def test_cli_console_event_count(spark):
+    from autopulse.cli import main
+    replay = scratch_dir(spark, "cli-console")
+    tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")).write.parquet(replay)
+    assert main(["event-count", "--replay", replay, "--console", "--checkpoint", replay + "-ck",
+                 "--available-now"], spark=spark) == {"console": "event-count"}

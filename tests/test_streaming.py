@@ -210,3 +210,11 @@ def test_driving_time_snapshot_equals_batch_totals(spark, split_events):
     want = (state.driving_duration(bst, seq="event_id").groupBy("vehicle_id")
             .agg(F.max("total_driving_seconds").alias("total_driving_seconds")))
     assert rows(got) == rows(want)
+
+
+def test_console_preview_runs(spark, split_events):
+    from autopulse.operators.cabin import kafka_envelope
+    q = runner.start_console(kafka_envelope(tb.kafka_records_from_events(stream_of(spark, split_events))),
+                             num_rows=3, available_now=True, checkpoint=scratch_dir(spark, "console") + "/ckpt")
+    runner.run_to_end(q)
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
