@@ -229,3 +229,22 @@ def test_cli_console_event_count(spark):
     tb.kafka_records_from_events(tb.table(spark, SF_SMALL, "events")).write.parquet(replay)
     assert main(["event-count", "--replay", replay, "--console", "--checkpoint", replay + "-ck",
                  "--available-now"], spark=spark) == {"console": "event-count"}
+
+
+def test_cli_remaining_batch_jobs(spark):
+    from autopulse.cli import main
+    e = tb.table(spark, SF_SMALL, "events")
+    raw = tb.sensors_from_events(e).drop("speed").join(e.select("event_id", F.col("value").alias("speed")), "event_id")
+    sensors_csv = scratch_dir(spark, "cli-sensors")
+    write_csv(_as_text(raw), sensors_csv)
+    out = scratch_dir(spark, "cli-batch")
+    written = main(["cleaning", sensors_csv, out], spark=spark)
+    assert "cleaned_sensors:parquet" in written
+    cab = tb.cabin_events_from_orders(tb.table(spark, SF_SMALL, "orders"))
+    st = tb.status_from_lineitem(tb.table(spark, SF_SMALL, "lineitem"))
+    ev_path, st_path = scratch_dir(spark, "cli-ev"), scratch_dir(spark, "cli-st")
+    cab.withColumn("timestamp", tb.ts_text(F.col("timestamp"))).write.json(ev_path)
+    st.write.parquet(st_path)
+    assert "joined_events_status:parquet" in main(["multisource", ev_path, st_path, out], spark=spark)
+    assert main(["navigation-speed", ev_path, st_path, out], spark=spark).endswith("navigation_speed_distribution")
+    assert main(["voice-rpm", ev_path, st_path, out], spark=spark).endswith("voice_rpm_analysis")
