@@ -69,3 +69,20 @@ def test_results_do_not_depend_on_ansi_mode(spark, name):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert on == off
+
+
+BATCH_QUERIES = [n for n in sorted(E.queries()) if not n.startswith(("stream_", "src_", "sink_"))]
+
+
+@pytest.mark.parametrize("name", BATCH_QUERIES)
+def test_plans_have_no_cross_products(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scans_are_pruned(spark):
+    plan = E.queries()["vehicle_scores"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan" in line]
+    assert schemas and all("value:" not in s and "ts:" not in s and "event_type" not in s for s in schemas)
+    plan = E.queries()["nav_speed_histogram"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(l_shipdate)" in plan and "IsNotNull(o_orderdate)" in plan
