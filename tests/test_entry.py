@@ -86,3 +86,9 @@ def test_scans_are_pruned(spark):
     assert schemas and all("value:" not in s and "ts:" not in s and "event_type" not in s for s in schemas)
     plan = E.queries()["nav_speed_histogram"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(l_shipdate)" in plan and "IsNotNull(o_orderdate)" in plan
+
+
+def test_chunked_scan_reuses_its_input_shuffle(spark):
+    df = E.queries()["overspeed_run"](spark, SF_SMALL)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
