@@ -248,3 +248,24 @@ def test_cli_remaining_batch_jobs(spark):
     assert "joined_events_status:parquet" in main(["multisource", ev_path, st_path, out], spark=spark)
     assert main(["navigation-speed", ev_path, st_path, out], spark=spark).endswith("navigation_speed_distribution")
     assert main(["voice-rpm", ev_path, st_path, out], spark=spark).endswith("voice_rpm_analysis")
+
+
+def test_inferred_json_events_with_nested_fields(spark):
+    import pytest
+    from autopulse.operators import joins
+    from autopulse.sinks.files import publish
+    from autopulse.sources.files import read_cabin_events_json
+    path = scratch_dir(spark, "json-nested")
+    os.makedirs(path)
+    with open(os.path.join(path, "e.json"), "w") as f:
+        f.write('{"timestamp": "2024-01-01 00:00:00", "event_type": "NavigationStart", "meta": {"src": "hud"}}\n')
+        f.write('{"timestamp": "bad", "event_type": "VoiceCommand", "meta": {"src": "mic"}}\n')
+    ev = read_cabin_events_json(spark, path, infer=True)
+    assert dict(ev.dtypes)["timestamp"] == "string" and dict(ev.dtypes)["meta"].startswith("struct")
+    st = spark.createDataFrame([(__import__("datetime").datetime(2024, 1, 1), 42.0, 1200.0)],
+                               "timestamp timestamp_ntz, speed double, rpm double")
+    joined = joins.join_events_status(ev, st)
+    assert joined.count() == 1                      # the bad timestamp matches nothing
+    with pytest.raises(ValueError):                 # CSV cannot hold the nested column (T15)
+        publish(joined, scratch_dir(spark, "nested-pub"), "joined", formats=("csv",))
+    assert "joined:parquet" in publish(joined, scratch_dir(spark, "nested-pub"), "joined", formats=("parquet",))
