@@ -269,3 +269,19 @@ def test_inferred_json_events_with_nested_fields(spark):
     with pytest.raises(ValueError):                 # CSV cannot hold the nested column (T15)
         publish(joined, scratch_dir(spark, "nested-pub"), "joined", formats=("csv",))
     assert "joined:parquet" in publish(joined, scratch_dir(spark, "nested-pub"), "joined", formats=("parquet",))
+
+
+def test_telemetry_reader_nulls_malformed_values(spark):
+    from autopulse.sources.files import read_telemetry_csv
+    path = scratch_dir(spark, "tel-bad")
+    os.makedirs(path)
+    with open(os.path.join(path, "t.csv"), "w") as f:
+        f.write("timestamp,vehicle_id,speed,acceleration,lateral_acceleration,driver\n")
+        f.write("2024-01-01 10:00:00,v1,55.5,3.5,0.1,ann\n")
+        f.write("not-a-time,v2,abc,,NaN,bob\n")
+    df = read_telemetry_csv(spark, path)
+    assert dict(df.dtypes)["driver"] == "string" and dict(df.dtypes)["speed"] == "double"
+    good, bad = sorted(df.collect(), key=lambda r: r["vehicle_id"])
+    assert good["timestamp"].hour == 10 and good["speed"] == 55.5
+    assert bad["timestamp"] is None and bad["speed"] is None and bad["acceleration"] is None
+    assert bad["lateral_acceleration"] != bad["lateral_acceleration"]   # NaN kept as NaN
