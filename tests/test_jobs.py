@@ -285,3 +285,21 @@ def test_telemetry_reader_nulls_malformed_values(spark):
     assert good["timestamp"].hour == 10 and good["speed"] == 55.5
     assert bad["timestamp"] is None and bad["speed"] is None and bad["acceleration"] is None
     assert bad["lateral_acceleration"] != bad["lateral_acceleration"]   # NaN kept as NaN
+
+
+def test_sensor_reader_edge_rows_through_cleaning(spark):
+    from autopulse.operators import clean as cl
+    from autopulse.sources.files import read_sensor_csv
+    path = scratch_dir(spark, "sens-edge")
+    os.makedirs(path)
+    with open(os.path.join(path, "s.csv"), "w") as f:
+        f.write("temp,speed,humidity,pressure\n")
+        for temp, speed in [("10", "199"), ("", "200"), ("20", "201"), ("30", ""), ("", "12.7"), ("40", "1e2")]:
+            f.write(f"{temp},{speed},50,1000\n")
+    df = read_sensor_csv(spark, path)
+    assert sorted((r["speed"] is None, r["speed"]) for r in df.collect()) == sorted(
+        [(False, 199), (False, 200), (False, 201), (True, None), (False, 12), (True, None)])
+    assert tuple(cl.quality_profile(df).first()) == (6, 2, 1)        # speed 200 is not "> 200"
+    cleaned = cl.clean_sensors(df)
+    assert sorted(r["speed"] for r in cleaned.collect()) == [12, 199]   # 200, 201 and NULL speeds dropped
+    assert {r["temp"] for r in cleaned.collect()} == {10.0, 25.0}       # mean of 10, 20, 30, 40 fills NULL
