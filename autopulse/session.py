@@ -21,13 +21,24 @@ def scratch_root(spark: SparkSession) -> str:
     Spark core settings cannot change at run time, so the fallback goes through the
     SparkContext's checkpoint directory (which later calls then find).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="autopulse-"))
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            context = spark.sparkContext
+        except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+            context = None
+        root = context.getCheckpointDir() if context is not None else None
+        if not root:
+            if context is None:
+                return _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="autopulse-"))
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="autopulse-"))
+            root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch root (not created)."""
     return f"{scratch_root(spark)}/autopulse/{name}-{uuid.uuid4().hex[:12]}"

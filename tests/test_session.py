@@ -55,3 +55,15 @@ def test_public_api_imports():
     import autopulse.sources as sources
     assert all(hasattr(ops, n) for n in ops.__all__)
     assert callable(sinks.publish) and callable(sources.read_telemetry_csv)
+
+
+def test_scratch_root_without_a_context_is_stable():
+    class NoContext:
+        conf = _Conf({})
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no SparkContext in this kind of session")
+
+    s = NoContext()
+    assert session.scratch_root(s) == session.scratch_root(s)
