@@ -227,3 +227,16 @@ def test_exact_quantiles_property(spark, values, buckets, probs):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = clean.exact_quantiles(df, "x", probs, buckets=buckets).first()
     assert tuple(got) == tuple(reference_quantile(values, p) for p in probs)
+
+
+def test_small_helpers(spark):
+    from autopulse.operators import cabin as cab
+    from autopulse.operators import lines as ln
+    df = spark.createDataFrame([("NavigationStart", 1.0), ("VoiceCommand", 2.0)], "event_type string, speed double")
+    assert rows(events.select_event_type(df, "VoiceCommand", "speed")) == [(2.0,)]
+    recs = ln.format_records(spark.createDataFrame([("v1", 3)], "vehicle_id string, n int"), ["vehicle_id", "n"])
+    assert recs.first()[0] == "vehicle_id=v1\tn=3"
+    summary = {r["summary"]: r for r in clean.describe(spark.createDataFrame([(1.0,), (3.0,)], "x double")).collect()}
+    assert summary["count"]["x"] == "2" and float(summary["mean"]["x"]) == 2.0
+    counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "event string, count long")
+    assert [r["event"] for r in cab.ordered_event_counts(counts).collect()] == ["c", "a", "b"]
