@@ -166,3 +166,16 @@ def test_window_start_offset(spark):
     shifted = {(r["window_start"].second, r["count"]) for r in window_counts(df, "ts", 10, 10,
                                                                              start_offset_seconds=5).collect()}
     assert shifted == {(55, 1), (5, 2)}
+
+
+def test_tumbling_windows_and_validation(spark):
+    import datetime as dt
+
+    import pytest
+    from autopulse.operators.windows import window_counts
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(t0 + dt.timedelta(seconds=s),) for s in (1, 59, 60, 61, 200)], "ts timestamp_ntz")
+    got = sorted((r["window_start"].minute, r["count"]) for r in window_counts(df, "ts", 60, 60).collect())
+    assert got == [(0, 2), (1, 2), (3, 1)]          # each row in exactly one window
+    with pytest.raises(ValueError):
+        window_counts(df, "ts", 60, 25)
