@@ -218,3 +218,16 @@ def test_console_preview_runs(spark, split_events):
                              num_rows=3, available_now=True, checkpoint=scratch_dir(spark, "console") + "/ckpt")
     runner.run_to_end(q)
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
+
+
+def test_batch_text_sink_skips_empty_batches(spark):
+    import os
+    base = scratch_dir(spark, "k9")
+    empty = spark.createDataFrame([], "value string")
+    assert batches.write_batch_text(empty, base, "raw_stream", 3) == ""
+    assert not os.path.exists(base)
+    path = batches.write_batch_text(spark.createDataFrame([("a",), ("b",)], "value string"), base, "raw_stream", 4)
+    assert path.endswith("raw_stream_000000004") and spark.read.text(path).count() == 2
+    # a re-run of the same batch replaces its output (idempotent)
+    batches.write_batch_text(spark.createDataFrame([("c",)], "value string"), base, "raw_stream", 4)
+    assert [r[0] for r in spark.read.text(path).collect()] == ["c"]
