@@ -240,3 +240,21 @@ def test_small_helpers(spark):
     assert summary["count"]["x"] == "2" and float(summary["mean"]["x"]) == 2.0
     counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "event string, count long")
     assert [r["event"] for r in cab.ordered_event_counts(counts).collect()] == ["c", "a", "b"]
+
+
+def test_cabin_json_parse_and_etl_edges(spark):
+    from autopulse.operators import cabin as cab
+    msgs = ['{"vehicle_id":"v1","event":"brake","speed":"12.5","acceleration":-3.1,"ts":"t1"}',
+            '{bad json',
+            '{"vehicle_id":" ","event":"brake","speed":10,"acceleration":1,"ts":"t2"}',
+            '{"vehicle_id":"v2","event":"","speed":10,"acceleration":1,"ts":"t3"}',
+            '{"vehicle_id":"v3","event":"x","speed":"abc","acceleration":1,"ts":"t4"}',
+            '{"vehicle_id":"v4","event":" go ","speed":null,"acceleration":1,"ts":"t5"}',
+            '{"vehicle_id":"v5","event":" go ","speed":7,"acceleration":2.5,"ts":"t6"}']
+    recs = spark.createDataFrame([(bytearray(m.encode()),) for m in msgs], "value binary")
+    parsed = cab.parse_cabin_json(cab.kafka_values(recs), with_processing_time=False)
+    assert parsed.count() == 7 and parsed.filter(F.col("vehicle_id").isNull()).count() == 1   # bad JSON -> NULLs
+    assert parsed.filter(F.col("vehicle_id") == "v3").first()["speed"] is None                # 'abc' -> NULL
+    etl = cab.valid_cabin_records(parsed, with_processing_time=False)
+    assert sorted((r["vehicle_id"], r["event"], r["speed"]) for r in etl.collect()) == [
+        ("v1", "brake", 12.5), ("v5", " go ", 7.0)]                                           # values not trimmed
