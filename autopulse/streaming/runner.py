@@ -67,7 +67,8 @@ def overwrite_snapshot(path: str) -> Callable[[DataFrame, int], None]:
 
 def latest_batch_id(df: DataFrame) -> int | None:
     """Highest ``batch_id=<n>`` among the frame's files: a listing, no file is read."""
-    ids = [int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"batch_id=(\d+)", f))]
+    # the last batch_id=<n> in a path is the partition directory (the base may contain one too)
+    ids = [int(found[-1]) for f in df.inputFiles() if (found := re.findall(r"batch_id=(\d+)", f))]
     return max(ids) if ids else None
 
 
