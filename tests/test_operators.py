@@ -258,3 +258,15 @@ def test_cabin_json_parse_and_etl_edges(spark):
     etl = cab.valid_cabin_records(parsed, with_processing_time=False)
     assert sorted((r["vehicle_id"], r["event"], r["speed"]) for r in etl.collect()) == [
         ("v1", "brake", 12.5), ("v5", " go ", 7.0)]                                           # values not trimmed
+
+
+def test_kafka_envelope_columns_and_null_key(spark):
+    import datetime as dt
+    from autopulse import schemas
+    from autopulse.operators import cabin as cab
+    recs = spark.createDataFrame([(None, bytearray(b'{"event":"x"}'), "cabin", 2, 7, dt.datetime(2024, 1, 1, 0, 0, 1), 0)],
+                                 schemas.KAFKA)
+    row = cab.kafka_envelope(recs).first()
+    assert row.asDict() == {"message_key": None, "raw_value": '{"event":"x"}', "topic": "cabin", "partition": 2,
+                            "offset": 7, "kafka_time": row["kafka_time"]}
+    assert row["kafka_time"].startswith("2024-01-01") or row["kafka_time"].startswith("2023-12-31")
