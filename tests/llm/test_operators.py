@@ -1,0 +1,554 @@
+"""Each training-data operator against a brute-force version, on a small table with hard cases."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from autopulse.llm import (
+    catalog, chat, decontam, exact_dedup, kd_shard, langid, near_dup, packing, suffix_dedup, toxicity, url_filter,
+)
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, id long, block int"
+WORDS = [a + b for a in ("ka", "lo", "mi", "ter", "von", "es") for b in ("na", "ro", "tis", "quel", "ung", "dor", "pa")]
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS, n))
+
+
+def hard_rows():
+    """Nulls, empties, copies, near copies, shared passages, repeated rows, a very long text."""
+    rng = np.random.default_rng(3)
+    base, passage = prose(rng, 80), prose(rng, 60)
+    words = base.split()
+    texts = [None, "", " \t\n ", "one", "One two", "one  two", base, base, base.replace(" ", "\n"), base + " ",
+             " ".join(words[:40] + ["zz"] + words[40:]), " ".join(words[1:]), " ".join(words[:-30] + ["x"] * 30),
+             prose(rng, 50) + " " + passage + " " + prose(rng, 50), passage, prose(rng, 9) + passage,
+             prose(rng, 4000), "aaaa" * 60, "aaaa" * 45, "é" * 120, "ñandú " * 40, "日本語 " * 30, "<|endoftext|> a",
+             "!!!!", "42 43", base.upper(), "a\x0bb\x0cc", "a b c"]
+    rows = [(i, t, "en" if i % 3 else None, "hot" if i % 2 else None, None, "x", 7, 1) for i, t in enumerate(texts)]
+    rows += [(1000 + i, prose(rng, int(rng.integers(1, 120))), "en", "hot", 5, "y", 8, 2) for i in range(60)]
+    rows += [(6, base, "en", None, None, "x", 7, 1), (6, base, "en", None, None, "x", 7, 1)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return spark.createDataFrame(hard_rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def collect(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def plain(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+# --- SQL oracles and registration ---------------------------------------------------------
+
+def test_every_operator_is_registered():
+    names = list(E.queries())
+    assert [n for n in range(1, 11) if sum(x.startswith(f"op{n}_") for x in names) == 1] == list(range(1, 11))
+    assert "pipeline" in names and set(catalog.SQL) <= set(catalog.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    res = con.execute(catalog.SQL[name])
+    cols = [d[0] for d in res.description]
+    got = sorted((tuple(r[c] for c in cols) for r in catalog.QUERIES[name](spark, SF).collect()), key=repr)
+    assert got == sorted(res.fetchall(), key=repr)
+
+
+# --- op1 --------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("which", ["hard", "sf"])
+def test_kd_shards(spark, hard, which):
+    docs = hard if which == "hard" else documents(spark)
+    texts = Counter((i, t) for i, t in plain(docs))
+    shards = 4 if which == "hard" else 8
+    rows = collect(kd_shard.kd_shards(docs, shards))
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter(
+        {(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())): n for (i, t), n in texts.items()}) or (
+        sum(texts.values()) == len(rows))
+    slots, size = defaultdict(list), Counter()
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+        size[r["shard"]] += r["size"]
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < shards
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    largest = max(r["size"] for r in rows)
+    assert max(size.values()) - min(size.values()) <= 2 * largest + 0.02 * sum(size.values())
+
+
+def test_kd_shards_near_equal_with_one_hot_value(spark):
+    rows = spark.range(30_000).selectExpr("id AS doc_id", "repeat('x', 10 + cast(id % 90 AS int)) AS text",
+                                          "if(id % 3 = 0, 'hot', cast(id AS string)) AS source")
+    size = Counter()
+    for r in kd_shard.kd_shards(rows, 40).groupBy("shard").sum("size").collect():
+        size[r[0]] = r[1]
+    assert len(size) == 40 and max(size.values()) < 1.01 * min(size.values())
+
+
+def test_kd_shards_empty(empty):
+    assert kd_shard.kd_shards(empty, 40).count() == 0
+
+
+# --- op2 --------------------------------------------------------------------------------------
+
+def brute_phrases(text, sample):
+    """Greedy longest matches, each found by substring search, in blocks."""
+    sym = langid.CLASS[np.frombuffer(text, np.uint8)].tolist()
+    refs = ["".join(map(chr, langid.CLASS[np.frombuffer(s, np.uint8)] + 1000)) for s in sample]
+    known = {c for r in refs for c in r}
+    count = 0
+    for lo in range(0, len(sym), langid.BLOCK):
+        block = "".join(chr(c + 1000) for c in sym[lo: lo + langid.BLOCK])
+        at = 0
+        phrase = ""
+        while at < len(block):
+            c = block[at]
+            if phrase and any(phrase + c in r for r in refs):
+                phrase += c
+            else:  # a new phrase begins; a symbol that no labelled text has is one by itself
+                count += 1
+                phrase = c if c in known else ""
+            at += 1
+    return count
+
+
+def test_cross_parsing_counts_longest_matches():
+    rng = np.random.default_rng(5)
+    sample = {"aa": [prose(rng, 60).encode()], "bb": [" ".join("xyz"[i % 3] * 3 for i in range(50)).encode()]}
+    model = langid.build(sample)
+    texts = [prose(rng, 30), "xyz xxx yyy", "", "tisñ tis 12", prose(rng, 200)]
+    from autopulse.llm.common import text_buffer
+    got = langid.phrases(*text_buffer(pa.array(texts)), model)
+    for j, lang in enumerate(model.langs):
+        assert [int(x) for x in got[:, j]] == [brute_phrases(t.encode(), sample[lang]) for t in texts]
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = collect(langid.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id"))
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert len(rows) == docs.count() and np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97
+
+
+def test_language_hard_cases(hard, empty):
+    rows = collect(langid.language_id(hard))
+    assert len(rows) == hard.count()
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[0]["lang_pred"] == by_id[1]["lang_pred"] == by_id[24]["lang_pred"] == "und"
+    assert by_id[24]["score"] == 0 and by_id[6]["lang_pred"] == "en"
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    assert langid.language_id(empty).count() == 0
+    unlabelled = hard.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in collect(langid.language_id(unlabelled))} == {"und"}
+
+
+# --- op3 --------------------------------------------------------------------------------------
+
+def check_packing(rows, texts):
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(packing.default_paths()[0])
+    want = Counter()
+    for i, t in texts:
+        ids = exact.encode(t or "", add_special_tokens=False).ids + [0]
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[(i, p, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for b in bins.values():
+        end = 0
+        for offset, length in sorted(b):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    return len(bins), -(-sum(r["length"] for r in rows) // 2048)
+
+
+def test_packing_round_trip_hard(hard, empty):
+    rows = collect(packing.best_fit_packing(hard))
+    bins, bound = check_packing(rows, plain(hard))
+    assert bins <= bound + 1
+    assert packing.best_fit_packing(empty).count() == 0
+
+
+def test_packing_round_trip_and_tightness(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = collect(packing.best_fit_packing(docs))
+    bins, bound = check_packing(rows, plain(docs))
+    assert bins <= 1.01 * bound + 1
+
+
+def test_pieces_carry_their_ids(hard):
+    rows = collect(packing.tokenize_pieces(hard, with_ids=True))
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in rows)
+
+
+def test_crossover_keeps_every_item_once():
+    rng = np.random.default_rng(1)
+    lengths = [int(x) for x in rng.integers(1, 900, 300)]
+    people = [packing.best_fit(rng.permutation(300).tolist(), lengths, 2048, [], []) for _ in range(2)]
+    for _ in range(20):
+        child = packing.crossover(*people, lengths, 2048, rng)
+        assert sorted(i for b in child for i in b) == list(range(300))
+        assert all(sum(lengths[i] for i in b) <= 2048 for b in child)
+        people[0] = child
+
+
+# --- op4 --------------------------------------------------------------------------------------
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i))
+    out = []
+    for norm, g in groups.items():
+        keep = min(g)[1]
+        out += [(i, keep, len(g), hashlib.sha256(norm.encode()).hexdigest()) for _, i in g]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup(hard, weak):
+    digest = (lambda c: (F.crc32(c.cast("binary")) % 5).cast("string")) if weak else exact_dedup.sha256
+    rows = collect(exact_dedup.exact_dedup(hard, digest=digest, files_per_batch=1))
+    got = sorted((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in rows)
+    assert got == brute_exact(plain(hard))
+    kept = Counter(r["text_sha256"] for r in rows if r["kept"])
+    assert weak or (set(kept.values()) == {1} and len(kept) == len({g[3] for g in got}))
+
+
+def test_exact_dedup_empty_and_keep_first(hard, empty):
+    assert exact_dedup.exact_dedup(empty).count() == 0
+    kept = exact_dedup.keep_first(hard)
+    assert set(kept.columns) == set(hard.columns)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({k for _, k, _, _ in brute_exact(plain(hard))})
+
+
+# --- op5 --------------------------------------------------------------------------------------
+
+def test_block_max_wand_equals_full_scoring():
+    rng = np.random.default_rng(2)
+    texts = [prose(rng, int(rng.integers(5, 40))) for _ in range(120)]
+    hashes, first = decontam.word_hashes(pa.array(texts))
+    df = Counter(int(t.view(np.int64)) for a, b in zip(first, first[1:]) for t in np.unique(hashes[a:b]))
+    index = decontam.build_index(list(range(120)), texts, df, 120, len(hashes) / 120)
+    for k in range(60):
+        query = np.unique(index.lookup(decontam.word_hashes(pa.array([prose(rng, 30) + " " + texts[k]]))[0]))
+        query = query[query >= 0]
+        score = np.zeros(120)
+        for t in query:
+            at, impact, _ = index.lists[t]
+            score[at] += impact
+        for threshold in (0.3, 0.6, 0.9):
+            want = {i for i in range(120) if score[i] >= threshold - 1e-9}
+            got = decontam.block_max_wand(index, query, threshold)
+            assert {i for i, _ in got} == want and all(abs(s - score[i]) < 1e-6 for i, s in got)
+
+
+def test_contaminated_finds_planted_items(spark, empty):
+    rng = np.random.default_rng(8)
+    items = [prose(rng, 25) + "? " + prose(rng, 12) for _ in range(6)] + [None, "", "two words", prose(rng, 150)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [(i, prose(rng, 300)) for i in range(20)]
+    docs += [(100 + i, prose(rng, 90 + 37 * i) + " " + items[i].upper().replace(" ", ",  ") + " " + prose(rng, 70))
+             for i in range(6)]
+    docs += [(200, prose(rng, 500) + items[9]), (300, items[0].split("?")[0]), (301, None), (302, ""), (100, docs[20][1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = collect(decontam.contaminated(frame, bench))
+    assert Counter((r["doc_id"], r["item_id"]) for r in rows) == Counter(
+        {(100, 0): 2, **{(100 + i, i): 1 for i in range(1, 6)}, (200, 9): 1})
+    kept = sorted(r["doc_id"] for r in decontam.drop_contaminated(frame, bench).collect())
+    assert kept == sorted(i for i, _ in docs if not (100 <= i < 106 or i == 200))
+    assert decontam.contaminated(empty, bench).count() == 0
+    none = spark.createDataFrame([], bench.schema)
+    assert decontam.contaminated(frame, none).count() == 0 and decontam.drop_contaminated(frame, none).count() == len(docs)
+
+
+def test_contaminated_over_several_index_shards(spark, monkeypatch):
+    bench, docs = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("benchmark", "documents"))
+    whole = sorted((r["doc_id"], r["item_id"]) for r in collect(decontam.contaminated(docs, bench)))
+    items = {r["item_id"]: " ".join(re.findall(r"\w+", r["text"].lower())) for r in bench.collect()}
+    texts = [(i, " ".join(re.findall(r"\w+", (t or "").lower()))) for i, t in plain(docs)]
+    verbatim = {(i, k) for i, t in texts for k, item in items.items() if item in t}
+    assert verbatim and verbatim <= set(whole)
+    monkeypatch.setattr(decontam.index_shards, "__defaults__", ("item_id", "text", 2000))
+    assert sorted((r["doc_id"], r["item_id"]) for r in collect(decontam.contaminated(docs, bench))) == whole
+
+
+# --- op6 --------------------------------------------------------------------------------------
+
+def test_chat_collapse_and_rendering(spark):
+    rng = np.random.default_rng(4)
+    say = [(("user", "assistant")[k % 2], prose(rng, 4)) for k in range(30)]
+    convs = {1: say[:2], 2: say[:5], 3: say[:5], 4: say[:30], 5: say[:3] + [("user", None)], 6: [(None, "hi")],
+             7: say[1:4], 8: say[:30][:29] + [("user", "other")], 9: [(None, "hi"), ("user", "x")]}
+    rows = [(c, k, r, t, 0) for c, turns in convs.items() for k, (r, t) in enumerate(turns)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, pos int").repartition(4)
+    want = {}
+    norm = {c: [(r or "", t or "") for r, t in turns] for c, turns in convs.items()}
+    for c, turns in norm.items():
+        covers = [(-len(o), k) for k, o in norm.items() if o[: len(turns)] == turns]
+        want[c] = min(covers)[1]
+    for chunk, part in ((4096, 256), (3, 4)):
+        got = defaultdict(list)
+        for r in collect(chat.chat_format(frame, part_turns=part, chunk_turns=chunk)):
+            assert r["covered_by"] == want[r["conv_id"]] and r["kept"] == (want[r["conv_id"]] == r["conv_id"])
+            assert r["n_turns"] == len(convs[r["conv_id"]])
+            got[r["conv_id"]].append((r["part"], r["rendered"]))
+        for c, parts in got.items():
+            if want[c] == c:
+                assert "".join(t for _, t in sorted(parts)) == "".join(
+                    f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in norm[c])
+                assert len(parts) == -(-len(convs[c]) // part)
+            else:
+                assert parts == [(0, None)]
+    assert chat.chat_format(frame.limit(0)).count() == 0
+
+
+def test_chat_null_ids_and_repeated_rows(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "user", "b"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 0, "user", "a")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r["conv_id"]: (r["n_turns"], r["covered_by"], r["kept"]) for r in collect(chat.chat_format(frame))}
+    assert got == {None: (2, None, True), 1: (1, 2, False) if got[1][1] == 2 else (1, 1, True), 2: (2, 2, True)}
+
+
+# --- op7 --------------------------------------------------------------------------------------
+
+def test_toxicity_held_out_and_misspellings(spark):
+    rng = np.random.default_rng(6)
+    stems = ["grumblax", "zorvik", "plandurr"]
+    rows = []
+    for i in range(900):
+        words = prose(rng, int(rng.integers(20, 120))).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(max(1, len(words) // 30)):
+                words[int(rng.integers(0, len(words)))] = stems[int(rng.integers(0, 3))] + str(rng.choice(["a", "en", "os", "ik"]))
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r for r in collect(toxicity.toxicity(docs, labels))}
+    held = [(got[i], y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(r["held_out"] for r, _ in held) and np.mean([r["predicted"] == y for r, y in held]) > 0.93
+    unseen = [prose(rng, 20) + " grumblaxxi zorviko " + prose(rng, 20) for _ in range(10)]
+    clean = [prose(rng, 42) for _ in range(10)]
+    assert toxicity.score_column(pa.array(unseen), model).min() > toxicity.score_column(pa.array(clean), model).max()
+    # a slice's score does not depend on its neighbours
+    together = toxicity.score_column(pa.array(unseen + clean), model)
+    alone = [toxicity.score_column(pa.array([t]), model)[0] for t in unseen + clean]
+    assert np.allclose(together, alone, atol=1e-6)
+
+
+def test_toxicity_hard_cases(spark, hard, empty):
+    labels = spark.createDataFrame([(6, None), (None, 1), (7, 0), (10, 1), (10, 0), (12, 0)], "doc_id long, toxic int")
+    rows = collect(toxicity.toxicity(hard, labels))
+    assert len(rows) == hard.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (0, 1)}) == 1
+    nothing = labels.limit(0)
+    assert {r["predicted"] for r in collect(toxicity.toxicity(hard, nothing))} == {0}
+    assert toxicity.toxicity(empty, labels).count() == 0
+    assert toxicity.drop_toxic(hard, toxicity.train(hard, nothing)).count() == hard.count()
+
+
+# --- op8 --------------------------------------------------------------------------------------
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i: i + 5]) for i in range(len(words) - 4))
+
+
+def brute_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1:]:
+            p, q = sets[a], sets[b]
+            if p and q and 100 * min(len(p), len(q)) >= 85 * max(len(p), len(q)) and 100 * len(p & q) >= 85 * len(p | q):
+                ra, rb = find(a), find(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("which", ["hard", "sf", "family"])
+def test_near_duplicates(spark, hard, which, monkeypatch):
+    if which == "family":  # one large group of near copies, long lists cut into blocks
+        rng = np.random.default_rng(9)
+        base = prose(rng, 120).split()
+        rows = []
+        for i in range(150):
+            words = list(base)
+            for _ in range(int(rng.integers(0, 6))):
+                words[int(rng.integers(0, 120))] = f"w{rng.integers(0, 10 ** 6)}"
+            rows.append((i, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        monkeypatch.setattr(near_dup.bucket_members, "__defaults__", (16,))
+    else:
+        docs = hard if which == "hard" else documents(spark)
+    rows = collect(near_dup.near_duplicates(docs))
+    want = brute_components(plain(docs))
+    assert len(rows) == docs.count()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
+
+
+def test_near_duplicates_empty_and_null_ids(spark, empty):
+    assert near_dup.near_duplicates(empty).count() == 0
+    rows = [(None, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f")]
+    got = collect(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(None, None, True), (1, 1, True), (2, 1, False)}
+
+
+# --- op9 --------------------------------------------------------------------------------------
+
+def brute_repeats(rows, threshold=50):
+    data = {i: (t or "").encode() for i, t in rows}
+    first = {}
+    for i in sorted(data):
+        for k in range(len(data[i]) - threshold + 1):
+            first.setdefault(data[i][k: k + threshold], i)
+    out = {}
+    for i, b in data.items():
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - threshold + 1):
+            if first[b[k: k + threshold]] < i:
+                gone[k: k + threshold] = True
+        runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        out[i] = (len(b), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("which", ["hard", "sf"])
+def test_remove_repeats(spark, hard, which):
+    docs = hard if which == "hard" else documents(spark)
+    rows = collect(suffix_dedup.remove_repeats(docs))
+    assert len(rows) == docs.count()
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in rows}
+    assert got == brute_repeats(plain(docs))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_remove_repeats_on_few_letters(spark, seed, monkeypatch):
+    """Periodic and highly repetitive texts, cut into small segments and buckets."""
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 40)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 200)
+    pool = ["".join(rng.choice(list("ab"), int(rng.integers(1, 14)))) for _ in range(3)]
+    rows = [(int(i), "".join(rng.choice(pool, int(rng.integers(0, 30))))) for i in rng.permutation(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest())
+           for r in collect(suffix_dedup.remove_repeats(docs, threshold=20))}
+    assert got == brute_repeats(rows, 20)
+
+
+def test_remove_repeats_empty_and_null_ids(spark, empty):
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+    rows = [(None, "x" * 80), (2, "x" * 80), (None, None), (3, "x" * 80)]
+    got = collect(suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in got) == [("2", 0), ("3", 80), ("None", 0), ("None", 0)]
+
+
+# --- op10 -------------------------------------------------------------------------------------
+
+URLS = ["http://example.com/en/x", "https://WWW.Example.com/en/?q#f", "http://a.b.www.example.com/en/", "ftp://net/es/1",
+        "http://x.net/fr/", "http://x.net/de/", "http://notexample.com/en/", "http://example.com/en", "http://example.com",
+        "example.com/en/", None, "", "://", "http:///en/", "http://example.com?x=/en/", "http://example.com/en/",
+        "http://net.com/a://b/c", "http://é.COM/É", "http://example.com/" + "a/" * 3000, "http://" + "a." * 60 + "com/z"]
+
+
+def brute_url(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host):]).group()
+        host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    best = max((((len(h) + len(p), len(h), a), h + p) for a, h, p in rules
+                if (host == h or host.endswith("." + h)) and path.startswith(p)), default=None)
+    return host, path, best and best[1], best[0][2] if best else "allow"
+
+
+@pytest.mark.parametrize("rules", [catalog.RULES, catalog.RULES + [("block", "com", "/en/x"), ("allow", "com", "/"),
+                                                                    ("block", "b.www.example.com", ""), ("block", "net", "/d")], []])
+def test_url_rules(spark, rules):
+    pages = spark.createDataFrame([(i % 18, u, "<html>") for i, u in enumerate(URLS)], "page_id long, url string, host string")
+    got = Counter(tuple(r) for r in url_filter.judge_urls(
+        pages, spark.createDataFrame(rules, url_filter.RULES_SCHEMA)).collect())
+    assert got == Counter((i % 18, *brute_url(u, rules)) for i, u in enumerate(URLS))
+    assert url_filter.judge_urls(pages.limit(0), spark.createDataFrame(rules, url_filter.RULES_SCHEMA)).count() == 0
+
+
+# --- pipeline ---------------------------------------------------------------------------------
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+    from autopulse.llm.common import materialise
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, seen = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = plain(docs)
+        docs = materialise(stage(spark, docs, sf), f"test-{name}")
+        seen[name] = (before, docs)
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    before, after = seen["toxicity"]
+    kept = {i for i, _ in plain(after)}
+    clean = [i for i, _ in before if labels.get(i) == 0]
+    assert sum(i in kept for i in clean) >= 0.97 * len(clean)
+    before, after = seen["exact_dedup"]
+    assert sorted(i for i, _ in plain(after)) == sorted({k for _, k, _, _ in brute_exact(before)})
+    before, after = seen["minhash_near_dedup"]
+    assert sorted(i for i, _ in plain(after)) == sorted({c for _, c in brute_components(before).values()})
+    before, after = seen["benchmark_decontamination"]
+    items = [" ".join(re.findall(r"\w+", r["text"].lower())) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    leaky = {i for i, t in before if any(item in " ".join(re.findall(r"\w+", t.lower())) for item in items)}
+    kept = {i for i, _ in plain(after)}
+    assert leaky and not leaky & kept and len(kept) >= len(before) - len(leaky) - 0.01 * len(before)
+    before, after = seen["best_fit_packing"]
+    bins, bound = check_packing(collect(after), before)
+    assert bins <= 1.01 * bound + 1
