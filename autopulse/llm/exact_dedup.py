@@ -33,6 +33,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -61,7 +62,8 @@ def arrivals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def retain(spark: SparkSession, log: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """Run the stateful query over an arrival log to its end; one row per digest."""
     session = spark.newSession()
-    for k, v in STATE.items():
+    width = "spark.sql.shuffle.partitions"  # a new session starts from the defaults
+    for k, v in {**STATE, width: spark.conf.get(width)}.items():
         session.conf.set(k, v)
     out, checkpoint = scratch_dir(spark, "dedup-state"), scratch_dir(spark, "dedup-checkpoint")
     reader = session.readStream.schema(schema)
