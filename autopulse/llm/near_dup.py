@@ -13,15 +13,18 @@ is an element posted to an inverted list:
 * count: within a list the collisions of whole signatures are counted, and pairs with at least
   MATCHES that could reach the threshold by their set sizes are candidates.
 
-Candidates are taken in rounds.  In a round each class names its best few partners (the number
-grows eightfold) outside its own component; they are confirmed on full shingle sets, confirmed
-links merge components, and pairs inside a component need no further look.  The rounds end when
-no class has an untested candidate outside its component, so no link that joins two components
-is lost, and a group of thousands of near copies costs rows in proportion to its size.
+Candidates are taken in rounds.  In the first, each class names its best partner per list.  Those
+pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
+component need no further look.  Classes with a candidate also get a longer sketch
+(``SKETCH`` coordinates, a byte each), and in later rounds they name their best few partners (the
+number grows eightfold) outside their component that the sketch does not rule out.  The rounds
+end when no class has an untested candidate outside its component, so no link that joins two
+components is lost, and a group of thousands of near copies costs rows in proportion to its size.
 
 Components come from label propagation with pointer jumping over joins; nothing about all
 documents reaches the driver.  A pair exactly at the threshold of 0.85 agrees in fewer than
-MATCHES of 64 coordinates with a probability of about 1e-6.
+MATCHES of 64 coordinates, or in fewer than SKETCH_MATCHES of the sketch, with a probability of
+about 1e-6 each.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a text with
 fewer than five words is one shingle; copies share their class; rows that share an id are one
@@ -44,6 +47,8 @@ WORDS = 5
 PERCENT = 85
 COORDINATES = 64
 MATCHES = 40
+SKETCH = 512
+SKETCH_MATCHES = 398
 BLOCK = 256
 GROWTH = 8
 
@@ -53,8 +58,8 @@ LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _RNG = np.random.default_rng(29)
-SCALE = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFT = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+SCALE = _RNG.integers(1, 1 << 63, COORDINATES + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFT = _RNG.integers(0, 1 << 63, COORDINATES + SKETCH, dtype=np.uint64)
 POWERS = Powers()
 
 
@@ -90,17 +95,29 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield word[:0]
 
 
+def _minima(hashes: np.ndarray, scale: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    best = np.full(len(scale), np.iinfo(np.uint64).max, np.uint64)
+    step = max(256, (1 << 18) // len(scale))
+    for lo in range(0, len(hashes), step):
+        part = hashes[lo: lo + step]
+        best = np.minimum(best, (part[None, :] * scale[:, None] + shift[:, None]).min(axis=1))
+    return best
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
     """Minimum of each coordinate's hash over a set, 32 bits each."""
-    best = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(hashes), 4096):
-        part = hashes[lo: lo + 4096]
-        best = np.minimum(best, (part[None, :] * SCALE[:, None] + SHIFT[:, None]).min(axis=1))
+    best = _minima(hashes, SCALE[:COORDINATES], SHIFT[:COORDINATES])
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """A byte of each minimum over further coordinates: unequal minima share it once in 256 times."""
+    best = _minima(hashes, SCALE[COORDINATES:], SHIFT[COORDINATES:])
+    return (splitmix(best) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n, d1, d2, sig``: set size, 128-bit set digest, signature (empty for an empty set)."""
+    """``doc_id, n, d1, d2, coordinates, sig``: set size, 128-bit set digest, signature as array and as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -111,19 +128,20 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     d2.append(int(np.bitwise_xor.reduce(splitmix(h)).view(np.int64)) if len(h) else 0)
                     sigs.append(signature(h) if len(h) else np.zeros(0, np.int32))
                 values = pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int32))
+                packed = pa.array([s.tobytes() for s in sigs], pa.binary())
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()),
-                     pa.array(d2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values)],
-                    names=["doc_id", "n", "d1", "d2", "sig"])
+                     pa.array(d2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values), packed],
+                    names=["doc_id", "n", "d1", "d2", "coordinates", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(rows, run, "doc_id long, n long, d1 long, d2 long, sig array<int>")
+    return map_batches(rows, run, "doc_id long, n long, d1 long, d2 long, coordinates array<int>, sig binary")
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
     """``element, id`` of each class's rarest elements that other classes have too."""
-    exploded = classes.select("id", F.posexplode("sig").alias("k", "v")).select(
+    exploded = classes.select("id", F.posexplode("coordinates").alias("k", "v")).select(
         "id", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
         .alias("element"))
     shared = exploded.groupBy("element").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
@@ -150,12 +168,13 @@ def bucket_members(postings: DataFrame, block: int = BLOCK) -> DataFrame:
             .select("bucket", "split", F.explode("m").alias("x")).select("bucket", "split", "x.id", "x.side"))
 
 
-def _best_partners(ids, label, size, sig, side, split: bool, top: int):
-    """Pairs of one bucket that each member names, and whether some member had more."""
+def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: int):
+    """Pairs of one list that each member names, and whether some member had more."""
     agree = np.empty((len(ids), len(ids)), np.int16)
-    for lo in range(0, len(ids), 64):
-        agree[lo: lo + 64] = (sig[lo: lo + 64, None, :] == sig[None, :, :]).sum(axis=2)
-    fits = (agree >= MATCHES) & (label[:, None] != label[None, :])
+    step = max(1, (1 << 23) // sig.size)
+    for lo in range(0, len(ids), step):
+        agree[lo: lo + step] = (sig[lo: lo + step, None, :] == sig[None, :, :]).sum(axis=2)
+    fits = (agree >= least) & (label[:, None] != label[None, :])
     fits &= 100 * np.minimum(size[:, None], size[None, :]) >= PERCENT * np.maximum(size[:, None], size[None, :])
     if split:
         fits &= side[:, None] != side[None, :]
@@ -168,26 +187,27 @@ def _best_partners(ids, label, size, sig, side, split: bool, top: int):
     return out, more
 
 
-def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame, top: int) -> DataFrame:
-    """``a, b, more``: untested pairs across components, each class's ``top`` best per list."""
+def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame, least: int, top: int) -> DataFrame:
+    """``a, b, more``: pairs across components that agree in ``least`` coordinates, each class's ``top`` best per list.
+
+    ``classes``: ``id``, set size ``n`` and ``sig``, the coordinates as bytes.
+    """
     rows = (members.join(classes.select("id", "n", "sig"), "id").join(labels, "id", "left")
             .withColumn("label", F.coalesce("label", "id")))
     lists = (rows.groupBy("bucket", "split").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.collect_list(F.struct("id", "side", "label", "n", "sig")).alias("m"))
         .where("lo != hi").select("split", "m"))
+    kind = np.int32 if least <= COORDINATES else np.uint8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, flags = [], [], []
             for i in range(batch.num_rows):
                 m = batch.column("m")[i].values
-                ids, side, label, size, sig = (m.field(k) for k in range(5))
-                pairs, more = _best_partners(
-                    ids.to_numpy(zero_copy_only=False), label.to_numpy(zero_copy_only=False),
-                    size.to_numpy(zero_copy_only=False),
-                    sig.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES),
-                    side.to_numpy(zero_copy_only=False), batch.column("split")[i].as_py(), top)
+                ids, side, label, size = (m.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                sig = np.stack([np.frombuffer(x.as_buffer(), kind) for x in m.field(4)])
+                pairs, more = _best_partners(ids, label, size, sig, side, batch.column("split")[i].as_py(), least, top)
                 for x, y in pairs:
                     a.append(x)
                     b.append(y)
@@ -199,17 +219,19 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame, top: i
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, shingles``: the sorted shingle hashes, as bytes, of the named documents."""
+    """``id, n, shingles, sig``: the named documents' sorted shingle hashes, as bytes, and their sketches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                sets = [h.tobytes() for h in shingle_sets(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())],
-                                                 names=["id", "shingles"])
+                sets = list(shingle_sets(part.column("text")))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array([len(h) for h in sets], pa.int64()),
+                     pa.array([h.tobytes() for h in sets], pa.binary()), pa.array([sketch(h) for h in sets], pa.binary())],
+                    names=["id", "n", "shingles", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     wanted = only_slots(rows, "id", ids, "id").join(ids, "id", "left_semi")
-    return map_batches(wanted, run, "id long, shingles binary").dropDuplicates(["id"])
+    return map_batches(wanted, run, "id long, n long, shingles binary, sig binary").dropDuplicates(["id"])
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -255,18 +277,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = materialise(signatures(docs, id_col, text_col), "near-signatures")
     usable = sig.where("n > 0 AND doc_id IS NOT NULL")
     groups = materialise(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id")), "near-classes")
-    classes = materialise(usable.select(F.col("doc_id").alias("id"), "n", "d1", "d2", "sig")
+    classes = materialise(usable.select(F.col("doc_id").alias("id"), "n", "d1", "d2", "coordinates", "sig")
                           .join(groups, ["id", "n", "d1", "d2"], "left_semi").dropDuplicates(["id"]), "near-reps")
     members = materialise(bucket_members(prefix_postings(classes)), "near-members")
     labels = spark.createDataFrame([], "id long, label long")
     links = spark.createDataFrame([], "a long, b long")
     tested, sets, top = None, None, 1
     while True:
-        named = materialise(candidates(members, classes, labels, top), "near-named")
+        if sets is None:
+            named = candidates(members, classes, labels, MATCHES, top)
+        else:
+            named = candidates(members, sets, labels, SKETCH_MATCHES, top)
+        named = materialise(named, "near-named")
         found = named if tested is None else materialise(named.join(tested, ["a", "b"], "left_anti"), "near-untested")
         more = named.agg(F.max("more").alias("more")).first()["more"]
-        if found.isEmpty() and not more:
-            break
         if not found.isEmpty():
             if sets is None:  # every class with a candidate names its best one in the first round
                 ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -276,6 +300,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             failed = decided.where("NOT linked").select("a", "b")
             tested = failed if tested is None else tested.unionByName(failed)
             labels = components(links)
+        if not more:  # every candidate outside a component has been named and tested
+            break
         top *= GROWTH
     joined = sig.join(groups, ["n", "d1", "d2"], "left").join(labels, "id", "left")
     linkable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
