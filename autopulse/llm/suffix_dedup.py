@@ -41,6 +41,9 @@ from autopulse.llm.common import (
 THRESHOLD = 50
 BUCKET_BYTES = 8 << 20
 SEGMENT = 1 << 20
+PLACE_BITS = 22  # a piece has fewer than 4 SEGMENT bytes
+LOCAL_BYTES = 12 << 20  # of text that a task settles at once
+MARK = np.iinfo(np.int64).max  # stands for a document in rows that only mark a rank
 KEYS = byte_keys(41)
 POWERS = Powers()
 #: A run's own rank only divides rows of one 64-bit gram rank: 48 more bits, so two bytes less to shuffle.
@@ -51,15 +54,18 @@ FOUND = pa.schema([("open", pa.bool_()), ("doc_id", pa.int64()), ("start", pa.in
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost least value in every window of ``width`` values."""
-    best, at, reach = values, np.arange(len(values)), 1
+    """Index of the leftmost least value in every window of ``width`` values.
+
+    Values are compared by the bits above ``PLACE_BITS``; the place in the low bits makes the
+    leftmost of equals the least, the same in equal windows wherever they stand.
+    """
+    mask = np.uint64((1 << PLACE_BITS) - 1)
+    best, reach = (values & ~mask) | np.arange(len(values), dtype=np.uint64), 1
     while reach < width:
         step = min(reach, width - reach)
-        less = best[step:] < best[:-step]
-        at = np.where(less, at[step:], at[:-step])
-        best = np.where(less, best[step:], best[:-step])
+        best = np.minimum(best[step:], best[:-step])
         reach += step
-    return at
+    return (best & mask).astype(np.int64)
 
 
 def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
@@ -69,11 +75,11 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
     if count <= 0:
         return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
     prefix = POWERS.prefix(KEYS[data])
-    places = np.arange(len(data) - gram + 1)
-    grams = splitmix(POWERS.span(prefix, places, places + gram))
+    size = len(data) - gram + 1
+    grams = splitmix((prefix[gram:] - prefix[:size]) * POWERS.down[:size])
     least = sliding_least(grams, threshold - gram + 1)[:count]
-    text = np.searchsorted(offsets, np.arange(count), side="right") - 1
-    inside = np.arange(count) + threshold <= offsets[text + 1]
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:count]
+    inside = np.arange(count) + threshold <= np.repeat(offsets[1:], np.diff(offsets))[:count]
     change = np.ones(count, bool)
     change[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(change & inside)
@@ -124,24 +130,31 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(head)
 
 
-def settle(rank, full, doc, start, more):
-    """Sort rows by rank, run and document; tell which are settled as removed and each rank's variety.
+def settle(rank, full, doc, start):
+    """Which rows are removed (a smaller document has the same run), and which ranks stay in question.
 
-    Returns the sorted columns, ``removed`` (a smaller document has the same run) and, per
-    row, how many runs and documents its rank has.
+    Returns three masks in the order of the rows: removed; of a rank with different runs in
+    two or more documents; of a rank that a second row has.
     """
-    order = np.lexsort((start, doc, full, rank))
-    rank, full, doc, start, more = rank[order], full[order], doc[order], start[order], more[order]
-    by_rank, by_run = _groups(rank), _groups(rank, full)
-    size = int(by_rank[-1]) + 1 if len(rank) else 0
-    first = np.searchsorted(by_run, by_run) if len(rank) else by_run
-    removed = doc > doc[first] if len(rank) else np.zeros(0, bool)
-    runs = np.bincount(by_rank[np.unique(by_run, return_index=True)[1]], minlength=size)[by_rank] if size else by_rank
-    low, high = np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)
-    np.minimum.at(low, by_rank, doc)
-    np.maximum.at(high, by_rank, doc)
-    alone = (low == high)[by_rank] if size else np.zeros(0, bool)
-    return rank, full, doc, start, more, removed, runs, alone
+    removed, varied, shared = (np.zeros(len(rank), bool) for _ in range(3))
+    order = np.argsort(rank)
+    ranked = rank[order]
+    same = ranked[1:] == ranked[:-1]
+    shared_sorted = np.zeros(len(rank), bool)
+    shared_sorted[1:] |= same
+    shared_sorted[:-1] |= same
+    at = order[shared_sorted]
+    shared[at] = True
+    if len(at):
+        at = at[np.lexsort((doc[at], full[at], rank[at]))]
+        by_rank, by_run = _groups(rank[at]), _groups(rank[at], full[at])
+        heads = np.flatnonzero(np.concatenate(([True], by_run[1:] != by_run[:-1])))
+        removed[at] = doc[at] > doc[at][heads][by_run]
+        tops = np.flatnonzero(np.concatenate(([True], by_rank[1:] != by_rank[:-1])))
+        runs = np.bincount(by_rank[heads])
+        alone = np.minimum.reduceat(doc[at], tops) == np.maximum.reduceat(doc[at], tops)
+        varied[at] = ((runs > 1) & ~alone)[by_rank]
+    return removed, varied, shared
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -156,8 +169,10 @@ def _unplanes(data, kind, n: int) -> np.ndarray:
 
 
 def _packed(bucket: np.ndarray, rank, full, doc, start, more) -> pa.RecordBatch:
-    """One row per bucket that holds its rows' columns as bytes, in the order of documents."""
-    order = np.lexsort((start, doc, bucket))
+    """One row per bucket that holds its rows' columns as bytes, in the order given."""
+    low = int(bucket.min()) if len(bucket) else 0
+    span = int(bucket.max()) - low + 1 if len(bucket) else 1
+    order = np.argsort((bucket - low).astype(np.uint16 if span <= 1 << 16 else np.int64), kind="stable")
     bucket = bucket[order]
     cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)])) if len(bucket) else [0]
     cols = [c[order] for c in (rank, full, doc, start, more)]
@@ -206,32 +221,26 @@ def _resolve(table: pa.Table, threshold: int, doubled: bool) -> pa.Table:
     if len(table) and table.column("bucket")[0].as_py() < 0:
         return pa.Table.from_arrays([pa.array(rank == 1), pa.array(doc), pa.array(start),
                                      pa.array(full.astype(np.int64))], schema=FOUND)
-    marker = doc == np.iinfo(np.int64).max
+    marker = doc == MARK
     marked = np.unique(rank[marker])
-    rank, full, doc, start, more, removed, runs, alone = settle(
-        *[c[~marker] for c in (rank, full, doc, start, more)])
-    known = np.isin(rank, marked)
+    rank, full, doc, start, more = [c[~marker] for c in (rank, full, doc, start, more)]
+    removed, varied, _ = settle(rank, full, doc, start)
     out = merge_spans(doc[removed], start[removed], start[removed] + more[removed] + threshold)
-    opened = ~removed & (known | ((runs > 1) & ~alone))
-    if doubled:
-        opened[:] = False
+    opened = np.zeros(len(rank), bool) if doubled else ~removed & (varied | np.isin(rank, marked))
     return pa.Table.from_batches([_found(out, (doc[opened], start[opened], more[opened]))])
 
 
 def _send(rank, full, doc, start, more, threshold: int, buckets: int, doubled: bool) -> list[pa.RecordBatch]:
     """Settle a task's own rows; what needs other tasks' rows goes to the bucket of its rank."""
-    rank, full, doc, start, more, removed, runs, alone = settle(rank, full, doc, start, more)
+    removed, varied, _ = settle(rank, full, doc, start)
     out = merge_spans(doc[removed], start[removed], start[removed] + more[removed] + threshold)
-    opened = ~removed & (runs > 1) & ~alone
-    if doubled:
-        opened[:] = False
+    opened = np.zeros(len(rank), bool) if doubled else ~removed & varied
     found = _found(out, (doc[opened], start[opened], more[opened]))
     marks = np.unique(rank[opened])  # one row tells the others that this rank has different runs
-    test = ~removed & ~opened
-    rank, full, doc = (np.concatenate((rank[test], marks)), np.concatenate((full[test], marks * np.uint64(0))),
-                       np.concatenate((doc[test], np.full(len(marks), np.iinfo(np.int64).max))))
-    start, more = (np.concatenate((start[test], np.zeros(len(marks), np.int64))),
-                   np.concatenate((more[test], np.zeros(len(marks), np.uint8))))
+    test, none = ~removed & ~opened, np.zeros(len(marks), np.int64)
+    rank, doc = np.concatenate((rank[test], marks)), np.concatenate((doc[test], none + MARK))
+    full = np.concatenate((full[test], none.astype(np.uint64)))
+    start, more = np.concatenate((start[test], none)), np.concatenate((more[test], none.astype(np.uint8)))
     bucket = (splitmix(rank) % np.uint64(buckets)).astype(np.int64)
     return [_packed(bucket, rank, full, doc, start, more), _pass_rows(found, buckets, threshold)]
 
@@ -240,12 +249,16 @@ def _first_ranks(rows: DataFrame, threshold: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            got = []
+            got, held = [], 0
             for part in slices(batch):
                 data, offsets = text_buffer(part.column("text"))
                 ids = part.column("doc_id").to_numpy()
                 for text, start, more, rank, full in _segments(data, offsets, threshold):
                     got.append((rank, full, ids[text], start, more.astype(np.uint8)))
+                    held += min(len(data), SEGMENT)
+                    if held >= LOCAL_BYTES:
+                        yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, False)
+                        got, held = [], 0
             if got:
                 yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, False)
 
@@ -258,14 +271,13 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = []
+            got, held = [], 0
             for i in range(batch.num_rows):
                 data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
                 runs = batch.column("runs")[i].values
                 start = runs.field("start").to_numpy(zero_copy_only=False)
                 size = runs.field("size").to_numpy(zero_copy_only=False)
                 at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-                at = np.unique(at)
                 at = at[at + threshold <= len(data)]
                 prefix = POWERS.prefix(KEYS[data])
                 left = splitmix(POWERS.span(prefix, at, at + half))
@@ -273,6 +285,10 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
                 pair = splitmix(left * np.uint64(3) + right)
                 doc = np.full(len(at), batch.column("doc_id")[i].as_py(), np.int64)
                 got.append((pair, np.zeros(len(at), np.uint64), doc, at, np.zeros(len(at), np.uint8)))
+                held += len(at)
+                if held >= LOCAL_BYTES // 12:
+                    yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, True)
+                    got, held = [], 0
             if got:
                 yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, True)
 
