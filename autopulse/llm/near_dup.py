@@ -17,7 +17,7 @@ Candidates are taken in rounds.  In the first, each class names its best partner
 pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
 component need no further look.  Classes with a candidate also get a longer sketch
 (``SKETCH`` coordinates, a byte each), and in later rounds they name their best few partners (the
-number grows eightfold) outside their component that the sketch does not rule out.  The rounds
+number grows by GROWTH a round) outside their component that the sketch does not rule out.  The rounds
 end when no class has an untested candidate outside its component, so no link that joins two
 components is lost, and a group of thousands of near copies costs rows in proportion to its size.
 
@@ -50,7 +50,7 @@ MATCHES = 40
 SKETCH = 512
 SKETCH_MATCHES = 398
 BLOCK = 256
-GROWTH = 8
+GROWTH = 256
 
 KEYS = byte_keys(23)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -187,13 +187,16 @@ def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: in
     return out, more
 
 
-def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame, least: int, top: int) -> DataFrame:
+def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, least: int, top: int) -> DataFrame:
     """``a, b, more``: pairs across components that agree in ``least`` coordinates, each class's ``top`` best per list.
 
     ``classes``: ``id``, set size ``n`` and ``sig``, the coordinates as bytes.
     """
-    rows = (members.join(classes.select("id", "n", "sig"), "id").join(labels, "id", "left")
-            .withColumn("label", F.coalesce("label", "id")))
+    rows = members.join(classes.select("id", "n", "sig"), "id")
+    if labels is None:  # nothing is linked yet
+        rows = rows.withColumn("label", F.col("id"))
+    else:
+        rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     lists = (rows.groupBy("bucket", "split").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.collect_list(F.struct("id", "side", "label", "n", "sig")).alias("m"))
@@ -285,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested, sets, top = None, None, 1
     while True:
         if sets is None:
-            named = candidates(members, classes, labels, MATCHES, top)
+            named = candidates(members, classes, None, MATCHES, top)
         else:
             named = candidates(members, sets, labels, SKETCH_MATCHES, top)
         named = materialise(named, "near-named")
