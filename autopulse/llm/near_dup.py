@@ -16,10 +16,10 @@ is an element posted to an inverted list:
 Candidates are taken in rounds.  In the first, each class names its best partner per list.  Those
 pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
 component need no further look.  Classes with a candidate also get a longer sketch
-(``SKETCH`` coordinates, a byte each), and in later rounds they name their best few partners (the
-number grows by GROWTH a round) outside their component that the sketch does not rule out.  The rounds
-end when no class has an untested candidate outside its component, so no link that joins two
-components is lost, and a group of thousands of near copies costs rows in proportion to its size.
+(``SKETCH`` coordinates, a byte each), and in the next round they name all partners outside their
+component that the sketch does not rule out (a third round would follow if a list held more than
+GROWTH).  So no link that joins two components is lost, and a group of thousands of near copies is
+mostly settled by the first round's few rows instead of all its pairs.
 
 Components come from label propagation with pointer jumping over joins; nothing about all
 documents reaches the driver.  A pair exactly at the threshold of 0.85 agrees in fewer than
@@ -49,8 +49,8 @@ COORDINATES = 64
 MATCHES = 40
 SKETCH = 512
 SKETCH_MATCHES = 398
-BLOCK = 256
-GROWTH = 256
+BLOCK = 1024
+GROWTH = 4 * BLOCK
 
 KEYS = byte_keys(23)
 LOWER = np.arange(256, dtype=np.uint8)
