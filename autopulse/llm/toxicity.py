@@ -50,9 +50,9 @@ BYTE_KEY, BOUNDARY = _letters()
 class Settings:
     bits: int = 18
     dim: int = 4
-    toxic_rows: int = 1500
-    clean_rows: int = 3500
-    max_bytes: int = 32_768
+    toxic_rows: int = 1200
+    clean_rows: int = 2800
+    max_bytes: int = 16_384
     min_rows: int = 4
     epochs: int = 10
     batch: int = 64
@@ -109,25 +109,25 @@ def score_column(column: pa.Array, model: Model) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(logit, -60, 60)))
 
 
-def _bags(texts: pa.Array, bits: int, min_rows: int):
+def _bags(texts: pa.Array, bits: int, min_rows: int, step: int = 64):
     """Sparse bags of a bounded sample: row, bucket and share of the row's n-grams."""
-    data, offsets = _framed(texts)
-    rows, buckets = [], []
-    if len(data) >= max(SIZES):
-        for bucket, inside in _grams(data, bits):
-            at = np.flatnonzero(inside)
-            rows.append(_documents(offsets, at))
-            buckets.append(bucket[at])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    key = np.concatenate(rows) << bits | np.concatenate(buckets)
-    total = np.bincount(np.concatenate(rows), minlength=len(texts))
-    key, times = np.unique(key, return_counts=True)
-    row, bucket = key >> bits, key & ((1 << bits) - 1)
-    share = times / total[row]
-    often = np.bincount(bucket, minlength=1 << bits) >= min_rows  # what only a text or two have teaches nothing
-    keep = often[bucket]
-    return row[keep], bucket[keep], share[keep]
+    size = 1 << bits
+    parts, seen = [], np.zeros(size, np.int64)
+    for lo in range(0, len(texts), step):
+        data, offsets = _framed(texts.slice(lo, step))
+        keys = [np.zeros(0, np.int64)]
+        if len(data) >= max(SIZES):
+            for bucket, inside in _grams(data, bits):
+                at = np.flatnonzero(inside)
+                keys.append(_documents(offsets, at) << bits | bucket[at])
+        key, times = np.unique(np.concatenate(keys), return_counts=True)
+        row, bucket = key >> bits, key & (size - 1)
+        total = np.bincount(row, times, minlength=step)
+        seen += np.bincount(bucket, minlength=size)
+        parts.append(((row + lo).astype(np.int32), bucket.astype(np.int32), (times / total[row]).astype(np.float32)))
+    often = seen >= min_rows  # what only a text or two have teaches nothing
+    parts = [tuple(c[often[p[1]]] for c in p) for p in parts]
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def fit(texts: pa.Array, labels: np.ndarray, settings: Settings = Settings()) -> Model:
