@@ -153,7 +153,10 @@ def prefix_postings(classes: DataFrame) -> DataFrame:
 
 
 def bucket_members(postings: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``bucket, id, side, split``: lists of two or more classes, long ones as pairs of blocks."""
+    """``element, split, bucket, id, side``: lists of two or more classes, long ones as pairs of blocks.
+
+    Lists with the same members are one, named by their smallest element.
+    """
     sizes = postings.groupBy("element").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     rows = postings.join(sizes, "element").withColumn("blocks", F.ceil(F.col("f") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
@@ -162,14 +165,30 @@ def bucket_members(postings: DataFrame, block: int = BLOCK) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("id", F.col("own").alias("side")))).alias("members"))
     split = F.col("lo") != F.col("hi")
     lists = pairs.where(F.size("members") > 1).select(
-        split.alias("split"), F.col("lo").alias("low"),
+        "element", split.alias("split"),
         F.transform("members", lambda m: F.struct(m["id"].alias("id"), (m["side"] != F.col("lo")).alias("side"))).alias("m"))
-    return (lists.select("split", "m").distinct().withColumn("bucket", F.monotonically_increasing_id())
-            .select("bucket", "split", F.explode("m").alias("x")).select("bucket", "split", "x.id", "x.side"))
+    once = lists.groupBy("split", "m").agg(F.min("element").alias("element"))
+    return (once.withColumn("bucket", F.monotonically_increasing_id())
+            .select("element", "split", "bucket", F.explode("m").alias("x"))
+            .select("element", "split", "bucket", "x.id", "x.side"))
+
 
+def _first_common(prefix: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest element in both prefixes of each pair (rows of ``prefix``, padded differently by row)."""
+    out = np.empty(len(i), np.int64)
+    for lo in range(0, len(i), 8192):
+        x, y = prefix[i[lo: lo + 8192]], prefix[j[lo: lo + 8192]]
+        both = (x[:, :, None] == y[:, None, :]).any(axis=2)
+        out[lo: lo + 8192] = np.where(both, x, np.iinfo(np.int64).max).min(axis=1)
+    return out
 
-def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: int):
-    """Pairs of one list that each member names, and whether some member had more."""
+
+def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: int, element=None, prefix=None):
+    """Pairs of one list that each member names, and whether some member had more.
+
+    With ``prefix`` a pair counts only in the list of its smallest common element, so it is
+    named once however many lists it shares.
+    """
     agree = np.empty((len(ids), len(ids)), np.int16)
     step = max(1, (1 << 23) // sig.size)
     for lo in range(0, len(ids), step):
@@ -178,6 +197,11 @@ def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: in
     fits &= 100 * np.minimum(size[:, None], size[None, :]) >= PERCENT * np.maximum(size[:, None], size[None, :])
     if split:
         fits &= side[:, None] != side[None, :]
+    if prefix is not None:
+        i, j = np.nonzero(np.triu(fits))
+        mine = _first_common(prefix, i, j) == element
+        fits[:] = False
+        fits[i[mine], j[mine]] = fits[j[mine], i[mine]] = True
     out, more = set(), False
     for i in np.flatnonzero(fits.any(axis=1)):
         at = np.flatnonzero(fits[i])
@@ -190,17 +214,19 @@ def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: in
 def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, least: int, top: int) -> DataFrame:
     """``a, b, more``: pairs across components that agree in ``least`` coordinates, each class's ``top`` best per list.
 
-    ``classes``: ``id``, set size ``n`` and ``sig``, the coordinates as bytes.
+    ``classes``: ``id``, set size ``n`` and ``sig``, the coordinates as bytes; with a column
+    ``prefix`` (the class's posted elements) every pair is named in one list only.
     """
-    rows = members.join(classes.select("id", "n", "sig"), "id")
+    once = "prefix" in classes.columns
+    rows = members.join(classes.select("id", "n", "sig", *(["prefix"] if once else [])), "id")
     if labels is None:  # nothing is linked yet
         rows = rows.withColumn("label", F.col("id"))
     else:
         rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    lists = (rows.groupBy("bucket", "split").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"),
-        F.collect_list(F.struct("id", "side", "label", "n", "sig")).alias("m"))
-        .where("lo != hi").select("split", "m"))
+    fields = ["id", "side", "label", "n", "sig", *(["prefix"] if once else [])]
+    lists = (rows.groupBy("bucket", "split", "element").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct(*fields)).alias("m"))
+        .where("lo != hi").select("split", "element", "m"))
     kind = np.int32 if least <= COORDINATES else np.uint8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +236,14 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
                 m = batch.column("m")[i].values
                 ids, side, label, size = (m.field(k).to_numpy(zero_copy_only=False) for k in range(4))
                 sig = np.stack([np.frombuffer(x.as_buffer(), kind) for x in m.field(4)])
-                pairs, more = _best_partners(ids, label, size, sig, side, batch.column("split")[i].as_py(), least, top)
+                prefix = None
+                if once:  # what a class has no element for is filled with a number of its own
+                    prefix = np.repeat(-1 - np.arange(len(ids))[:, None], COORDINATES, axis=1)
+                    for k, e in enumerate(m.field(5).to_pylist()):
+                        prefix[k, : len(e)] = e
+                    prefix = prefix[:, : COORDINATES - MATCHES + 1]
+                pairs, more = _best_partners(ids, label, size, sig, side, batch.column("split")[i].as_py(), least, top,
+                                             batch.column("element")[i].as_py(), prefix)
                 for x, y in pairs:
                     a.append(x)
                     b.append(y)
@@ -282,7 +315,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = materialise(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id")), "near-classes")
     classes = materialise(usable.select(F.col("doc_id").alias("id"), "n", "d1", "d2", "coordinates", "sig")
                           .join(groups, ["id", "n", "d1", "d2"], "left_semi").dropDuplicates(["id"]), "near-reps")
-    members = materialise(bucket_members(prefix_postings(classes)), "near-members")
+    postings = materialise(prefix_postings(classes), "near-postings")
+    members = materialise(bucket_members(postings), "near-members")
     labels = spark.createDataFrame([], "id long, label long")
     links = spark.createDataFrame([], "a long, b long")
     tested, sets, top = None, None, 1
@@ -297,7 +331,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not found.isEmpty():
             if sets is None:  # every class with a candidate names its best one in the first round
                 ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-                sets = materialise(full_sets(docs, ids, id_col, text_col), "near-sets")
+                posted = postings.groupBy("id").agg(F.collect_list("element").alias("prefix"))
+                sets = materialise(full_sets(docs, ids, id_col, text_col).join(posted, "id"), "near-sets")
             decided = materialise(confirm(found, sets), "near-confirmed")
             links = links.unionByName(decided.where("linked").select("a", "b"))
             failed = decided.where("NOT linked").select("a", "b")
