@@ -16,21 +16,3 @@ def compute_once(df: DataFrame, keep, **cols: Column) -> DataFrame:
     """
     keep = [k for k in keep if k not in cols]
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
-
-
-def spread_small_input(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session has cores.
-
-    A small file stored as one Parquet row group scans as one task, so every per-row
-    expression before the first shuffle (JSON paths, regex splits) would run on one
-    core.  Large inputs have at least as many splits as cores and pass unchanged.
-    Hashing on a unique column ``by`` is deterministic without the local sort a
-    round-robin repartition needs.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no RDDs: leave the plan as is
-        return df
-    return df.repartition(cores, by) if by else df.repartition(cores)

@@ -11,11 +11,17 @@ from autopulse.functions._cols import to_col
 BATCH_ZONE = "Asia/Shanghai"
 BATCH_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 BATCH_FILE_PATTERN = "yyyyMMdd_HHmmss_SSS"
+ZONE_SUFFIX = r"\d:\d\S*\s*(Z|[+-]\d{1,2}(:?\d{2}){0,2}|[A-Za-z]+([+/-]\S+)?)\s*$"
 
 
 def safe_timestamp(c) -> Column:
-    """Text -> TIMESTAMP_NTZ; NULL for unparsable text instead of an ANSI error."""
-    return to_col(c).try_cast("timestamp_ntz")
+    """Text -> TIMESTAMP_NTZ; NULL for unparsable text instead of an ANSI error.
+
+    A time with a zone is that instant's wall clock in the session zone; one without is itself.
+    """
+    text = to_col(c)
+    zoned = F.coalesce(text.cast("string").rlike(ZONE_SUFFIX), F.lit(False))
+    return F.when(zoned, text.try_cast("timestamp").cast("timestamp_ntz")).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def to_utc_wall_clock(c) -> Column:

@@ -9,7 +9,7 @@ side instead of n x m: count(join) = sum over t of n_events(t) * n_status(t).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
@@ -137,5 +137,11 @@ def preview_join(events: DataFrame, status: DataFrame, n: int = 20, key: str = "
     common = (e.select(key).distinct().join(s.select(key).distinct(), [key], "inner")
               .orderBy(key).limit(n))
     cutoff = common.agg(F.max(key)).scalar()
-    joined = join_events_status(e.filter(F.col(key) <= cutoff), s.filter(F.col(key) <= cutoff), key)
-    return preview(joined, n)
+
+    def first_rows(side: DataFrame) -> DataFrame:
+        """The first n rows of each timestamp: the n first pairs need no others."""
+        rest = [F.col(c).asc_nulls_first() for c in side.columns if c != key] or [F.col(key)]
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
+        return side.filter(F.col(key) <= cutoff).withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+    return preview(join_events_status(first_rows(e), first_rows(s), key), n)

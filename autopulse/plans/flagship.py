@@ -79,5 +79,7 @@ def run_flagship(spark: SparkSession, telemetry: DataFrame, output_path: str, **
         csv_name, parquet_name = OUTPUT_NAMES[key]
         # one CSV file per result as in the reference, except where the result grows with the fleet
         single = key in FIXED_SIZE
-        written.update(publish(frame, output_path, csv_name, parquet_name=parquet_name, single_file_csv=single))
+        order = None if single else [F.col("risk_score").desc()]
+        written.update(publish(frame, output_path, csv_name, parquet_name=parquet_name, single_file_csv=single,
+                               order_by=order))
     return written

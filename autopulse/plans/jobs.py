@@ -88,7 +88,7 @@ def cabin_etl_job(records: DataFrame, output_path: str, checkpoint: str, **trigg
 
 def event_count_job(records: DataFrame, output_path: str, checkpoint: str, **trigger):
     """Running count per event type, complete mode; each batch's full table under batch_id=<n>."""
-    return runner.start_foreach_batch(cabin.event_counts(records), runner.overwrite_snapshot(output_path),
+    return runner.start_foreach_batch(cabin.ordered_event_counts(cabin.event_counts(records)), runner.overwrite_snapshot(output_path),
                                       checkpoint, "complete", **trigger)
 
 
@@ -103,7 +103,7 @@ def word_count_job(lines_df: DataFrame, output_path: str, text_dir: str, checkpo
 
 
 def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, time_col: str | None = "ts",
-                     watermark: str | None = "10 minutes", text_dir: str | None = None, **kwargs):
+                     watermark: str | None = None, text_dir: str | None = None, **kwargs):
     """Sliding brake counts.  ``time_col=None`` windows by arrival time (the micro-batch's
     processing time), as the reference's DStream job does for plain text lines.  Each
     batch writes its (updated) windows under ``batch_id=<n>``, plus `k=v` text records
@@ -112,8 +112,7 @@ def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, tim
     if time_col is None:
         lines_df, time_col = lines_df.withColumn("arrival_time", F.current_timestamp()), "arrival_time"
     counts = batches.brake_window_stream(lines_df, time_col, watermark=watermark, **kwargs)
-    mode = "update" if watermark else "complete"
-    return runner.start_foreach_batch(counts, batches.brake_window_batch(output_path, text_dir), checkpoint, mode,
+    return runner.start_foreach_batch(counts, batches.brake_window_batch(output_path, text_dir), checkpoint, "update",
                                       **trigger)
 
 

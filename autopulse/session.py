@@ -31,6 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
         if not root:
             if context is None:
                 return _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="autopulse-"))
+            if not str(getattr(context, "master", "local")).startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="autopulse-"))
             root = context.getCheckpointDir()
     return root.rstrip("/")

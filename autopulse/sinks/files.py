@@ -37,12 +37,13 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def publish(df: DataFrame, base: str, name: str, formats=("csv", "parquet"), parquet_name: str | None = None,
-            single_file_csv: bool = False) -> dict[str, str]:
+            single_file_csv: bool = False, order_by=None) -> dict[str, str]:
     """K4: write one result as CSV under ``<base>/<name>`` and Parquet under ``<base>/<name>_parquet``.
 
     A multi-file CSV is written from the Parquet copy, so the result is computed once.
     A single-file CSV (small, possibly sorted results) is written from the frame itself
-    to keep its order.
+    to keep its order; ``order_by`` sorts a multi-file CSV again, which the Parquet copy
+    read back does not promise.
     """
     base = base.rstrip("/")
     written = {}
@@ -51,6 +52,8 @@ def publish(df: DataFrame, base: str, name: str, formats=("csv", "parquet"), par
         written[f"{name}:parquet"] = write_parquet(df, f"{base}/{parquet_name or name + '_parquet'}")
         if not single_file_csv:
             source = df.sparkSession.read.parquet(written[f"{name}:parquet"])
+            if order_by:
+                source = source.orderBy(*order_by)
     if "csv" in formats:
         written[f"{name}:csv"] = write_csv(source, f"{base}/{name}", single_file=single_file_csv)
     return written

@@ -35,11 +35,14 @@ def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
     })
 
 
-def read_cabin_events_json(spark: SparkSession, path: str, schema: StructType | None = schemas.CABIN_EVENTS,
+def read_cabin_events_json(spark: SparkSession, path: str, schema: StructType | None = None,
                            infer: bool = False) -> DataFrame:
-    """S3: JSON lines in permissive mode.  A fixed schema by default (inference is a full extra scan)."""
+    """S3: JSON lines in permissive mode, every column kept.
+
+    Without a ``schema`` it is inferred, which costs one more scan; a schema given reads only its columns.
+    """
     reader = spark.read.option("mode", "PERMISSIVE")
-    if not infer and schema is not None:
+    if schema is not None and not infer:
         reader = reader.schema(schema)
     return reader.json(path)
 

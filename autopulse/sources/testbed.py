@@ -10,19 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autopulse.functions.plan import spread_small_input
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Tables whose rows carry text parsed per row (JSON props, documents), with their unique id.
-PARSE_HEAVY = {"events": "event_id", "documents": "doc_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df, PARSE_HEAVY[name]) if name in PARSE_HEAVY else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -50,8 +43,8 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def sensors_from_events(events: DataFrame) -> DataFrame:
-    """temp (NULL every tenth k), speed INT, humidity, pressure (+ event_id)."""
+def sensors_from_events(events: DataFrame, *more: str) -> DataFrame:
+    """temp (NULL every tenth k), speed INT, humidity, pressure (+ event_id and ``more`` event columns)."""
     k = _k()
     return events.select(
         F.col("event_id"),
@@ -59,6 +52,7 @@ def sensors_from_events(events: DataFrame) -> DataFrame:
         F.floor("value").cast("int").alias("speed"),
         ((F.col("event_id") % 100) * F.lit(1.0)).alias("humidity"),
         (F.lit(1000.0) + (F.col("event_id") % 50)).alias("pressure"),
+        *more,
     )
 
 

@@ -167,3 +167,14 @@ def test_to_utc_wall_clock_ignores_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert {tuple(r) for r in got} == {(got[0][0], "2024-01-01 08:00:00")}
     assert got[0][0].hour == 0
+
+
+def test_safe_timestamp_reads_a_zone_in_the_text(spark):
+    from pyspark.sql import functions as F
+
+    from autopulse.functions import safe_timestamp
+
+    texts = ["2024-01-01T00:00:00+08:00", "2024-01-01 00:00:00", "2024-01-01 00:00:00Z", "2024-01-01", "bad", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(F.date_format(safe_timestamp("t"), "yyyy-MM-dd HH:mm")).collect()]
+    assert got == ["2023-12-31 16:00", "2024-01-01 00:00", "2024-01-01 00:00", "2024-01-01 00:00", None, None]

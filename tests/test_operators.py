@@ -270,3 +270,17 @@ def test_kafka_envelope_columns_and_null_key(spark):
     assert row.asDict() == {"message_key": None, "raw_value": '{"event":"x"}', "topic": "cabin", "partition": 2,
                             "offset": 7, "kafka_time": row["kafka_time"]}
     assert row["kafka_time"].startswith("2024-01-01") or row["kafka_time"].startswith("2023-12-31")
+
+
+def test_cabin_json_takes_the_first_of_a_repeated_key(spark):
+    from autopulse.operators import cabin
+
+    values = spark.createDataFrame([('{"vehicle_id":"a","vehicle_id":"b","event":"x","speed":1}',)], "value string")
+    assert cabin.parse_cabin_json(values, False).first()["vehicle_id"] == "a"
+
+
+def test_json_events_keep_every_column(spark, tmp_path):
+    from autopulse.sources.files import read_cabin_events_json
+
+    (tmp_path / "e.json").write_text('{"timestamp":"2024-01-01 00:00:00","event_type":"x","screen":"map"}\n')
+    assert set(read_cabin_events_json(spark, str(tmp_path)).columns) == {"timestamp", "event_type", "screen"}
