@@ -60,7 +60,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
     keys = list(keys)
     order = [seq] if isinstance(seq, str) else list(seq)
     part = keys + ["_chunk"]
-    base = df.withColumn("_chunk", chunk_of(df, order[0], chunk_size))
+    # one shuffle for the local windows and the summaries: what they need is derived above it, so
+    # both read the same columns from it
+    base = df.withColumn("_chunk", chunk_of(df, order[0], chunk_size)).repartition(*part)
     if sum_of is not None:
         base = base.withColumn("_x", sum_of)
     if reset_when is not None:
