@@ -6,8 +6,8 @@ whole in some passage.  A posting's impact is its BM25 share of the item's own f
 passage that holds the whole item scores 1 and one threshold serves all items.
 
 Each passage is first bounded by the sum of its terms' largest impacts (WAND's list bounds, in
-array operations); only passages that could reach the threshold are evaluated, by block-max
-WAND over the sorted posting lists, which returns every item at or above it.  A retrieved item
+array operations), then by the block maxima of every block of ``BOUND_ITEMS`` items (a product of
+small matrices); only passages that could reach the threshold are evaluated, by block-max WAND over the sorted posting lists, which returns every item at or above it.  A retrieved item
 counts when both its question and its answer overlap the passage: at least ``OVERLAP`` of each
 part's word trigrams.  The question ends with the last question mark; an item without one is
 halved.
@@ -42,7 +42,8 @@ OVERLAP = 0.7
 GRAM = 3
 MIN_WORDS = 5
 BLOCK = 16
-SHARD_BYTES = 8 << 20
+BOUND_ITEMS = 4
+SHARD_BYTES = 64 << 10  # of item text: an index's table of block bounds stays within some megabytes
 WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
 KEYS = byte_keys(31)
@@ -76,6 +77,7 @@ class Index:
     lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # items, impacts, block maxima
     most: np.ndarray  # largest impact of each term
     span: int
+    bounds: np.ndarray  # largest impact of each term in each block of BOUND_ITEMS items
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Term number of each word, -1 for a word that no item has."""
@@ -106,7 +108,10 @@ def build_index(item_ids: list, texts: list[str], frequency: dict[int, int], ite
         at, impact = np.array([i for i, _ in p]), np.array([w for _, w in p])
         lists.append((at, impact, np.maximum.reduceat(impact, np.arange(0, len(impact), BLOCK))))
     most = np.array([lst[1].max() for lst in lists])
-    return Index(item_ids, words, question, terms, lists, most, max(64, 2 * max(len(w) for w in words)))
+    bounds = np.zeros((len(terms), -(-len(words) // BOUND_ITEMS)), np.float32)
+    for t, (at, impact, _) in enumerate(lists):
+        np.maximum.at(bounds[t], at // BOUND_ITEMS, impact)
+    return Index(item_ids, words, question, terms, lists, most, max(64, 2 * max(len(w) for w in words)), bounds)
 
 
 def block_max_wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -195,7 +200,16 @@ def leaks(column: pa.Array, index: Index, threshold: float = THRESHOLD) -> list[
                      + np.concatenate((term[own], term[earlier])))
     passage, distinct = pair // len(index.terms), pair % len(index.terms)
     bound = np.bincount(passage, index.most[distinct], base[-1])
-    for p in np.flatnonzero(bound >= threshold - 1e-9):
+    hopeful = bound >= threshold - 1e-9
+    chosen = np.flatnonzero(hopeful)
+    for lo in range(0, len(chosen), 256):
+        part = chosen[lo: lo + 256]
+        cuts = np.searchsorted(passage, part), np.searchsorted(passage, part + 1)
+        at = np.concatenate([np.arange(x, y) for x, y in zip(*cuts)])
+        holds = np.zeros((len(part), len(index.terms)), np.float32)
+        holds[np.repeat(np.arange(len(part)), cuts[1] - cuts[0]), distinct[at]] = 1
+        hopeful[part] = (holds @ index.bounds).max(axis=1) >= threshold - 1e-4
+    for p in np.flatnonzero(hopeful):
         lo, hi = np.searchsorted(passage, (p, p + 1))
         hits = block_max_wand(index, distinct[lo:hi], threshold)
         if not hits:
