@@ -2,51 +2,76 @@
 
 A running value per key (position, running sum, length of the current run) is
 normally a window ``partitionBy(key).orderBy(seq)``, which puts every row of a key
-in one task.  Here each key's sequence is cut into chunks of consecutive ``seq``
-values (``chunk = seq div chunk_size``, so a chunk of unique dense ids never holds
-more than ``chunk_size`` rows):
+in one task.  Here a key with many rows is cut into chunks of its order range:
 
+0. rows and order range are counted per key; a hot key gets one chunk per ``chunk_size``
+   rows, any other key a single chunk;
 1. a local window per (key, chunk) computes chunk-local running values;
 2. a per-chunk summary (row count, sum, last reset position) is aggregated;
-3. a window over the chunk summaries of each key (about rows/chunk_size rows)
-   turns them into offsets carried in from earlier chunks;
+3. a window over the chunk summaries of each key turns them into offsets carried in
+   from earlier chunks;
 4. the offsets join back on (key, chunk), already the partitioning of step 1.
 
-Cost: the carry table has one row per non-empty (key, chunk).  A hot key that appears
-throughout the sequence has about ``seq range / chunk_size`` of them; a key too sparse to
-share chunks has about one per row, but such keys are small, so every window stays
-bounded either by the chunk size or by the key's own size.
+Bounds, for any input: a key is hot above ``max(chunk_size, rows / MAX_CHUNKS)`` rows, so
+there are at most ``MAX_CHUNKS`` hot keys (the one broadcast) and every other key's window
+is smaller than that.  A key has at most ``MAX_CHUNKS`` chunks, so a carry window sorts no
+more rows than that, without keys too.  The carry table has at most keys + rows / chunk_size
+rows.  Chunks cut the order range evenly: ids or times that cluster give uneven chunks.
 
-The order key must be unique within a key (ties would make positions ambiguous), and
-keys and order values must be non-NULL: such rows get NULL results (a null-safe join
-back would re-shuffle the whole input).  The line parsers guarantee non-empty ids.
+The order must be unique within a key (ties would make positions ambiguous).  A NULL key
+is a key of its own; a NULL order value comes before all others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType
+from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
 
 DEFAULT_CHUNK = 1 << 16
+MAX_CHUNKS = 100_000
 
 
-def chunk_of(df: DataFrame, seq: str, chunk_size: int) -> Column:
-    """Chunk id, non-decreasing in ``seq``: ``seq div chunk_size`` for integral ids, seconds for times.
-
-    With unique integral ids a chunk never holds more than ``chunk_size`` rows of a key.
-    With a time order, pick ``chunk_size`` (seconds) so that a key's peak rate times it
-    stays a comfortable task size.
-    """
+def order_position(df: DataFrame, seq: str) -> Column:
+    """The order column as a number, non-decreasing in it: the value of ids, seconds of times."""
     dt = df.schema[seq].dataType
-    if isinstance(dt, IntegralType):
-        return F.expr(f"CAST(`{seq}` AS BIGINT) div {int(chunk_size)}")
+    c = F.col(seq)
     if isinstance(dt, NumericType):
-        return F.floor(F.col(seq) / F.lit(chunk_size)).cast("long")
-    # timestamps: chunk_size is a number of seconds
-    return F.expr(f"unix_micros(CAST(`{seq}` AS TIMESTAMP)) div {int(chunk_size) * 1_000_000}")
+        return c.cast("double")
+    if isinstance(dt, TimestampType):
+        return F.unix_micros(c) / F.lit(1e6)
+    if isinstance(dt, TimestampNTZType):
+        # the wall clock's own fields: no session zone, so no hour is folded
+        day = F.datediff(c, F.lit("1970-01-01").cast("date"))
+        return day * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + F.extract(F.lit("SECOND"), c).cast("double")
+    raise TypeError(f"order column {seq} must be a number or a timestamp, got {dt}")
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], seq: str, chunk_size: int) -> DataFrame:
+    """Add `_chunk`, non-decreasing in ``seq`` within a key: about ``chunk_size`` rows of a hot key each."""
+    pos = order_position(df, seq)
+    finite = F.when(F.abs(pos) < float("inf"), pos)
+    bounds = [F.count(F.lit(1)).alias("_n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi")]
+    if keys:
+        counts = df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]).agg(*bounds)
+        total = counts.agg(F.sum("_n")).scalar()
+        hot = counts.where(F.col("_n") > F.greatest(F.lit(chunk_size), F.ceil(total / MAX_CHUNKS)))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
+        # at most MAX_CHUNKS rows: each holds more than rows / MAX_CHUNKS
+        out = df.join(F.broadcast(hot), same, "left")
+    else:
+        whole = df.agg(F.struct(*bounds).alias("w")).scalar()
+        out = df.withColumns({c: whole.getField(c) for c in ("_n", "_lo", "_hi")})
+    chunks = F.least(F.ceil(F.col("_n") / chunk_size), F.lit(MAX_CHUNKS))
+    span = F.col("_hi") - F.col("_lo")
+    inner = F.when(span > 0, F.least(F.floor((pos - F.col("_lo")) / span * chunks), chunks - 1)).otherwise(0)
+    chunk = (F.when(pos.isNull() | (pos == float("-inf")), -1)
+             .when(pos >= float("inf"), F.coalesce(chunks, F.lit(0)))
+             .otherwise(F.coalesce(inner, F.lit(0))))
+    return out.withColumn("_chunk", chunk.cast("long")).select(*df.columns, "_chunk")
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *, sum_of: Column | None = None,
@@ -59,10 +84,15 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
     """
     keys = list(keys)
     order = [seq] if isinstance(seq, str) else list(seq)
-    part = keys + ["_chunk"]
+    base = with_chunks(df, keys, order[0], chunk_size)
+    if keys:
+        # a struct equals another with the same NULL fields: NULL keys meet their carries below
+        base = base.withColumn("_key", F.struct(*keys))
+    by = ["_key"] if keys else []
+    part = by + ["_chunk"]
     # one shuffle for the local windows and the summaries: what they need is derived above it, so
     # both read the same columns from it
-    base = df.withColumn("_chunk", chunk_of(df, order[0], chunk_size)).repartition(*part)
+    base = base.repartition(*part)
     if sum_of is not None:
         base = base.withColumn("_x", sum_of)
     if reset_when is not None:
@@ -85,7 +115,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
         # counts and sums are plain aggregates of the input: no second sort, and the
         # input shuffle (same partitioning as the window's) is reused
         summary = base.groupBy(*part).agg(*summary_aggs)
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     cols = ["_off"]
     if sum_of is not None:
@@ -105,5 +135,5 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
         last_reset = F.greatest(F.coalesce(F.col("_off") + F.col("_lreset"), F.lit(0)),
                                 F.coalesce(F.col("_rprev"), F.lit(0)))
         out = out.withColumn("_run", F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("_pos") - last_reset))
-    drop = ["_chunk", "_lpos", "_off", "_x", "_lsum", "_soff", "_reset", "_lreset", "_rprev"]
+    drop = ["_key", "_chunk", "_lpos", "_off", "_x", "_lsum", "_soff", "_reset", "_lreset", "_rprev"]
     return out.drop(*[c for c in drop if c in out.columns])

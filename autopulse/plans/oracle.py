@@ -27,12 +27,12 @@ CTES = {
                1000.0::DOUBLE + (event_id % 50) AS pressure
         FROM events""",
     "cabin": """
-        SELECT o_orderdate AS "timestamp",
+        SELECT TIMESTAMP '1995-01-01' + to_seconds(o_orderkey // 2) AS "timestamp",
                CASE o_orderpriority WHEN '1-URGENT' THEN 'NavigationStart'
                                     WHEN '2-HIGH' THEN 'VoiceCommand' ELSE o_orderpriority END AS event_type
         FROM orders""",
     "status": """
-        SELECT l_shipdate AS "timestamp", l_quantity * 2 AS speed, l_quantity * 100 AS rpm FROM lineitem""",
+        SELECT TIMESTAMP '1995-01-01' + to_seconds(l_orderkey // 2) AS "timestamp", l_quantity * 2 AS speed, l_quantity * 100 AS rpm FROM lineitem""",
 }
 
 
@@ -286,3 +286,13 @@ SQL["stream_driving_duration"] = SQL["driving_duration"]
 SQL["stream_overspeed_run"] = SQL["overspeed_run"]
 SQL["stream_overspeed_alert"] = SQL["overspeed_alert"]
 SQL["event_count"] = SQL["stream_event_count"]
+SQL["event_count_ordered"] = (
+    "SELECT event, count, row_number() OVER (ORDER BY count DESC, event) AS place FROM ("
+    + SQL["stream_event_count"] + ")")
+SQL["latest_state_per_record"] = with_ctes(["status_lines", "statuses"], """
+    SELECT vehicle_id, event_id, status AS latest_state FROM statuses""")
+SQL["stream_kafka_replay"] = SQL["stream_kafka_raw"]
+SQL["describe_text"] = with_ctes(["sensors"], """
+    SELECT 'count' AS summary, CAST(count(temp) AS VARCHAR) AS temp, CAST(count(speed) AS VARCHAR) AS speed FROM sensors
+    UNION ALL SELECT 'min', CAST(min(temp) AS VARCHAR), CAST(min(speed) AS VARCHAR) FROM sensors
+    UNION ALL SELECT 'max', CAST(max(temp) AS VARCHAR), CAST(max(speed) AS VARCHAR) FROM sensors""")

@@ -72,6 +72,52 @@ def test_record_positions_without_keys(spark):
     assert [r[1] for r in got] == list(range(1, 51))
 
 
+def test_null_keys_and_orders_are_scanned(spark):
+    recs = [(3, None), (1, None), (None, None), (2, "a"), (None, "a"), (5, "a")]
+    df = spark.createDataFrame(recs, "seq long, vehicle_id string")
+    got = rows(ordered_scan(df, ["vehicle_id"], "seq", chunk_size=1), "vehicle_id", "seq", "_pos")
+    assert got == sorted([(None, None, 1), (None, 1, 2), (None, 3, 3), ("a", None, 1), ("a", 2, 2), ("a", 5, 3)],
+                         key=repr)
+
+
+def test_chunks_follow_the_rows_of_a_key(spark):
+    """A fleet of small vehicles takes one chunk each; only the hot one is cut."""
+    from autopulse.operators.scan import with_chunks
+
+    hot, fleet, per = 20_000, 5_000, 4
+    df = spark.range(hot + fleet * per).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 9973).alias("k"))
+    n = df.count()
+    sizes = with_chunks(df, ["k"], "seq", 1000).groupBy("k", "_chunk").count()
+    keys, carry, most = df.select("k").distinct().count(), sizes.count(), sizes.agg(F.max("count")).first()[0]
+    assert carry <= keys + n / 1000 and most <= 1001
+    assert sizes.where("k = -1").count() == 20
+
+
+def test_carried_batches_equal_batch(spark):
+    """State over micro-batches, one of them run twice, equals the batch form; a vehicle is missing in between."""
+    import tempfile
+
+    from autopulse.streaming import carried
+
+    speeds = [130, 130, 90, 130, 130, 130, 130, 50, 130, 130, 130, 130]
+    recs = [(i, "v1" if i % 3 else None, float(s)) for i, s in enumerate(speeds)]
+    recs += [(100 + i, "v2", 130.0) for i in range(2)] + [(110 + i, "v1", 130.0) for i in range(5)]
+    df = spark.createDataFrame(recs, "seq long, vehicle_id string, speed double")
+    status = df.select("seq", "vehicle_id", F.when(F.col("speed") > 100, "driving").otherwise("idle").alias("status"))
+    base = tempfile.mkdtemp()
+    alerts = carried.overspeed_run_batch(base + "/a", base + "/ac", alert_count=3, chunk_size=2)
+    drives = carried.driving_duration_batch(base + "/d", base + "/dc", chunk_size=2)
+    for batch_id, (lo, hi) in enumerate([(0, 5), (5, 101), (101, 105), (105, 200)]):
+        for _ in range(2 if batch_id == 1 else 1):
+            alerts(df.where(f"seq >= {lo} AND seq < {hi}"), batch_id)
+            drives(status.where(f"seq >= {lo} AND seq < {hi}"), batch_id)
+    cols = ["vehicle_id", "seq", "speed", "consecutive_overspeed_count", "alert"]
+    assert rows(spark.read.parquet(base + "/a"), *cols) == rows(state.overspeed_alert(df), *cols)
+    cols = ["vehicle_id", "seq", "latest_status", "total_driving_seconds"]
+    assert rows(spark.read.parquet(base + "/d"), *cols) == rows(state.driving_duration(status), *cols)
+
+
 EDGE_LINES = [("v1,130", ("v1", 130.0)), (" v1 , 130 ", ("v1", 130.0)), ("v1,120,,", ("v1", 120.0)),
               ("v1,", None), (",5", None), ("v1,abc", None), ("v1,1,2", None), ("v1,120, ", None),
               ("v1,NaN", ("v1", "nan")), ("", None), ("v1,inf", None), ("v1,Infinity", ("v1", math.inf))]
