@@ -34,6 +34,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # a store is open only while its task runs: native memory doesn't grow with the partitions
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
