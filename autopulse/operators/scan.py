@@ -87,12 +87,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
     base = with_chunks(df, keys, order[0], chunk_size)
     if keys:
         # a struct equals another with the same NULL fields: NULL keys meet their carries below
-        base = base.withColumn("_key", F.struct(*keys))
+        base = base.withColumn("_key", F.struct(*keys)).drop(*keys)
     by = ["_key"] if keys else []
     part = by + ["_chunk"]
     # one shuffle for the local windows and the summaries: what they need is derived above it, so
     # both read the same columns from it
     base = base.repartition(*part)
+    if keys:
+        base = base.withColumns({k: F.col("_key").getField(k) for k in keys})
     if sum_of is not None:
         base = base.withColumn("_x", sum_of)
     if reset_when is not None:
@@ -135,5 +137,5 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *
         last_reset = F.greatest(F.coalesce(F.col("_off") + F.col("_lreset"), F.lit(0)),
                                 F.coalesce(F.col("_rprev"), F.lit(0)))
         out = out.withColumn("_run", F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("_pos") - last_reset))
-    drop = ["_key", "_chunk", "_lpos", "_off", "_x", "_lsum", "_soff", "_reset", "_lreset", "_rprev"]
-    return out.drop(*[c for c in drop if c in out.columns])
+    added = ["_pos"] + (["_sum"] if sum_of is not None else []) + (["_run"] if reset_when is not None else [])
+    return out.select(*df.columns, *added)
