@@ -10,8 +10,8 @@ salted groups of bounded size; texts that share a digest but not their bytes (ne
 SHA-256, forced in the tests) are grouped again by their full text.
 
 Defined cases: a null text counts as empty; empty texts are equal to each other; ties go to
-the smallest id, a null id loses to any other; of repeated rows with one id, the first arrival
-is kept; an empty table gives an empty result; other columns are not read.
+the smallest id, a null id loses to any other; of repeated rows with one id and text, the first
+arrival is kept, and rows with one id and different texts are judged apart; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -139,6 +139,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per distinct text, with all their columns."""
-    result = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(result, id_col, "left_semi").dropDuplicates([id_col])
+    """The rows of ``docs`` that stay, one per distinct text, with all their columns.
+
+    Kept rows are found again by identifier (null too) and text digest together, so rows that
+    share an id but not their text are judged apart; of a kept row's repetitions the one with the
+    most code points stays, then the first.
+    """
+    def key(ident: Column, sha: Column) -> Column:  # no number's text is empty, so a null id has a key of its own
+        return F.concat_ws(":", sha, F.coalesce(ident.cast("long").cast("string"), F.lit("")))
+
+    result = exact_dedup(docs, id_col, text_col).where("kept").select(
+        key(F.col("doc_id"), F.col("text_sha256")).alias("_key"))
+    rows = docs.select(
+        key(F.col(id_col), sha256(normalise(F.col(text_col)))).alias("_key"), F.struct(*docs.columns).alias("_row"),
+        F.struct(F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("points"),
+                 (-F.monotonically_increasing_id()).alias("neg_arrival")).alias("_order"))
+    kept = rows.join(result, "_key", "left_semi").groupBy("_key").agg(F.max_by("_row", "_order").alias("_row"))
+    return kept.select("_row.*")

@@ -256,6 +256,16 @@ def test_exact_dedup_empty_and_keep_first(hard, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({k for _, k, _, _ in brute_exact(plain(hard))})
 
 
+def test_keep_first_null_ids_and_one_id_with_two_texts(spark):
+    rows = [(None, "only null", "a"), (None, "other null", "b"), (None, "shared", "c"), (9, "shared", "d"),
+            (5, "first text", "e"), (5, "second text", "f"), (2, "second text", "g"), (7, "again", "h"),
+            (7, "a g a i n", "i"), (7, "again", "j"), (None, "null  wins", "k"), (1, "null wins", "l"), (None, None, "m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    kept = exact_dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["source"] for r in kept.collect()) == ["a", "b", "d", "e", "g", "i", "k", "m"]
+
+
 # --- op5 --------------------------------------------------------------------------------------
 
 def test_block_max_wand_equals_full_scoring():
