@@ -16,8 +16,13 @@ Items are indexed in shards of at most ``SHARD_BYTES`` of text; each shard's ind
 and its size is bounded by that, so a larger benchmark means more passes, never a larger
 broadcast.  Document frequencies and the average length are taken over all items.
 
-Defined cases: items with fewer than ``MIN_WORDS`` words (null and empty texts too) cannot be told
-from chance and are not searched; equal items are separate items with equal answers; a null or
+A word is a run of letters and digits; in scripts without blanks (Chinese, Japanese, Thai, ...)
+every character is one, and CJK punctuation parts words.  Items with fewer than ``MIN_WORDS`` words
+have too few trigrams to score: they count wherever their words stand in a text in that order
+(one hash of the whole item against that of every run of as many words), with score and overlaps 1
+and ``passages`` the number of places.
+
+Defined cases: items without a word (null and empty texts too) are not searched; equal items are separate items with equal answers; a null or
 empty document has no passage; repeated documents are all answered; an empty benchmark gives an
 empty result; other columns are ignored.
 """
@@ -25,6 +30,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,21 +50,55 @@ MIN_WORDS = 5
 BLOCK = 16
 BOUND_ITEMS = 4
 SHARD_BYTES = 64 << 10  # of item text: an index's table of block bounds stays within some megabytes
-WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
+#: characters of scripts that part words by no blank: each is a word
+SINGLE = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
+          (0x3040, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F),
+          (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
+#: CJK and full-width punctuation, in no word
+PARTING = ((0x3000, 0x303F), (0xFE30, 0xFE4F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+QUESTION_MARKS = "?\uff1f"
+
+
+def _class(ranges) -> str:
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+WORD = rf"{_class(SINGLE)}|[a-z0-9\x{{80}}-\x{{10FFFF}}&&[^{_class(SINGLE + PARTING)[1:-1]}]]+"
 
 KEYS = byte_keys(31)
 IN_WORD = np.array([(chr(b).isalnum() and b < 0x80) or b >= 0x80 for b in range(256)])
 POWERS = Powers()
 
 
+def _wide(data: np.ndarray, ranges) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the characters in ``ranges`` (all from U+0800 on) and the bytes' numbers in each."""
+    at = np.flatnonzero(data >= 0xE0)
+    size = np.where(data[at] >= 0xF0, 4, 3)
+    b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int64) & 0x3F for k in range(1, 4)]
+    code = np.where(size == 4, (data[at].astype(np.int64) & 7) << 18 | b[0] << 12 | b[1] << 6 | b[2],
+                    (data[at].astype(np.int64) & 15) << 12 | b[0] << 6 | b[1])
+    hit = np.zeros(len(at), bool)
+    for lo, hi in ranges:
+        hit |= (code >= lo) & (code <= hi)
+    return at[hit], size[hit]
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of a column's lower-cased texts, and the first word of each text."""
+    if not len(column):
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     data, offsets = text_buffer(pc.utf8_lower(pc.fill_null(column, "")))
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64)
     inside = IN_WORD[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
+    if (data >= 0xE0).any():
+        at, size = _wide(data, SINGLE)
+        edge[at] = edge[at + size] = True
+        at, size = _wide(data, PARTING)
+        for k in range(4):
+            inside[(at + k)[size > k]] = False
     starts = np.flatnonzero(inside & (np.concatenate(([True], ~inside[:-1])) | edge[:-1]))
     ends = np.flatnonzero(inside & (np.concatenate((~inside[1:], [True])) | edge[1:])) + 1
     prefix = POWERS.prefix(KEYS[data])
@@ -66,6 +106,14 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, offsets)
 
 
+def sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words that start at each word, as far as they reach."""
+    out = hashes[: max(0, len(hashes) - size + 1)]
+    for k in range(1, size):
+        out = splitmix(out * np.uint64(3) + hashes[k: k + len(out)])
+    return out
+
+
 @dataclass
 class Index:
     """Impact-ordered by item number within each list; ``block_max`` covers ``BLOCK`` postings."""
@@ -78,6 +126,7 @@ class Index:
     most: np.ndarray  # largest impact of each term
     span: int
     bounds: np.ndarray  # largest impact of each term in each block of BOUND_ITEMS items
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by number of words: sorted sequence hashes, items under MIN_WORDS
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Term number of each word, -1 for a word that no item has."""
@@ -87,12 +136,25 @@ class Index:
 
 
 def build_index(item_ids: list, texts: list[str], frequency: dict[int, int], items: int, mean_words: float) -> Index:
+    """``item_ids`` come out with those under ``MIN_WORDS`` words last; frequencies and mean are the others'."""
+    hashes, first = word_hashes(pa.array(texts, pa.string()))
+    size = np.diff(first)
+    order = np.argsort((size < MIN_WORDS) & (size > 0), kind="stable")
+    item_ids, texts = [item_ids[i] for i in order], [texts[i] for i in order]
+    short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for n in range(1, MIN_WORDS):
+        at = np.flatnonzero(size[order] == n)
+        if len(at):
+            key = sequence_hashes(hashes, n)[first[order[at]]]
+            by = np.argsort(key, kind="stable")
+            short[n] = key[by], at[by]
+    texts = texts[: len(texts) - sum(len(at) for _, at in short.values())]
     hashes, first = word_hashes(pa.array(texts, pa.string()))
     terms, number = np.unique(hashes, return_inverse=True)
     words = [number[a:b] for a, b in zip(first, first[1:])]
     question = []
     for text, seq in zip(texts, words):
-        cut = text.rfind("?")
+        cut = max(text.rfind(mark) for mark in QUESTION_MARKS)
         asked = len(word_hashes(pa.array([text[: cut + 1]]))[0]) if cut >= 0 else 0
         question.append(asked if 0 < asked < len(seq) else -(-len(seq) // 2))
     df = np.array([frequency[int(t.view(np.int64))] for t in terms])
@@ -111,7 +173,8 @@ def build_index(item_ids: list, texts: list[str], frequency: dict[int, int], ite
     bounds = np.zeros((len(terms), -(-len(words) // BOUND_ITEMS)), np.float32)
     for t, (at, impact, _) in enumerate(lists):
         np.maximum.at(bounds[t], at // BOUND_ITEMS, impact)
-    return Index(item_ids, words, question, terms, lists, most, max(64, 2 * max(len(w) for w in words)), bounds)
+    span = max(64, 2 * max((len(w) for w in words), default=0))
+    return Index(item_ids, words, question, terms, lists, most, span, bounds, short)
 
 
 def block_max_wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -177,9 +240,28 @@ def overlap(index: Index, item: int, passage: np.ndarray) -> tuple[float, float]
 def leaks(column: pa.Array, index: Index, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float, float, float]]:
     """``row, item, passages, score, question overlap, answer overlap`` of confirmed items, best passage each."""
     hashes, first = word_hashes(column)
+    return _short_leaks(hashes, first, index) + (_long_leaks(hashes, first, index, threshold) if index.words else [])
+
+
+def _short_leaks(hashes: np.ndarray, first: np.ndarray, index: Index) -> list[tuple[int, int, int, float, float, float]]:
+    out = []
+    for size, (keys, items) in sorted(index.short.items()):
+        runs = sequence_hashes(hashes, size)
+        at = np.flatnonzero(np.isin(runs, keys))
+        row = np.searchsorted(first, at, side="right") - 1
+        whole = at + size <= first[row + 1]
+        found = Counter(zip(row[whole].tolist(), runs[at[whole]].tolist()))
+        for (r, key), places in sorted(found.items()):
+            lo, hi = (int(np.searchsorted(keys, np.uint64(key), side=s)) for s in ("left", "right"))
+            out += [(r, int(i), places, 1.0, 1.0, 1.0) for i in items[lo:hi]]
+    return out
+
+
+def _long_leaks(hashes: np.ndarray, first: np.ndarray, index: Index,
+                threshold: float) -> list[tuple[int, int, int, float, float, float]]:
     term = index.lookup(hashes)
     stride = index.span // 2
-    doc = np.repeat(np.arange(len(column)), np.diff(first))
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     blocks = np.maximum(1, -(-np.diff(first) // stride))
     base = np.concatenate(([0], np.cumsum(blocks)))  # block b of a text and block b + 1 make passage b
     block = base[doc] + (np.arange(len(hashes)) - first[doc]) // stride
@@ -229,13 +311,14 @@ def leaks(column: pa.Array, index: Index, threshold: float = THRESHOLD) -> list[
 
 def index_shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                  shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
-    """Indexes of bounded size that together hold every item of at least ``MIN_WORDS`` words."""
+    """Indexes of bounded size that together hold every item with a word."""
     found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD), F.lit(0))
     items = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"), F.size(found).alias("n"))
-    items = items.where(F.col("n") >= MIN_WORDS)
-    total = items.agg(F.count(F.lit(1)).alias("items"), F.avg("n").alias("mean"),
+    items = items.where("n > 0")
+    scored = F.col("n") >= MIN_WORDS  # frequencies and mean length are of the items that are scored
+    total = items.agg(F.count_if(scored).alias("items"), F.avg(F.when(scored, F.col("n"))).alias("mean"),
                       F.sum(F.octet_length("text")).alias("bytes")).first()
-    if not total["items"]:
+    if not total["bytes"]:
         return
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,12 +330,12 @@ def index_shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
     shards = max(1, -(-total["bytes"] // shard_bytes))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    counts = map_batches(items.select("text"), terms, "term long").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = map_batches(items.where(scored).select("text"), terms, "term long").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     for k in range(shards):
-        part = items.where(place == k).select("item_id", "text")
-        rows = sorted(part.collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
+        part = items.where(place == k)
+        rows = sorted(part.select("item_id", "text").collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
         if rows:
-            mine = map_batches(part.select("text"), terms, "term long").distinct()
+            mine = map_batches(part.where(scored).select("text"), terms, "term long").distinct()
             frequency = {r["term"]: r["df"] for r in counts.join(mine, "term", "left_semi").collect()}
             yield build_index([r["item_id"] for r in rows], [r["text"] for r in rows], frequency, total["items"],
                               total["mean"])

@@ -317,6 +317,39 @@ def test_contaminated_over_several_index_shards(spark, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in collect(decontam.contaminated(docs, bench))) == whole
 
 
+def test_words_of_scripts_without_blanks(spark):
+    texts = ["Straße no1", "日本語、テスト。abc １２", "ก็ดี x", "𠀀𠀁é", "", "한국어 “q”"]
+    words = ["straße no1", "日 本 語 テ ス ト abc １２", "ก ็ ด ี x", "𠀀 𠀁 é", "", "한국어 “q”"]
+    got, first = decontam.word_hashes(pa.array(texts))
+    want, at = decontam.word_hashes(pa.array(words))
+    assert list(first) == list(at) and list(got) == list(want)
+    assert [len(w.split()) for w in words] == list(np.diff(first))
+    found = F.regexp_extract_all(F.lower("text"), F.lit(decontam.WORD), F.lit(0))
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [" ".join(r[0]) for r in frame.select(found).collect()] == words
+
+
+def test_contaminated_finds_scripts_without_blanks_and_short_items(spark):
+    rng = np.random.default_rng(12)
+    han = lambda n: "".join(chr(c) for c in rng.integers(0x4E00, 0x9000, n))
+    kana = lambda n: "".join(chr(c) for c in rng.integers(0x3041, 0x3090, n))
+    thai = lambda n: "".join(chr(c) for c in rng.integers(0x0E01, 0x0E2F, n))
+    items = [han(30) + "？" + han(12) + "。", kana(40), thai(50), "two words", "东京", "Yes", prose(rng, 30), "?!", "two words"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [(0, han(80) + items[0] + han(90)), (1, "x " + kana(70) + "、" + items[1] + kana(9)), (2, thai(60) + items[2]),
+            (3, "some Two, words here, two  words"), (4, han(20) + "东京" + han(20)), (5, "yes"), (6, items[6]),
+            (10, han(200)), (11, kana(200)), (12, thai(200)), (13, "two other words"), (14, "ends with two"),
+            (15, "words first"), (16, "东 x 京"), (17, "yesterday"), (18, None), (19, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = collect(decontam.contaminated(frame, bench))
+    want = {(i, i) for i in range(7)} | {(3, 8)}
+    assert len(got) == len(want) and {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert {r["passages"] for r in got if r["doc_id"] == 3} == {2}
+    assert sorted(i for i, _ in plain(decontam.drop_contaminated(frame, bench))) == list(range(10, 20))
+    only_short = bench.where("item_id = 3")
+    assert [(r["doc_id"], r["item_id"]) for r in collect(decontam.contaminated(frame, only_short))] == [(3, 3)]
+
+
 # --- op6 --------------------------------------------------------------------------------------
 
 def test_chat_collapse_and_rendering(spark):
