@@ -5,13 +5,13 @@ paired.  Each class has a signature of ``COORDINATES`` minima, and every (coordi
 is an element posted to an inverted list:
 
 * prefix: elements are ordered by global frequency, rarest first.  Two classes that agree in at
-  least ``MATCHES`` coordinates share an element among their first COORDINATES - MATCHES + 1, so only
+  least M coordinates share an element among their first COORDINATES - M + 1, so only
   these are posted.  Long lists (a passage that many texts hold) fall behind the prefix and are
   skipped, the way a skip merge leaves them to the final count;
 * lists longer than ``BLOCK`` are dealt into blocks, and pairs of blocks are separate rows, so no
   list is held whole by a task; lists with the same members are looked at once;
 * count: within a list the collisions of whole signatures are counted, and pairs with at least
-  MATCHES that could reach the threshold by their set sizes are candidates.
+  M that could reach the threshold by their set sizes are candidates.
 
 Candidates are taken in rounds.  In the first, each class names its best partner per list.  Those
 pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
@@ -22,9 +22,9 @@ GROWTH).  So no link that joins two components is lost, and a group of thousands
 mostly settled by the first round's few rows instead of all its pairs.
 
 Components come from label propagation with pointer jumping over joins; nothing about all
-documents reaches the driver.  A pair exactly at the threshold of 0.85 agrees in fewer than
-MATCHES of 64 coordinates, or in fewer than SKETCH_MATCHES of the sketch, with a probability of
-about 1e-6 each.
+documents reaches the driver.  The threshold is ``percent`` (85 unless the caller asks for another);
+M and the sketch's least count follow from it: a pair exactly at the threshold falls below either
+with a probability of at most ``MISSED``.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a text with
 fewer than five words is one shingle; copies share their class; rows that share an id are one
@@ -34,6 +34,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,9 +47,8 @@ from autopulse.llm.common import Powers, byte_keys, map_batches, materialise, on
 WORDS = 5
 PERCENT = 85
 COORDINATES = 64
-MATCHES = 40
 SKETCH = 512
-SKETCH_MATCHES = 398
+MISSED = 5e-6
 BLOCK = 1024
 GROWTH = 4 * BLOCK
 
@@ -63,6 +63,23 @@ SHIFT = _RNG.integers(0, 1 << 63, COORDINATES + SKETCH, dtype=np.uint64)
 POWERS = Powers()
 
 
+def least_matches(coordinates: int, same: float) -> int:
+    """Largest m that fewer than m of ``coordinates`` agree with a probability of at most ``MISSED``, each with ``same``."""
+    below, m = 0.0, 0
+    while m < coordinates:
+        below += math.comb(coordinates, m) * same ** m * (1 - same) ** (coordinates - m)
+        if below > MISSED:
+            break
+        m += 1
+    return m
+
+
+def filters(percent: int) -> tuple[int, int]:
+    """Least agreeing coordinates of the signature and of the sketch, whose bytes also agree by chance."""
+    p = percent / 100
+    return max(1, least_matches(COORDINATES, p)), least_matches(SKETCH, p + (1 - p) / 256)
+
+
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
     data, offsets = text_buffer(column)
@@ -139,7 +156,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_batches(rows, run, "doc_id long, n long, d1 long, d2 long, coordinates array<int>, sig binary")
 
 
-def prefix_postings(classes: DataFrame) -> DataFrame:
+def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     """``element, id`` of each class's rarest elements that other classes have too."""
     exploded = classes.select("id", F.posexplode("coordinates").alias("k", "v")).select(
         "id", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
@@ -148,7 +165,7 @@ def prefix_postings(classes: DataFrame) -> DataFrame:
     lists = (exploded.join(shared, "element").groupBy("id")
              .agg(F.sort_array(F.collect_list(F.struct("f", "element"))).alias("e")))
     # the COORDINATES - size(e) elements that no other class has are the rarest of all
-    take = F.greatest(F.lit(0), COORDINATES - MATCHES + 1 - (COORDINATES - F.size("e")))
+    take = F.greatest(F.lit(0), COORDINATES - matches + 1 - (COORDINATES - F.size("e")))
     return lists.select("id", F.explode(F.slice("e", F.lit(1), take)).alias("s")).select("s.element", "id")
 
 
@@ -183,7 +200,8 @@ def _first_common(prefix: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
     return out
 
 
-def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: int, element=None, prefix=None):
+def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: int, percent: int,
+                   element=None, prefix=None):
     """Pairs of one list that each member names, and whether some member had more.
 
     With ``prefix`` a pair counts only in the list of its smallest common element, so it is
@@ -194,7 +212,7 @@ def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: in
     for lo in range(0, len(ids), step):
         agree[lo: lo + step] = (sig[lo: lo + step, None, :] == sig[None, :, :]).sum(axis=2)
     fits = (agree >= least) & (label[:, None] != label[None, :])
-    fits &= 100 * np.minimum(size[:, None], size[None, :]) >= PERCENT * np.maximum(size[:, None], size[None, :])
+    fits &= 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])
     if split:
         fits &= side[:, None] != side[None, :]
     if prefix is not None:
@@ -211,7 +229,8 @@ def _best_partners(ids, label, size, sig, side, split: bool, least: int, top: in
     return out, more
 
 
-def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, least: int, top: int) -> DataFrame:
+def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, least: int, top: int,
+               percent: int) -> DataFrame:
     """``a, b, more``: pairs across components that agree in ``least`` coordinates, each class's ``top`` best per list.
 
     ``classes``: ``id``, set size ``n`` and ``sig``, the coordinates as bytes; with a column
@@ -227,7 +246,8 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
     lists = (rows.groupBy("bucket", "split", "element").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct(*fields)).alias("m"))
         .where("lo != hi").select("split", "element", "m"))
-    kind = np.int32 if least <= COORDINATES else np.uint8
+    kind = np.uint8 if once else np.int32
+    posted = COORDINATES - filters(percent)[0] + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,9 +261,9 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
                     prefix = np.repeat(-1 - np.arange(len(ids))[:, None], COORDINATES, axis=1)
                     for k, e in enumerate(m.field(5).to_pylist()):
                         prefix[k, : len(e)] = e
-                    prefix = prefix[:, : COORDINATES - MATCHES + 1]
+                    prefix = prefix[:, :posted]
                 pairs, more = _best_partners(ids, label, size, sig, side, batch.column("split")[i].as_py(), least, top,
-                                             batch.column("element")[i].as_py(), prefix)
+                                             percent, batch.column("element")[i].as_py(), prefix)
                 for x, y in pairs:
                     a.append(x)
                     b.append(y)
@@ -270,7 +290,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     return map_batches(wanted, run, "id long, n long, shingles binary, sig binary").dropDuplicates(["id"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b, linked`` decided on full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +299,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 p = np.frombuffer(x.as_buffer(), np.uint64)
                 q = np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                linked.append(100 * both >= PERCENT * (len(p) + len(q) - both))
+                linked.append(100 * both >= percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
                                              names=["a", "b", "linked"])
 
@@ -307,24 +327,28 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``, linked from ``percent`` similarity."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, got {percent}")
+    matches, sketch_matches = filters(percent)
     spark = docs.sparkSession
     sig = materialise(signatures(docs, id_col, text_col), "near-signatures")
     usable = sig.where("n > 0 AND doc_id IS NOT NULL")
     groups = materialise(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id")), "near-classes")
     classes = materialise(usable.select(F.col("doc_id").alias("id"), "n", "d1", "d2", "coordinates", "sig")
                           .join(groups, ["id", "n", "d1", "d2"], "left_semi").dropDuplicates(["id"]), "near-reps")
-    postings = materialise(prefix_postings(classes), "near-postings")
+    postings = materialise(prefix_postings(classes, matches), "near-postings")
     members = materialise(bucket_members(postings), "near-members")
     labels = spark.createDataFrame([], "id long, label long")
     links = spark.createDataFrame([], "a long, b long")
     tested, sets, top = None, None, 1
     while True:
         if sets is None:
-            named = candidates(members, classes, None, MATCHES, top)
+            named = candidates(members, classes, None, matches, top, percent)
         else:
-            named = candidates(members, sets, labels, SKETCH_MATCHES, top)
+            named = candidates(members, sets, labels, sketch_matches, top, percent)
         named = materialise(named, "near-named")
         found = named if tested is None else materialise(named.join(tested, ["a", "b"], "left_anti"), "near-untested")
         more = named.agg(F.max("more").alias("more")).first()["more"]
@@ -333,7 +357,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
                 posted = postings.groupBy("id").agg(F.collect_list("element").alias("prefix"))
                 sets = materialise(full_sets(docs, ids, id_col, text_col).join(posted, "id"), "near-sets")
-            decided = materialise(confirm(found, sets), "near-confirmed")
+            decided = materialise(confirm(found, sets, percent), "near-confirmed")
             links = links.unionByName(decided.where("linked").select("a", "b"))
             failed = decided.where("NOT linked").select("a", "b")
             tested = failed if tested is None else tested.unionByName(failed)
@@ -348,7 +372,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, one per component, with all their columns."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(id_col))
+    kept = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col("doc_id").alias(id_col))
     return docs.join(kept, docs[id_col].eqNullSafe(kept[id_col]), "left_semi")

@@ -483,6 +483,32 @@ def test_near_duplicates_empty_and_null_ids(spark, empty):
     assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(None, None, True), (1, 1, True), (2, 1, False)}
 
 
+def test_near_duplicates_threshold(spark):
+    assert near_dup.filters(85) == (40, 398)
+    rng = np.random.default_rng(21)
+    texts = []
+    for _ in range(25):
+        base = prose(rng, 150).split()
+        texts.append(" ".join(base))
+        for changes in (2, 3, 4):  # similarities about 0.87, 0.82 and 0.76
+            words = list(base)
+            for at in rng.choice(150, changes, replace=False):
+                words[at] = f"w{rng.integers(0, 10 ** 6)}"
+            texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    close = [(a, b, 100 * len(p & q) / len(p | q)) for a, p in enumerate(sets) for b, q in enumerate(sets) if a < b]
+    assert sum(80 <= j < 85 for *_, j in close) > 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for percent in (80, 85, 60):
+        label = list(range(len(texts)))
+        for a, b, j in close:
+            if j >= percent and label[a] != label[b]:
+                lo, hi = sorted((label[a], label[b]))
+                label = [lo if x == hi else x for x in label]
+        kept = near_dup.keep_one(docs, percent=percent)
+        assert sorted(i for i, _ in plain(kept)) == sorted(set(label))
+
+
 # --- op9 --------------------------------------------------------------------------------------
 
 def brute_repeats(rows, threshold=50):
