@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from autopulse.llm import (
-    chat, decontam, exact_dedup, kd_shard, langid, near_dup, packing, suffix_dedup, toxicity, url_filter,
+    bpe, centroids, chat, decontam, exact_dedup, importance, kd_shard, langid, near_dup, packing, suffix_dedup,
+    toxicity, url_filter,
 )
 from autopulse.llm.common import read
 
@@ -78,6 +79,24 @@ def q_url_rules(spark, sf):
     return url_filter.judge_urls(read(spark, sf, "pages"), rules)
 
 
+@register("op11_importance_resampling")
+def q_importance_resampling(spark, sf):
+    drawn = importance.importance_resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op12_backtracking_bpe")
+def q_bpe(spark, sf):
+    coded = bpe.decode(bpe.encode(read(spark, sf, "documents")))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op13_laesa_clusters")
+def q_clusters(spark, sf):
+    return centroids.centroid_clusters(read(spark, sf, "embeddings"))
+
+
 @register("pipeline")
 def q_pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
@@ -85,7 +104,39 @@ def q_pipeline(spark, sf):
 
 _NORM = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
+def _cluster_sql(clusters: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS) -> str:
+    """Every distance of every round, and the means by component."""
+    def assigned(name: str, before: str) -> str:
+        return f"""
+        {name} AS (SELECT row_no, any_value(vec_id) AS vec_id, any_value(v) AS v,
+                          arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+            SELECT k.row_no, k.vec_id, k.v, m.c,
+                   list_sum(list_transform(list_zip(k.v, m.m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+            FROM k CROSS JOIN {before} m) GROUP BY row_no)"""
+
+    steps = [f"""
+        k AS (SELECT row_number() OVER () AS row_no, vec_id,
+                     list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+              FROM embeddings WHERE len(embedding) = {centroids.DIMENSIONS} AND
+                   len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMENSIONS}),
+        m0 AS (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id), v) - 1 AS c, v AS m
+               FROM k QUALIFY c < {clusters})"""]
+    for i in range(rounds):
+        steps.append(assigned(f"a{i}", f"m{i}"))
+        steps.append(f"""
+        s{i} AS (SELECT c, j, sum(x) AS s, count(*) AS n
+                 FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{i}) GROUP BY c, j),
+        m{i + 1} AS (SELECT m{i}.c, coalesce(f.m, m{i}.m) AS m FROM m{i} LEFT JOIN (
+            SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS m FROM s{i} GROUP BY c) f USING (c))""")
+    steps.append(assigned("z", f"m{rounds}"))
+    return "WITH " + ",".join(steps) + f"""
+        SELECT vec_id, z.c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY z.c))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM z JOIN m{rounds} USING (c)"""
+
+
 SQL: dict[str, str] = {
+    "op13_laesa_clusters": _cluster_sql(),
     "op4_stateful_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {_NORM} AS norm, length(coalesce(text, '')) AS points FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
