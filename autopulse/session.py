@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,7 +30,7 @@ def scratch_root(spark: SparkSession) -> str:
         root = context.getCheckpointDir() if context is not None else None
         if not root:
             if context is None:
-                return _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="autopulse-"))
+                raise RuntimeError("set spark.checkpoint.dir: the server's folders are not known to a Spark Connect client")
             if not str(getattr(context, "master", "local")).startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="autopulse-"))
@@ -38,12 +38,25 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared scratch root (not created); deleted when the driver ends."""
+    path = f"{scratch_root(spark)}/autopulse/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:  # a Spark Connect client has no file system of its own
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared scratch root (not created)."""
-    return f"{scratch_root(spark)}/autopulse/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the scratch root and read back: later uses don't run it again.
+
+    Unlike a cached frame it survives lost executors, and values that a second run would
+    change are fixed.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

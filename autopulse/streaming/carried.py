@@ -2,11 +2,12 @@
 
 Each micro-batch is one ordered scan (`autopulse.operators.scan`), so a vehicle with many
 records in a batch is split over tasks.  What a vehicle carries into the next batch is one
-number: the batch reads the carry of the batch before, puts it in front of the vehicle's
-records as a row without order value, and writes its own carry under its batch id.  A batch
-that is run again reads the same carry and replaces its own output: exactly once, also
-after a restart from the checkpoint.  No timeout: a carry lives as long as its folder, of
-which only the last two batches are ever read.
+number in a keyed table (`autopulse.streaming.keyed`): the batch looks up its own vehicles,
+puts each one's number in front of its records as a row without order value, and commits
+the new numbers as a delta under its batch id.  Vehicles that a batch does not name are
+neither read (beyond the buckets they share) nor written.  A batch that is run again reads
+the same state and replaces its own output: exactly once, also after a restart from the
+checkpoint.  No timeout: a vehicle's number stays until its next record.
 
 Records must reach the batches in ``seq`` order; within a batch any order will do.  A NULL
 vehicle is a vehicle of its own.
@@ -23,27 +24,28 @@ from autopulse.operators.scan import DEFAULT_CHUNK, ordered_scan
 from autopulse.operators.state import (
     DRIVING_STATUS, DRIVING_UNIT_SECONDS, OVERSPEED_THRESHOLD, is_overspeed, with_alert,
 )
+from autopulse.session import scratch_table
 from autopulse.streaming.batches import write_batch
+from autopulse.streaming.keyed import KeyedTable
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
+CARRY = "vehicle_id string, _carry bigint"
+
+
 def _carried_batch(records: DataFrame, batch_id: int, out_dir: str, carry_dir: str, seq: str, value: str,
                    scan: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> None:
     """One batch: carry rows before the records, ``scan`` adds ``value`` to each row, then output and new carry."""
-    rows = records.withColumns({"_carry": F.lit(0).cast("bigint"), "_real": F.lit(True)})
-    known = None
-    if batch_id > 0:
-        known = records.sparkSession.read.schema("vehicle_id string, _carry bigint").parquet(
-            f"{carry_dir.rstrip('/')}/batch_id={batch_id - 1}")
-        rows = rows.unionByName(known.withColumn("_real", F.lit(False)), allowMissingColumns=True)
+    spark = records.sparkSession
+    carries = KeyedTable(spark, carry_dir, CARRY, ["vehicle_id"])
+    records = scratch_table(records, "batch-records")
+    known = carries.lookup(records, batch_id)
+    rows = (records.withColumns({"_carry": F.lit(0).cast("bigint"), "_real": F.lit(True)})
+            .unionByName(known.withColumn("_real", F.lit(False)), allowMissingColumns=True))
     written = write_batch(finish(scan(rows).where("_real").select(*records.columns, value)), out_dir, batch_id)
     last = F.coalesce(F.max_by(value, seq), F.max(value)).cast("bigint")
-    carry = written.groupBy("vehicle_id").agg(last.alias("_carry"))
-    if known is not None:
-        both = carry.withColumn("_age", F.lit(1)).unionByName(known.withColumn("_age", F.lit(0)))
-        carry = both.groupBy("vehicle_id").agg(F.max_by("_carry", "_age").alias("_carry"))
-    write_batch(carry, carry_dir, batch_id)
+    carries.put(written.groupBy("vehicle_id").agg(last.alias("_carry")), batch_id)
 
 
 def _when_real(real: Column, carried: Column) -> Column:

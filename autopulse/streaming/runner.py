@@ -7,13 +7,14 @@ re-run batch replaces its own output.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from autopulse.sinks.manifest import Manifest
+
 DEFAULT_TRIGGER = "5 seconds"
 
 
@@ -58,28 +59,31 @@ def overwrite_batch(base: str) -> Callable[[DataFrame, int], None]:
     return fn
 
 
-def overwrite_snapshot(path: str) -> Callable[[DataFrame, int], None]:
-    """K8 complete mode: each batch carries the whole result; keep the latest batch's copy."""
+def overwrite_snapshot(path: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """K8 complete mode: each batch carries the whole result and becomes the live snapshot once it is written.
+
+    The last ``keep`` snapshots stay, older ones are deleted.
+    """
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        name = f"snapshot-{batch_id}"
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        Manifest(batch.sparkSession, path, keep).commit(batch_id, [name], snapshot=name)
     return fn
 
 
-def latest_batch_id(df: DataFrame) -> int | None:
-    """Highest ``batch_id=<n>`` among the frame's files: a listing, no file is read."""
-    # the last batch_id=<n> in a path is the partition directory (the base may contain one too)
-    ids = [int(found[-1]) for f in df.inputFiles() if (found := re.findall(r"batch_id=(\d+)", f))]
-    return max(ids) if ids else None
-
-
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The complete-mode result of the last committed batch (the filter prunes every older snapshot)."""
-    df = spark.read.parquet(path)
-    return df.filter(F.col("batch_id") == F.lit(latest_batch_id(df))).drop("batch_id")
+    """The complete-mode result of the last committed batch."""
+    live = Manifest(spark, path).latest()
+    if live is None:
+        raise FileNotFoundError(f"{path} holds no committed snapshot")
+    return spark.read.parquet(f"{path.rstrip('/')}/{live['snapshot']}")
 
 
 def read_latest_updates(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame:
-    """Fold update-mode batches: for each key the row of the highest batch id."""
+    """Fold update-mode batches of ``overwrite_batch``: for each key the row of the highest batch id.
+
+    Reads every update ever written; `autopulse.streaming.keyed` keeps the folded table instead.
+    """
     df = spark.read.parquet(base)
     values = [c for c in df.columns if c not in set(keys) | {"batch_id"}]
     latest = F.max_by(F.struct(*values), "batch_id")

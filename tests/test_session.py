@@ -1,3 +1,5 @@
+import pytest
+
 from autopulse import session
 
 
@@ -57,7 +59,7 @@ def test_public_api_imports():
     assert callable(sinks.publish) and callable(sources.read_telemetry_csv)
 
 
-def test_scratch_root_without_a_context_is_stable():
+def test_scratch_root_without_a_context_must_be_configured():
     class NoContext:
         conf = _Conf({})
 
@@ -65,5 +67,8 @@ def test_scratch_root_without_a_context_is_stable():
         def sparkContext(self):
             raise RuntimeError("no SparkContext in this kind of session")
 
-    s = NoContext()
-    assert session.scratch_root(s) == session.scratch_root(s)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(NoContext())
+    shared = NoContext()
+    shared.conf = _Conf({"spark.checkpoint.dir": "s3a://shared/x"})
+    assert session.scratch_root(shared) == "s3a://shared/x"

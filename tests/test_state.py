@@ -1,6 +1,7 @@
 import math
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -118,6 +119,88 @@ def test_carried_batches_equal_batch(spark):
     assert rows(spark.read.parquet(base + "/d"), *cols) == rows(state.driving_duration(status), *cols)
 
 
+def test_one_wrong_stamp_does_not_undo_the_chunks(spark):
+    """Cuts follow ranks: outliers, clustered and equal stamps give chunks of at most twice the bound."""
+    from autopulse.operators.scan import with_chunks
+
+    n = 30_000
+    ids = spark.range(n).select(F.col("id").alias("seq"), F.lit("v").alias("k"))
+    far = ids.unionByName(spark.createDataFrame([(1 << 60, "v"), (-(1 << 60), "v")], "seq long, k string"))
+    near = ids.select((F.pow(F.lit(10.0), F.col("seq") / 100) ).alias("t"), "seq", "k")
+    equal = ids.select(F.when(F.col("seq") % 10 > 0, 7.0).alias("t"), "seq", "k")
+    odd = ids.select(F.when(F.col("seq") % 3 == 0, float("nan")).otherwise(float("-inf")).alias("t"), "seq", "k")
+    for df, order in [(far, ["seq"]), (near, ["t", "seq"]), (equal, ["t", "seq"]), (odd, ["t", "seq"])]:
+        sizes = with_chunks(df, ["k"], order, 500).groupBy("_chunk").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"))
+        got = sorted(sizes.collect())
+        assert sum(r["n"] for r in got) == df.count() and max(r["n"] for r in got) <= 1000
+        place = ordered_scan(df, ["k"], order, chunk_size=500)
+        want = F.row_number().over(Window.partitionBy("k").orderBy(*order))
+        assert place.withColumn("want", want).where("_pos <> want").count() == 0
+
+
+def test_chunks_deeper_than_one_fan(spark):
+    from autopulse.operators.scan import with_chunks
+
+    df = spark.range(12_000).select((F.col("id") * F.col("id")).alias("seq"))
+    sizes = [r["count"] for r in with_chunks(df, [], "seq", 20).groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 40 and len(sizes) <= 2 * 12_000 / 20
+
+
+def test_keyed_table_writes_what_the_batch_holds(spark):
+    import os
+    import tempfile
+
+    from autopulse.streaming.keyed import KeyedTable
+
+    def size(base):
+        return {n: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{base}/{n}") for f in fs if f.endswith(".parquet"))
+                for n in os.listdir(base) if not n.startswith("_")}
+
+    base = tempfile.mkdtemp()
+    table = KeyedTable(spark, base, "k string, v long", ["k"], bucket_rows=4000)
+    fleet = spark.range(40_000).select(F.col("id").cast("string").alias("k"), F.lit(0).cast("long").alias("v"))
+    table.put(fleet, 0)
+    want = {str(i): 0 for i in range(40_000)}
+    whole = sum(size(base).values())
+    for batch_id in range(1, 9):
+        rows = {str(i * 7 % 40_000): batch_id for i in range(batch_id * 10, batch_id * 10 + 30)} | {None: batch_id}
+        table.put(spark.createDataFrame(list(rows.items()), "k string, v long"), batch_id)
+        want |= rows
+        grown = size(base)
+        assert sum(b for n, b in grown.items() if not n.endswith("-0")) < whole / 10   # the first run is not rewritten
+        assert len(grown) <= 8                                                        # and old runs are gone
+    got = {r["k"]: r["v"] for r in table.all().collect()}
+    assert got == want
+    asked = spark.createDataFrame([("7",), (None,), ("absent",)], "k string")
+    assert {r["k"]: r["v"] for r in table.lookup(asked).collect()} == {k: want[k] for k in ("7", None)}
+
+
+def test_keyed_batch_that_fails_before_its_commit_runs_again(spark, monkeypatch):
+    import tempfile
+
+    import pytest
+
+    from autopulse.sinks.manifest import Manifest
+    from autopulse.streaming import carried
+
+    df = spark.createDataFrame([(i, f"v{i % 3}", 130.0) for i in range(40)], "seq long, vehicle_id string, speed double")
+    base = tempfile.mkdtemp()
+    run = carried.overspeed_run_batch(base + "/o", base + "/c", alert_count=3, chunk_size=4)
+    run(df.where("seq < 10"), 0)
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            run(df.where("seq >= 10 AND seq < 25"), 1)
+    run(df.where("seq >= 10 AND seq < 25"), 1)
+    run(df.where("seq >= 10 AND seq < 25"), 1)   # and once more after its commit
+    run(df.where("seq >= 25"), 2)
+    cols = ["vehicle_id", "seq", "speed", "consecutive_overspeed_count", "alert"]
+    assert rows(spark.read.parquet(base + "/o"), *cols) == rows(state.overspeed_alert(df), *cols)
+    with pytest.raises(FileNotFoundError):   # a lost state folder is not taken for an empty one
+        carried.overspeed_run_batch(base + "/o2", base + "/none")(df, 3)
+
+
 EDGE_LINES = [("v1,130", ("v1", 130.0)), (" v1 , 130 ", ("v1", 130.0)), ("v1,120,,", ("v1", 120.0)),
               ("v1,", None), (",5", None), ("v1,abc", None), ("v1,1,2", None), ("v1,120, ", None),
               ("v1,NaN", ("v1", "nan")), ("", None), ("v1,inf", None), ("v1,Infinity", ("v1", math.inf))]
