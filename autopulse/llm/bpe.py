@@ -9,9 +9,11 @@ merges in reverse order until a merge across the seam would have come first; the
 a table of pairs.  Tokens that the merges never leave alone are not in the automaton.
 
 White space never lies inside a word, so texts are cut at ASCII white space, a batch's distinct
-pieces are encoded once, and dictionary indices put the documents' ids together.  Pieces beyond
-ASCII are normalised and cut into words by the tokenizer file's own normaliser and splitter; the
-merges are always ours.  Special tokens are found in the raw text, as the tokenizer file does.
+pieces are encoded once, and dictionary indices put the documents' ids together.  All new words of a
+batch run through the automaton as one string, and their neighbours are checked together; only
+words in which some longest match does not fit go through the backtracking loop.  Pieces beyond the
+Latin blocks are normalised and cut into words by the tokenizer file's own normaliser and splitter;
+the merges are always ours.  Special tokens are found in the raw text, as the tokenizer file does.
 
 Decoding gathers byte ranges: the vocabulary is one buffer, and each id has its start and size there.
 
@@ -28,8 +30,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +41,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autopulse.llm.common import map_batches, slices
+from autopulse.llm.common import map_batches, ranges, slices
 
 SLICE_BYTES = 4 << 20
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 19
 CACHED_PAIRS = 1 << 20
 FINAL = 0x1000  # a word's last symbol is moved up by this much: no other symbol of the vocabulary lies there
-BLANKS = r"[\t\n\v\f\r ]+"
+GAP = "\uffff"  # stands between words in one long string: no symbol of a vocabulary
+#: Below this code point the file's normaliser only lower-cases; one letter there becomes two characters.
+PLAIN_LIMIT = "ƀ"
+LOWERS_TO_TWO = "İ"
 
 
 def default_path() -> str:
@@ -83,7 +90,7 @@ class Merges:
         self.head = [-1] * self.base + [number[a] for a, _ in merges]
         self.tail = [-1] * self.base + [number[b] for _, b in merges]
         self.pairs = {(number[a], number[b]): self.base + i for i, (a, b) in enumerate(merges)}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         self.symbols = [self.spell(name) for name in self.names]
         self.size = [len(s) for s in self.symbols]
 
@@ -108,7 +115,8 @@ class Merges:
                 limit, right = right + 1, self.head[right]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        """Whether the merges leave ``right`` next to ``left``, from the table of pairs seen before."""
+        key = left << 32 | right
         known = self.table.get(key)
         if known is None:
             if len(self.table) >= CACHED_PAIRS:
@@ -135,25 +143,32 @@ class Encoder:
             self.automaton.add_word(s, i)
             self.shorter[i] = next((self.number[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.number), -1)
         self.automaton.make_automaton()
+        self.size = merges.size
+        self.sizes = np.array(merges.size, np.int64)
+        self.id_bytes = [int(i).to_bytes(4, "little") for i in merges.ids]
 
     def encode(self, word: str) -> list[int]:
-        whole = self.number.get(word)
-        if whole is not None:
-            return [whole]
-        size, shorter, compatible = self.merges.size, self.shorter, self.merges.compatible
+        """One word, by backtracking where a longest match does not fit."""
+        size, shorter, table, compatible = self.size, self.shorter, self.merges.table, self.merges.compatible
         longest = [-1] * len(word)
         for end, i in self.automaton.iter(word):
             longest[end + 1 - size[i]] = i  # matches come by their ends, so the longest is the last one
         out: list[int] = []
         given_up = bytearray(len(word) + 1)
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < len(word):
-            last = out[-1] if out else -1
-            while token >= 0 and (given_up[at + size[token]] or last >= 0 and not compatible(last, token)):
+            while token >= 0:
+                if not given_up[at + size[token]]:
+                    if last < 0:
+                        break
+                    fits = table.get(last << 32 | token)
+                    if compatible(last, token) if fits is None else fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at += size[token]
+                last = token
                 token = longest[at] if at < len(word) else -1
             else:
                 if not out:
@@ -161,6 +176,29 @@ class Encoder:
                 given_up[at] = 1
                 token = out.pop()
                 at -= size[token]
+                last = out[-1] if out else -1
+        return out
+
+    def encode_all(self, words: list[str]) -> list[bytes]:
+        """The ids of all words: the longest matches of each where all neighbours fit, else by backtracking."""
+        if not words:
+            return []
+        text = GAP.join(words) + GAP
+        found = np.fromiter(chain.from_iterable(self.automaton.iter_long(text)), np.int64).reshape(-1, 2)
+        ends, tokens = found[:, 0] + 1, found[:, 1]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        word_ends = np.cumsum(sizes + 1) - 1
+        of = np.searchsorted(word_ends, ends)
+        bad = np.bincount(of, weights=self.sizes[tokens], minlength=len(words)) != sizes
+        together = np.flatnonzero(of[1:] == of[:-1])
+        pairs, places = np.unique(tokens[together] << 32 | tokens[together + 1], return_inverse=True)
+        fits = np.fromiter((self.merges.compatible(p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()), bool, len(pairs))
+        bad[of[together[~fits[places]]]] = True
+        first = (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        matched = self.merges.ids[tokens].tobytes()
+        out = [matched[x:y] for x, y in zip(first, first[1:])]
+        for i in np.flatnonzero(bad).tolist():
+            out[i] = b"".join([self.id_bytes[t] for t in self.encode(words[i])])
         return out
 
 
@@ -182,59 +220,72 @@ class Tokenizer:
         names = sorted(self.special, key=len, reverse=True)
         self.special_cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.byte_names = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
-        self.words: dict[str, list[int]] = {}
-        self.ascii_words = self._same_on_ascii()
+        # ids of words seen before; a special token has a key that no word can have
+        self.special_ids = {GAP + name: int(i).to_bytes(4, "little") for name, i in self.special.items()}
+        self.words = dict(self.special_ids)
+        self.plain = self._plain_pattern()
         self._offset_table()
 
-    def _same_on_ascii(self) -> re.Pattern | None:
-        """A pattern that cuts ASCII pieces as the file's own normaliser and splitter do; None for other files."""
-        pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")  # fixed: the file's pattern
-        probe = "".join(chr(c) for c in range(33, 127)) + "\x00\x1c\x1f\x7f'Sa'LLb'vec''d1'rex12'T3'Mm'"
-        own = [m.translate(self.byte_names) for m in pattern.findall(probe.lower())]
+    def _plain_pattern(self) -> re.Pattern | None:
+        """A pattern that cuts lower-cased Latin pieces as the file's own normaliser and splitter do; None if they differ."""
+        known = [chr(c) for c in range(ord(PLAIN_LIMIT)) if chr(c) not in LOWERS_TO_TWO]
+        kinds = {kind: re.escape("".join(c for c in known if unicodedata.category(c)[0] == kind)) for kind in "LN"}
+        blank = "".join(c for c in known if c.isspace() and c not in "\x1c\x1d\x1e\x1f")
+        # fixed: the contractions of the file's pattern
+        pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^{kinds['L']}{kinds['N']}{re.escape(blank)}]+")
+        probe = "".join(f"a{c}1{c}{c}!{c} " for c in known) + "'Sa'LLb'vec''d1'rex12'T3'Mm'"
+        own = [self._spell(m) for m in pattern.findall(probe.lower())]
         return pattern if own == self._split_by_file(probe) else None
 
+    def _spell(self, word: str) -> str:
+        """A word's bytes as the vocabulary's symbols."""
+        return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.byte_names)
+
     def _split_by_file(self, piece: str) -> list[str]:
         if self.file.normalizer is not None:
             piece = self.file.normalizer.normalize_str(piece)
         return [word for word, _ in self.file.pre_tokenizer.pre_tokenize_str(piece)]
 
     def split(self, piece: str) -> list[str]:
-        if piece.isascii() and self.ascii_words is not None:
-            piece = piece.lower()
-            if piece.isalpha():
-                return [piece]
-            return [m.translate(self.byte_names) for m in self.ascii_words.findall(piece)]
-        return self._split_by_file(piece)
-
-    def word_ids(self, word: str) -> list[int]:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            spelled = word[:-1] + chr(ord(word[-1]) + FINAL) if self.merges.suffix else word
-            found = self.words[word] = self.merges.ids[self.encoder.encode(spelled)].tolist()
-        return found
-
-    def piece_ids(self, piece: str) -> list[int]:
-        """Ids of a piece of text without ASCII white space."""
-        if not piece:
-            return []
-        out: list[int] = []
-        for part in self.special_cut.split(piece) if self.special_cut and "<" in piece else [piece]:
+        """The words of a piece of text, spelled in symbols."""
+        if self.plain is None or not (piece.isascii() or max(piece) < PLAIN_LIMIT and LOWERS_TO_TWO not in piece):
+            return self._split_by_file(piece)
+        piece = piece.lower()
+        if piece.isalpha():
+            return [self._spell(piece)]
+        return [self._spell(m) for m in self.plain.findall(piece)]
+
+    def parts(self, piece: str) -> list[str]:
+        """Words and special tokens of a piece of text without ASCII white space, as keys of ``words``."""
+        if not self.special or "<" not in piece:
+            return self.split(piece) if piece else []
+        out: list[str] = []
+        for part in self.special_cut.split(piece):
             if part in self.special:
-                out.append(self.special[part])
+                out.append(GAP + part)
             elif part:
-                for word in self.split(part):
-                    out += self.word_ids(word)
+                out += self.split(part)
         return out
 
+    def pieces_ids(self, pieces: list[str]) -> list[bytes]:
+        cut = [self.parts(p) for p in pieces]
+        seen = set(chain.from_iterable(cut))
+        missing = list(seen.difference(self.words))
+        if missing and len(self.words) + len(missing) > CACHED_WORDS:
+            self.words = dict(self.special_ids)
+            missing = list(seen.difference(self.words))
+        spelled = [w[:-1] + chr(ord(w[-1]) + FINAL) for w in missing] if self.merges.suffix else missing
+        self.words.update(zip(missing, self.encoder.encode_all(spelled)))
+        known = self.words
+        return [known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p]) for p in cut]
+
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the n + 1 places where each text's ids begin."""
-        pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), BLANKS)
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = pc.list_flatten(pieces).dictionary_encode()
-        ids = [self.piece_ids(p) for p in coded.dictionary.to_pylist()]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([i for x in ids for i in x], "<u4")
+        ids = self.pieces_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         starts = np.cumsum(sizes) - sizes
         codes = coded.indices.to_numpy()
         out = flat[ranges(starts[codes], sizes[codes])]
@@ -254,12 +305,6 @@ class Tokenizer:
         return self.letters[ranges(self.starts[ids], self.sizes[ids])].tobytes()[:-1]
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places starts[i] .. starts[i] + sizes[i] - 1 of all i, one after another."""
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
-
-
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
