@@ -8,10 +8,12 @@ from autopulse.functions.text import (
 )
 from autopulse.functions.time import (
     batch_file_name, batch_time_text, day_of_week, hour_of_day, safe_timestamp, to_utc_wall_clock,
+    utc_instant, wall_clock_micros,
 )
 
 __all__ = [
     "JAVA_WHITESPACE", "batch_file_name", "compute_once", "batch_time_text", "bucket", "day_of_week",
     "format_record", "hour_of_day", "jvm_split_fields", "jvm_trim", "legacy_int", "non_blank",
-    "numeric_tokens", "safe_double", "safe_timestamp", "to_utc_wall_clock", "words",
+    "numeric_tokens", "safe_double", "safe_timestamp", "to_utc_wall_clock", "utc_instant", "wall_clock_micros",
+    "words",
 ]

@@ -25,8 +25,26 @@ def safe_timestamp(c) -> Column:
 
 
 def to_utc_wall_clock(c) -> Column:
-    """A TIMESTAMP (instant) as its UTC wall clock (TIMESTAMP_NTZ), independent of the session zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), to_col(c).cast("timestamp_ntz"))
+    """A TIMESTAMP (instant) as its UTC wall clock (TIMESTAMP_NTZ), independent of the session zone.
+
+    Computed from the instant's microseconds: in an hour that a zone's clocks show twice, two
+    instants share a local wall clock but not this one.
+    """
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(to_col(c)) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+
+
+def wall_clock_micros(c) -> Column:
+    """A TIMESTAMP_NTZ's own fields as microseconds since 1970-01-01 00:00: no zone is asked."""
+    c = to_col(c)
+    day = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("bigint")
+    second = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return ((day * 24 + F.hour(c)) * 60 + F.minute(c)) * 60_000_000 + second
+
+
+def utc_instant(c) -> Column:
+    """A TIMESTAMP_NTZ read as UTC: the instant (TIMESTAMP) that ``to_utc_wall_clock`` gives back."""
+    return F.timestamp_micros(wall_clock_micros(c))
 
 
 def hour_of_day(c) -> Column:

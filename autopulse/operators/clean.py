@@ -1,19 +1,21 @@
 """Sensor cleaning (P2-P5) and profiling.
 
-One-row values (the column mean, the IQR fence) enter the row-level plan as scalar
-subqueries: computed once by Spark, substituted as a value, no cross join and no
-driver round trip of data.
+The column mean enters the row-level plan as a scalar subquery: computed once by Spark,
+substituted as a value, no cross join.  Quantiles are found round by round when they are
+asked for, so a fence is a pair of plain values in the plan that uses it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from autopulse.functions import compute_once
+from autopulse.session import scratch_table
 
 # The speed cap of the cleaning step and the IQR fence factor.
 MAX_SPEED = 200
@@ -40,49 +42,77 @@ def clean_sensors(df: DataFrame, max_speed: int = MAX_SPEED) -> DataFrame:
     return df.transform(fill_mean).transform(filter_max_speed, max_speed)
 
 
+#: At most so many values are gathered for one quantile; more are narrowed down first.
+HELD = 10_000
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], names: Sequence[str] | None = None,
-                    buckets: int = 256) -> DataFrame:
+                    buckets: int = 2000, held: int = HELD) -> DataFrame:
     """Exact quantiles as one row: for each p the value of rank max(1, ceil(p * n)); NULL/NaN ignored.
 
-    Equal to ``approxQuantile(column, probs, 0.0)`` without gathering the values in
-    one place:
+    Equal to ``approxQuantile(column, probs, 0.0)`` without gathering the values in one place.  The
+    column is written once to the shared scratch folder, so its source runs once; then, for all p
+    together, the range that holds the wanted rank is narrowed round by round:
 
-    1. count rows per distinct value (partial aggregation);
-    2. cut the distinct values into ``buckets`` ordered ranges at approximate percentiles;
-    3. per range, its row total and the rows of all earlier ranges (at most ``buckets``
-       rows, so a single-partition window there is bounded);
-    4. for each p, the range holding rank k and the rank inside it (one row per p);
-    5. only the values of those ranges are sorted; the first whose running count
-       reaches the inner rank is the answer.
+    1. a mergeable sketch names two values about ``1 / buckets`` of the range's rows below and
+       above the rank;
+    2. exact counts of the rows below, at, between and above them tell where the rank lies: at one
+       of the two (done), or in a part that leaves both out;
+    3. a range of at most ``held`` rows is gathered and its value of that rank picked.
 
+    Each round is two aggregates and keeps about ``2 / buckets`` of the rows, which are written apart
+    for the next one; the sketch only steers, so its error costs rounds, never the result.
     Returns NULLs on empty input.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    v = F.col(column).cast("double")
-    counts = (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-              .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    cut_points = [i / buckets for i in range(1, buckets)]
-    summary = counts.select(F.struct(F.sum("cnt").alias("n"),
-                                     F.percentile_approx("v", cut_points, 10 * buckets).alias("splits"))).scalar()
-    # The range number comes out of a generator: constraint propagation then sees a plain
-    # column, not the expression, and cannot copy it to the other side of the join below.
-    ranged = compute_once(counts.withColumn("splits", summary.getField("splits")), ["v", "cnt"],
-                          bucket=F.size(F.filter("splits", lambda s: s < F.col("v"))))
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (ranged.groupBy("bucket").agg(F.sum("cnt").alias("bcnt"))
-             .withColumn("before", F.coalesce(F.sum("bcnt").over(earlier), F.lit(0)))
-             .withColumn("n", summary.getField("n")))
-    wanted = F.array(*[F.struct(F.lit(i).alias("pi"), F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("n")))
-                                .alias("k")) for i, p in enumerate(probs)])
-    targets = (spans.select("bucket", "before", "bcnt", F.explode(wanted).alias("t"))
-               .where((F.col("before") < F.col("t.k")) & (F.col("t.k") <= F.col("before") + F.col("bcnt")))
-               .select("bucket", F.col("t.pi").alias("pi"), (F.col("t.k") - F.col("before")).alias("k_in")))
-    # `targets` has one row per quantile: a broadcast bounded by len(probs)
-    inside = ranged.join(F.broadcast(targets), "bucket")
-    running = Window.partitionBy("pi").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (inside.withColumn("cum", F.sum("cnt").over(running)).where(F.col("cum") >= F.col("k_in"))
-              .groupBy("pi").agg(F.min("v").alias("q")))
-    return picked.agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
+    v = F.col("v")
+    values = scratch_table(df.select(F.col(column).cast("double").alias("v")).where(v.isNotNull() & ~F.isnan("v")),
+                           "quantile-values")
+    n = values.count()
+    found: dict[int, float | None] = {i: None for i in range(len(probs))}
+    # per wanted value: exclusive bounds (None: open), rank inside them, rows inside them
+    ranges = {i: (None, None, max(1, math.ceil(p * n)), n) for i, p in enumerate(probs)} if n else {}
+
+    def inside(i: int):
+        low, high = ranges[i][:2]
+        return (F.lit(True) if low is None else v > low) & (F.lit(True) if high is None else v < high)
+
+    def any_inside():
+        return reduce(Column.__or__, [inside(i) for i in ranges])
+
+    while ranges:
+        small = [i for i in ranges if ranges[i][3] <= held]
+        for i in small:
+            found[i] = sorted(r[0] for r in values.where(inside(i)).collect())[ranges[i][2] - 1]
+            del ranges[i]
+        if not ranges:
+            break
+        cuts = values.agg(*[F.percentile_approx(
+            F.when(inside(i), v), [max(0.0, k / m - 1 / buckets), min(1.0, k / m + 1 / buckets)], 10 * buckets).alias(f"c{i}")
+            for i, (_, _, k, m) in ranges.items()]).first()
+        counts = []
+        for i in ranges:
+            a, b = cuts[f"c{i}"]
+            counts += [F.count_if(inside(i) & c).alias(f"n{i}_{j}") for j, c in enumerate(
+                [v < a, v == a, (v > a) & (v < b), (v == b) & (F.lit(b) > a)])]
+        row = values.agg(*counts).first()
+        for i, (low, high, k, m) in list(ranges.items()):
+            a, b = cuts[f"c{i}"]
+            parts = [row[f"n{i}_{j}"] for j in range(4)]
+            parts.append(m - sum(parts))
+            j = 0
+            while k > parts[j]:
+                k -= parts[j]
+                j += 1
+            if j in (1, 3):
+                found[i] = a if j == 1 else b
+                del ranges[i]
+            else:
+                ranges[i] = (*{0: (low, a), 2: (a, b), 4: (b, high)}[j], k, parts[j])
+        if any(m > held for *_, m in ranges.values()):
+            values = scratch_table(values.where(any_inside()), "quantile-range")
+    schema = ", ".join(f"{name} double" for name in names)
+    return df.sparkSession.createDataFrame([tuple(found[i] for i in range(len(names)))], schema)
 
 
 def iqr_bounds(df: DataFrame, column: str = "speed", k: float = IQR_FACTOR) -> DataFrame:
@@ -95,9 +125,9 @@ def iqr_bounds(df: DataFrame, column: str = "speed", k: float = IQR_FACTOR) -> D
 
 def iqr_outliers(df: DataFrame, column: str = "speed", k: float = IQR_FACTOR) -> DataFrame:
     """P5: rows outside [q1 - k*iqr, q3 + k*iqr]; NULL values and an all-NULL column give no rows."""
-    fence = iqr_bounds(df, column, k).select(F.struct("lower_bound", "upper_bound")).scalar()
-    c = F.col(column)
-    return df.filter((c < fence.getField("lower_bound")) | (c > fence.getField("upper_bound")))
+    fence = iqr_bounds(df, column, k).first()
+    c = F.col(column)  # plain values: the comparison reaches the scan
+    return df.filter((c < F.lit(fence["lower_bound"])) | (c > F.lit(fence["upper_bound"])))
 
 
 def quality_profile(df: DataFrame, temp: str = "temp", speed: str = "speed", max_speed: int = MAX_SPEED) -> DataFrame:

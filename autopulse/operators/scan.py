@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
+from autopulse.functions import wall_clock_micros
 from autopulse.session import scratch_table
 
 DEFAULT_CHUNK = 1 << 16
@@ -58,10 +59,7 @@ def order_position(df: DataFrame, seq: str) -> Column:
     if isinstance(dt, TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, TimestampNTZType):
-        # the wall clock's own fields: no session zone, so no hour is folded
-        day = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("bigint")
-        second = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
-        return ((day * 24 + F.hour(c)) * 60 + F.minute(c)) * 60_000_000 + second
+        return wall_clock_micros(c)
     raise TypeError(f"order column {seq} must be a number or a timestamp, got {dt}")
 
 

@@ -21,6 +21,7 @@ from autopulse.sources import testbed as tb
 from autopulse.streaming import batches as stream_batches
 from autopulse.streaming import carried, runner
 from autopulse.streaming import state as stream_state
+from autopulse.streaming.keyed import read_upserts, upsert_batches
 from autopulse.streaming.sources import read_kafka_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,12 +410,11 @@ def q_stream_brake_window(spark, sf):
     e = events(spark, sf)
     e.repartition(4, "event_id").write.parquet(dealt)
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(dealt)
-    windows_ = stream_batches.brake_window_stream(tb.numeric_lines_from_events(stream),
-                                                  threshold=TEST_BRAKE_THRESHOLD)
+    panes = stream_batches.brake_pane_stream(tb.numeric_lines_from_events(stream), threshold=TEST_BRAKE_THRESHOLD)
     out, ckpt = _stream_paths(spark, "brake-window")
-    runner.run_to_end(runner.start_foreach_batch(windows_, runner.overwrite_batch(out), ckpt, "update",
-                                                 available_now=True))
-    return runner.read_latest_updates(spark, out, ["window_start", "window_end"])
+    body = stream_batches.brake_pane_batch(out, out + "-panes", TEST_BRAKE_THRESHOLD)
+    runner.run_to_end(runner.start_foreach_batch(panes, body, ckpt, "update", available_now=True))
+    return stream_batches.read_brake_windows(spark, out + "-panes", TEST_BRAKE_THRESHOLD)
 
 
 def _status_stream(spark, sf):
@@ -423,12 +423,13 @@ def _status_stream(spark, sf):
 
 @register("stream_latest_state")
 def q_stream_latest_state(spark, sf):
-    # update mode: each batch writes only the vehicles it changed; reading folds to the latest row
+    # update mode: each batch commits the vehicles it changed to a keyed table
     latest = stream_state.latest_state_snapshot(_status_stream(spark, sf), seq="event_id")
     out, ckpt = _stream_paths(spark, "latest-state")
-    runner.run_to_end(runner.start_foreach_batch(latest, runner.overwrite_batch(out), ckpt, "update",
+    schema, keys = "vehicle_id string, latest_state string", ["vehicle_id"]
+    runner.run_to_end(runner.start_foreach_batch(latest, upsert_batches(out, schema, keys), ckpt, "update",
                                                  available_now=True))
-    return runner.read_latest_updates(spark, out, ["vehicle_id"])
+    return read_upserts(spark, out, schema, keys)
 
 
 def _carried_stream(spark, sf, name, records, body):

@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from autopulse.operators import cabin, clean, joins, lines, state
+from autopulse.operators import cabin, clean, joins, lines, state, windows
 from autopulse.plans.flagship import run_flagship
 from autopulse.sinks.files import publish, publish_if_any, write_csv
 from autopulse.sources.files import read_cabin_events_json, read_sensor_csv, read_status_parquet, read_telemetry_csv
-from autopulse.streaming import batches, runner
-from autopulse.streaming import state as sstate
+from autopulse.streaming import batches, carried, runner
 
 
 # --- batch jobs -----------------------------------------------------------------------------
@@ -103,56 +102,70 @@ def word_count_job(lines_df: DataFrame, output_path: str, text_dir: str, checkpo
 
 
 def brake_window_job(lines_df: DataFrame, output_path: str, checkpoint: str, time_col: str | None = "ts",
-                     watermark: str | None = None, text_dir: str | None = None, **kwargs):
+                     watermark: str | None = None, text_dir: str | None = None,
+                     threshold: float = lines.BRAKE_THRESHOLD, window_seconds: int = windows.WINDOW_SECONDS,
+                     slide_seconds: int = windows.SLIDE_SECONDS, start_offset_seconds: int = 0, **trigger):
     """Sliding brake counts.  ``time_col=None`` windows by arrival time (the micro-batch's
     processing time), as the reference's DStream job does for plain text lines.  Each
     batch writes its (updated) windows under ``batch_id=<n>``, plus `k=v` text records
-    when ``text_dir`` is given."""
-    trigger = {k: kwargs.pop(k) for k in ("available_now", "processing_time") if k in kwargs}
+    when ``text_dir`` is given; the pane counts live beside the checkpoint."""
     if time_col is None:
         lines_df, time_col = lines_df.withColumn("arrival_time", F.current_timestamp()), "arrival_time"
-    counts = batches.brake_window_stream(lines_df, time_col, watermark=watermark, **kwargs)
-    return runner.start_foreach_batch(counts, batches.brake_window_batch(output_path, text_dir), checkpoint, "update",
-                                      **trigger)
+    panes = batches.brake_pane_stream(lines_df, time_col, threshold, slide_seconds, watermark, start_offset_seconds)
+    body = batches.brake_pane_batch(output_path, checkpoint.rstrip("/") + "-panes", threshold, window_seconds,
+                                    slide_seconds, text_dir)
+    return runner.start_foreach_batch(panes, body, checkpoint, "update", **trigger)
 
 
-def _state_job(frame: DataFrame, names, prefix: str, output_path: str, text_dir: str | None, checkpoint: str,
-               **trigger):
-    if text_dir:
-        dump = batches.sorted_records_batch(text_dir, names, prefix)
+def _carried_job(records: DataFrame, body, output_path: str, checkpoint: str, dump: tuple[str, list[str], str] | None,
+                 **trigger):
+    """Run a carried-state body per micro-batch; its numbers live beside the checkpoint.  ``dump`` writes K10 text."""
+    step = body(output_path, checkpoint.rstrip("/") + "-carry")
+    text = batches.sorted_records_batch(*dump) if dump else None
 
-        def fn(batch, batch_id):
-            # the dump reads the written copy: the stateful batch runs once
-            dump(batches.write_batch(batch, output_path, batch_id), batch_id)
-        return runner.start_foreach_batch(frame, fn, checkpoint, **trigger)
-    return runner.start_parquet_append(frame, output_path, checkpoint, **trigger)
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+        if text:  # the dump reads the written copy: the batch's scan runs once
+            text(batches.read_batch(batch.sparkSession, output_path, batch_id), batch_id)
+    return runner.start_foreach_batch(records, fn, checkpoint, **trigger)
 
 
 def latest_state_job(lines_df: DataFrame, seq: str, output_path: str, checkpoint: str, text_dir: str | None = None,
                      **trigger):
     """Per record: vehicle and its latest status (the record's own status, no state needed)."""
     frame = state.latest_state_per_record(lines.parse_status_lines(lines_df), seq)
-    return _state_job(frame, ["vehicle_id", "latest_state"], "latest_state", output_path, text_dir, checkpoint,
-                      **trigger)
+    if not text_dir:
+        return runner.start_parquet_append(frame, output_path, checkpoint, **trigger)
+    dump = batches.sorted_records_batch(text_dir, ["vehicle_id", "latest_state"], "latest_state")
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        dump(batches.write_batch(batch, output_path, batch_id), batch_id)
+    return runner.start_foreach_batch(frame, fn, checkpoint, **trigger)
 
 
 def driving_duration_job(lines_df: DataFrame, seq: str, output_path: str, checkpoint: str,
                          text_dir: str | None = None, **trigger):
-    frame = sstate.driving_duration_stream(lines.parse_status_lines(lines_df), seq)
-    return _state_job(frame, ["vehicle_id", "latest_status", "total_driving_seconds"], "driving_duration",
-                      output_path, text_dir, checkpoint, **trigger)
+    """Per record: the vehicle's driving seconds so far, carried over batches and restarts."""
+    names = ["vehicle_id", "latest_status", "total_driving_seconds"]
+    return _carried_job(lines.parse_status_lines(lines_df),
+                        lambda out, carry: carried.driving_duration_batch(out, carry, seq), output_path, checkpoint,
+                        (text_dir, names, "driving_duration") if text_dir else None, **trigger)
 
 
 def overspeed_run_job(lines_df: DataFrame, seq: str, output_path: str, checkpoint: str,
                       text_dir: str | None = None, threshold: float = state.OVERSPEED_THRESHOLD, **trigger):
-    frame = sstate.overspeed_run_stream(lines.parse_speed_lines(lines_df), seq, threshold)
-    return _state_job(frame, ["vehicle_id", "speed", "consecutive_overspeed_count"], "overspeed_count",
-                      output_path, text_dir, checkpoint, **trigger)
+    """Per record: how many records in a row were above the threshold."""
+    names = ["vehicle_id", "speed", "consecutive_overspeed_count"]
+    return _carried_job(lines.parse_speed_lines(lines_df),
+                        lambda out, carry: carried.overspeed_run_batch(out, carry, seq, threshold), output_path,
+                        checkpoint, (text_dir, names, "overspeed_count") if text_dir else None, **trigger)
 
 
 def overspeed_alert_job(lines_df: DataFrame, seq: str, output_path: str, checkpoint: str,
                         text_dir: str | None = None, threshold: float = state.OVERSPEED_THRESHOLD,
                         alert_count: int = state.ALERT_COUNT, **trigger):
-    frame = sstate.overspeed_alert_stream(lines.parse_speed_lines(lines_df), seq, threshold, alert_count)
-    return _state_job(frame, ["vehicle_id", "speed", "consecutive_overspeed_count", "alert"], "overspeed_alert",
-                      output_path, text_dir, checkpoint, **trigger)
+    """Per record: the run as above, and whether it is long enough for an alert."""
+    names = ["vehicle_id", "speed", "consecutive_overspeed_count", "alert"]
+    return _carried_job(lines.parse_speed_lines(lines_df),
+                        lambda out, carry: carried.overspeed_run_batch(out, carry, seq, threshold, alert_count),
+                        output_path, checkpoint, (text_dir, names, "overspeed_alert") if text_dir else None, **trigger)

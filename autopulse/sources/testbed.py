@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from autopulse.functions import compute_once
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -91,7 +93,8 @@ def kafka_records_from_events(events: DataFrame, topic: str = "cabin") -> DataFr
     Works on batch and streaming frames alike.  Every 25th k has a blank event, every
     20th k (k % 20 = 1) no speed, so the ETL filters have work to do.
     """
-    k = _k()
+    events = compute_once(events, events.columns, _k=_k())  # one look into `props` a row
+    k = F.col("_k")
     message = F.to_json(F.struct(
         F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("vehicle_id"),
         F.when(k % 25 == 0, F.lit(" ")).otherwise(F.col("event_type")).alias("event"),

@@ -44,9 +44,7 @@ class KeyedTable:
         return state["runs"]
 
     def _bucket(self, buckets: int) -> Column:
-        # the hash of the struct: NULL keys have a bucket like any other
-        return F.pmod(F.xxhash64(F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in self.keys])),
-                      F.lit(buckets)).cast("int")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int")  # a NULL key has a hash, too
 
     def _read(self, runs: Sequence[dict], buckets: Sequence[int] | None = None) -> DataFrame:
         """All rows of the runs with `_age`, higher in newer runs; only the given of ``MAX_BUCKETS`` buckets."""

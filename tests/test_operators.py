@@ -284,3 +284,93 @@ def test_json_events_keep_every_column(spark, tmp_path):
 
     (tmp_path / "e.json").write_text('{"timestamp":"2024-01-01 00:00:00","event_type":"x","screen":"map"}\n')
     assert set(read_cabin_events_json(spark, str(tmp_path)).columns) == {"timestamp", "event_type", "screen"}
+
+
+@pytest.mark.parametrize("kind", ["distinct", "skewed", "outliers", "two_values"])
+def test_exact_quantiles_narrow_the_range_in_rounds(spark, monkeypatch, kind):
+    rng = np.random.default_rng(8)
+    vals = {"distinct": rng.normal(size=20_000), "skewed": np.where(rng.random(20_000) < 0.6, 5.0, rng.normal(size=20_000) * 9),
+            "outliers": np.append(rng.integers(0, 300, 20_000) * 1.0, [1e300, -1e300, np.inf, -np.inf]),
+            "two_values": np.repeat([1.0, 2.0], 10_000)}[kind]
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(3)
+    most = []
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    gather = Frame.collect
+
+    def watched(self):
+        out = gather(self)
+        most.append(len(out))
+        return out
+    monkeypatch.setattr(Frame, "collect", watched)
+    probs = [0.0, 0.25, 0.5, 0.50005, 0.75, 1.0]
+    got = tuple(clean.exact_quantiles(df, "x", probs, buckets=50, held=100).first())
+    assert got == tuple(reference_quantile([float(v) for v in vals], p) for p in probs)
+    assert max(most, default=0) <= 100
+
+
+def test_iqr_fence_reaches_the_scan(spark):
+    from autopulse.session import scratch_dir
+    path = scratch_dir(spark, "fence")
+    spark.range(1000).selectExpr("cast(id as double) AS speed").write.parquet(path)
+    plan = clean.iqr_outliers(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(speed," in plan and "GreaterThan(speed," in plan
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_windows_are_counted_by_pane(spark, zone):
+    """Against a loop over rows; the batch and the stream form, in a zone whose clocks go back in between."""
+    import datetime as dt
+    from collections import Counter
+
+    from autopulse.operators import windows
+    from autopulse.session import scratch_dir
+    from autopulse.streaming import batches, runner
+
+    t0 = dt.datetime(2024, 11, 3, 0, 59, 55)   # the hour from 01:00 comes twice in Los Angeles
+    rnd = random.Random(2)
+    recs = [(t0 + dt.timedelta(seconds=rnd.uniform(0, 7500)), f"{rnd.choice([-9, -5, 1])} x -6") for _ in range(300)]
+    want = Counter()
+    for t, text in recs:
+        n = sum(1 for w in text.split() if w.lstrip("-").isdigit() and int(w) < -5)
+        last = int((t - dt.datetime(1970, 1, 1)).total_seconds()) // 10 * 10
+        for k in range(6):
+            want[dt.datetime(1970, 1, 1) + dt.timedelta(seconds=last - 10 * k)] += n
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(recs, "ts timestamp_ntz, value string")
+        batch = windows.brake_window_counts(df)
+        assert {r["window_start"]: r["count"] for r in batch.collect()} == want
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate explode(transform") < plan.rindex("partial_count(1)")   # panes first (plans print top-down)
+        path, base = scratch_dir(spark, "pane-in"), scratch_dir(spark, "pane-out")
+        df.repartition(3).write.parquet(path)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        runner.run_to_end(runner.start_foreach_batch(
+            batches.brake_pane_stream(stream), batches.brake_pane_batch(base + "/out", base + "/panes"), base + "/ck",
+            "update", available_now=True))
+        got = batches.read_brake_windows(spark, base + "/panes")
+        assert {r["window_start"]: r["count"] for r in got.collect()} == want
+        # what the batches wrote, folded, is the same report
+        folded = runner.read_latest_updates(spark, base + "/out", ["window_start", "window_end"])
+        assert {r["window_start"]: r["count"] for r in folded.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_message_is_parsed_once(spark):
+    from autopulse.operators import cabin
+    rows_ = [('{"event":null,"event":"b","vehicle_id":"v","speed":1.50,"acceleration":"2","ts":{"a": 1}}',), ("bad",),
+             ('{"event":"a","event":"z","speed":NaN}',), ('{"event":"a","vehicle_id":"w","speed":1,"acceleration":0}',), (None,)]
+    raw = spark.createDataFrame(rows_, "value string")
+    parsed = cabin.parse_cabin_json(raw, with_processing_time=False)
+    want = [tuple(r) for r in raw.selectExpr(
+        "get_json_object(value, '$.vehicle_id')", "get_json_object(value, '$.event')",
+        "try_cast(get_json_object(value, '$.speed') AS DOUBLE)", "try_cast(get_json_object(value, '$.acceleration') AS DOUBLE)",
+        "get_json_object(value, '$.ts')").collect()]
+    assert [tuple(r) for r in parsed.collect()] == want
+    records = raw.selectExpr("cast(value AS binary) AS value")
+    plan = cabin.cabin_etl(records)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    plan = cabin.event_counts(records)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("get_json_object") == 1
