@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from autopulse.llm.common import map_batches, materialise, slices
+from autopulse.llm.common import map_batches, materialise, ranges, slices, text_buffer
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BUCKETS = 10_000
@@ -44,7 +44,7 @@ MAX_RUN = 3
 MIN_WORDS = 20
 PERCENT = 5
 SEED = "42"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _ROW_BITS = 33  # monotonically_increasing_id holds the partition above these bits
 
 
@@ -80,26 +80,32 @@ class Features:
     """The n-grams of a column of texts: per run length, distinct checksums and each place's index into them."""
 
     def __init__(self, texts: pa.Array, max_run: int = MAX_RUN) -> None:
-        pieces = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), SEPARATORS)
-        parent, flat = pc.list_parent_indices(pieces), pc.list_flatten(pieces)
+        # texts are cut at blanks first, and a batch's distinct pieces into words: far fewer
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        piece = pc.list_flatten(pieces).dictionary_encode()
+        words = pc.split_pattern_regex(pc.ascii_lower(piece.dictionary), SEPARATORS)
+        owner, flat = pc.list_parent_indices(words), pc.list_flatten(words)
         real = pc.not_equal(pc.binary_length(flat), 0)
         coded = flat.filter(real).dictionary_encode()
-        doc = parent.filter(real).to_numpy()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        spelled = [w.encode() for w in coded.dictionary.to_pylist()]
-        size = np.array([len(w) + 1 for w in spelled], np.int64)
-        crc = np.array([zlib.crc32(w) for w in spelled], np.uint32)
-        after_blank = np.array([zlib.crc32(b" " + w) for w in spelled], np.uint32)
+        sizes = np.bincount(owner.filter(real).to_numpy(), minlength=len(words))
+        place = piece.indices.to_numpy()
+        at = ranges((np.cumsum(sizes) - sizes)[place], sizes[place])
+        codes = coded.indices.to_numpy().astype(np.int64)[at]
+        doc = np.repeat(pc.list_parent_indices(pieces).to_numpy(), sizes[place])
+        data, ends = text_buffer(coded.dictionary)
+        spelled = data.tobytes()
+        crc = np.array([zlib.crc32(spelled[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())], np.uint32)
+        size = np.diff(ends) + 1
+        after_blank = joined_crc(np.full(len(crc), zlib.crc32(b" "), np.uint32), crc, size - 1)
         self.n_words = np.bincount(doc, minlength=len(texts))
         self.runs = [(crc, codes, doc)]
         index = codes  # the run that begins at each place, as an index into `crc`
         for n in range(2, max_run + 1):
             whole = doc[n - 1:] == doc[: len(doc) - n + 1]
             first, last = index[: len(whole)][whole], codes[n - 1:][whole]
-            pairs = pa.array(first * len(spelled) + last).dictionary_encode()
-            left, right = np.divmod(pairs.dictionary.to_numpy(), max(len(spelled), 1))
+            pairs, places = np.unique(first * max(len(size), 1) + last, return_inverse=True)
+            left, right = np.divmod(pairs, max(len(size), 1))
             crc = joined_crc(crc[left], after_blank[right], size[right])
-            places = pairs.indices.to_numpy().astype(np.int64)
             self.runs.append((crc, places, doc[: len(whole)][whole]))
             index = np.zeros(len(whole), np.int64)
             index[whole] = places
