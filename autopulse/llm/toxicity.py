@@ -20,6 +20,7 @@ repeated rows score alike; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,9 +29,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from autopulse.llm.common import byte_keys, held_out, map_batches, slices, splitmix, text_buffer
+from autopulse.llm.common import MIN_LONG, byte_keys, held_out, map_batches, slices, splitmix, text_buffer
 
 SIZES = (3, 4, 5, 6)
 KEYS = byte_keys(7)
@@ -180,19 +180,28 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings = Set
                     text_col: str = "text", label_col: str = "toxic", fold: int = 5, out: int = 0) -> pa.Table:
     """At most ``toxic_rows + clean_rows`` labelled rows outside the held-out fold, fixed by the id's hash.
 
-    Labels are chosen first (each task passes on only its own best ranks), so the join with
-    the texts has a broadcast side of that bounded size.
+    Of each class the rows with the smallest hashes are chosen.  Hashes are spread evenly, so a
+    bound on the hash leaves little more than the wanted rows to sort, however many are labelled;
+    should it leave fewer, all rows are sorted.  Labels are chosen first, so the join with the
+    texts has a broadcast side of the sample's size.  Labels other than 0 and 1 teach nothing; of
+    an id's different labels the largest counts, of its different texts the smallest.
     """
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, fold, out))
-             .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label_col)).cast("int").alias("label")))
-    most = max(settings.toxic_rows, settings.clean_rows)
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("rank", rank).where(F.col("rank") <= most).where(
-        F.col("rank") <= F.when(F.col("label") == 1, settings.toxic_rows).otherwise(settings.clean_rows))
+             .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label_col)).cast("int").alias("label"))
+             .where("label IN (0, 1)").withColumn("hash", F.xxhash64("doc_id")))
+    found = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows at most
+    chosen = []
+    for label, rows in ((1, settings.toxic_rows), (0, settings.clean_rows)):
+        part = known.where(F.col("label") == label)
+        share = (rows + 10 * math.sqrt(rows) + 100) / max(1, found.get(label, 0))
+        if share < 1:
+            near = part.where(F.col("hash") < MIN_LONG + int(share * 2.0 ** 64))
+            part = near if near.count() >= rows else part
+        chosen.append(part.orderBy("hash", "doc_id").limit(rows).select("doc_id", "label"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
         F.octet_length(text_col) <= settings.max_bytes)
-    rows = texts.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
-    table = rows.dropDuplicates(["doc_id"]).toArrow()
+    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    table = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")).toArrow()
     return table.sort_by("doc_id")
 
 
