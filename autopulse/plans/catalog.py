@@ -14,9 +14,11 @@ from autopulse.functions import (
 from autopulse.operators import aggregate, clean, joins, lines, state, windows
 from autopulse.operators import cabin as cabin_ops
 from autopulse.operators.events import add_event_flags
+from autopulse.plans import jobs
 from autopulse.session import scratch_dir
 from autopulse.sinks import files as sinks
 from autopulse.sources import files as sources
+from autopulse.sources import logs
 from autopulse.sources import testbed as tb
 from autopulse.streaming import batches as stream_batches
 from autopulse.streaming import carried, runner
@@ -275,10 +277,14 @@ def q_src_csv_sensors(spark, sf):
 
 @register("src_json_events")
 def q_src_json_events(spark, sf):
-    c = cabin(spark, sf)
+    # besides the two named columns each line has a number and a nested object
+    orders = tb.table(spark, sf, "orders")
+    c = tb.cabin_events_from_orders(orders, F.col("o_orderkey").alias("trip"),
+                                    F.struct(F.col("o_orderstatus").alias("status")).alias("meta"))
     path = scratch_dir(spark, "cabin-json")
     c.withColumn("timestamp", tb.ts_text(F.col("timestamp"))).write.mode("overwrite").json(path)
-    return sources.read_cabin_events_json(spark, path)
+    read = sources.read_cabin_events_json(spark, path, columns={"trip": "bigint", "meta": "struct<status: string>"})
+    return read.select("timestamp", "event_type", "trip", F.col("meta.status").alias("meta_status"))
 
 
 @register("src_parquet_status")
@@ -345,8 +351,14 @@ def _append_and_read(spark, df, name, drop=()):
 
 @register("stream_kafka_raw")
 def q_stream_kafka_raw(spark, sf):
-    records = tb.kafka_records_from_events(_events_stream(spark, sf))
-    return _append_and_read(spark, cabin_ops.kafka_envelope(records), "kafka-raw")
+    # a log in two appends; the second run resumes at the first one's offsets
+    path = scratch_dir(spark, "kafka-log")
+    out, ckpt = _stream_paths(spark, "kafka-raw")
+    for part in _in_order(events(spark, sf), 2):
+        logs.write_kafka_log(tb.kafka_records_from_events(part), path)
+        envelope = cabin_ops.kafka_envelope(logs.read_kafka_log(spark, path, "earliest"))
+        runner.run_to_end(runner.start_parquet_append(envelope, out, ckpt, available_now=True))
+    return spark.read.parquet(out)
 
 
 @register("stream_json_parse")
@@ -432,15 +444,20 @@ def q_stream_latest_state(spark, sf):
     return read_upserts(spark, out, schema, keys)
 
 
+def _in_order(e: DataFrame, parts: int) -> list[DataFrame]:
+    """The events cut into ``parts`` runs of rising ids."""
+    lo, hi = e.agg(F.coalesce(F.min("event_id"), F.lit(0)), F.coalesce(F.max("event_id"), F.lit(0))).first()
+    place = F.coalesce(F.floor((F.col("event_id") - lo) * parts / (hi - lo + 1)), F.lit(0))
+    return [e.where(place == i) for i in range(parts)]
+
+
 def _carried_stream(spark, sf, name, records, body):
     """Run a carried-state job over four batches in id order, restarted from its checkpoint for each."""
     e = events(spark, sf)
-    lo, hi = e.agg(F.coalesce(F.min("event_id"), F.lit(0)), F.coalesce(F.max("event_id"), F.lit(0))).first()
-    quarter = F.coalesce(F.floor((F.col("event_id") - lo) * 4 / (hi - lo + 1)), F.lit(0))
     inbox, carry = scratch_dir(spark, f"{name}-in"), scratch_dir(spark, f"{name}-carry")
     out, ckpt = _stream_paths(spark, name)
-    for i in range(4):
-        e.where(quarter == i).write.mode("append").parquet(inbox)
+    for part in _in_order(e, 4):
+        part.write.mode("append").parquet(inbox)
         stream = records(spark.readStream.schema(e.schema).parquet(inbox))
         runner.run_to_end(runner.start_foreach_batch(stream, body(out, carry), ckpt, available_now=True))
     return spark.read.parquet(out).drop("batch_id")
@@ -494,9 +511,99 @@ def q_event_count_ordered(spark, sf):
 
 @register("describe_text")
 def q_describe_text(spark, sf):
-    """A7 parity form; mean and deviation are left to `describe_numeric` (their last digits differ)."""
+    """A7 parity form, all five rows; the texts of mean and deviation are cut to nine decimals (their last digits differ)."""
     summary = clean.describe(sensors(spark, sf).select("temp", "speed"))
-    return summary.where(F.col("summary").isin("count", "min", "max"))
+    inexact = F.col("summary").isin("mean", "stddev")
+    return summary.select("summary", *[
+        F.when(inexact, F.format_string("%.9f", F.col(c).cast("double"))).otherwise(F.col(c)).alias(c) for c in ("temp", "speed")])
+
+
+# --- plain text lines: the order of state comes from each line's place (S6, P19, K10) ----------
+
+def _written_lines(spark, sf, name, line_form, run):
+    """Write lines as text files in three steps, in id order, and run a job on them after each step."""
+    path = scratch_dir(spark, f"{name}-lines")
+    out, ckpt = _stream_paths(spark, name)
+    for i, part in enumerate(_in_order(events(spark, sf), 3)):
+        ordered = line_form(part).repartitionByRange("event_id").sortWithinPartitions("event_id")
+        ordered.select("value").write.text(f"{path}/step={i}")
+        runner.run_to_end(run(logs.read_line_log(spark, path), out, ckpt))
+    return out
+
+
+@register("stream_lines_state")
+def q_stream_lines_state(spark, sf):
+    out = _written_lines(spark, sf, "lines-state", tb.speed_lines_from_events, lambda s, out, ckpt: jobs.overspeed_run_job(
+        s, "seq", out, ckpt, threshold=TEST_OVERSPEED_THRESHOLD, available_now=True))
+    return spark.read.parquet(out).select("vehicle_id", "speed", "consecutive_overspeed_count")
+
+
+@register("sink_sorted_dump")
+def q_sink_sorted_dump(spark, sf):
+    """Each batch's alerts as sorted `k=v` text."""
+    out = _written_lines(spark, sf, "alert-dump", tb.speed_lines_from_events, lambda s, out, ckpt: jobs.overspeed_alert_job(
+        s, "seq", out, ckpt, text_dir=out + "-text", threshold=TEST_OVERSPEED_THRESHOLD, available_now=True))
+    return spark.read.text(f"{out}-text/overspeed_alert_*").select(F.col("value").alias("record"))
+
+
+@register("sink_raw_lines_text")
+def q_sink_raw_lines_text(spark, sf):
+    """P19's text form: numbered records of three batches, their batch times cut off."""
+    out = _written_lines(spark, sf, "raw-text", tb.speed_lines_from_events, lambda s, out, ckpt: jobs.raw_lines_job(
+        s.select("seq", "value"), "seq", out, out + "-text", ckpt, available_now=True))
+    return spark.read.text(f"{out}-text/raw_stream_*").select(
+        F.regexp_replace("value", r"^batch_time=[^\t]*\t", "").alias("record"))
+
+
+@register("sink_brake_window_text")
+def q_sink_brake_window_text(spark, sf):
+    """ST6's text form over one batch, its batch time cut off."""
+    numbers = tb.numeric_lines_from_events(_events_stream(spark, sf))
+    out, ckpt = _stream_paths(spark, "brake-text")
+    runner.run_to_end(jobs.brake_window_job(numbers, out, ckpt, text_dir=out + "-text", threshold=TEST_BRAKE_THRESHOLD,
+                                            available_now=True))
+    return spark.read.text(f"{out}-text/brake_window_*").select(
+        F.regexp_replace("value", r"^batch_time=[^\t]*\t", "").alias("record"))
+
+
+# --- whole jobs --------------------------------------------------------------------------------
+
+@register("flagship_job")
+def q_flagship_job(spark, sf):
+    """The flagship job from CSV to its published results, read back as one frame."""
+    csv, out = scratch_dir(spark, "flagship-in"), scratch_dir(spark, "flagship-out")
+    sinks.write_csv(_as_text(tb.telemetry_from_events(events(spark, sf))), csv)
+    written = jobs.flagship_job(spark, csv, out)
+
+    def report(name, key, counts, total, score):
+        counts = [F.col(c).alias(n) for c, n in zip(counts, ("accel_count", "decel_count", "turn_count"))]
+        frame = spark.read.parquet(written[f"{name}:parquet"])
+        return frame.select(F.lit(name).alias("report"), F.col(key).cast("string").alias("item"), *counts,
+                            total.alias("total_records"), score.alias("risk_score"))
+
+    flags, none = ["hard_accel_count", "hard_decel_count", "hard_turn_count"], F.lit(None).cast("bigint")
+    no_score = F.lit(None).cast("double")
+    return (report("hourly_events", "hour", flags, F.col("total_records"), no_score)
+            .unionByName(report("weekday_weekend_events", "day_type", flags, F.col("total_records"), no_score))
+            .unionByName(report("daily_events", "weekday_name", flags, none, no_score))
+            .unionByName(report("vehicle_scores", "vehicle_id", ["accel_count", "decel_count", "turn_count"], none,
+                                F.col("risk_score"))))
+
+
+@register("cleaning_job")
+def q_cleaning_job(spark, sf):
+    """The cleaning job from CSV: profile, fence and outliers of the raw and the cleaned sensors."""
+    raw = tb.sensors_from_events(events(spark, sf), "value").drop("speed").withColumnRenamed("value", "speed")
+    csv, out = scratch_dir(spark, "cleaning-in"), scratch_dir(spark, "cleaning-out")
+    sinks.write_csv(_as_text(raw), csv)
+    done = jobs.cleaning_job(spark, csv, out)
+
+    def part(name, prefix):
+        path = done["written"].get(f"{prefix}_outliers_iqr:parquet")
+        n = spark.read.parquet(path).count() if path else 0
+        return done[f"{name}_profile"].withColumns({"data": F.lit(name), "n_outliers": F.lit(n).cast("bigint")})
+
+    return part("raw", "original").unionByName(part("cleaned", "cleaned"))
 
 
 @register("event_count")

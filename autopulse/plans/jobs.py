@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from autopulse.operators import cabin, clean, joins, lines, state, windows
 from autopulse.plans.flagship import run_flagship
+from autopulse.session import scratch_table
 from autopulse.sinks.files import publish, publish_if_any, write_csv
 from autopulse.sources.files import read_cabin_events_json, read_sensor_csv, read_status_parquet, read_telemetry_csv
 from autopulse.streaming import batches, carried, runner
@@ -33,24 +34,31 @@ def cleaning_report(df: DataFrame) -> DataFrame:
 
 def cleaning_job(spark: SparkSession, sensors_path: str, output_path: str) -> dict[str, object]:
     """Profile and IQR outliers of the raw and the cleaned sensors; publish outliers (if any) and
-    the cleaned data.  Returns the two profile rows' frames and the written paths."""
-    raw = read_sensor_csv(spark, sensors_path)
-    written: dict[str, str] = {}
-    raw_outliers = clean.iqr_outliers(raw)
-    written.update(publish_if_any(raw_outliers, output_path, "original_outliers_iqr"))
-    cleaned = clean.clean_sensors(raw)
-    cleaned_outliers = clean.iqr_outliers(cleaned)
-    written.update(publish_if_any(cleaned_outliers, output_path, "cleaned_outliers_iqr"))
-    written.update(publish(cleaned, output_path, "cleaned_sensors", parquet_name="cleaned_sensors_parquet"))
-    return {"written": written, "raw_profile": cleaning_report(raw), "cleaned_profile": cleaning_report(cleaned),
-            "raw_describe": clean.describe(raw), "cleaned_describe": clean.describe(cleaned),
-            "raw_outliers_preview": joins.preview(raw_outliers, 10),
-            "cleaned_outliers_preview": joins.preview(cleaned_outliers, 10)}
+    the cleaned data.  Returns the two profile rows' frames and the written paths.
+
+    The CSV is scanned and typed once, into a columnar copy that every step reads; the cleaned
+    steps read the published cleaned data.
+    """
+    raw = scratch_table(read_sensor_csv(spark, sensors_path), "raw-sensors")
+    written: dict[str, str] = publish(clean.clean_sensors(raw), output_path, "cleaned_sensors",
+                                      parquet_name="cleaned_sensors_parquet")
+    cleaned = spark.read.schema(raw.schema).parquet(written["cleaned_sensors:parquet"])
+    result: dict[str, object] = {"written": written}
+    for name, frame in (("raw", raw), ("cleaned", cleaned)):
+        outliers = clean.iqr_outliers(frame)
+        prefix = "original" if name == "raw" else name
+        written.update(publish_if_any(outliers, output_path, f"{prefix}_outliers_iqr"))
+        result |= {f"{name}_profile": cleaning_report(frame), f"{name}_describe": clean.describe(frame),
+                   f"{name}_outliers_preview": joins.preview(outliers, 10)}
+    return result
 
 
 def multisource_job(spark: SparkSession, events_path: str, status_path: str, output_path: str) -> dict[str, object]:
-    """Cabin events (JSON) joined with vehicle status (Parquet) on the timestamp; row count and preview."""
-    ev, st = read_cabin_events_json(spark, events_path), read_status_parquet(spark, status_path)
+    """Cabin events (JSON) joined with vehicle status (Parquet) on the timestamp; row count and preview.
+
+    The published join has every column that some line has, as columns: that takes the inference scan.
+    """
+    ev, st = read_cabin_events_json(spark, events_path, infer=True), read_status_parquet(spark, status_path)
     joined = joins.join_events_status(ev, st)
     written = publish(joined, output_path, "joined_events_status")
     return {"written": written, "row_count": joins.join_row_count(ev, st), "preview": joins.preview_join(ev, st, 20)}

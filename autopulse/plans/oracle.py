@@ -234,8 +234,12 @@ SQL["src_csv_telemetry"] = with_ctes(["telemetry"], """
     FROM telemetry""")
 SQL["src_csv_sensors"] = with_ctes(["sensors"], """
     SELECT CAST(event_id AS VARCHAR) AS event_id, temp, speed, humidity, pressure FROM sensors""")
-SQL["src_json_events"] = with_ctes(["cabin"], """
-    SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS "timestamp", event_type FROM cabin""")
+SQL["src_json_events"] = """
+    SELECT strftime(TIMESTAMP '1995-01-01' + to_seconds(o_orderkey // 2), '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'NavigationStart' WHEN '2-HIGH' THEN 'VoiceCommand'
+                                ELSE o_orderpriority END AS event_type,
+           o_orderkey AS trip, o_orderstatus AS meta_status
+    FROM orders"""
 SQL["src_parquet_status"] = with_ctes(["status"], "SELECT * FROM status")
 SQL["sink_csv_roundtrip"] = (
     "SELECT *, 'single_file' AS layout FROM (" + SQL["hourly_events"] + ") UNION ALL "
@@ -294,5 +298,50 @@ SQL["latest_state_per_record"] = with_ctes(["status_lines", "statuses"], """
 SQL["stream_kafka_replay"] = SQL["stream_kafka_raw"]
 SQL["describe_text"] = with_ctes(["sensors"], """
     SELECT 'count' AS summary, CAST(count(temp) AS VARCHAR) AS temp, CAST(count(speed) AS VARCHAR) AS speed FROM sensors
+    UNION ALL SELECT 'mean', printf('%.9f', avg(temp)), printf('%.9f', avg(speed)) FROM sensors
+    UNION ALL SELECT 'stddev', printf('%.9f', stddev_samp(temp)), printf('%.9f', stddev_samp(speed)) FROM sensors
     UNION ALL SELECT 'min', CAST(min(temp) AS VARCHAR), CAST(min(speed) AS VARCHAR) FROM sensors
     UNION ALL SELECT 'max', CAST(max(temp) AS VARCHAR), CAST(max(speed) AS VARCHAR) FROM sensors""")
+
+# --- text lines and whole jobs ----------------------------------------------------------------
+SQL["stream_lines_state"] = with_ctes(["speed_lines", "speeds", "runs"], """
+    SELECT vehicle_id, speed, consecutive_overspeed_count FROM runs""")
+SQL["sink_sorted_dump"] = f"SELECT record FROM ({SQL['format_records']})"
+SQL["sink_raw_lines_text"] = with_ctes(["speed_lines"], """
+    SELECT 'record_no=' || CAST(row_number() OVER (PARTITION BY step ORDER BY event_id) AS VARCHAR) || chr(9) ||
+           'raw_data=' || value AS record
+    FROM (SELECT *, floor((event_id - min(event_id) OVER ()) * 3.0::DOUBLE
+                          / (max(event_id) OVER () - min(event_id) OVER () + 1)) AS step FROM speed_lines)""")
+SQL["sink_brake_window_text"] = f"""
+    SELECT 'window_start=' || strftime(window_start, '%Y-%m-%d %H:%M:%S') || chr(9) ||
+           'window_end=' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || chr(9) || 'metric=' || metric || chr(9) ||
+           'count=' || CAST(count AS VARCHAR) || chr(9) || 'window_seconds=60' || chr(9) || 'slide_seconds=10' ||
+           chr(9) || 'threshold=-3.0' AS record
+    FROM ({SQL['brake_window']})"""
+_NO_TOTAL, _NO_SCORE = "NULL::BIGINT AS total_records", "NULL::DOUBLE AS risk_score"
+_FLAGS = "hard_accel_count AS accel_count, hard_decel_count AS decel_count, hard_turn_count AS turn_count"
+SQL["flagship_job"] = f"""
+    SELECT 'hourly_events' AS report, CAST(hour AS VARCHAR) AS item, {_FLAGS}, total_records, {_NO_SCORE}
+    FROM ({SQL['hourly_events']})
+    UNION ALL SELECT 'weekday_weekend_events', day_type, {_FLAGS}, total_records, {_NO_SCORE}
+    FROM ({SQL['weekday_weekend']})
+    UNION ALL SELECT 'daily_events', weekday_name, {_FLAGS}, {_NO_TOTAL}, {_NO_SCORE} FROM ({SQL['daily_events']})
+    UNION ALL SELECT 'vehicle_scores', vehicle_id, accel_count, decel_count, turn_count, {_NO_TOTAL}, risk_score
+    FROM ({SQL['vehicle_scores']})"""
+CTES["cleaned"] = "SELECT * FROM filled WHERE speed < 200"
+CTES["cleaned_quartiles"] = _quartile_cte("cleaned")
+
+
+def _cleaning_part(name: str, src: str, quartiles: str) -> str:
+    return f"""
+        SELECT '{name}' AS data, count(*) AS total_records, count(*) FILTER (WHERE temp IS NULL) AS temp_null_count,
+               count(*) FILTER (WHERE speed > 200) AS speed_over_max_count,
+               count(*) FILTER (WHERE speed < q1 - 1.5 * (q3 - q1) OR speed > q3 + 1.5 * (q3 - q1)) AS n_outliers,
+               any_value(q1) AS q1, any_value(q3) AS q3, any_value(q3 - q1) AS iqr,
+               any_value(q1 - 1.5 * (q3 - q1)) AS lower_bound, any_value(q3 + 1.5 * (q3 - q1)) AS upper_bound
+        FROM {src}, {quartiles}"""
+
+
+SQL["cleaning_job"] = with_ctes(
+    ["sensors", "filled", "cleaned", "quartiles", "cleaned_quartiles"],
+    _cleaning_part("raw", "sensors", "quartiles") + " UNION ALL " + _cleaning_part("cleaned", "cleaned", "cleaned_quartiles"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from autopulse.sinks.manifest import Folder
+
 
 def _check_flat(df: DataFrame) -> None:
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType))]
@@ -59,17 +62,32 @@ def publish(df: DataFrame, base: str, name: str, formats=("csv", "parquet"), par
     return written
 
 
-def publish_if_any(df: DataFrame, base: str, name: str, **kwargs) -> dict[str, str]:
+def publish_if_any(df: DataFrame, base: str, name: str, formats=("csv", "parquet"), parquet_name: str | None = None,
+                   **kwargs) -> dict[str, str]:
     """K5: publish only when the frame has a row; nothing appears under ``base`` otherwise.
 
-    The frame is computed once into a staging copy in the shared scratch folder; the
-    emptiness check and the published copies read that copy.
+    The frame is written once, under a hidden name, and its rows are counted by that write; the copy
+    then takes its place by a rename, and a CSV is written from it.
     """
-    from autopulse.session import scratch_dir
-
-    stage = scratch_dir(df.sparkSession, f"stage-{name}")
-    df.write.mode("overwrite").parquet(stage)
-    staged = df.sparkSession.read.parquet(stage)
-    if staged.isEmpty():
+    base = base.rstrip("/")
+    spark, draft = df.sparkSession, f"_{name}.draft"
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/{draft}")
+    folder = Folder(spark, base)
+    if not rows.get["n"]:
+        folder.delete(draft)
+        if not folder.names():
+            folder.delete()
         return {}
-    return publish(staged, base, name, **kwargs)
+    place = parquet_name or f"{name}_parquet"
+    written = {}
+    if "parquet" in formats:
+        folder.delete(place)
+        folder.rename(draft, place)
+        written[f"{name}:parquet"] = f"{base}/{place}"
+    if "csv" in formats:
+        copy = spark.read.schema(df.schema).parquet(f"{base}/{place if 'parquet' in formats else draft}")
+        written.update(publish(copy, base, name, formats=("csv",), **kwargs))
+    if "parquet" not in formats:
+        folder.delete(draft)
+    return written

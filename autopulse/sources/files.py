@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from autopulse import schemas
-from autopulse.functions import legacy_int, safe_timestamp
+from autopulse.functions import compute_once, legacy_int, safe_timestamp
 
 
 def read_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -36,15 +37,29 @@ def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cabin_events_json(spark: SparkSession, path: str, schema: StructType | None = None,
-                           infer: bool = False) -> DataFrame:
-    """S3: JSON lines in permissive mode, every column kept.
+                           infer: bool = False, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """S3: JSON lines in permissive mode: one scan, no inference.
+
+    Each line becomes a VARIANT; `timestamp` and `event_type` are taken from it as text, the further
+    ``columns`` (name -> type) typed, bad values NULL, and ``record`` keeps everything else.  A line
+    that is no JSON gives NULLs.  One that repeats a key has no VARIANT; its columns take the last
+    value, as Spark's JSON reader does.
 
-    Without a ``schema`` it is inferred, which costs one more scan; a schema given reads only its columns.
+    ``schema`` reads fixed columns with that reader; ``infer`` lets it find all columns by one more scan.
     """
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if schema is not None and not infer:
-        reader = reader.schema(schema)
-    return reader.json(path)
+    if infer or schema is not None:
+        reader = spark.read.option("mode", "PERMISSIVE")
+        return (reader if infer else reader.schema(schema)).json(path)
+    lines = compute_once(spark.read.text(path).where(F.trim("value") != ""), ["value"], record=F.try_parse_json("value"))
+
+    def member(name: str, kind: str) -> Column:
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        typed = F.try_variant_get("record", f"$['{quoted}']", kind)
+        again = F.from_json("value", StructType.fromDDL(f"`{name}` {kind}")).getField(name)
+        return F.coalesce(typed, F.when(F.col("record").isNull(), again)).alias(name)
+
+    wanted = {"timestamp": "string", "event_type": "string", **(columns or {})}
+    return lines.select(*[member(n, k) for n, k in wanted.items()], "record")
 
 
 def read_status_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -63,13 +63,14 @@ def _order_stamp(order_key: str):
     return F.expr(f"TIMESTAMP_NTZ'1995-01-01 00:00:00' + make_dt_interval(0, 0, 0, {order_key} div 2)")
 
 
-def cabin_events_from_orders(orders: DataFrame) -> DataFrame:
-    """timestamp, event_type (1-URGENT -> NavigationStart, 2-HIGH -> VoiceCommand, else the priority)."""
+def cabin_events_from_orders(orders: DataFrame, *more) -> DataFrame:
+    """timestamp, event_type (1-URGENT -> NavigationStart, 2-HIGH -> VoiceCommand, else the priority), and ``more``."""
     p = F.col("o_orderpriority")
     return orders.select(
         _order_stamp("o_orderkey").alias("timestamp"),
         F.when(p == "1-URGENT", "NavigationStart").when(p == "2-HIGH", "VoiceCommand")
         .otherwise(p).alias("event_type"),
+        *more,
     )
 
 

@@ -1,0 +1,141 @@
+"""Log sources: offset ranges of Kafka-shaped files (S5), places of text lines."""
+
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from autopulse.operators import lines, state
+from autopulse.plans import jobs
+from autopulse.session import scratch_dir
+from autopulse.sources import logs
+from autopulse.sources import testbed as tb
+from autopulse.streaming import runner
+from conftest import SF_SMALL, rows
+
+COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
+
+
+def records(spark, lo, hi):
+    e = tb.table(spark, SF_SMALL, "events").where(f"event_id >= {lo} AND event_id < {hi}")
+    return tb.kafka_records_from_events(e)
+
+
+def drain(spark, stream, base):
+    """Run what is available and return everything written so far."""
+    runner.run_to_end(runner.start_parquet_append(stream, base + "/out", base + "/ck", available_now=True))
+    return spark.read.parquet(base + "/out")
+
+
+def test_kafka_log_resumes_at_its_offsets(spark):
+    path, base = scratch_dir(spark, "klog"), scratch_dir(spark, "klog-run")
+    logs.write_kafka_log(records(spark, 0, 400), path)
+    got = drain(spark, logs.read_kafka_log(spark, path, "earliest", maxOffsetsPerTask=37), base)
+    assert rows(got, *COLUMNS) == rows(records(spark, 0, 400), *COLUMNS)
+    logs.write_kafka_log(records(spark, 400, 700), path)
+    got = drain(spark, logs.read_kafka_log(spark, path, "earliest"), base)
+    assert rows(got, *COLUMNS) == rows(records(spark, 0, 700), *COLUMNS)
+    got = drain(spark, logs.read_kafka_log(spark, path, "earliest"), base)   # nothing new
+    assert got.count() == records(spark, 0, 700).count()
+
+
+def test_kafka_log_latest_skips_old_records_and_json_starts_inside(spark):
+    path, base = scratch_dir(spark, "klog"), scratch_dir(spark, "klog-run")
+    logs.write_kafka_log(records(spark, 0, 400), path)
+    assert drain(spark, logs.read_kafka_log(spark, path, "latest"), base + "/a").count() == 0
+    logs.write_kafka_log(records(spark, 400, 600), path)
+    got = drain(spark, logs.read_kafka_log(spark, path, "latest"), base + "/a")
+    assert rows(got, *COLUMNS) == rows(records(spark, 400, 600), *COLUMNS)
+    got = drain(spark, logs.read_kafka_log(spark, path, '{"0": 300, "2": 599}'), base + "/b")
+    want = records(spark, 0, 600).where("partition IN (1, 3) OR partition = 0 AND offset >= 300 OR partition = 2 AND offset >= 599")
+    assert rows(got, *COLUMNS) == rows(want, *COLUMNS)
+
+
+def test_kafka_reader_bounds_a_batch_and_misses_no_offset(spark):
+    path = scratch_dir(spark, "klog")
+    logs.write_kafka_log(records(spark, 0, 500), path)
+    reader = logs.KafkaLogReader({"path": path, "startingOffsets": "earliest", "maxOffsetsPerTrigger": "120"})
+    at, seen = reader.initialOffset(), []
+    reader.position = at
+    for _ in range(50):
+        end = reader.latestOffset()
+        parts = reader.partitions(at, end)
+        if not parts:
+            break
+        batch = [b for p in parts for b in reader.read(p)]
+        assert sum(end[p] - at[p] for p in end) <= 124   # offsets, of which some may be absent
+        seen += pa.Table.from_batches(batch).column("offset").to_pylist() if batch else []
+        at = end
+    assert sorted(seen) == [r[0] for r in records(spark, 0, 500).select("offset").orderBy("offset").collect()]
+    with pytest.raises(ValueError, match="no longer there"):
+        reader.partitions({p: -5 for p in at}, at)
+
+
+def write_lines(folder, name, data):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(data)
+
+
+@pytest.mark.parametrize("split", [1, 7, 64, 1 << 20])
+def test_line_ranges_give_every_line_once(spark, split):
+    path = scratch_dir(spark, "lines").removeprefix("file:")
+    files = {"a.txt": b"one\ntwo\r\n\nfour\x0b4", "b/0.txt": "é日本\n".encode() * 5, "c.txt": b"\n", "_x": b"hidden\n", "d.txt": b"no end"}
+    for name, data in files.items():
+        write_lines(os.path.dirname(os.path.join(path, name)), os.path.basename(name), data)
+    reader = logs.LineLogReader({"path": path, "splitBytes": str(split)})
+    start, end = reader.initialOffset(), reader.latestOffset()
+    got = pa.Table.from_batches([b for p in reader.partitions(start, end) for b in reader.read(p)]).to_pylist()
+    want, before = [], 0
+    for name in ("a.txt", "b/0.txt", "c.txt", "d.txt"):
+        at = 0
+        for line in files[name].split(b"\n")[: -1 if files[name].endswith(b"\n") else None]:
+            want.append((before + at, line.removesuffix(b"\r").decode()))
+            at += len(line) + 1
+        before += len(files[name])
+    assert [(r["seq"], r["value"]) for r in got] == want
+
+
+def test_line_stream_state_equals_batch_over_restarts(spark):
+    path, base = scratch_dir(spark, "lines"), scratch_dir(spark, "line-state")
+    e = tb.table(spark, SF_SMALL, "events")
+    all_lines = tb.speed_lines_from_events(e)
+    for i, (lo, hi) in enumerate([(0, 300), (300, 350), (350, 10_000)]):
+        part = all_lines.where(f"event_id >= {lo} AND event_id < {hi}")
+        (part.repartitionByRange(3, "event_id").sortWithinPartitions("event_id").select("value")
+         .write.text(f"{path}/part={i}"))
+        q = jobs.overspeed_run_job(logs.read_line_log(spark, path, splitBytes=500), "seq", base + "/out", base + "/ck",
+                                   threshold=60.0, available_now=True)
+        runner.run_to_end(q)
+    got = spark.read.parquet(base + "/out")
+    want = state.overspeed_run(lines.parse_speed_lines(all_lines), seq="event_id", threshold=60.0)
+    cols = ["vehicle_id", "speed", "consecutive_overspeed_count"]
+    assert rows(got, *cols) == rows(want, *cols)
+    write_lines(f"{path.removeprefix('file:')}/part=0", "aaa.txt", b"late,1\n")   # before files already read
+    with pytest.raises(Exception, match="came or went"):
+        runner.run_to_end(jobs.overspeed_run_job(logs.read_line_log(spark, path), "seq", base + "/out", base + "/ck",
+                                                 threshold=60.0, available_now=True))
+
+
+def test_line_reader_bounds_a_batch_by_bytes(spark):
+    path = scratch_dir(spark, "lines").removeprefix("file:")
+    for i in range(6):
+        write_lines(path, f"{i}.txt", b"x\n" * (10 * i + 5))
+    reader = logs.LineLogReader({"path": path, "maxBytesPerTrigger": "80"})
+    at, sizes, n = reader.initialOffset(), [], 0
+    while True:
+        end = reader.latestOffset()
+        parts = reader.partitions(at, end)
+        if not parts:
+            break
+        sizes.append(end["bytes"] - at["bytes"])
+        n += sum(b.num_rows for p in parts for b in reader.read(p))
+        at = end
+    assert n == sum(10 * i + 5 for i in range(6)) and max(sizes[:2]) <= 80 and len(sizes) >= 4
+
+
+def test_remote_paths_are_opened_by_their_scheme(tmp_path):
+    store, root = logs._open(f"file://{tmp_path}")
+    assert root == str(tmp_path) and store.get_file_info(root).is_file is False
+    assert logs._open(f"file:{tmp_path}")[1] == str(tmp_path)
