@@ -9,18 +9,23 @@ is spread like anything else, and each block is packed by several islands:
   shuffled orders and best-fit decreasing;
 * crossover takes whole well-filled bins of one parent, those of the other that share no piece
   with them, and best-fits the displaced pieces, largest first;
+* before the displaced pieces go in, single pieces and pairs of the kept bins give way to a
+  displaced one that fills their bin better;
 * after each epoch an island's elite migrates to the next island of its block (a join on block
   and island), and the next epoch starts from both.
 
-The best island's bins that are full to ``DONE`` tokens stay; pieces of the others are dealt
-into fewer blocks and packed again, so the loose ends of all blocks meet.  Each round is a
-table in the shared folder; a task only ever holds one block.
+A block is settled when an island's bins meet the lower bound (total tokens, or pieces that can't
+share a bin: then no search can do better), or when an epoch improves none of its islands.  Bins
+that are full to ``DONE`` tokens stay.  The pieces of the others are dealt into new, fewer blocks
+and packed again, as long as that takes fewer bins and more than one block is left.  Each round is
+a table in the shared folder; a task only ever holds one block.
 
 ``tokenize_pieces`` gives the pieces' real token ids if asked; packing needs lengths only.
 
 Defined cases: a null or empty text is a piece of one token (the closing id 0); ties in fill go to
-the first bin; equal rows are separate pieces (told apart by an arrival number); an empty table
-gives an empty result; other columns are not read.
+the first bin; equal rows are separate pieces (told apart by an arrival number); a very long text
+is tokenised whole and cut into sequences; an empty table gives an empty result; other columns are
+not read.  A sequence is numbered by the smallest arrival number of its pieces.
 """
 
 from __future__ import annotations
@@ -31,11 +36,12 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from autopulse.llm.common import map_batches, materialise
@@ -43,9 +49,13 @@ from autopulse.llm.common import map_batches, materialise
 CAPACITY = 2048
 BLOCK_ITEMS = 2000
 ISLANDS = 2
-EPOCHS = 2
-POPULATION = 3
-CROSSOVERS = 4
+POPULATION = 6
+#: Children of an island in an epoch.
+CROSSOVERS = 24
+#: An epoch that raises the mean squared fill by less has improved nothing.
+LEAST_GAIN = 1e-4
+#: Pairs are exchanged only in bins of at most so many pieces.
+PAIR_BIN = 8
 DONE = CAPACITY - 2
 END_ID = 0
 #: Both tokenizer libraries agree below this code point; texts beyond it take the reference library.
@@ -146,8 +156,55 @@ def fitness(bins: list[list[int]], lengths: list[int], capacity: int) -> tuple[i
     return -len(bins), sum(f * f for f in fill) / max(1, len(fill))
 
 
+def lower_bound(lengths: list[int], capacity: int) -> int:
+    """Bins that any packing needs: by total size, and by pieces too large to share with others."""
+    size = np.sort(np.asarray(lengths, np.int64))
+    if not len(size):
+        return 0
+    total = np.concatenate(([0], np.cumsum(size)))
+    half = np.searchsorted(size, capacity // 2, side="right")
+    # for each threshold k: pieces above capacity - k stand alone, those above half stand apart,
+    # and those from k to half fill what the latter leave
+    k = np.unique(np.append(size[:half], 0))
+    alone = np.searchsorted(size, capacity - k, side="right")
+    alone = np.maximum(alone, half)
+    small = np.searchsorted(size, k, side="left")
+    left = (alone - half) * capacity - (total[alone] - total[half])
+    rest = total[half] - total[np.minimum(small, half)] - left
+    return int(max((len(size) - half + np.maximum(0, -(-rest // capacity))).max(), -(-int(total[-1]) // capacity)))
+
+
+def exchange(bins: list[list[int]], rest: list[int], lengths: list[int], capacity: int) -> list[int]:
+    """Let a displaced piece take the place of one or two pieces where it fills the bin better; the new ``rest``."""
+    free = sorted((lengths[i], i) for i in rest)
+
+    def larger(size: int, most: int):
+        at = bisect_left(free, (most + 1, -1)) - 1
+        return free.pop(at) if at >= 0 and free[at][0] > size else None
+
+    for group in bins:
+        room = capacity - sum(lengths[i] for i in group)
+        if not room or not free:
+            continue
+        pairs = combinations(group, 2) if len(group) <= PAIR_BIN else ()
+        for out in [*((i,) for i in group), *pairs]:
+            size = sum(lengths[i] for i in out)
+            if any(i not in group for i in out):
+                continue
+            better = larger(size, size + room)
+            if better:
+                for i in out:
+                    group.remove(i)
+                    insort(free, (lengths[i], i))
+                group.append(better[1])
+                room -= better[0] - size
+                if not room:
+                    break
+    return [i for _, i in free]
+
+
 def crossover(a: list[list[int]], b: list[list[int]], lengths: list[int], capacity: int, rng) -> list[list[int]]:
-    """Whole well-filled bins of ``a``, bins of ``b`` without duplicates, displaced items by best fit."""
+    """Whole well-filled bins of ``a``, bins of ``b`` without duplicates, displaced items by exchange and best fit."""
     fill = [sum(lengths[i] for i in g) for g in a]
     bar = capacity - int(rng.integers(0, max(2, capacity // 32)))
     child = [list(g) for g, f in zip(a, fill) if f >= bar]
@@ -159,7 +216,7 @@ def crossover(a: list[list[int]], b: list[list[int]], lengths: list[int], capaci
         else:
             rest.extend(i for i in g if i not in placed)
     seen = {i for g in child for i in g}
-    rest = [i for i in rest if i not in seen]
+    rest = exchange(child, [i for i in rest if i not in seen], lengths, capacity)
     jitter = rng.random(len(rest))
     rest = [i for _, i in sorted(zip(jitter * 24 - np.array([lengths[i] for i in rest]), rest))] if rest else []
     rooms = [capacity - sum(lengths[i] for i in g) for g in child]
@@ -187,17 +244,17 @@ def evolve(lengths: list[int], elites: list[list[int]], capacity: int, seed: int
     n = len(lengths)
     people = [decode(g) for g in elites if g]
     size = np.array(lengths)
-    while len(people) < POPULATION:
-        noise = 0.0 if not people else 40.0
+    bound = lower_bound(lengths, capacity)
+    while len(people) < POPULATION and not any(len(p) <= bound for p in people):
+        noise = 0.0 if not people else float(rng.integers(1, 1 + capacity // 8))
         order = np.lexsort((np.arange(n), -(size + rng.random(n) * noise))).tolist()
         people.append(best_fit(order, lengths, capacity, [], []))
     ranked = sorted(((fitness(p, lengths, capacity), k, p) for k, p in enumerate(people)), reverse=True)
-    bound = -(-sum(lengths) // capacity)
     for k in range(CROSSOVERS):
         if -ranked[0][0][0] <= bound:
             break
         a, b = rng.choice(len(ranked), 2, replace=False)
-        child = crossover(ranked[min(a, b)][2], ranked[max(a, b)][2], lengths, capacity, rng)
+        child = crossover(ranked[a][2], ranked[b][2], lengths, capacity, rng)
         ranked = sorted([*ranked, (fitness(child, lengths, capacity), -1 - k, child)], reverse=True)[:POPULATION]
     return encode_bins(ranked[0][2], n)
 
@@ -205,7 +262,7 @@ def evolve(lengths: list[int], elites: list[list[int]], capacity: int, seed: int
 # --- islands over Spark ---------------------------------------------------------------------
 
 STATE = ("block long, island int, items array<bigint>, lengths array<bigint>, genome array<bigint>, bins long, "
-         "fill double")
+         "fill double, proven boolean, improved boolean")
 
 
 def _epoch(state: DataFrame, capacity: int, epoch: int) -> DataFrame:
@@ -216,62 +273,80 @@ def _epoch(state: DataFrame, capacity: int, epoch: int) -> DataFrame:
                 seed = (r["block"] * 1009 + r["island"] * 31 + epoch) & 0x7FFFFFFF
                 genome = evolve(r["lengths"], [g for g in (r["genome"], r["migrant"]) if g], capacity, seed)
                 bins, fill = fitness(decode(genome), r["lengths"], capacity)
+                gained = r["bins"] is None or -bins < r["bins"] or -bins == r["bins"] and fill > r["fill"] + LEAST_GAIN
                 yield pa.RecordBatch.from_pylist(
-                    [{**{k: r[k] for k in ("block", "island", "items", "lengths")}, "genome": genome,
-                      "bins": -bins, "fill": fill}], schema=arrow)
+                    [{**{k: r[k] for k in ("block", "island", "items", "lengths")}, "genome": genome, "bins": -bins,
+                      "fill": fill, "proven": -bins <= lower_bound(r["lengths"], capacity), "improved": gained}], schema=arrow)
 
     arrow = pa.schema([("block", pa.int64()), ("island", pa.int32()), ("items", pa.list_(pa.int64())),
                        ("lengths", pa.list_(pa.int64())), ("genome", pa.list_(pa.int64())), ("bins", pa.int64()),
-                       ("fill", pa.float64())])
+                       ("fill", pa.float64()), ("proven", pa.bool_()), ("improved", pa.bool_())])
     return map_batches(state, run, STATE)
 
 
 def pack_blocks(items: DataFrame, blocks: int, capacity: int, round_no: int) -> DataFrame:
-    """``item, length, block, bin, filled`` of the best island of every block."""
+    """``item, length, block, bin`` of the best island of every block."""
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item", F.lit(round_no)), F.lit(blocks)))
     grouped = dealt.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("item", "length"))).alias("rows"))
     state = (grouped.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
                             F.col("rows.item").alias("items"), F.col("rows.length").alias("lengths"),
-                            F.lit(None).cast("array<bigint>").alias("genome"),
-                            F.lit(None).cast("array<bigint>").alias("migrant"))
+                            *[F.lit(None).cast(t).alias(c) for c, t in (("genome", "array<bigint>"), ("migrant", "array<bigint>"),
+                                                                        ("bins", "bigint"), ("fill", "double"))])
              .repartition("block", "island"))
-    for epoch in range(EPOCHS):
+    settled = None
+    for epoch in count():
         state = materialise(_epoch(state, capacity, epoch), f"pack-{round_no}-{epoch}")
-        if epoch + 1 < EPOCHS:  # the ring: each island hears from the one before it
-            move = state.select("block", ((F.col("island") + 1) % ISLANDS).cast("int").alias("island"),
-                                F.col("genome").alias("migrant"))
-            state = state.drop("bins", "fill").join(move, ["block", "island"])
-    best = state.groupBy("block").agg(F.min_by(
+        known = state.groupBy("block").agg((F.bool_or("improved") & ~F.bool_or("proven")).alias("open"))
+        ended = state.join(known.where(~F.col("open")), "block", "left_semi")
+        settled = ended if settled is None else settled.unionByName(ended)
+        going = state.join(known.where("open"), "block", "left_semi")
+        if going.isEmpty():
+            break
+        # the ring: each island hears from the one before it
+        move = going.select("block", ((F.col("island") + 1) % ISLANDS).cast("int").alias("island"),
+                            F.col("genome").alias("migrant"))
+        state = going.drop("proven", "improved").join(move, ["block", "island"])
+    best = settled.groupBy("block").agg(F.min_by(
         F.struct("items", "lengths", "genome"), F.struct("bins", -F.col("fill"), "island")).alias("e"))
     cells = best.select("block", F.explode(F.arrays_zip(
         F.col("e.items").alias("item"), F.col("e.lengths").alias("length"), F.col("e.genome").alias("bin"))).alias("c"))
     return cells.select("block", "c.item", "c.length", "c.bin")
 
 
+def _loose(packed: DataFrame) -> tuple[DataFrame, int, int]:
+    """The rows of sequences that are not full, and how many rows and sequences those are."""
+    loose = packed.where(F.col("filled") < DONE)
+    n = loose.agg(F.count(F.lit(1)).alias("items"), F.count_distinct("sequence").alias("bins")).first()
+    return loose, n["items"], n["bins"]
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces (``length`` tokens each, at most ``capacity``)."""
     numbered = materialise(pieces.withColumn("item", F.monotonically_increasing_id()), "pack-pieces")
-    counts = numbered.agg(F.count_if(F.col("length") < capacity).alias("n")).first()
     todo = numbered.where(F.col("length") < capacity).select("item", "length")
     done = numbered.where(F.col("length") >= capacity).select(
         "item", "length", F.concat(F.lit("w"), F.col("item").cast("string")).alias("sequence"))
-    n, rounds = counts["n"], 2
-    for round_no in range(rounds):
+    n, bins, loose = todo.count(), None, None
+    for round_no in count():
         blocks = max(1, -(-n // block_items))
-        packed = materialise(pack_blocks(todo, blocks, capacity, round_no), f"pack-round-{round_no}")
         name = F.concat_ws("-", F.lit(str(round_no)), F.col("block").cast("string"), F.col("bin").cast("string"))
-        named = packed.withColumn("sequence", name)
-        if round_no + 1 < rounds:
-            fill = named.groupBy("sequence").agg(F.sum("length").alias("filled"))
-            named = materialise(named.join(fill, "sequence"), f"pack-fill-{round_no}")
-            todo = named.where(F.col("filled") < DONE).select("item", "length")
-            n = todo.count()
-            named = named.where(F.col("filled") >= DONE)
-        done = done.unionByName(named.select("item", "length", "sequence"))
+        packed = pack_blocks(todo, blocks, capacity, round_no).withColumn("sequence", name)
+        filled = F.sum("length").over(Window.partitionBy("sequence"))
+        packed = materialise(packed.withColumn("filled", filled), f"pack-round-{round_no}")
+        if bins is not None and packed.select("sequence").distinct().count() >= bins:
+            break  # dealing the loose pieces anew saves nothing: they stay as they were
+        full = packed.where(F.col("filled") >= DONE)
+        done = done.unionByName(full.select("item", "length", "sequence"))
+        loose, n, bins = _loose(packed)
+        todo = loose.select("item", "length")
+        if blocks == 1 or not n:
+            break
+    done = done.unionByName(loose.select("item", "length", "sequence"))
     # a sequence holds at most `capacity` pieces, so its window is bounded
-    by_sequence = F.expr("sum(length) OVER (PARTITION BY sequence ORDER BY item) - length")
-    placed = done.withColumn("offset", by_sequence).select("item", "sequence", "offset")
-    return numbered.join(placed, "item").withColumn("sequence_id", F.xxhash64("sequence")).drop("item", "sequence")
+    same = Window.partitionBy("sequence")
+    before = F.sum("length").over(same.orderBy("item")) - F.col("length")
+    placed = done.withColumn("offset", before).withColumn("sequence_id", F.min("item").over(same))
+    return numbered.join(placed.select("item", "offset", "sequence_id"), "item").drop("item")
 
 
 def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from autopulse.llm import bpe, catalog, centroids, importance
+from autopulse.llm import bpe, catalog, centroids, importance, packing
 from test_llm_operators import SCHEMA, SF, WORDS, hard_rows, prose
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -277,3 +277,73 @@ def test_pivots_skip_centroids_and_lose_none():
     full = ((v[:, None, :] - centers[None]) ** 2).sum(2)
     assert (cluster == full.argmin(1)).all() and (distance == full.min(1)).all()
     assert evaluated < 0.25 * full.size
+
+
+# --- op3: the search against bounds and exact packings ---------------------------------------
+
+def fewest_bins(lengths, capacity):
+    """Exact by branch and bound, for a dozen items."""
+    order, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(k, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if k == len(order):
+            best[0] = len(rooms)
+            return
+        for room in sorted({r for r in rooms if r >= order[k]}):
+            rest = list(rooms)
+            rest.remove(room)
+            place(k + 1, [*rest, room - order[k]])
+        place(k + 1, [*rooms, capacity - order[k]])
+    place(0, [])
+    return best[0]
+
+
+def searched(lengths, capacity, epochs=6):
+    elite = None
+    for e in range(epochs):
+        elite = packing.evolve(lengths, [elite] if elite else [], capacity, e)
+    bins = packing.decode(elite)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= capacity for b in bins)
+    return len(bins)
+
+
+def test_lower_bound_never_exceeds_an_exact_packing_and_search_finds_it():
+    rng = np.random.default_rng(21)
+    met = 0
+    for _ in range(40):
+        lengths = rng.integers(200, 1400, 11).tolist()
+        exact = fewest_bins(lengths, 2048)
+        assert packing.lower_bound(lengths, 2048) <= exact <= searched(lengths, 2048)
+        met += searched(lengths, 2048) == exact
+    assert met >= 38
+    assert packing.lower_bound([], 2048) == 0 and packing.lower_bound([1025] * 7, 2048) == 7
+
+
+@pytest.mark.parametrize("low,high", [(300, 900), (500, 800)])
+def test_search_beats_best_fit_where_that_misses_the_bound(low, high):
+    lengths = np.random.default_rng(0).integers(low, high + 1, 800).tolist()
+    falling = np.argsort(-np.array(lengths), kind="stable").tolist()
+    plain = len(packing.best_fit(falling, lengths, 2048, [], []))
+    assert packing.lower_bound(lengths, 2048) <= searched(lengths, 2048, 3) < plain
+
+
+def test_rounds_go_on_over_loose_sequences(spark):
+    """Small blocks leave loose sequences; dealt anew they end near the whole table's bound."""
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(100, 900, 3000).tolist()
+    pieces = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "doc_id long, length long").repartition(4)
+    rows = packing.pack(pieces, 2048, block_items=150).collect()
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert len(rows) == len(lengths) and Counter(r["length"] for r in rows) == Counter(lengths)
+    for b in bins.values():
+        end = 0
+        for offset, length in sorted(b):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(bins) <= 1.01 * packing.lower_bound(lengths, 2048) + 1
