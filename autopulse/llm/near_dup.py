@@ -8,11 +8,17 @@ is an element posted to an inverted list:
   least M coordinates share an element among their first COORDINATES - M + 1, so only
   these are posted.  Long lists (a passage that many texts hold) fall behind the prefix and are
   skipped, the way a skip merge leaves them to the final count;
-* lists longer than ``BLOCK`` are dealt into blocks, and pairs of blocks are separate rows, so no
-  list is held whole by a task; lists with the same members are looked at once;
+* lists longer than ``BLOCK`` are settled first, see below; what they still have to compare is dealt
+  into blocks, and pairs of blocks are separate rows, so no list is held whole by a task; lists with
+  the same members are looked at once;
 * count: within a list the collisions of whole signatures are counted, and pairs with at least
   M that could reach the threshold by their set sizes are candidates.
 
+A long list is mostly one family of near copies.  Its classes are compared with a few
+representatives, linked, and compared again while that joins components: work in proportion to the
+list.  Pairs inside the list's largest component then need no look any more; what is left are the
+other classes against all, at most about two rows a member while they fit one block.
+
 Candidates are taken in rounds.  In the first, each class names its best partner per list.  Those
 pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
 component need no further look.  Classes with a candidate also get a longer sketch
@@ -27,19 +33,21 @@ M and the sketch's least count follow from it: a pair exactly at the threshold f
 with a probability of at most ``MISSED``.
 
 Defined cases: null or empty texts have no shingles and are linked with nothing; a text with
-fewer than five words is one shingle; copies share their class; rows that share an id are one
-node; a null id is linked with nothing and kept; an empty table gives an empty result; other
-columns are not read.
+fewer than five words is one shingle; very long texts are read whole; copies share their class;
+rows that share an id but not their text are judged apart, each by its own text; a null id is linked
+with nothing and kept; an empty table gives an empty result; other columns are not read.  Classes
+have numbers of their own inside; a component is named by its smallest id at the end.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from autopulse.llm.common import Powers, byte_keys, map_batches, materialise, only_slots, slices, splitmix, text_buffer
@@ -51,6 +59,8 @@ SKETCH = 512
 MISSED = 5e-6
 BLOCK = 1024
 GROWTH = 4 * BLOCK
+#: Classes of a long list that all others are compared with in a settling round.
+REPRESENTATIVES = 32
 
 KEYS = byte_keys(23)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -133,27 +143,37 @@ def sketch(hashes: np.ndarray) -> bytes:
     return (splitmix(best) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
+def digests(hashes: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set."""
+    if not len(hashes):
+        return 0, 0
+    return int(hashes.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(splitmix(hashes)).view(np.int64))
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n, d1, d2, coordinates, sig``: set size, 128-bit set digest, signature as array and as bytes."""
+    """``doc_id, text_hash, n, d1, d2, coordinates, sig``: set size, 128-bit set digest, signature as array and as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 size, d1, d2, sigs = [], [], [], []
                 for h in shingle_sets(part.column("text")):
                     size.append(len(h))
-                    d1.append(int(h.sum(dtype=np.uint64).view(np.int64)) if len(h) else 0)
-                    d2.append(int(np.bitwise_xor.reduce(splitmix(h)).view(np.int64)) if len(h) else 0)
+                    x, y = digests(h)
+                    d1.append(x)
+                    d2.append(y)
                     sigs.append(signature(h) if len(h) else np.zeros(0, np.int32))
                 values = pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int32))
                 packed = pa.array([s.tobytes() for s in sigs], pa.binary())
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()),
-                     pa.array(d2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values), packed],
-                    names=["doc_id", "n", "d1", "d2", "coordinates", "sig"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(size, pa.int64()),
+                     pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), values), packed],
+                    names=["doc_id", "text_hash", "n", "d1", "d2", "coordinates", "sig"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(rows, run, "doc_id long, n long, d1 long, d2 long, coordinates array<int>, sig binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                       F.col(text_col).alias("text"))
+    return map_batches(rows, run, "doc_id long, text_hash long, n long, d1 long, d2 long, coordinates array<int>, sig binary")
 
 
 def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
@@ -169,16 +189,45 @@ def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     return lists.select("id", F.explode(F.slice("e", F.lit(1), take)).alias("s")).select("s.element", "id")
 
 
-def bucket_members(postings: DataFrame, block: int = BLOCK) -> DataFrame:
+def list_sizes(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("element").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Add ``label``: a class's component, itself while it has no link."""
+    if labels is None:
+        return rows.withColumn("label", F.col("id"))
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _largest_parts(long: DataFrame) -> DataFrame:
+    """``element, main, rest``: the label that most members of a list have, and how many have another."""
+    parts = long.groupBy("element", "label").agg(F.count(F.lit(1)).alias("c"))
+    return parts.groupBy("element").agg(F.max_by("label", F.struct("c", "label")).alias("main"),
+                                        (F.sum("c") - F.max("c")).alias("rest"))
+
+
+def bucket_members(postings: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> DataFrame:
     """``element, split, bucket, id, side``: lists of two or more classes, long ones as pairs of blocks.
 
-    Lists with the same members are one, named by their smallest element.
+    Of a long list the members outside its largest component meet each other and, block by block,
+    those inside; the latter don't meet among themselves.  Lists with the same members are one, named
+    by their smallest element.
     """
-    sizes = postings.groupBy("element").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    rows = postings.join(sizes, "element").withColumn("blocks", F.ceil(F.col("f") / block).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = rows.groupBy("element", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(
+    rows = postings.join(list_sizes(postings), "element")
+    short = rows.where(F.col("f") <= block).select("element", "id", *[F.lit(0).alias(c) for c in ("own", "lo", "hi")])
+    long = materialise(_labelled(rows.where(F.col("f") > block), labels), "near-long")
+    dealt = (long.join(_largest_parts(long), "element").withColumn("inside", F.col("label") == F.col("main"))
+             .withColumn("outer", F.ceil(F.col("rest") / block).cast("int"))
+             .withColumn("inner", F.ceil((F.col("f") - F.col("rest")) / block).cast("int")))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer")).cast("long")).cast("int")
+    # blocks of the others are numbered 0 .. outer - 1, those inside the largest component from outer on
+    dealt = dealt.withColumn("own", F.when(F.col("inside"), F.col("outer") + own).otherwise(own)).where("rest > 0")
+    met = F.when(F.col("inside"), F.sequence(F.lit(0), F.col("outer") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1))
+    dealt = dealt.withColumn("other", F.explode(met)).select(
+        "element", "id", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    pairs = short.unionByName(dealt).groupBy("element", "lo", "hi").agg(
         F.sort_array(F.collect_list(F.struct("id", F.col("own").alias("side")))).alias("members"))
     split = F.col("lo") != F.col("hi")
     lists = pairs.where(F.size("members") > 1).select(
@@ -190,6 +239,60 @@ def bucket_members(postings: DataFrame, block: int = BLOCK) -> DataFrame:
             .select("element", "split", "bucket", "x.id", "x.side"))
 
 
+def unsettled(postings: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> DataFrame:
+    """``element, id, label, rest, main``: each class in its long list with the most members outside the largest component."""
+    rows = postings.join(list_sizes(postings).where(F.col("f") > block), "element")
+    long = _labelled(rows, labels)
+    parts = _largest_parts(long).where(F.col("rest") > block)
+    worst = F.max_by(F.struct("element", "label", "rest", "main"), F.struct("rest", "element"))
+    return long.join(parts, "element").groupBy("id").agg(worst.alias("w")).select("id", "w.*")
+
+
+def representative_pairs(listed: DataFrame, classes: DataFrame, least: int, percent: int, round_no: int,
+                         block: int = BLOCK) -> DataFrame:
+    """``a, b``: each class of a long list with the representative of it that agrees most, in ``least`` coordinates at least.
+
+    A quarter of the representatives comes from the list's largest component, the others from outside.
+    """
+    rows = listed.join(classes.select("id", "n", "sig"), "id")
+    inside = F.col("label") == F.col("main")
+    order = F.struct(F.xxhash64("id", F.lit(round_no)).alias("h"), "id", "label", "n", "sig")
+    # top few per list and side, taken in each task first
+    tops = []
+    for side, many in ((inside, REPRESENTATIVES // 4), (~inside, REPRESENTATIVES - REPRESENTATIVES // 4)):
+        place = F.row_number().over(Window.partitionBy("element").orderBy("h", "id"))
+        tops.append(rows.where(side).select("element", order.alias("o")).select("element", "o.*")
+                    .withColumn("place", place).where(F.col("place") <= many))
+    reps = tops[0].unionByName(tops[1]).groupBy("element").agg(
+        F.collect_list(F.struct("id", "label", "n", "sig")).alias("reps"))
+    salts = F.ceil(F.col("rest") / block).cast("long")
+    members = (rows.withColumn("salt", F.pmod(F.xxhash64("id"), salts)).groupBy("element", "salt")
+               .agg(F.max(salts).alias("salts"), F.collect_list(F.struct("id", "label", "n", "sig")).alias("m")))
+    groups = members.join(reps, "element").select("m", "reps")
+
+    def columns(cells):
+        ids, label, size = (cells.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+        return ids, label, size, np.stack([np.frombuffer(x.as_buffer(), np.int32) for x in cells.field(3)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for i in range(batch.num_rows):
+                ids, label, size, sig = columns(batch.column("m")[i].values)
+                r_ids, r_label, r_size, r_sig = columns(batch.column("reps")[i].values)
+                agree = np.stack([(sig == r).sum(axis=1) for r in r_sig], axis=1)
+                fits = (agree >= least) & (label[:, None] != r_label[None, :])
+                fits &= 100 * np.minimum(size[:, None], r_size[None, :]) >= percent * np.maximum(size[:, None], r_size[None, :])
+                agree[~fits] = -1
+                at = np.flatnonzero(fits.any(axis=1))
+                best = r_ids[agree[at].argmax(axis=1)]
+                a += np.minimum(ids[at], best).tolist()
+                b += np.maximum(ids[at], best).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return map_batches(groups, run, "a long, b long").distinct()
+
+
 def _first_common(prefix: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest element in both prefixes of each pair (rows of ``prefix``, padded differently by row)."""
     out = np.empty(len(i), np.int64)
@@ -238,10 +341,7 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
     """
     once = "prefix" in classes.columns
     rows = members.join(classes.select("id", "n", "sig", *(["prefix"] if once else [])), "id")
-    if labels is None:  # nothing is linked yet
-        rows = rows.withColumn("label", F.col("id"))
-    else:
-        rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = _labelled(rows, labels)
     fields = ["id", "side", "label", "n", "sig", *(["prefix"] if once else [])]
     lists = (rows.groupBy("bucket", "split", "element").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct(*fields)).alias("m"))
@@ -274,20 +374,24 @@ def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
     return map_batches(lists, run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, n, shingles, sig``: the named documents' sorted shingle hashes, as bytes, and their sketches."""
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, n, shingles, sig``: sorted shingle hashes, as bytes, and sketches of the ``wanted`` classes (id, doc, n, d1, d2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = list(shingle_sets(part.column("text")))
+                d1, d2 = zip(*map(digests, sets)) if sets else ((), ())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([len(h) for h in sets], pa.int64()),
-                     pa.array([h.tobytes() for h in sets], pa.binary()), pa.array([sketch(h) for h in sets], pa.binary())],
-                    names=["id", "n", "shingles", "sig"])
+                    [part.column("doc"), pa.array([len(h) for h in sets], pa.int64()), pa.array(d1, pa.int64()),
+                     pa.array(d2, pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary()),
+                     pa.array([sketch(h) for h in sets], pa.binary())],
+                    names=["doc", "n", "d1", "d2", "shingles", "sig"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    wanted = only_slots(rows, "id", ids, "id").join(ids, "id", "left_semi")
-    return map_batches(wanted, run, "id long, n long, shingles binary, sig binary").dropDuplicates(["id"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    named = only_slots(rows, "doc", wanted, "doc").join(wanted.select("doc").distinct(), "doc", "left_semi")
+    sets = map_batches(named, run, "doc long, n long, d1 long, d2 long, shingles binary, sig binary")
+    return (sets.join(wanted, ["doc", "n", "d1", "d2"]).select("id", "n", "shingles", "sig")
+            .dropDuplicates(["id"]))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,52 +431,97 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _check(percent: int) -> None:
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, got {percent}")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``, linked from ``percent`` similarity."""
-    if not 1 <= percent <= 100:
-        raise ValueError(f"percent must be from 1 to 100, got {percent}")
+    _check(percent)
     matches, sketch_matches = filters(percent)
-    spark = docs.sparkSession
     sig = materialise(signatures(docs, id_col, text_col), "near-signatures")
+    return _linked(docs, sig, id_col, text_col, percent, matches, sketch_matches).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def _linked(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, percent: int, matches: int,
+            sketch_matches: int) -> DataFrame:
+    """``sig`` with ``component_id`` and ``kept``."""
+    spark = docs.sparkSession
     usable = sig.where("n > 0 AND doc_id IS NOT NULL")
-    groups = materialise(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id")), "near-classes")
-    classes = materialise(usable.select(F.col("doc_id").alias("id"), "n", "d1", "d2", "coordinates", "sig")
-                          .join(groups, ["id", "n", "d1", "d2"], "left_semi").dropDuplicates(["id"]), "near-reps")
+    groups = usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("doc"))
+    groups = materialise(groups.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    classes = usable.join(groups, ["n", "d1", "d2"]).where("doc_id = doc").select(
+        "id", "doc", "n", "d1", "d2", "coordinates", "sig").dropDuplicates(["id"])
+    classes = materialise(classes, "near-reps")
     postings = materialise(prefix_postings(classes, matches), "near-postings")
-    members = materialise(bucket_members(postings), "near-members")
-    labels = spark.createDataFrame([], "id long, label long")
-    links = spark.createDataFrame([], "a long, b long")
-    tested, sets, top = None, None, 1
+    posted = postings.groupBy("id").agg(F.collect_list("element").alias("prefix"))
+    links, labels, tested, sets = spark.createDataFrame([], "a long, b long"), None, None, None
+
+    def decide(found: DataFrame) -> DataFrame:
+        """Confirm pairs on full sets and take the links over; the decided pairs."""
+        nonlocal links, labels, tested, sets
+        ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        new = ids if sets is None else ids.join(sets, "id", "left_anti")
+        wanted = classes.select("id", "doc", "n", "d1", "d2").join(new, "id")
+        more = materialise(full_sets(docs, materialise(wanted, "near-wanted"), id_col, text_col).join(posted, "id"), "near-sets")
+        sets = more if sets is None else sets.unionByName(more)
+        decided = materialise(confirm(found, sets, percent), "near-confirmed")
+        links = links.unionByName(decided.where("linked").select("a", "b"))
+        failed = decided.where("NOT linked").select("a", "b")
+        tested = failed if tested is None else tested.unionByName(failed)
+        labels = components(links)
+        return decided
+
+    for round_no in count():  # long lists first, each in work proportional to its length
+        listed = materialise(unsettled(postings, labels), "near-unsettled")
+        if listed.isEmpty():
+            break
+        found = representative_pairs(listed, classes, matches, percent, round_no)
+        found = materialise(found if tested is None else found.join(tested, ["a", "b"], "left_anti"), "near-listed")
+        if found.isEmpty() or decide(found).where("linked").isEmpty():
+            break
+    members = materialise(bucket_members(postings, labels), "near-members")
+    first, top = True, 1
     while True:
-        if sets is None:
-            named = candidates(members, classes, None, matches, top, percent)
+        if first:
+            named = candidates(members, classes, labels, matches, top, percent)
         else:
             named = candidates(members, sets, labels, sketch_matches, top, percent)
         named = materialise(named, "near-named")
         found = named if tested is None else materialise(named.join(tested, ["a", "b"], "left_anti"), "near-untested")
         more = named.agg(F.max("more").alias("more")).first()["more"]
         if not found.isEmpty():
-            if sets is None:  # every class with a candidate names its best one in the first round
-                ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-                posted = postings.groupBy("id").agg(F.collect_list("element").alias("prefix"))
-                sets = materialise(full_sets(docs, ids, id_col, text_col).join(posted, "id"), "near-sets")
-            decided = materialise(confirm(found, sets, percent), "near-confirmed")
-            links = links.unionByName(decided.where("linked").select("a", "b"))
-            failed = decided.where("NOT linked").select("a", "b")
-            tested = failed if tested is None else tested.unionByName(failed)
-            labels = components(links)
+            decide(found.select("a", "b"))
         if not more:  # every candidate outside a component has been named and tested
             break
         top *= GROWTH
-    joined = sig.join(groups, ["n", "d1", "d2"], "left").join(labels, "id", "left")
+        first = False
+    named = classes.select("id", "doc")
+    if labels is not None:
+        named = _labelled(named, labels)
+        smallest = named.groupBy("label").agg(F.min("doc").alias("component"))
+        named = named.join(smallest, "label").select("id", "component")
+    else:
+        named = named.select("id", F.col("doc").alias("component"))
+    joined = sig.join(groups, ["n", "d1", "d2"], "left").join(named, "id", "left")
     linkable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(linkable, F.coalesce("label", "id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    component = F.when(linkable, F.col("component")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "text_hash", "n", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, one per component, with all their columns."""
-    kept = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[id_col]), "left_semi")
+    """The rows of ``docs`` that stay, one per component, with all their columns.
+
+    Rows are found again by id (null too) and text, so of rows that share an id only those whose own
+    text stays are kept.
+    """
+    _check(percent)
+    sig = materialise(signatures(docs, id_col, text_col), "near-signatures")
+    kept = _linked(docs, sig, id_col, text_col, percent, *filters(percent)).where("kept").select(
+        F.col("doc_id").alias("_id"), "text_hash")
+    same = docs[id_col].cast("long").eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["text_hash"])
+    return docs.join(kept, same, "left_semi")

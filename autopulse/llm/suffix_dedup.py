@@ -1,8 +1,10 @@
-"""Repeated passages by distributed prefix doubling over hashed ranks.
+"""Repeated passages by ranks of growing length over sampled windows.
 
 A byte goes if it lies in a string of ``threshold`` bytes that also starts in a document with a
-smaller id.  Equal strings get equal ranks, a rank being a 64-bit hash of what stands there, so
-that positions can be ranked where their text is and only ranks have to meet:
+smaller id.  Equal strings get equal ranks, a rank being a hash of what stands there, so that
+positions can be ranked where their text is and only ranks have to meet.  This is not prefix
+doubling in its full form: ranks come from the text at each length instead of from sorted pairs of
+the ranks of the length before (README has the figures of that form).
 
 1. First rank: every window of ``threshold`` bytes picks the least hash among its grams of
    2/5 threshold bytes (the leftmost of equals).  Equal windows pick the same gram at the same
@@ -14,6 +16,8 @@ that positions can be ranked where their text is and only ranks have to meet:
    into its windows, and window i is ranked by the pair (rank of half a window at i, rank of half
    a window at i + threshold / 2).  Pairs with two documents settle all but the smallest.
 
+Rows count as equal only by two ranks of 64 bits each.
+
 Each step settles what a task can settle from its own rows before anything is shuffled: of
 equal ranks only the smallest document's row goes on, so a passage that a third of all documents
 share costs one row per task, and a group of copies is settled like any other.
@@ -46,8 +50,10 @@ LOCAL_BYTES = 12 << 20  # of text that a task settles at once
 MARK = np.iinfo(np.int64).max  # stands for a document in rows that only mark a rank
 KEYS = byte_keys(41)
 POWERS = Powers()
-#: A run's own rank only divides rows of one 64-bit gram rank: 48 more bits, so two bytes less to shuffle.
-FULL_MASK = np.uint64((1 << 48) - 1)
+#: A second, independent rank: rows are equal only if both are, 128 bits together.
+KEYS_2 = byte_keys(43)
+#: Runs hold at most as many windows as a byte counts.
+LARGEST = 425
 MAP_SCHEMA = "bucket long, n long, rank binary, full binary, doc binary, start binary, more binary"
 FOUND_SCHEMA = "open boolean, doc_id long, start long, size long"
 FOUND = pa.schema([("open", pa.bool_()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int64())])
@@ -90,7 +96,7 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
     whole = POWERS.span(prefix, first, ends + threshold - 1)
     full = splitmix(whole + (least[first] - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                     + (ends - first).astype(np.uint64))
-    return text[first], first - offsets[text[first]], ends - first - 1, rank, full & FULL_MASK
+    return text[first], first - offsets[text[first]], ends - first - 1, rank, full
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray, threshold: int):
@@ -284,7 +290,8 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
                 right = splitmix(POWERS.span(prefix, at + half, at + threshold))
                 pair = splitmix(left * np.uint64(3) + right)
                 doc = np.full(len(at), batch.column("doc_id")[i].as_py(), np.int64)
-                got.append((pair, np.zeros(len(at), np.uint64), doc, at, np.zeros(len(at), np.uint8)))
+                second = splitmix(POWERS.span(POWERS.prefix(KEYS_2[data]), at, at + threshold))
+                got.append((pair, second, doc, at, np.zeros(len(at), np.uint8)))
                 held += len(at)
                 if held >= LOCAL_BYTES // 12:
                     yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, True)
@@ -303,6 +310,8 @@ def _meet(ranks: DataFrame, threshold: int, doubled: bool) -> DataFrame:
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``doc_id, start, size`` of removed bytes; spans of one document may touch or overlap."""
+    if not 5 <= threshold <= LARGEST:
+        raise ValueError(f"threshold must be from 5 to {LARGEST}, got {threshold}")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))

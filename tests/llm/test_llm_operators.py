@@ -466,7 +466,8 @@ def test_near_duplicates(spark, hard, which, monkeypatch):
                 words[int(rng.integers(0, 120))] = f"w{rng.integers(0, 10 ** 6)}"
             rows.append((i, " ".join(words)))
         docs = spark.createDataFrame(rows, "doc_id long, text string")
-        monkeypatch.setattr(near_dup.bucket_members, "__defaults__", (16,))
+        for long_list in (near_dup.bucket_members, near_dup.unsettled, near_dup.representative_pairs):
+            monkeypatch.setattr(long_list, "__defaults__", (16,))
     else:
         docs = hard if which == "hard" else documents(spark)
     rows = collect(near_dup.near_duplicates(docs))

@@ -14,8 +14,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from autopulse.llm import bpe, catalog, centroids, importance, packing
-from test_llm_operators import SCHEMA, SF, WORDS, hard_rows, prose
+from autopulse.llm import bpe, catalog, centroids, importance, near_dup, packing
+from test_llm_operators import SCHEMA, SF, brute_components, hard_rows, prose
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -347,3 +347,53 @@ def test_rounds_go_on_over_loose_sequences(spark):
             end += length
         assert end <= 2048
     assert len(bins) <= 1.01 * packing.lower_bound(lengths, 2048) + 1
+
+
+# --- op8: long lists ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("f", [2_000, 8_000, 32_000])
+def test_a_settled_family_takes_rows_in_proportion(spark, f):
+    """All but a few members of a long list are one component: the rows to compare grow with the list."""
+    postings = spark.range(f).select(F.lit(7).cast("long").alias("element"), "id")
+    labels = spark.range(f).where("id % 1000 <> 3").select("id", F.lit(0).cast("long").alias("label"))
+    members = near_dup.bucket_members(postings, labels)
+    assert members.count() <= 2 * f + f // 1000 * (f // 1024 + 2)
+    assert near_dup.unsettled(postings, labels).count() == 0
+    # every pair with a member outside the component meets in some block
+    outside = {i for i in range(f) if i % 1000 == 3}
+    met = defaultdict(set)
+    for r in members.groupBy("bucket").agg(F.collect_list("id").alias("ids")).collect():
+        for i in outside & set(r["ids"]):
+            met[i] |= set(r["ids"])
+    assert all(len(met[i]) == f for i in outside)
+
+
+def test_many_families_in_one_list(spark, monkeypatch):
+    """Three families share a passage; representatives settle them, the result is brute force's."""
+    for long_list in (near_dup.bucket_members, near_dup.unsettled, near_dup.representative_pairs):
+        monkeypatch.setattr(long_list, "__defaults__", (12,))
+    monkeypatch.setattr(near_dup, "REPRESENTATIVES", 4)
+    rng = np.random.default_rng(19)
+    shared, rows = prose(rng, 70), []
+    for k in range(3):
+        own = prose(rng, 50).split()
+        for i in range(40):
+            words = list(own)
+            for _ in range(int(rng.integers(0, 3))):
+                words[int(rng.integers(0, 50))] = f"v{rng.integers(0, 10 ** 6)}"
+            rows.append((100 * k + i, shared + " " + " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs).collect()}
+    assert got == brute_components(rows)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rng = np.random.default_rng(5)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(5, a), (5, b), (1, a), (9, b + " end"), (7, c), (7, c), (3, None), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs).collect())
+    assert got == Counter([(5, 1, False), (5, 5, True), (1, 1, True), (9, 5, False), (7, 7, True), (7, 7, True),
+                           (3, 3, True), (None, None, True)])
+    kept = Counter((r["doc_id"], r["text"]) for r in near_dup.keep_one(docs).collect())
+    assert kept == Counter([(5, b), (1, a), (7, c), (7, c), (3, None), (None, a)])
