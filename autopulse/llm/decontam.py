@@ -12,9 +12,11 @@ counts when both its question and its answer overlap the passage: at least ``OVE
 part's word trigrams.  The question ends with the last question mark; an item without one is
 halved.
 
-Items are indexed in shards of at most ``SHARD_BYTES`` of text; each shard's index is broadcast
-and its size is bounded by that, so a larger benchmark means more passes, never a larger
-broadcast.  Document frequencies and the average length are taken over all items.
+Items are indexed in shards of about ``SHARD_BYTES`` of text, each built by the task that its items
+are dealt to and written to the shared folder.  Shards travel in groups of at most ``GROUP_BYTES``:
+a group is one broadcast and one scan of the documents, whose words are hashed once for all its
+shards.  A larger benchmark means more groups, never a larger broadcast.  Document frequencies and
+the average length are taken over all items.
 
 A word is a run of letters and digits; in scripts without blanks (Chinese, Japanese, Thai, ...)
 every character is one, and CJK punctuation parts words.  Items with fewer than ``MIN_WORDS`` words
@@ -22,14 +24,16 @@ have too few trigrams to score: they count wherever their words stand in a text
 (one hash of the whole item against that of every run of as many words), with score and overlaps 1
 and ``passages`` the number of places.
 
-Defined cases: items without a word (null and empty texts too) are not searched; equal items are separate items with equal answers; a null or
-empty document has no passage; repeated documents are all answered; an empty benchmark gives an
+Defined cases: items without a word (null and empty texts too) are not searched; equal items are
+separate items with equal answers; a null or empty document has no passage; a very long text is
+searched whole, in overlapping passages; repeated documents are all answered; an empty benchmark gives an
 empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autopulse.llm.common import Powers, byte_keys, map_batches, slices, splitmix, text_buffer
+from autopulse.llm.common import Powers, byte_keys, map_batches, materialise, slices, splitmix, text_buffer
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -50,6 +54,7 @@ MIN_WORDS = 5
 BLOCK = 16
 BOUND_ITEMS = 4
 SHARD_BYTES = 64 << 10  # of item text: an index's table of block bounds stays within some megabytes
+GROUP_BYTES = 64 << 20  # of indexes that one scan of the documents takes along
 #: characters of scripts that part words by no blank: each is a word
 SINGLE = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
           (0x3040, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F),
@@ -237,10 +242,14 @@ def overlap(index: Index, item: int, passage: np.ndarray) -> tuple[float, float]
     return out[0], out[1]
 
 
-def leaks(column: pa.Array, index: Index, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float, float, float]]:
-    """``row, item, passages, score, question overlap, answer overlap`` of confirmed items, best passage each."""
-    hashes, first = word_hashes(column)
-    return _short_leaks(hashes, first, index) + (_long_leaks(hashes, first, index, threshold) if index.words else [])
+def leaks(column: pa.Array, indexes: list[Index], threshold: float = THRESHOLD) -> list[tuple]:
+    """``row, item identifier, passages, score, question overlap, answer overlap`` of confirmed items, best passage each."""
+    hashes, first = word_hashes(column)  # once for all indexes
+    out = []
+    for index in indexes:
+        found = _short_leaks(hashes, first, index) + (_long_leaks(hashes, first, index, threshold) if index.words else [])
+        out += [(row, index.item_ids[item], *rest) for row, item, *rest in found]
+    return out
 
 
 def _short_leaks(hashes: np.ndarray, first: np.ndarray, index: Index) -> list[tuple[int, int, int, float, float, float]]:
@@ -310,8 +319,11 @@ def _long_leaks(hashes: np.ndarray, first: np.ndarray, index: Index,
 
 
 def index_shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                 shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
-    """Indexes of bounded size that together hold every item with a word."""
+                 shard_bytes: int = SHARD_BYTES) -> DataFrame | None:
+    """``place, size, index``: pickled indexes of bounded size that together hold every item with a word.
+
+    Built by the tasks that the items are dealt to; None without such an item.
+    """
     found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD), F.lit(0))
     items = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"), F.size(found).alias("n"))
     items = items.where("n > 0")
@@ -319,26 +331,51 @@ def index_shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     total = items.agg(F.count_if(scored).alias("items"), F.avg(F.when(scored, F.col("n"))).alias("mean"),
                       F.sum(F.octet_length("text")).alias("bytes")).first()
     if not total["bytes"]:
-        return
+        return None
+    n_items, mean = total["items"], total["mean"]
+    shards = max(1, -(-total["bytes"] // shard_bytes))
+    items = items.withColumn("place", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, first = word_hashes(batch.column("text"))
             each = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first, first[1:])]
             if each:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each))], names=["term"])
-
-    shards = max(1, -(-total["bytes"] // shard_bytes))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    counts = map_batches(items.where(scored).select("text"), terms, "term long").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    for k in range(shards):
-        part = items.where(place == k)
-        rows = sorted(part.select("item_id", "text").collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
-        if rows:
-            mine = map_batches(part.where(scored).select("text"), terms, "term long").distinct()
-            frequency = {r["term"]: r["df"] for r in counts.join(mine, "term", "left_semi").collect()}
-            yield build_index([r["item_id"] for r in rows], [r["text"] for r in rows], frequency, total["items"],
-                              total["mean"])
+                place = np.repeat(batch.column("place").to_numpy(), [len(e) for e in each])
+                yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(np.concatenate(each))],
+                                                 names=["place", "term"])
+
+    def build(rows: pa.Table, known: pa.Table) -> pa.Table:
+        cells = sorted(rows.select(["item_id", "text"]).to_pylist(),
+                       key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
+        frequency = dict(zip(known.column("term").to_pylist(), known.column("df").to_pylist()))
+        index = build_index([r["item_id"] for r in cells], [r["text"] for r in cells], frequency, n_items, mean)
+        blob = pickle.dumps(index)
+        return pa.table({"place": rows.column("place")[:1], "size": pa.array([len(blob)], pa.int64()),
+                         "index": pa.array([blob], pa.binary())})
+
+    used = map_batches(items.where(scored).select("place", "text"), terms, "place int, term long")
+    counts = used.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    known = used.distinct().join(counts, "term")
+    built = (items.groupBy("place").cogroup(known.groupBy("place"))
+             .applyInArrow(build, "place int, size long, index binary"))
+    return materialise(built, "decontam-shards")
+
+
+def index_groups(benchmark: DataFrame, group_bytes: int = GROUP_BYTES) -> Iterator[list[Index]]:
+    """The indexes in groups of at most ``group_bytes`` (one at least): each is one broadcast and one scan of the documents."""
+    shards = index_shards(benchmark)
+    if shards is None:
+        return
+    group, held = [], 0
+    sizes = sorted((r["place"], r["size"]) for r in shards.select("place", "size").collect())
+    for k, (place, size) in enumerate(sizes):
+        group.append(place)
+        held += size
+        if k + 1 == len(sizes) or held + sizes[k + 1][1] > group_bytes:
+            rows = shards.where(F.col("place").isin(group)).orderBy("place").collect()
+            yield [pickle.loads(r["index"]) for r in rows]
+            group, held = [], 0
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -349,18 +386,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = (f"doc_id {kinds[0]}, item_id {kinds[1]}, passages long, score double, question_overlap double, "
               "answer_overlap double")
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in index_shards(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in index_groups(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids = shared.value.item_ids
             for batch in batches:
                 for part in slices(batch):
                     got = leaks(part.column("text"), shared.value, threshold)
                     if got:
                         cols = list(zip(*got))
                         yield pa.RecordBatch.from_arrays(
-                            [part.column("doc_id").take(pa.array(cols[0])), pa.array([ids[i] for i in cols[1]]),
+                            [part.column("doc_id").take(pa.array(cols[0])), pa.array(cols[1]),
                              pa.array(cols[2], pa.int64()), *[pa.array(c, pa.float64()) for c in cols[3:]]],
                             names=["doc_id", "item_id", "passages", "score", "question_overlap", "answer_overlap"])
 
@@ -371,8 +407,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                       threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without a confirmed leak, with all their columns and without a shuffle."""
-    for index in index_shards(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in index_groups(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

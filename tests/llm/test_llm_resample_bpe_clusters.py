@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from autopulse.llm import bpe, catalog, centroids, importance, near_dup, packing
+from autopulse.llm import bpe, catalog, centroids, decontam, importance, near_dup, packing
 from test_llm_operators import SCHEMA, SF, brute_components, hard_rows, prose
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -397,3 +397,23 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
                            (3, 3, True), (None, None, True)])
     kept = Counter((r["doc_id"], r["text"]) for r in near_dup.keep_one(docs).collect())
     assert kept == Counter([(5, b), (1, a), (7, c), (7, c), (3, None), (None, a)])
+
+
+# --- op5: many index shards --------------------------------------------------------------------
+
+def test_many_shards_take_one_scan(spark, monkeypatch):
+    bench, docs = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("benchmark", "documents"))
+    bench = bench.unionByName(bench.selectExpr("item_id + 1000 AS item_id", "concat(text, ' and more') AS text"))
+    def named(found):  # how many passages an item is found in follows from the longest item of its shard
+        return sorted((r["doc_id"], r["item_id"]) for r in found.collect())
+
+    whole = named(decontam.contaminated(docs, bench))
+    monkeypatch.setattr(decontam.index_shards, "__defaults__", ("item_id", "text", 400))
+    assert decontam.index_shards(bench).count() >= 20
+    found = decontam.contaminated(docs, bench)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert named(found) == whole and whole
+    monkeypatch.setattr(decontam.index_groups, "__defaults__", (1,))   # a group each
+    assert named(decontam.contaminated(docs, bench)) == whole
+    left = {r["doc_id"] for r in decontam.drop_contaminated(docs, bench).select("doc_id").collect()}
+    assert left == {r["doc_id"] for r in docs.select("doc_id").collect()} - {w[0] for w in whole}
