@@ -56,6 +56,7 @@ CROSSOVERS = 24
 LEAST_GAIN = 1e-4
 #: Pairs are exchanged only in bins of at most so many pieces.
 PAIR_BIN = 8
+MOST_TASKS = 4096
 DONE = CAPACITY - 2
 END_ID = 0
 #: Both tokenizer libraries agree below this code point; texts beyond it take the reference library.
@@ -291,11 +292,11 @@ def pack_blocks(items: DataFrame, blocks: int, capacity: int, round_no: int) ->
     state = (grouped.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
                             F.col("rows.item").alias("items"), F.col("rows.length").alias("lengths"),
                             *[F.lit(None).cast(t).alias(c) for c, t in (("genome", "array<bigint>"), ("migrant", "array<bigint>"),
-                                                                        ("bins", "bigint"), ("fill", "double"))])
-             .repartition("block", "island"))
-    settled = None
+                                                                        ("bins", "bigint"), ("fill", "double"))]))
+    settled, tasks = None, min(ISLANDS * blocks, MOST_TASKS)
     for epoch in count():
-        state = materialise(_epoch(state, capacity, epoch), f"pack-{round_no}-{epoch}")
+        # a stated number: few bytes but much work a row, so partitions are not to be joined by size
+        state = materialise(_epoch(state.repartition(tasks, "block", "island"), capacity, epoch), f"pack-{round_no}-{epoch}")
         known = state.groupBy("block").agg((F.bool_or("improved") & ~F.bool_or("proven")).alias("open"))
         ended = state.join(known.where(~F.col("open")), "block", "left_semi")
         settled = ended if settled is None else settled.unionByName(ended)
