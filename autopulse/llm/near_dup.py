@@ -43,7 +43,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +58,12 @@ SKETCH = 512
 MISSED = 5e-6
 BLOCK = 1024
 GROWTH = 4 * BLOCK
-#: Classes of a long list that all others are compared with in a settling round.
+#: Classes of a long list that all others are compared with in a settling round, and how many of them, of
+#: different components, each of the others is paired with.
 REPRESENTATIVES = 32
+PAIRED = 3
+#: Settling only saves work: the exhaustive comparison that follows is right after any number of rounds.
+SETTLING_ROUNDS = 3
 
 KEYS = byte_keys(23)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -250,7 +253,7 @@ def unsettled(postings: DataFrame, labels: DataFrame | None, block: int = BLOCK)
 
 def representative_pairs(listed: DataFrame, classes: DataFrame, least: int, percent: int, round_no: int,
                          block: int = BLOCK) -> DataFrame:
-    """``a, b``: each class of a long list with the representative of it that agrees most, in ``least`` coordinates at least.
+    """``a, b``: each class of a long list with the representatives of it that agree most, in ``least`` coordinates at least.
 
     A quarter of the representatives comes from the list's largest component, the others from outside.
     """
@@ -284,10 +287,12 @@ def representative_pairs(listed: DataFrame, classes: DataFrame, least: int, perc
                 fits = (agree >= least) & (label[:, None] != r_label[None, :])
                 fits &= 100 * np.minimum(size[:, None], r_size[None, :]) >= percent * np.maximum(size[:, None], r_size[None, :])
                 agree[~fits] = -1
-                at = np.flatnonzero(fits.any(axis=1))
-                best = r_ids[agree[at].argmax(axis=1)]
-                a += np.minimum(ids[at], best).tolist()
-                b += np.maximum(ids[at], best).tolist()
+                for _ in range(PAIRED):
+                    best = agree.argmax(axis=1)
+                    at = np.flatnonzero(agree[np.arange(len(ids)), best] >= 0)
+                    a += np.minimum(ids[at], r_ids[best[at]]).tolist()
+                    b += np.maximum(ids[at], r_ids[best[at]]).tolist()
+                    agree[r_label[None, :] == r_label[best][:, None]] = -1
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return map_batches(groups, run, "a long, b long").distinct()
@@ -475,7 +480,7 @@ def _linked(docs: DataFrame, sig: DataFrame, id_col: str, text_col: str, percent
         labels = components(links)
         return decided
 
-    for round_no in count():  # long lists first, each in work proportional to its length
+    for round_no in range(SETTLING_ROUNDS):  # long lists first, each in work proportional to its length
         listed = materialise(unsettled(postings, labels), "near-unsettled")
         if listed.isEmpty():
             break
