@@ -6,14 +6,20 @@ All nodes of a level are split together: a round counts bytes in at most ``BINS`
 node, keeps the bin that holds the quantile and divides it again, down to one value or a
 weight below the tolerance; rows of one value are divided by identifier the same way.  So a
 source that holds a third of all rows is split like any other.  Only bin totals (at most
-shards x BINS rows, whatever the input) reach the driver; the tree is then one expression over
-each row's own metadata, and assigning shards needs no shuffle.
+DRIVER_NODES x BINS rows, whatever the input) reach the driver; the tree is then one expression over
+each row's own metadata, and placing rows needs no shuffle.
+
+A shard count that follows from target bytes grows with the data.  The driver's tree stops at
+``DRIVER_NODES`` nodes; each is split on in its own group, all groups of a level at once, at the row
+where the running size passes the quantile (a sort by group, dimension and identifier, so a task
+holds no group in memory).
 
 Law: ``bytes``.  The identifier's slot in its shard comes from per-chunk counts and a running
 sum over chunks, never from a window over a whole shard.
 
-Defined cases: null metadata sorts first; a null text has size 16 and checksum 0; rows that agree
-in every dimension and the id stay together; with fewer rows than shards some shards stay
+Defined cases: null metadata sorts first; a null text has size 16 and checksum 0; a very long text is
+one row of its size; rows that agree in every dimension and the id stay together in the driver's
+tree; with fewer rows than shards some shards stay
 empty; an empty table gives an empty result; equal texts may lie in different shards, as bytes
 near equality asks of a large group of copies.
 """
@@ -31,6 +37,7 @@ from autopulse.llm.common import MIN_LONG, materialise
 BINS = 1024
 TOLERANCE = 0.0005
 CHUNK_ROWS = 20_000
+DRIVER_NODES = 64
 
 
 @dataclass
@@ -111,22 +118,27 @@ def _narrow(node: Node, bins: list, limit: float) -> None:
         s.update(lo=lo, hi=hi)
 
 
-def grow_tree(rows: DataFrame, shards: int) -> Node:
-    """The k-d tree over narrow metadata rows (``size``, ``tie``, ``d_*``)."""
-    dims = [c for c in rows.columns if c.startswith("d_")] + ["tie"]
+def _dims(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.startswith("d_")] + ["tie"]
+
+
+def grow_tree(rows: DataFrame, shards: int, most: int = DRIVER_NODES) -> tuple[Node, dict[str, float]]:
+    """The k-d tree over narrow metadata rows (``size``, ``tie``, ``d_*``) to ``most`` nodes, and the table's extent by dimension."""
+    dims = _dims(rows)
     root = Node(0, shards)
     whole: dict[str, float] = {}
     limit = 0.0
     while True:
-        nodes = [n for n in root.frontier() if n.leaves > 1]
-        if not nodes:
-            return root
+        frontier = root.frontier()
+        nodes = [n for n in frontier if n.leaves > 1]
+        if not nodes or len(frontier) >= most:
+            return root, whole
         at = rows.withColumn("node", root.expr(lambda n: F.lit(n.first)))
         stats = {r["node"]: r for r in at.groupBy("node").agg(
             F.sum("size").alias("w"), *[f(c).alias(f"{f.__name__}_{c}") for c in dims for f in (F.min, F.max)]).collect()}
         if not whole:
             if not stats:
-                return root
+                return root, whole
             whole = {c: max(1.0, float(stats[0][f"max_{c}"]) - float(stats[0][f"min_{c}"])) for c in dims}
             limit = TOLERANCE * stats[0]["w"] / shards
         active = []
@@ -142,7 +154,7 @@ def grow_tree(rows: DataFrame, shards: int) -> Node:
                         "lo": r[f"min_{n.dim}"], "hi": r[f"max_{n.dim}"]}
             active.append(n)
         if not active:
-            return root
+            return root, whole
         while pending := [n for n in active if "done" not in n.search]:
             got = _bins(rows, pending)
             for n in pending:
@@ -153,6 +165,27 @@ def grow_tree(rows: DataFrame, shards: int) -> Node:
             n.left, n.right, n.search = Node(n.first, half), Node(n.first + half, n.leaves - half), {}
 
 
+def split_groups(rows: DataFrame, whole: dict[str, float]) -> DataFrame:
+    """Split every node (``shard``: its first leaf, ``leaves``) down to single leaves, level by level."""
+    dims, node = _dims(rows), Window.partitionBy("shard")
+    while rows.where("leaves > 1").limit(1).count():
+        spread = [(F.max(c).over(node).cast("double") - F.min(c).over(node).cast("double")) / whole[c] for c in dims]
+        rows = rows.withColumns({f"_s{i}": x for i, x in enumerate(spread)})
+        widest = F.greatest(*[F.col(f"_s{i}") for i in range(len(dims))])
+        value = F.coalesce(*[F.when(F.col(f"_s{i}") == widest, F.col(c)) for i, c in enumerate(dims)])
+        rows = rows.withColumn("_v", value)
+        upto = F.sum("size").over(node.orderBy("_v", "tie", "text_crc32").rowsBetween(Window.unboundedPreceding, 0))
+        half = F.floor(F.col("leaves") / 2).cast("int")
+        # a row goes left if its middle does not lie beyond the quantile
+        left = (upto - F.col("size") / 2) * F.col("leaves") <= F.sum("size").over(node) * half
+        rows = rows.withColumns({"_left": left, "_half": half}).withColumns({
+            "shard": F.when((F.col("leaves") > 1) & ~F.col("_left"), F.col("shard") + F.col("_half")).otherwise(F.col("shard")),
+            "leaves": F.when(F.col("leaves") <= 1, F.col("leaves")).when(F.col("_left"), F.col("_half"))
+            .otherwise(F.col("leaves") - F.col("_half"))})
+        rows = materialise(rows.drop("_v", "_left", "_half", *[f"_s{i}" for i in range(len(dims))]), "kd-level")
+    return rows
+
+
 def number_rows(rows: DataFrame, chunks: int) -> DataFrame:
     """``slot`` within each shard, gapless from 0."""
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("tie"), F.lit(chunks)).cast("int"))
@@ -170,8 +203,11 @@ def kd_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_co
     total = rows.agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n")).first()
     if target_bytes:
         shards = max(1, -(-(total["w"] or 0) // target_bytes))
-    tree = grow_tree(rows, shards)
+    tree, whole = grow_tree(rows, shards)
     placed = rows.withColumn("shard", tree.expr(lambda n: F.lit(n.first)).cast("int"))
+    if any(n.leaves > 1 for n in tree.frontier()):
+        leaves = tree.expr(lambda n: F.lit(n.leaves)).cast("int")
+        placed = split_groups(materialise(placed.withColumn("leaves", leaves), "kd-nodes"), whole)
     chunks = max(1, -(-total["n"] // (shards * CHUNK_ROWS)))
     return number_rows(placed, chunks).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

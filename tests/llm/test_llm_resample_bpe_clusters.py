@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from autopulse.llm import bpe, catalog, centroids, decontam, importance, near_dup, packing
+from autopulse.llm import bpe, catalog, centroids, decontam, importance, kd_shard, near_dup, packing
 from test_llm_operators import SCHEMA, SF, brute_components, hard_rows, prose
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -417,3 +417,66 @@ def test_many_shards_take_one_scan(spark, monkeypatch):
     assert named(decontam.contaminated(docs, bench)) == whole
     left = {r["doc_id"] for r in decontam.drop_contaminated(docs, bench).select("doc_id").collect()}
     assert left == {r["doc_id"] for r in docs.select("doc_id").collect()} - {w[0] for w in whole}
+
+
+# --- op1: the tree against a brute k-d tree, and many leaves ------------------------------------
+
+def brute_tree(rows, shards, dims, whole):
+    """Leaf of each row by sorting whole nodes; rows: (id, size, {dim: value})."""
+    out = {}
+
+    def split(part, first, leaves):
+        if leaves == 1 or not part:
+            out.update({r[0]: first for r in part})
+            return
+        spread = {c: (max(r[2][c] for r in part) - min(r[2][c] for r in part)) / whole[c] for c in dims}
+        dim = max(dims, key=lambda c: (spread[c], -dims.index(c)))
+        part = sorted(part, key=lambda r: (r[2][dim], r[2]["tie"]))
+        half, total, below = leaves // 2, sum(r[1] for r in part), 0
+        goal = total * half / leaves
+        for k, r in enumerate(part):
+            if below + r[1] >= goal:
+                break
+            below += r[1]
+        cut = k + 1 if below + r[1] - goal < goal - below else k
+        split(part[:cut], first, half)
+        split(part[cut:], first + half, leaves - half)
+    split(rows, 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [2, 7, 40])
+def test_tree_equals_a_brute_tree(spark, shards):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    meta = kd_shard.metadata(docs)
+    dims = kd_shard._dims(meta)
+    rows = [(r["doc_id"], r["size"], {c: r[c] for c in dims}) for r in meta.collect()]
+    whole = {c: max(1.0, float(max(r[2][c] for r in rows) - min(r[2][c] for r in rows))) for c in dims}
+    got = {r["doc_id"]: r["shard"] for r in kd_shard.kd_shards(docs, shards).collect()}
+    assert got == brute_tree(rows, shards, dims, whole)
+
+
+def test_ten_thousand_leaves_from_target_bytes(spark):
+    rows = spark.range(40_000).selectExpr("id AS doc_id", "repeat('x', 40 + cast(id % 7 AS int)) AS text",
+                                          "if(id % 3 = 0, 'hot', cast(id % 100 AS string)) AS source")
+    total = rows.selectExpr("sum(octet_length(text) + 16)").first()[0]
+    placed = kd_shard.kd_shards(rows, target_bytes=total // 10_000)
+    size = Counter()
+    slots = defaultdict(list)
+    for r in placed.select("shard", "size", "slot").collect():
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    leaves = -(-total // (total // 10_000))
+    assert leaves >= 10_000 and len(size) == leaves == max(size) + 1
+    assert max(size.values()) <= 2.2 * total / leaves      # four rows a leaf: one row more or less at each cut
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_groups_split_like_the_tree(spark, monkeypatch):
+    """Splitting on in groups gives leaves as near equal as the driver's tree."""
+    docs = spark.range(3_000).selectExpr("id AS doc_id", "repeat('y', cast(id * 7919 % 211 AS int)) AS text", "'s' AS source")
+    monkeypatch.setattr(kd_shard.grow_tree, "__defaults__", (4,))
+    size = Counter()
+    for r in kd_shard.kd_shards(docs, 40).select("shard", "size").collect():
+        size[r["shard"]] += r["size"]
+    assert sorted(size) == list(range(40)) and max(size.values()) < 1.03 * min(size.values())
