@@ -21,18 +21,31 @@ SPEED_EDGES = [30, 60, 90]
 SPEED_LABELS = ["0-30km/h", "30-60km/h", "60-90km/h", "90km/h+"]
 
 
-def normalise_key(df: DataFrame, key: str = "timestamp") -> DataFrame:
-    """Text timestamps (JSON) become TIMESTAMP_NTZ with NULL for bad text, so both sides compare as time."""
+def as_instants(events: DataFrame, status: DataFrame, key: str = "timestamp") -> bool:
+    """Whether the sides meet as instants: one of them has a zoned TIMESTAMP.  Else as wall clocks."""
+    return any(isinstance(df.schema[key].dataType, TimestampType) for df in (events, status))
+
+
+def normalise_key(df: DataFrame, key: str = "timestamp", instants: bool = False) -> DataFrame:
+    """The key as TIMESTAMP_NTZ, or as TIMESTAMP with ``instants``; text that is no time becomes NULL.
+
+    Instants stay what they are: in an hour that the session zone's clocks show twice, two of them
+    share a wall clock and must not meet.  Wall clocks and texts without a zone are read in the
+    session zone where the other side has instants.
+    """
     dt = df.schema[key].dataType
     if isinstance(dt, StringType):
-        return df.withColumn(key, safe_timestamp(key))
-    if isinstance(dt, TimestampType):
-        return df.withColumn(key, F.col(key).cast("timestamp_ntz"))
-    if isinstance(dt, TimestampNTZType):
-        return df
+        return df.withColumn(key, F.col(key).try_cast("timestamp") if instants else safe_timestamp(key))
+    if isinstance(dt, (TimestampType, TimestampNTZType)):
+        return df.withColumn(key, F.col(key).cast("timestamp" if instants else "timestamp_ntz"))
     raise TypeError(f"join key {key} must be a timestamp or text, got {dt}")
 
 
+def normalise_keys(events: DataFrame, status: DataFrame, key: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    instants = as_instants(events, status, key)
+    return normalise_key(events, key, instants), normalise_key(status, key, instants)
+
+
 def _check_ambiguous(events: DataFrame, status: DataFrame, key: str) -> None:
     shared = (set(events.columns) & set(status.columns)) - {key}
     if shared:
@@ -45,11 +58,12 @@ def join_events_status(events: DataFrame, status: DataFrame, key: str = "timesta
     The join strategy (broadcast / sort-merge, skew splits) is left to Catalyst + AQE.
     """
     _check_ambiguous(events, status, key)
-    return normalise_key(events, key).join(normalise_key(status, key), [key], "inner")
+    e, s = normalise_keys(events, status, key)
+    return e.join(s, [key], "inner")
 
 
-def _event_counts(events: DataFrame, event_type: str, key: str) -> DataFrame:
-    return (normalise_key(events.filter(F.col("event_type") == event_type).select(key), key)
+def _event_counts(events: DataFrame, event_type: str, key: str, instants: bool) -> DataFrame:
+    return (normalise_key(events.filter(F.col("event_type") == event_type).select(key), key, instants)
             .where(F.col(key).isNotNull())
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_events")))
 
@@ -61,9 +75,10 @@ def joined_event_rows(events: DataFrame, status: DataFrame, event_type: str, col
     each status row is then repeated once per matching event (the multiset the
     reference produces), without a many-to-many join.
     """
-    counts = _event_counts(events, event_type, key)
+    instants = as_instants(events, status, key)
+    counts = _event_counts(events, event_type, key, instants)
     cols = [c for c in columns if c != key]
-    s = normalise_key(status.select(key, *cols), key)
+    s = normalise_key(status.select(key, *cols), key, instants)
     return repeat_rows(s.join(counts, [key], "inner"), "n_events").select(key, *cols)
 
 
@@ -88,8 +103,9 @@ def voice_events(events: DataFrame, status: DataFrame) -> DataFrame:
 
 def navigation_speed_histogram(events: DataFrame, status: DataFrame, key: str = "timestamp") -> DataFrame:
     """A5: joined NavigationStart rows counted per speed bucket; empty buckets absent; NULL/NaN speed -> last bucket."""
-    counts = _event_counts(events, NAVIGATION_START, key)
-    per_bucket = (normalise_key(status.select(key, "speed"), key)
+    instants = as_instants(events, status, key)
+    counts = _event_counts(events, NAVIGATION_START, key, instants)
+    per_bucket = (normalise_key(status.select(key, "speed"), key, instants)
                   .groupBy(key, bucket("speed", SPEED_EDGES, SPEED_LABELS).alias("speed_range"))
                   .agg(F.count(F.lit(1)).alias("n_status")))
     return (per_bucket.join(counts, [key], "inner")
@@ -99,8 +115,9 @@ def navigation_speed_histogram(events: DataFrame, status: DataFrame, key: str =
 
 def voice_rpm_stats(events: DataFrame, status: DataFrame, key: str = "timestamp") -> DataFrame:
     """Max / min / avg rpm and row count over the joined VoiceCommand rows; one row even when empty."""
-    counts = _event_counts(events, VOICE_COMMAND, key)
-    per_ts = (normalise_key(status.select(key, "rpm"), key)
+    instants = as_instants(events, status, key)
+    counts = _event_counts(events, VOICE_COMMAND, key, instants)
+    per_ts = (normalise_key(status.select(key, "rpm"), key, instants)
               .groupBy(key).agg(F.max("rpm").alias("mx"), F.min("rpm").alias("mn"),
                                 F.sum("rpm").alias("s"), F.count("rpm").alias("c"),
                                 F.count(F.lit(1)).alias("n_status")))
@@ -113,8 +130,9 @@ def voice_rpm_stats(events: DataFrame, status: DataFrame, key: str = "timestamp"
 
 def join_row_count(events: DataFrame, status: DataFrame, key: str = "timestamp") -> DataFrame:
     """Rows of the full join, from per-timestamp counts of both sides."""
-    e = normalise_key(events.select(key), key).groupBy(key).agg(F.count(F.lit(1)).alias("ne"))
-    s = normalise_key(status.select(key), key).groupBy(key).agg(F.count(F.lit(1)).alias("ns"))
+    e, s = normalise_keys(events.select(key), status.select(key), key)
+    e = e.groupBy(key).agg(F.count(F.lit(1)).alias("ne"))
+    s = s.groupBy(key).agg(F.count(F.lit(1)).alias("ns"))
     return (e.join(s, [key], "inner")
             .agg(F.coalesce(F.sum(F.col("ne") * F.col("ns")), F.lit(0)).cast("bigint").alias("row_count")))
 
@@ -133,7 +151,7 @@ def preview_join(events: DataFrame, status: DataFrame, n: int = 20, key: str = "
     per-timestamp distinct keys (a bounded top-n); only rows at or before the largest
     of them are joined and sorted.
     """
-    e, s = normalise_key(events, key), normalise_key(status, key)
+    e, s = normalise_keys(events, status, key)
     common = (e.select(key).distinct().join(s.select(key).distinct(), [key], "inner")
               .orderBy(key).limit(n))
     cutoff = common.agg(F.max(key)).scalar()

@@ -374,3 +374,32 @@ def test_a_message_is_parsed_once(spark):
     assert plan.count("from_json") == 1
     plan = cabin.event_counts(records)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("get_json_object") == 1
+
+
+def test_join_meets_instants_in_a_repeated_hour(spark):
+    """01:30 comes twice in Los Angeles on 2024-11-03; TIMESTAMP keys are the instants, texts may name a zone."""
+    import datetime as dt
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        first, second = 1730622600, 1730626200   # 01:30 PDT and 01:30 PST
+        st = spark.createDataFrame([(first, 10.0, 1.0), (second, 20.0, 2.0)], "t long, speed double, rpm double").select(
+            F.timestamp_seconds("t").alias("timestamp"), "speed", "rpm")
+        ev = spark.createDataFrame([(second, "NavigationStart"), (second, "VoiceCommand")], "t long, event_type string").select(
+            F.timestamp_seconds("t").alias("timestamp"), "event_type")
+        text = spark.createDataFrame([("2024-11-03T09:30:00Z", "NavigationStart"), ("2024-11-03 01:30:00-08:00", "VoiceCommand"),
+                                      ("bad", "VoiceCommand")], "timestamp string, event_type string")
+        for events_ in (ev, text):
+            joined = joins.join_events_status(events_, st)
+            assert sorted((r["event_type"], r["speed"]) for r in joined.collect()) == [("NavigationStart", 20.0), ("VoiceCommand", 20.0)]
+            assert joins.join_row_count(events_, st).first()[0] == 2
+            assert [r["speed"] for r in joins.navigation_events(events_, st).collect()] == [20.0]
+            assert rows(joins.navigation_speed_histogram(events_, st)) == [("0-30km/h", 1)]
+            assert joins.voice_rpm_stats(events_, st).first()["max_rpm"] == 2.0
+            assert joins.preview_join(events_, st, 5).count() == 2
+        wall = spark.createDataFrame([(dt.datetime(2024, 11, 3, 1, 30), 5.0, 9.0)], "timestamp timestamp_ntz, speed double, rpm double")
+        plain = spark.createDataFrame([("2024-11-03 01:30:00", "NavigationStart")], "timestamp string, event_type string")
+        assert joins.join_row_count(plain, wall).first()[0] == 1   # wall clocks on both sides
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
