@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from autopulse.llm import (
     bpe, centroids, chat, decontam, exact_dedup, importance, kd_shard, langid, near_dup, packing, suffix_dedup,
     toxicity, url_filter,
@@ -97,11 +96,6 @@ def q_clusters(spark, sf):
     return centroids.centroid_clusters(read(spark, sf, "embeddings"))
 
 
-@register("pipeline")
-def q_pipeline(spark, sf):
-    return corpus_pipeline.run(spark, sf)
-
-
 _NORM = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
 def _cluster_sql(clusters: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS) -> str:

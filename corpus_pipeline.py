@@ -5,6 +5,10 @@ returns is written as Parquet in the shared scratch folder and read again as the
 ``docs``.  All stages but the last return the columns of ``documents``; the last returns the
 packed pieces.  Labels and benchmark items come from ``sf_dir``.
 
+Defined cases (each stage's operator states its own): rows with a null or empty text and with null or
+repeated ids pass every stage that has no reason to drop them, an empty table gives empty results, and
+further columns travel along to the last stage, clashing names included; texts are read whole.
+
 No SQL twin: a trained classifier and a packing heuristic have none.  The tests hold each stage
 against a brute-force version on its own input.
 """

@@ -480,3 +480,31 @@ def test_groups_split_like_the_tree(spark, monkeypatch):
     for r in kd_shard.kd_shards(docs, 40).select("shard", "size").collect():
         size[r["shard"]] += r["size"]
     assert sorted(size) == list(range(40)) and max(size.values()) < 1.03 * min(size.values())
+
+
+# --- pipeline: nulls, repeated rows, an empty table, columns with clashing names -----------------
+
+@pytest.mark.parametrize("which", ["hard", "empty"])
+def test_pipeline_stages_on_hard_and_empty_tables(spark, hard, which):
+    import corpus_pipeline
+    from autopulse.llm.common import materialise
+
+    docs = hard.withColumns({"label": F.lit("x"), "kept": F.lit(True), "item_id": F.lit(1), "text_hash": F.lit("t")})
+    docs = docs.unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
+    docs = materialise(docs if which == "hard" else docs.limit(0), "test-hard")
+    n, columns = docs.count(), docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = materialise(stage(spark, docs, SF), f"test-{name}")
+        if name == "best_fit_packing":
+            pieces = out.groupBy("doc_id").count().count()
+            assert pieces == docs.select("doc_id").distinct().count()
+            break
+        assert out.columns == columns and out.count() <= docs.count()
+        assert out.exceptAll(docs).count() == 0     # rows are kept or dropped, never changed
+        docs = out
+    if which == "hard":
+        assert 0.4 * n < docs.count() < n           # copies and near copies went
+        texts = [r["text"] for r in docs.select("text").collect()]
+        assert len(texts) == len(set(texts)) and sum(not (t or "").strip() for t in texts) == 1
+    else:
+        assert docs.count() == 0
