@@ -8,8 +8,8 @@ is an element posted to an inverted list:
   least M coordinates share an element among their first COORDINATES - M + 1, so only
   these are posted.  Long lists (a passage that many texts hold) fall behind the prefix and are
   skipped, the way a skip merge leaves them to the final count;
-* lists longer than ``BLOCK`` are settled first, see below; what they still have to compare is dealt
-  into blocks, and pairs of blocks are separate rows, so no list is held whole by a task; lists with
+* lists longer than ``BLOCK`` are dealt into blocks, and pairs of blocks are separate rows, so no
+  list is held whole by a task; lists longer than ``LONG`` are settled first, see below; lists with
   the same members are looked at once;
 * count: within a list the collisions of whole signatures are counted, and pairs with at least
   M that could reach the threshold by their set sizes are candidates.
@@ -17,7 +17,8 @@ is an element posted to an inverted list:
 A long list is mostly one family of near copies.  Its classes are compared with a few
 representatives, linked, and compared again while that joins components: work in proportion to the
 list.  Pairs inside the list's largest component then need no look any more; what is left are the
-other classes against all, at most about two rows a member while they fit one block.
+other classes against all, at most about two rows a member while they fit one block.  A list up to
+``LONG`` is compared as it is, at most ``LONG / BLOCK`` rows a member.
 
 Candidates are taken in rounds.  In the first, each class names its best partner per list.  Those
 pairs are confirmed on full shingle sets, confirmed links merge components, and pairs inside a
@@ -58,6 +59,7 @@ SKETCH = 512
 MISSED = 5e-6
 BLOCK = 1024
 GROWTH = 4 * BLOCK
+LONG = 16 * BLOCK
 #: Classes of a long list that all others are compared with in a settling round, and how many of them, of
 #: different components, each of the others is paired with.
 REPRESENTATIVES = 32
@@ -242,11 +244,14 @@ def bucket_members(postings: DataFrame, labels: DataFrame | None, block: int = B
             .select("element", "split", "bucket", "x.id", "x.side"))
 
 
-def unsettled(postings: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> DataFrame:
-    """``element, id, label, rest, main``: each class in its long list with the most members outside the largest component."""
-    rows = postings.join(list_sizes(postings).where(F.col("f") > block), "element")
+def unsettled(postings: DataFrame, labels: DataFrame | None, most: int = LONG) -> DataFrame:
+    """``element, id, label, rest, main``: each class in its long list with the most members outside the largest component.
+
+    Lists with at most ``most`` members outside it are settled enough.
+    """
+    rows = postings.join(list_sizes(postings).where(F.col("f") > most), "element")
     long = _labelled(rows, labels)
-    parts = _largest_parts(long).where(F.col("rest") > block)
+    parts = _largest_parts(long).where(F.col("rest") > most)
     worst = F.max_by(F.struct("element", "label", "rest", "main"), F.struct("rest", "element"))
     return long.join(parts, "element").groupBy("id").agg(worst.alias("w")).select("id", "w.*")
 
