@@ -2,8 +2,8 @@
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory and
 the shared checkpoint folder are whatever the launcher configured.  Streaming jobs
-read Kafka (``--kafka``) or a Parquet replay of Kafka records (``--replay``) and run
-until stopped, or once over what is available with ``--available-now``.
+read Kafka (``--kafka``), log files of Kafka records with offsets (``--log``), a Parquet replay
+of such records (``--replay``) or text files of lines (``--lines``) and run until stopped, or once over what is available with ``--available-now``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from autopulse.operators.lines import BRAKE_THRESHOLD
 from autopulse.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS
 from autopulse.operators.state import ALERT_COUNT, OVERSPEED_THRESHOLD
 from autopulse.plans import jobs
+from autopulse.sources.logs import read_kafka_log, read_line_log
 from autopulse.streaming import runner
 from autopulse.streaming.sources import kafka_lines, read_kafka_replay, read_kafka_stream, read_line_stream
 
@@ -32,6 +33,7 @@ BATCH = {
 }
 STREAM = ("kafka-raw", "kafka-json", "cabin-etl", "event-count", "latest-state", "driving-duration",
           "overspeed-count", "overspeed-alert", "raw-lines", "word-count", "brake-window")
+LINE_JOBS = STREAM[4:]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -49,8 +51,9 @@ def parser() -> argparse.ArgumentParser:
         sp = sub.add_parser(name)
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--kafka", help="bootstrap servers")
+        src.add_argument("--log", help="directory of Kafka-shaped log files, partition=<n>/*.parquet")
         src.add_argument("--replay", help="Parquet directory of Kafka-shaped records")
-        src.add_argument("--lines", help="directory of text files, one message per line (no order key)")
+        src.add_argument("--lines", help="directory of text files, one message per line, in the order of their paths")
         sp.add_argument("--topic", default="cabin")
         sp.add_argument("--starting-offsets", default="latest")
         sp.add_argument("--output", help="output directory (not needed with --console)")
@@ -71,6 +74,8 @@ def parser() -> argparse.ArgumentParser:
 def _records(spark, a):
     if a.replay:
         return read_kafka_replay(spark, a.replay)
+    if a.log:
+        return read_kafka_log(spark, a.log, a.starting_offsets)
     return read_kafka_stream(spark, a.kafka, a.topic, a.starting_offsets)
 
 
@@ -89,21 +94,13 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         return out["written"] if isinstance(out, dict) else out
     trig = {"available_now": True} if a.available_now else {"processing_time": a.trigger}
     if a.lines:
-        if a.job not in ("word-count", "brake-window"):
-            raise SystemExit(f"{a.job} needs an order key: use --kafka or --replay")
-        if not a.output:
-            raise SystemExit("--output is required")
-        text = read_line_stream(spark, a.lines)
-        text_dir = a.text_dir or a.output.rstrip("/") + "-text"
-        if a.job == "word-count":
-            query = jobs.word_count_job(text, a.output, text_dir, a.checkpoint, **trig)
-        else:
-            query = jobs.brake_window_job(text, a.output, a.checkpoint, time_col=None, text_dir=a.text_dir,
-                                          threshold=a.brake_threshold, window_seconds=a.window_seconds,
-                                          slide_seconds=a.slide_seconds, **trig)
-        runner.run_to_end(query)
-        return {"output": a.output}
-    rec = _records(spark, a)
+        if a.job not in LINE_JOBS or a.console:
+            raise SystemExit(f"--lines is for {sorted(LINE_JOBS)}")
+        unordered = a.job in ("word-count", "brake-window")
+        rec, lines_df = None, read_line_stream(spark, a.lines) if unordered else read_line_log(spark, a.lines)
+    else:
+        rec = _records(spark, a)
+        lines_df = kafka_lines(rec)
     if a.console:
         frames = {"kafka-raw": lambda: cabin.kafka_envelope(rec),
                   "kafka-json": lambda: cabin.parse_cabin_json(cabin.kafka_values(rec)),
@@ -122,19 +119,19 @@ def main(argv=None, spark: SparkSession | None = None) -> object:
         "kafka-json": lambda: jobs.kafka_json_job(rec, a.output, a.checkpoint, **trig),
         "cabin-etl": lambda: jobs.cabin_etl_job(rec, a.output, a.checkpoint, **trig),
         "event-count": lambda: jobs.event_count_job(rec, a.output, a.checkpoint, **trig),
-        "latest-state": lambda: jobs.latest_state_job(kafka_lines(rec), "seq", a.output, a.checkpoint, **state_kw),
-        "driving-duration": lambda: jobs.driving_duration_job(kafka_lines(rec), "seq", a.output, a.checkpoint,
+        "latest-state": lambda: jobs.latest_state_job(lines_df, "seq", a.output, a.checkpoint, **state_kw),
+        "driving-duration": lambda: jobs.driving_duration_job(lines_df, "seq", a.output, a.checkpoint,
                                                               **state_kw),
-        "overspeed-count": lambda: jobs.overspeed_run_job(kafka_lines(rec), "seq", a.output, a.checkpoint,
+        "overspeed-count": lambda: jobs.overspeed_run_job(lines_df, "seq", a.output, a.checkpoint,
                                                           threshold=a.threshold, **state_kw),
-        "overspeed-alert": lambda: jobs.overspeed_alert_job(kafka_lines(rec), "seq", a.output, a.checkpoint,
+        "overspeed-alert": lambda: jobs.overspeed_alert_job(lines_df, "seq", a.output, a.checkpoint,
                                                             threshold=a.threshold, alert_count=a.alert_count,
                                                             **state_kw),
-        "raw-lines": lambda: jobs.raw_lines_job(kafka_lines(rec).select("seq", "value"), "seq", a.output,
+        "raw-lines": lambda: jobs.raw_lines_job(lines_df.select("seq", "value"), "seq", a.output,
                                                 lines_kw.pop("text_dir"), a.checkpoint, **lines_kw),
-        "word-count": lambda: jobs.word_count_job(kafka_lines(rec), a.output, lines_kw.pop("text_dir"),
+        "word-count": lambda: jobs.word_count_job(lines_df, a.output, lines_kw.pop("text_dir"),
                                                   a.checkpoint, **lines_kw),
-        "brake-window": lambda: jobs.brake_window_job(kafka_lines(rec), a.output, a.checkpoint, time_col=None,
+        "brake-window": lambda: jobs.brake_window_job(lines_df, a.output, a.checkpoint, time_col=None,
                                                       text_dir=a.text_dir, threshold=a.brake_threshold,
                                                       window_seconds=a.window_seconds,
                                                       slide_seconds=a.slide_seconds, **trig),

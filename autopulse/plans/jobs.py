@@ -58,7 +58,7 @@ def multisource_job(spark: SparkSession, events_path: str, status_path: str, out
 
     The published join has every column that some line has, as columns: that takes the inference scan.
     """
-    ev, st = read_cabin_events_json(spark, events_path, infer=True), read_status_parquet(spark, status_path)
+    ev, st = read_cabin_events_json(spark, events_path), read_status_parquet(spark, status_path)
     joined = joins.join_events_status(ev, st)
     written = publish(joined, output_path, "joined_events_status")
     return {"written": written, "row_count": joins.join_row_count(ev, st), "preview": joins.preview_join(ev, st, 20)}
@@ -66,14 +66,14 @@ def multisource_job(spark: SparkSession, events_path: str, status_path: str, out
 
 def navigation_speed_job(spark: SparkSession, events_path: str, status_path: str, output_path: str) -> str:
     """Speed distribution at navigation starts, written as CSV."""
-    hist = joins.navigation_speed_histogram(read_cabin_events_json(spark, events_path),
+    hist = joins.navigation_speed_histogram(read_cabin_events_json(spark, events_path, columns={}),
                                             read_status_parquet(spark, status_path))
     return write_csv(hist, f"{output_path.rstrip('/')}/navigation_speed_distribution")
 
 
 def voice_rpm_job(spark: SparkSession, events_path: str, status_path: str, output_path: str) -> str:
     """Engine-speed statistics at voice commands, written as CSV."""
-    stats = joins.voice_rpm_stats(read_cabin_events_json(spark, events_path), read_status_parquet(spark, status_path))
+    stats = joins.voice_rpm_stats(read_cabin_events_json(spark, events_path, columns={}), read_status_parquet(spark, status_path))
     return write_csv(stats, f"{output_path.rstrip('/')}/voice_rpm_analysis")
 
 

@@ -38,27 +38,28 @@ def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_cabin_events_json(spark: SparkSession, path: str, schema: StructType | None = None,
                            infer: bool = False, columns: Mapping[str, str] | None = None) -> DataFrame:
-    """S3: JSON lines in permissive mode: one scan, no inference.
+    """S3: JSON lines in permissive mode.
 
-    Each line becomes a VARIANT; `timestamp` and `event_type` are taken from it as text, the further
-    ``columns`` (name -> type) typed, bad values NULL, and ``record`` keeps everything else.  A line
-    that is no JSON gives NULLs.  One that repeats a key has no VARIANT; its columns take the last
-    value, as Spark's JSON reader does.
+    With ``columns`` (name -> type; may be empty) there is one scan and no inference: each line
+    becomes a VARIANT, `timestamp` and `event_type` are taken from it as text, the named columns
+    typed, bad values NULL, and ``record`` keeps everything else.  A line that is no JSON gives NULLs.
+    One that repeats a key has no VARIANT; its columns take the last value, as Spark's JSON reader does.
 
-    ``schema`` reads fixed columns with that reader; ``infer`` lets it find all columns by one more scan.
+    Without them the reader finds all columns itself, which costs one more scan; a ``schema`` given
+    instead reads only its columns.
     """
-    if infer or schema is not None:
+    if columns is None:
         reader = spark.read.option("mode", "PERMISSIVE")
-        return (reader if infer else reader.schema(schema)).json(path)
+        return (reader.schema(schema) if schema is not None and not infer else reader).json(path)
     lines = compute_once(spark.read.text(path).where(F.trim("value") != ""), ["value"], record=F.try_parse_json("value"))
 
     def member(name: str, kind: str) -> Column:
-        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-        typed = F.try_variant_get("record", f"$['{quoted}']", kind)
+        quote = "'" if '"' in name else '"'  # a path has no escapes
+        typed = F.try_variant_get("record", f"$[{quote}{name}{quote}]", kind)
         again = F.from_json("value", StructType.fromDDL(f"`{name}` {kind}")).getField(name)
         return F.coalesce(typed, F.when(F.col("record").isNull(), again)).alias(name)
 
-    wanted = {"timestamp": "string", "event_type": "string", **(columns or {})}
+    wanted = {"timestamp": "string", "event_type": "string", **columns}
     return lines.select(*[member(n, k) for n, k in wanted.items()], "record")
 
 

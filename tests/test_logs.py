@@ -139,3 +139,24 @@ def test_remote_paths_are_opened_by_their_scheme(tmp_path):
     store, root = logs._open(f"file://{tmp_path}")
     assert root == str(tmp_path) and store.get_file_info(root).is_file is False
     assert logs._open(f"file:{tmp_path}")[1] == str(tmp_path)
+
+
+def test_cli_state_job_on_text_lines_and_etl_on_a_log(spark):
+    from autopulse.cli import main
+
+    path, base = scratch_dir(spark, "cli-lines"), scratch_dir(spark, "cli-state")
+    write_lines(path.removeprefix("file:"), "a.txt", b"v1,130\nv1,131\nv2,90\nv1,140\n")
+    main(["overspeed-alert", "--lines", path, "--output", base + "/out", "--checkpoint", base + "/ck", "--text-dir", base + "/txt",
+          "--available-now"], spark=spark)
+    got = spark.read.parquet(base + "/out").orderBy("seq").collect()
+    assert [(r["vehicle_id"], r["consecutive_overspeed_count"], r["alert"]) for r in got] == [
+        ("v1", 1, "WAITING"), ("v1", 2, "WAITING"), ("v2", 0, "WAITING"), ("v1", 3, "TRIGGERED")]
+    dump = [r[0] for r in spark.read.text(base + "/txt/overspeed_alert_*").collect()]
+    assert dump == sorted(dump) and len(dump) == 4
+    log = scratch_dir(spark, "cli-log")
+    logs.write_kafka_log(records(spark, 0, 100), log)
+    main(["kafka-raw", "--log", log, "--starting-offsets", "earliest", "--output", base + "/raw", "--checkpoint", base + "/ck2",
+          "--available-now"], spark=spark)
+    assert spark.read.parquet(base + "/raw").count() == records(spark, 0, 100).count()
+    with pytest.raises(SystemExit):
+        main(["kafka-raw", "--lines", path, "--output", base, "--checkpoint", base + "/ck3"], spark=spark)

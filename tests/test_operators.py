@@ -286,6 +286,21 @@ def test_json_events_keep_every_column(spark, tmp_path):
     assert set(read_cabin_events_json(spark, str(tmp_path)).columns) == {"timestamp", "event_type", "screen"}
 
 
+def test_json_events_as_variant_in_one_scan(spark, tmp_path):
+    from autopulse.sources.files import read_cabin_events_json
+
+    lines_ = ['{"timestamp":"2024-01-01 00:00:00","event_type":"x","it\'s":7,"meta":{"src":"hud","n":[1,2]}}',
+              '{"timestamp":"a","timestamp":"b","event_type":"dup","it\'s":8}', "no json", "", '{"event_type":5,"it\'s":"bad"}', "[1]"]
+    (tmp_path / "e.json").write_text("\n".join(lines_) + "\n")
+    got = read_cabin_events_json(spark, str(tmp_path), columns={"it's": "int", "meta": "struct<src:string,n:array<int>>"})
+    assert got.columns == ["timestamp", "event_type", "it's", "meta", "record"]
+    rows_ = [tuple(r)[:4] for r in got.collect()]
+    assert rows_ == [("2024-01-01 00:00:00", "x", 7, ("hud", [1, 2])), ("b", "dup", 8, None), (None,) * 4,
+                     (None, "5", None, None), (None,) * 4]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("parse_json") + plan.count("parseJson") <= 1
+
+
 @pytest.mark.parametrize("kind", ["distinct", "skewed", "outliers", "two_values"])
 def test_exact_quantiles_narrow_the_range_in_rounds(spark, monkeypatch, kind):
     rng = np.random.default_rng(8)
