@@ -3,8 +3,11 @@
 Components become integers (``floor(scale * x)``), centroids stay integers, so every distance and
 every sum is exact and a round gives the same centroids however the rows are dealt.
 
-The pivot table holds each vector with its distances to a few fixed pivots; it is written once.  By
-the triangle inequality the difference between a vector's and a centroid's distance to a pivot
+The pivot table holds each vector with its distances to fixed pivots; it is written once.  Pivots are
+means that a bounded sample (``SAMPLE`` vectors, those with the smallest hashes) gives after the same
+rounds from the same start, far-apart ones if there are more than wanted; where vectors do form
+clusters, each centroid ends near a pivot and the bounds are tight.  A poor sample costs exact
+distances, never results.  By the triangle inequality the difference between a vector's and a centroid's distance to a pivot
 bounds their own distance from below.  In each round a vector's exact distance to the centroid of
 least bound is taken first; centroids whose bound exceeds it are skipped, the others get their exact
 distance.  A round sends one row per centroid and component and task to the shuffle and brings one
@@ -36,6 +39,7 @@ ROUNDS = 5
 SCALE = 256
 SEED = "2"
 PIVOTS = 8
+SAMPLE = 2048
 LIMIT = 1 << 25
 ROWS = 4096
 LARGEST = np.iinfo(np.int64).max
@@ -54,23 +58,25 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             .select("vec_id", F.transform("x", lambda c: F.floor(c.cast("double") * scale)).alias("v")))
 
 
-def start_centroids(rows: DataFrame, clusters: int = CLUSTERS, seed: str = SEED) -> np.ndarray:
+def first_vectors(rows: DataFrame, most: int, seed: str = SEED) -> np.ndarray:
     """The vectors whose identifiers have the smallest hashes, in hash order (a bounded top-n)."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))).cast("binary"), 256)
-    picked = rows.select(key.alias("key"), "v").orderBy("key", "v").limit(clusters).collect()
+    picked = rows.select(key.alias("key"), "v").orderBy("key", "v").limit(most).collect()
     return np.array([r["v"] for r in picked], np.int64)
 
 
-def choose_pivots(points: np.ndarray, n: int = PIVOTS) -> np.ndarray:
-    """Far-apart ones of the given points: each next pivot is the farthest from those before."""
-    if not len(points):
-        return points
-    picked = [0]
-    nearest = ((points - points[0]) ** 2).sum(1)
-    while len(picked) < min(n, len(points)):
-        picked.append(int(nearest.argmax()))
-        nearest = np.minimum(nearest, ((points - points[picked[-1]]) ** 2).sum(1))
-    return points[picked]
+def choose_pivots(sample: np.ndarray, clusters: int = CLUSTERS, rounds: int = ROUNDS, n: int = PIVOTS) -> np.ndarray:
+    """The sample's own centroids after the rounds; of more than ``n`` those far apart."""
+    means = sample[:clusters]
+    for _ in range(rounds):
+        cluster = np.array([((means - v) ** 2).sum(1).argmin() for v in sample])
+        means = np.array([sample[cluster == c].sum(0) // max(1, (cluster == c).sum()) if (cluster == c).any() else means[c]
+                          for c in range(len(means))])
+    picked, nearest_ = [0], ((means - means[0]) ** 2).sum(1)
+    while len(picked) < min(n, len(means)):
+        picked.append(int(nearest_.argmax()))  # the farthest from those before
+        nearest_ = np.minimum(nearest_, ((means - means[picked[-1]]) ** 2).sum(1))
+    return means[picked]
 
 
 def pivot_distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -178,11 +184,14 @@ def cluster_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                     n_pivots: int = PIVOTS) -> tuple[DataFrame, np.ndarray]:
     """Assignments (``vec_id, cluster, distance``) after ``rounds`` rounds, and the final centroids."""
     rows = integer_vectors(vectors, id_col, vector_col, dimensions, scale)
-    centroids = start_centroids(rows, clusters, seed)
+    sample = first_vectors(rows, max(clusters, SAMPLE), seed)
+    if len(sample) and np.abs(sample).max() > LIMIT:
+        raise ValueError(f"a scaled vector component lies beyond {LIMIT}")
+    centroids = sample[:clusters]
     kind = rows.schema["vec_id"].dataType.simpleString()
     if not len(centroids):
         return vectors.sparkSession.createDataFrame([], f"vec_id {kind}, cluster int, distance long"), centroids
-    pivots = choose_pivots(centroids, n_pivots)
+    pivots = choose_pivots(sample, clusters, rounds, n_pivots)
     table = materialise(pivot_table(rows, pivots), "pivot-table")
     for _ in range(rounds):
         centroids = moved(centroids, round_sums(table, centroids, pivots))

@@ -271,7 +271,7 @@ def test_pivots_skip_centroids_and_lose_none():
     rng = np.random.default_rng(12)
     centers = rng.integers(-500, 500, (40, 8))
     v = centers[rng.integers(0, 40, 3000)] + rng.integers(-60, 60, (3000, 8))
-    pivots = centroids.choose_pivots(centers, 8)
+    pivots = centroids.choose_pivots(v[:400], 40, 5, 40)
     cluster, distance, evaluated = centroids.nearest(v, centroids.pivot_distances(v, pivots), centers,
                                                      centroids.pivot_distances(centers, pivots))
     full = ((v[:, None, :] - centers[None]) ** 2).sum(2)
