@@ -21,12 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over one test table (a single-file path is not a valid stream source)."""
+    """A file stream over one test table, which is a single file or a folder of part files.
+
+    The path's last letter stands in brackets: a file stream takes no single-file path, but it takes
+    a pattern, and a folder that fits a pattern is listed like a file.
+    """
     schema = table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
 def _k():

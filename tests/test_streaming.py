@@ -231,3 +231,24 @@ def test_batch_text_sink_skips_empty_batches(spark):
     # a re-run of the same batch replaces its output (idempotent)
     batches.write_batch_text(spark.createDataFrame([("c",)], "value string"), base, "raw_stream", 4)
     assert [r[0] for r in spark.read.text(path).collect()] == ["c"]
+
+
+def test_table_stream_reads_single_files_and_folders_of_part_files(spark):
+    import os
+
+    from autopulse.plans.catalog import QUERIES
+
+    docs = spark.createDataFrame([(i, "en", "s", f"alpha beta{i % 3}\tgamma") for i in range(30)],
+                                 "doc_id long, lang string, source string, text string")
+    base = scratch_dir(spark, "tables")
+    docs.repartition(3).write.parquet(f"{base}/parts/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{base}/one-part")
+    os.makedirs(f"{base}/single")
+    part = next(f for f in os.listdir(f"{base}/one-part") if f.endswith(".parquet"))
+    os.link(f"{base}/one-part/{part}", f"{base}/single/documents.parquet")
+    want = [("alpha", 30), ("beta0", 10), ("beta1", 10), ("beta2", 10), ("gamma", 30)]
+    for form in ("parts", "single"):
+        counts = QUERIES["stream_word_count"](spark, f"{base}/{form}")
+        assert rows(counts, "batch_id", "word", "count") == [(0, w, n) for w, n in want]
+        records = QUERIES["sink_batch_files"](spark, f"{base}/{form}")
+        assert rows(records) == [(f"word={w}\tcount={n}",) for w, n in want]
