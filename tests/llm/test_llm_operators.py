@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -622,3 +623,15 @@ def test_pipeline_stages(spark):
     before, after = seen["best_fit_packing"]
     bins, bound = check_packing(collect(after), before)
     assert bins <= 1.01 * bound + 1
+
+
+def test_toxicity_fit_holds_the_bags_once():
+    rng = np.random.default_rng(3)
+    texts = pa.array(["".join(rng.choice(list("abcdefghij"), 2000)) for _ in range(1500)])
+    settings = toxicity.Settings(bits=12, epochs=0, min_rows=1)
+    entries = sum(len(b) for b, _ in toxicity._bags(texts, 12, 1))
+    tracemalloc.start()
+    toxicity.fit(texts, np.arange(1500) % 2, settings)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * entries  # 8 bytes an entry, and one step's own arrays
