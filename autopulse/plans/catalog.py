@@ -163,6 +163,7 @@ def events(spark, sf):
 # threshold.  Speeds lie in [0, 490], so overspeed uses 60 (FIXTURES.md).
 TEST_BRAKE_THRESHOLD = -3.0
 TEST_OVERSPEED_THRESHOLD = 60.0
+EVENTS_A_FILE = 250_000  # in the input of `stream_brake_window`
 
 
 @register("parse_speed_lines")
@@ -417,11 +418,13 @@ def q_sink_batch_files(spark, sf):
 
 @register("stream_brake_window")
 def q_stream_brake_window(spark, sf):
-    # four micro-batches, dealt by id: none is in the order of event time
+    # four micro-batches, dealt by id: none is in the order of event time; a batch has more files with
+    # more events, so that its work is dealt over all cores
     dealt = scratch_dir(spark, "brake-events")
     e = events(spark, sf)
-    e.repartition(4, "event_id").write.parquet(dealt)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(dealt)
+    e.repartition(4 * max(1, -(-e.count() // (4 * EVENTS_A_FILE))), "event_id").write.parquet(dealt)
+    files = len(spark.read.schema(e.schema).parquet(dealt).inputFiles())
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", max(1, -(-files // 4))).parquet(dealt)
     panes = stream_batches.brake_pane_stream(tb.numeric_lines_from_events(stream), threshold=TEST_BRAKE_THRESHOLD)
     out, ckpt = _stream_paths(spark, "brake-window")
     body = stream_batches.brake_pane_batch(out, out + "-panes", TEST_BRAKE_THRESHOLD)

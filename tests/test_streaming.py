@@ -252,3 +252,19 @@ def test_table_stream_reads_single_files_and_folders_of_part_files(spark):
         assert rows(counts, "batch_id", "word", "count") == [(0, w, n) for w, n in want]
         records = QUERIES["sink_batch_files"](spark, f"{base}/{form}")
         assert rows(records) == [(f"word={w}\tcount={n}",) for w, n in want]
+
+
+def test_brake_window_batches_have_more_files_with_more_events(spark, monkeypatch):
+    from autopulse.plans import catalog
+
+    made = []
+    monkeypatch.setattr(catalog, "scratch_dir", lambda s, name: made.append(scratch_dir(s, name)) or made[-1])
+    monkeypatch.setattr(catalog, "EVENTS_A_FILE", 50)
+    ran = []
+    monkeypatch.setattr(runner, "run_to_end", lambda q, run=runner.run_to_end: (run(q), ran.append(q)))
+    got = catalog.QUERIES["stream_brake_window"](spark, SF_SMALL)
+    dealt = spark.read.parquet(next(p for p in made if "brake-events" in p))
+    n = tb.table(spark, SF_SMALL, "events").count()
+    assert dealt.count() == n and n / 50 <= len(dealt.inputFiles()) <= n / 50 + 8
+    assert sum(p["numInputRows"] > 0 for p in ran[0].recentProgress) == 4
+    assert rows(got) == rows(catalog.QUERIES["brake_window"](spark, SF_SMALL).select(*got.columns))
