@@ -44,9 +44,9 @@ from autopulse.llm.common import (
 
 THRESHOLD = 50
 BUCKET_BYTES = 8 << 20
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18  # of text that is ranked at once: a rank's arrays take about 100 bytes a byte
 PLACE_BITS = 22  # a piece has fewer than 4 SEGMENT bytes
-LOCAL_BYTES = 12 << 20  # of text that a task settles at once
+LOCAL_BYTES = 6 << 20  # of text that a task settles at once
 MARK = np.iinfo(np.int64).max  # stands for a document in rows that only mark a rank
 KEYS = byte_keys(41)
 POWERS = Powers()
@@ -181,16 +181,13 @@ def _packed(bucket: np.ndarray, rank, full, doc, start, more) -> pa.RecordBatch:
     order = np.argsort((bucket - low).astype(np.uint16 if span <= 1 << 16 else np.int64), kind="stable")
     bucket = bucket[order]
     cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)])) if len(bucket) else [0]
-    cols = [c[order] for c in (rank, full, doc, start, more)]
-    out = [[] for _ in range(5)]
-    heads, sizes = [], []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        heads.append(int(bucket[a]))
-        sizes.append(int(b - a))
-        for k, c in enumerate(cols):
-            out[k].append(_planes(c[a:b]))
+    heads, sizes = [int(bucket[a]) for a in cuts[:-1]], np.diff(cuts).tolist()
+    out = []
+    for c in (rank, full, doc, start, more):
+        c = c[order]  # one column at a time is held twice
+        out.append(pa.array([_planes(c[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()))
     return pa.RecordBatch.from_arrays([pa.array(heads, pa.int64()), pa.array(sizes, pa.int64()),
-                                       *[pa.array(o, pa.binary()) for o in out]],
+                                       *out],
                                       names=["bucket", "n", "rank", "full", "doc", "start", "more"])
 
 
@@ -236,6 +233,13 @@ def _resolve(table: pa.Table, threshold: int, doubled: bool) -> pa.Table:
     return pa.Table.from_batches([_found(out, (doc[opened], start[opened], more[opened]))])
 
 
+def _joined(got: list[tuple]) -> list[np.ndarray]:
+    """The columns of all parts; ``got`` is emptied."""
+    columns = [list(c) for c in zip(*got)]
+    got.clear()
+    return [np.concatenate(columns.pop(0)) for _ in range(len(columns))]
+
+
 def _send(rank, full, doc, start, more, threshold: int, buckets: int, doubled: bool) -> list[pa.RecordBatch]:
     """Settle a task's own rows; what needs other tasks' rows goes to the bucket of its rank."""
     removed, varied, _ = settle(rank, full, doc, start)
@@ -256,17 +260,17 @@ def _first_ranks(rows: DataFrame, threshold: int, buckets: int) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("doc_id")))
             got, held = [], 0
-            for part in slices(batch):
+            for part in slices(batch, limit=SEGMENT):
                 data, offsets = text_buffer(part.column("text"))
                 ids = part.column("doc_id").to_numpy()
                 for text, start, more, rank, full in _segments(data, offsets, threshold):
                     got.append((rank, full, ids[text], start, more.astype(np.uint8)))
                     held += min(len(data), SEGMENT)
                     if held >= LOCAL_BYTES:
-                        yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, False)
-                        got, held = [], 0
+                        yield from _send(*_joined(got), threshold, buckets, False)
+                        held = 0
             if got:
-                yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, False)
+                yield from _send(*_joined(got), threshold, buckets, False)
 
     return map_batches(rows, run, MAP_SCHEMA)
 
@@ -294,10 +298,10 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
                 got.append((pair, second, doc, at, np.zeros(len(at), np.uint8)))
                 held += len(at)
                 if held >= LOCAL_BYTES // 12:
-                    yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, True)
-                    got, held = [], 0
+                    yield from _send(*_joined(got), threshold, buckets, True)
+                    held = 0
             if got:
-                yield from _send(*[np.concatenate(c) for c in zip(*got)], threshold, buckets, True)
+                yield from _send(*_joined(got), threshold, buckets, True)
 
     return map_batches(opened, run, MAP_SCHEMA)
 

@@ -635,3 +635,17 @@ def test_toxicity_fit_holds_the_bags_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 16 * entries  # 8 bytes an entry, and one step's own arrays
+
+
+def test_repeats_are_ranked_in_small_slices(monkeypatch):
+    runs = []
+    monkeypatch.setattr(suffix_dedup, "map_batches", lambda rows, run, schema: runs.append(run))
+    suffix_dedup._first_ranks(None, 50, 4)
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 2000, dtype=np.uint8)).decode() for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    found = sum(sum(b.column("n").to_pylist()) for b in runs[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 1500 * 2000 / 40 and peak < 40e6, (found, peak)
