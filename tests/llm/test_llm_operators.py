@@ -1,6 +1,7 @@
 """Each training-data operator against a brute-force version, on a small table with hard cases."""
 
 import hashlib
+import os
 import re
 import tracemalloc
 import zlib
@@ -637,6 +638,19 @@ def test_toxicity_fit_holds_the_bags_once():
     assert peak < 16 * entries  # 8 bytes an entry, and one step's own arrays
 
 
+def test_toxicity_is_fitted_by_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame([(i, prose(rng, 30)) for i in range(200)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    sample = toxicity.training_sample(docs, labels).toArrow().sort_by("doc_id").combine_chunks()
+    same = toxicity.fit(sample.column("text").chunk(0), sample.column("label").to_numpy())
+    assert model.weight.any() and np.array_equal(model.weight, same.weight) and model.bias == same.bias
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, settings: toxicity.Model(
+        np.zeros(1 << settings.bits, np.float32), float(os.getpid()), settings.bits))
+    assert toxicity.train(docs, labels).bias != os.getpid()
+
+
 def test_repeats_are_ranked_in_small_slices(monkeypatch):
     runs = []
     monkeypatch.setattr(suffix_dedup, "map_batches", lambda rows, run, schema: runs.append(run))
