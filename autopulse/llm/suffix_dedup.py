@@ -22,6 +22,11 @@ Each step settles what a task can settle from its own rows before anything is sh
 equal ranks only the smallest document's row goes on, so a passage that a third of all documents
 share costs one row per task, and a group of copies is settled like any other.
 
+Ranks are dealt in passes over slices of them, as many as keep what one pass shuffles near
+``PASS_SHARE`` of the text; between steps the folders and shuffle files of those before are
+deleted.  Steps 1 and 2 read the text again in each pass; step 3 reads only the bytes that opened
+runs cover, which are stored once.
+
 Defined cases: a null text is empty; texts shorter than the threshold lose nothing; equal ids
 are one document, whose rows do not remove each other's bytes; a row with a null id is kept whole
 and removes nothing; an empty table gives an empty result; other columns are not read.  Removed
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autopulse.llm.common import (
-    Powers, byte_keys, map_batches, materialise, only_slots, ship, slices, slot, splitmix, text_buffer,
+    Powers, byte_keys, map_batches, only_slots, ranges, release, ship, slices, slot, splitmix, stored, text_buffer,
 )
 
 THRESHOLD = 50
@@ -47,6 +52,10 @@ BUCKET_BYTES = 8 << 20
 SEGMENT = 1 << 18  # of text that is ranked at once: a rank's arrays take about 100 bytes a byte
 PLACE_BITS = 22  # a piece has fewer than 4 SEGMENT bytes
 LOCAL_BYTES = 6 << 20  # of text that a task settles at once
+RUN_BYTES, WINDOW_BYTES = 18, 18  # that a run or a window takes in the shuffle, compressed
+RUN_EVERY = 15  # bytes of text, at a threshold of 50
+PASS_SHARE = 0.75  # of the text's bytes that one pass shuffles
+PASS_LEAST = 64 << 20  # bytes that are shuffled at once whatever the text's size
 MARK = np.iinfo(np.int64).max  # stands for a document in rows that only mark a rank
 KEYS = byte_keys(41)
 POWERS = Powers()
@@ -56,9 +65,15 @@ KEYS_2 = byte_keys(43)
 LARGEST = 425
 MAP_SCHEMA = "bucket long, n long, rank binary, full binary, doc binary, start binary, more binary"
 FOUND_SCHEMA = "open boolean, doc_id long, start long, size long"
+PIECES_SCHEMA = "doc_id long, text binary, runs array<struct<start:long,size:long,place:long>>"
+LISTS_SCHEMA = "doc_id long, spans array<struct<start:long,size:long>>"
 FOUND = pa.schema([("open", pa.bool_()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int64())])
 
 
+def _in_slice(rank: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return rank % np.uint64(parts) == np.uint64(part)
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Index of the leftmost least value in every window of ``width`` values.
 
@@ -74,8 +89,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return (best & mask).astype(np.int64)
 
 
-def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
-    """Runs of windows with one least gram: text number, first window, further windows, both ranks."""
+def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int, part: int = 0, parts: int = 1):
+    """Runs of windows with one least gram: text number, first window, further windows, both ranks.
+
+    Only those whose rank is in slice ``part`` of ``parts``.
+    """
     gram = max(1, 2 * threshold // 5)
     count = len(data) - threshold + 1
     if count <= 0:
@@ -89,6 +107,8 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
     change = np.ones(count, bool)
     change[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(change & inside)
+    if parts > 1:
+        first = first[_in_slice(grams[least[first]], part, parts)]
     stop = np.append(np.flatnonzero(change), count)
     ends = stop[np.searchsorted(stop, first, side="right")]
     ends = np.minimum(ends, offsets[text[first] + 1] - threshold + 1)  # past the last window of the text
@@ -99,14 +119,14 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, threshold: int):
     return text[first], first - offsets[text[first]], ends - first - 1, rank, full
 
 
-def _segments(data: np.ndarray, offsets: np.ndarray, threshold: int):
+def _segments(data: np.ndarray, offsets: np.ndarray, threshold: int, part: int, parts: int):
     """``window_runs`` in pieces of bounded size; a long text's windows are dealt over pieces."""
     if len(data) <= 2 * SEGMENT or len(offsets) > 2:
-        yield window_runs(data, offsets, threshold)
+        yield window_runs(data, offsets, threshold, part, parts)
         return
     for lo in range(0, len(data) - threshold + 1, SEGMENT):
-        part = data[lo: lo + SEGMENT + threshold - 1]
-        text, start, more, rank, full = window_runs(part, np.array([0, len(part)]), threshold)
+        piece = data[lo: lo + SEGMENT + threshold - 1]
+        text, start, more, rank, full = window_runs(piece, np.array([0, len(piece)]), threshold, part, parts)
         yield text, start + lo, more, rank, full
 
 
@@ -255,17 +275,17 @@ def _send(rank, full, doc, start, more, threshold: int, buckets: int, doubled: b
     return [_packed(bucket, rank, full, doc, start, more), _pass_rows(found, buckets, threshold)]
 
 
-def _first_ranks(rows: DataFrame, threshold: int, buckets: int) -> DataFrame:
+def _first_ranks(rows: DataFrame, threshold: int, buckets: int, part: int = 0, parts: int = 1) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column("doc_id")))
             got, held = [], 0
-            for part in slices(batch, limit=SEGMENT):
-                data, offsets = text_buffer(part.column("text"))
-                ids = part.column("doc_id").to_numpy()
-                for text, start, more, rank, full in _segments(data, offsets, threshold):
+            for piece in slices(batch, limit=SEGMENT):
+                data, offsets = text_buffer(piece.column("text"))
+                ids = piece.column("doc_id").to_numpy()
+                for text, start, more, rank, full in _segments(data, offsets, threshold, part, parts):
                     got.append((rank, full, ids[text], start, more.astype(np.uint8)))
-                    held += min(len(data), SEGMENT)
+                    held += min(len(data), SEGMENT) // parts
                     if held >= LOCAL_BYTES:
                         yield from _send(*_joined(got), threshold, buckets, False)
                         held = 0
@@ -275,8 +295,37 @@ def _first_ranks(rows: DataFrame, threshold: int, buckets: int) -> DataFrame:
     return map_batches(rows, run, MAP_SCHEMA)
 
 
-def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
-    """Pairs of half-window ranks for every window of the opened runs (``text``, lists of runs)."""
+def _pieces(opened: DataFrame, threshold: int) -> DataFrame:
+    """The bytes that a document's opened runs cover, joined, and where in them each run begins."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts, sizes, cells = [], [], [0], []
+            for i in range(batch.num_rows):
+                data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
+                runs = batch.column("runs")[i].values
+                start, size = (runs.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size"))
+                size = np.minimum(size, len(data) - threshold + 1 - start)  # rows of one id may differ in length
+                start, size = start[size > 0], size[size > 0]
+                if not len(start):
+                    continue
+                _, lo, hi = merge_spans(np.zeros(len(start), np.int64), start, start + size + threshold - 1)
+                piece = np.searchsorted(lo, start, side="right") - 1
+                before = np.cumsum(hi - lo) - (hi - lo)
+                ids.append(batch.column("doc_id")[i].as_py())
+                texts.append(data[ranges(lo, hi - lo)].tobytes())
+                sizes.append(sizes[-1] + len(start))
+                cells.append((start, size, before[piece] + start - lo[piece]))
+            columns = [np.concatenate(c) for c in zip(*cells)] if cells else [np.zeros(0, np.int64)] * 3
+            runs = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], ["start", "size", "place"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(texts, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), runs)], names=["doc_id", "text", "runs"])
+
+    return map_batches(opened, run, PIECES_SCHEMA)
+
+
+def _window_ranks(pieces: DataFrame, threshold: int, buckets: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """Pairs of half-window ranks, those of one slice, for every window of the opened runs."""
     half = threshold // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,17 +334,19 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
             for i in range(batch.num_rows):
                 data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
                 runs = batch.column("runs")[i].values
-                start = runs.field("start").to_numpy(zero_copy_only=False)
-                size = runs.field("size").to_numpy(zero_copy_only=False)
-                at = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-                at = at[at + threshold <= len(data)]
+                start, size, place = (runs.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "place"))
+                at = ranges(place, size)
                 prefix = POWERS.prefix(KEYS[data])
                 left = splitmix(POWERS.span(prefix, at, at + half))
                 right = splitmix(POWERS.span(prefix, at + half, at + threshold))
                 pair = splitmix(left * np.uint64(3) + right)
+                at_text = ranges(start, size)
+                if parts > 1:
+                    mine = _in_slice(pair, part, parts)
+                    pair, at, at_text = pair[mine], at[mine], at_text[mine]
                 doc = np.full(len(at), batch.column("doc_id")[i].as_py(), np.int64)
                 second = splitmix(POWERS.span(POWERS.prefix(KEYS_2[data]), at, at + threshold))
-                got.append((pair, second, doc, at, np.zeros(len(at), np.uint8)))
+                got.append((pair, second, doc, at_text, np.zeros(len(at), np.uint8)))
                 held += len(at)
                 if held >= LOCAL_BYTES // 12:
                     yield from _send(*_joined(got), threshold, buckets, True)
@@ -303,7 +354,7 @@ def _window_ranks(opened: DataFrame, threshold: int, buckets: int) -> DataFrame:
             if got:
                 yield from _send(*_joined(got), threshold, buckets, True)
 
-    return map_batches(opened, run, MAP_SCHEMA)
+    return map_batches(pieces, run, MAP_SCHEMA)
 
 
 def _meet(ranks: DataFrame, threshold: int, doubled: bool) -> DataFrame:
@@ -311,28 +362,106 @@ def _meet(ranks: DataFrame, threshold: int, doubled: bool) -> DataFrame:
     return ranks.groupBy("bucket").applyInArrow(lambda t: _resolve(t, threshold, doubled), FOUND_SCHEMA)
 
 
-def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``doc_id, start, size`` of removed bytes; spans of one document may touch or overlap."""
+def _passes(shuffled: int, total: int) -> int:
+    """In how many passes so many bytes are shuffled."""
+    return max(1, -(-shuffled // int(max(PASS_LEAST, PASS_SHARE * total))))
+
+
+def _store_found(spark, ranks, buckets: int, shuffled: int, total: int, threshold: int, doubled: bool) -> list[str]:
+    """``_meet`` in passes over slices of ranks; ``ranks`` makes the rows of one slice."""
+    paths, parts = [], _passes(shuffled, total)
+    for part in range(parts):
+        found = _meet(ranks(-(-buckets // parts), part, parts), threshold, doubled)
+        paths.append(stored(found, "suffix-second" if doubled else "suffix-first"))
+        del found
+        release(spark, shuffled=shuffled)
+    return paths
+
+
+def _store_pieces(rows: DataFrame, first: DataFrame, threshold: int) -> str:
+    spark = rows.sparkSession
+    runs = first.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
+    at = stored(runs, "suffix-open")
+    runs = spark.read.schema(runs.schema).parquet(at)
+    opened = only_slots(rows.where("text IS NOT NULL"), "doc_id", runs, "doc_id").join(runs, "doc_id")
+    out = stored(_pieces(opened, threshold), "suffix-pieces")
+    release(spark, at)
+    return out
+
+
+def _store_spans(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> tuple[list[str], int]:
+    """Folders of ``FOUND_SCHEMA`` whose rows that aren't open are the removed bytes; the text's size."""
     if not 5 <= threshold <= LARGEST:
         raise ValueError(f"threshold must be from 5 to {LARGEST}, got {threshold}")
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    first = materialise(_meet(_first_ranks(rows, threshold, buckets), threshold, False), "suffix-first")
-    runs = first.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
-    runs = materialise(runs, "suffix-open")
-    opened = only_slots(rows.where("text IS NOT NULL"), "doc_id", runs, "doc_id").join(runs, "doc_id")
-    doubled = _meet(_window_ranks(opened, threshold, buckets), threshold, True)
-    return materialise(first.where("NOT open").unionByName(doubled).select("doc_id", "start", "size"), "suffix-spans")
+    runs = total // max(1, RUN_EVERY * threshold // 50)
+    found = _store_found(spark, lambda *k: _first_ranks(rows, threshold, *k), -(-total // BUCKET_BYTES) or 1,
+                         runs * RUN_BYTES, total, threshold, False)
+    first = spark.read.schema(FOUND_SCHEMA).parquet(*found)
+    windows = first.where("open").agg(F.sum("size").alias("n")).first()["n"] or 0
+    if windows:
+        at = _store_pieces(rows, first, threshold)
+        release(spark, shuffled=total)
+        pieces = spark.read.schema(PIECES_SCHEMA).parquet(at)
+        found += _store_found(spark, lambda *k: _window_ranks(pieces, threshold, *k),
+                              -(-windows // max(1, BUCKET_BYTES // RUN_EVERY)),
+                              windows * WINDOW_BYTES, total, threshold, True)
+        release(spark, at)
+    return found, total
+
+
+def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``doc_id, start, size`` of removed bytes; spans of one document may touch or overlap."""
+    found, _ = _store_spans(docs, threshold, id_col, text_col)
+    return _spans(docs.sparkSession, found)
+
+
+def _spans(spark, found: list[str]) -> DataFrame:
+    return spark.read.schema(FOUND_SCHEMA).parquet(*found).where("NOT open").select("doc_id", "start", "size")
+
+
+def _span_lists(spans: DataFrame, buckets: int) -> DataFrame:
+    """``doc_id, spans``: each document's spans as one list, those that touch joined."""
+    def rows(got: list[tuple]) -> pa.RecordBatch:
+        doc, start, end = merge_spans(*_joined(got))
+        none = np.zeros(len(doc), np.uint64)
+        bucket = (splitmix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        return _packed(bucket, none, (end - start).view(np.uint64), doc, start, none.astype(np.uint8))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, held = [], 0
+        for batch in batches:
+            doc, start, size = (batch.column(k).to_numpy() for k in ("doc_id", "start", "size"))
+            got.append((doc, start, start + size))
+            held += len(doc)
+            if held >= LOCAL_BYTES // 12:
+                yield rows(got)
+                held = 0
+        if got:
+            yield rows(got)
+
+    def lists(table: pa.Table) -> pa.Table:
+        _, size, doc, start, _ = _unpacked(table)
+        doc, start, end = merge_spans(doc, start, start + size.view(np.int64))
+        heads = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        cells = pa.StructArray.from_arrays([pa.array(start), pa.array(end - start)], ["start", "size"])
+        offsets = pa.array(np.append(heads, len(doc)), pa.int32())
+        return pa.table({"doc_id": pa.array(doc[heads]), "spans": pa.ListArray.from_arrays(offsets, cells)})
+
+    return map_batches(spans, run, MAP_SCHEMA).groupBy("bucket").applyInArrow(lists, LISTS_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept``: each document's remaining bytes."""
-    spans = repeated_spans(docs, threshold, id_col, text_col)
-    lists = materialise(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans")),
-                        "suffix-lists")
+    spark = docs.sparkSession
+    found, total = _store_spans(docs, threshold, id_col, text_col)
+    at = stored(_span_lists(_spans(spark, found), -(-total // BUCKET_BYTES) or 1), "suffix-lists")
+    release(spark, *found, shuffled=total)
+    lists = spark.read.schema(LISTS_SCHEMA).parquet(at)
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -343,6 +472,12 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "d
             for i in range(batch.num_rows):
                 data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
                 cells = batch.column("spans")[i].values
+                if cells is None:
+                    size.append(len(data))
+                    gone.append(0)
+                    count.append(0)
+                    kept.append(data.tobytes())
+                    continue
                 start, length = (cells.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size"))
                 end = np.minimum(start + length, len(data))
                 _, start, end = merge_spans(np.zeros(len(start), np.int64), start, end)
@@ -359,11 +494,8 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "d
                  pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     touched = only_slots(rows, "doc_id", lists, "doc_id").join(lists, "doc_id", "left")
-    changed = map_batches(touched.where("spans IS NOT NULL"), run, schema)
-    whole = lambda df: df.select(
+    taken = lists.select(slot(F.col("doc_id")).alias("_slot")).distinct()
+    untouched = rows.withColumn("_slot", slot(F.col("doc_id"))).join(F.broadcast(taken), "_slot", "left_anti").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-    taken = lists.select(slot(F.col("doc_id")).alias("_slot")).distinct()
-    untouched = rows.withColumn("_slot", slot(F.col("doc_id"))).join(F.broadcast(taken), "_slot", "left_anti")
-    out = changed.unionByName(whole(touched.where("spans IS NULL"))).unionByName(whole(untouched))
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return map_batches(touched, run, schema).unionByName(untouched).withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -1,8 +1,10 @@
 """Each training-data operator against a brute-force version, on a small table with hard cases."""
 
+import gc
 import hashlib
 import os
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -11,6 +13,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -562,6 +565,58 @@ def test_remove_repeats_empty_and_null_ids(spark, empty):
     assert sorted((str(r["doc_id"]), r["n_removed"]) for r in got) == [("2", 0), ("3", 80), ("None", 0), ("None", 0)]
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_remove_repeats_in_passes(spark, seed, monkeypatch):
+    """Ranks dealt in three passes, texts cut into small segments, buckets and pieces; ids and texts that repeat."""
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 400)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 3000)
+    passes = []
+    monkeypatch.setattr(suffix_dedup, "_passes", lambda shuffled, total: passes.append(shuffled) or 3)
+    pool = ["".join(rng.choice(list("abcde"), int(rng.integers(1, 40)))) for _ in range(12)]
+    rows = [(int(i) - 30, "".join(rng.choice(pool, int(rng.integers(0, 30))))) for i in rng.permutation(60)]
+    rows += [(i, t) for i, t in rows[:5]] + [(100 + i, t) for i, t in rows[5:10]]
+    docs = spark.createDataFrame(rows + [(None, rows[0][1]), (200, None)], "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest())
+           for r in collect(suffix_dedup.remove_repeats(docs, threshold=20))}
+    whole = (None, len(rows[0][1]), 0, 0, hashlib.sha256(rows[0][1].encode()).hexdigest())
+    assert got == {(i, *x) for i, x in brute_repeats([*rows, (200, None)], 20).items()} | {whole}
+    assert len(passes) == 2
+
+
+def test_remove_repeats_keeps_little_on_disk(spark, monkeypatch):
+    """Shuffle files and scratch folders together, whenever a step has been written."""
+    from autopulse.llm import common
+    from autopulse.session import scratch_root
+
+    monkeypatch.setattr(suffix_dedup, "PASS_LEAST", 1 << 20, raising=False)
+    monkeypatch.setattr(common, "RELEASE_LEAST", 1, raising=False)
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(words, 700))) for i in range(900)]
+    text = sum(len(t) for _, t in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    jvm = spark._jvm
+    places = [d.getPath() for d in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    places.append(scratch_root(spark).removeprefix("file:"))
+
+    def used():
+        paths = [os.path.join(d, f) for p in places for d, _, names in os.walk(p) for f in names if not f.startswith("broadcast")]
+        return sum(os.path.getsize(f) for f in paths if os.path.exists(f))
+
+    for _ in range(3):  # what earlier tests left
+        spark.range(1).collect()
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(1.5)
+    before, seen, put = used(), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (put(self, *a, **k), seen.append(used() - before))[0])
+    out = suffix_dedup.remove_repeats(docs)
+    seen.append(used() - before)
+    assert out.count() == len(rows)
+    assert max(seen) < 2.5 * text and seen[-1] < 0.5 * text, (text, seen)
+
+
 # --- op10 -------------------------------------------------------------------------------------
 
 URLS = ["http://example.com/en/x", "https://WWW.Example.com/en/?q#f", "http://a.b.www.example.com/en/", "ftp://net/es/1",
